@@ -51,8 +51,14 @@ def menu_offset(col: Column | str, offset: int = 1) -> Column:
     return (F.col(col) if isinstance(col, str) else col) + F.lit(offset)
 
 
-def round_half_even(col: Column, digits: int) -> Column:
-    return F.bround(col, digits)
+def round_half_even(col: Column | str, digits: int) -> Column:
+    """Scale, round ties to even, scale back: the rounding of array libraries.
+
+    ``bround`` rounds the decimal text of the number instead and differs near ties.
+    """
+    col = F.col(col) if isinstance(col, str) else col
+    scale = F.lit(10.0**digits)
+    return F.rint(col * scale) / scale
 
 
 def round_half_away(col: Column, digits: int) -> Column:
@@ -62,7 +68,7 @@ def round_half_away(col: Column, digits: int) -> Column:
 def percent(prob: Column | str, digits: int = 1) -> Column:
     """Probability as a percentage, ties to even."""
     prob = F.col(prob) if isinstance(prob, str) else prob
-    return F.bround(prob * F.lit(100.0), digits)
+    return round_half_even(prob * F.lit(100.0), digits)
 
 
 def band_right_closed(col: Column | str, edges: Sequence[float], labels: Sequence[str]) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskweave.functions.columns import round_half_even
 from riskweave.session import materialize
 
 # Points the starting centres are drawn from; all other work reads every point.
@@ -100,10 +101,12 @@ def _pass(points: DataFrame, centers: list[np.ndarray], d: int) -> tuple[np.ndar
         yield pa.RecordBatch.from_arrays(arrays, ["slot", *[f"s{j}" for j in range(d + 2)]])
 
     schema = "slot int, " + ", ".join(f"s{j} double" for j in range(d + 2))
-    totals = points.mapInArrow(sums, schema).groupBy("slot").agg(*[F.sum(f"s{j}") for j in range(d + 2)])
+    # One row per centroid comes back.
+    totals = points.mapInArrow(sums, schema).groupBy("slot").sum().toArrow()
     got = np.zeros((m + 1, d + 2))
-    for r in totals.collect():  # one row per centroid
-        got[r[0]] = r[1:]
+    slots = totals.column("slot").to_numpy()
+    for j in range(d + 2):
+        got[slots, j] = totals.column(f"sum(s{j})").to_numpy()
     stacked.unpersist()
     return got[:m, 0], got[:m, 1], got[:m, 2:], got[m]
 
@@ -119,7 +122,7 @@ def fit_many(
     ``store`` writes the points once, so that passes do not repeat the query before.
     """
     if store:
-        points = materialize(points, "points")
+        points = materialize(points, "points", spread=True)
     n = points.count()
     if not n:
         raise ValueError("no points to cluster")
@@ -217,7 +220,7 @@ def label_profile(labelled: DataFrame, outcome: str, labels: Sequence[str], digi
     order = labelled.sparkSession.createDataFrame(list(enumerate(labels)), "ord int, risk_label string")
     return order.join(stats, "risk_label", "left").select(
         "ord", "risk_label", F.coalesce("n", F.lit(0)).alias("row_count"),
-        F.bround("rate", digits).alias("outcome_rate"), (F.col("rate") * 100).alias("outcome_percent"),
+        round_half_even("rate", digits).alias("outcome_rate"), (F.col("rate") * 100).alias("outcome_percent"),
     )
 
 

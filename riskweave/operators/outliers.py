@@ -85,6 +85,8 @@ def grow_tree(tree: int, data: np.ndarray, depth: int, seed: int) -> list[tuple]
             continue
         col = int(rng.choice(usable))
         cut = float(rng.uniform(low[col], high[col]))
+        if cut >= high[col]:  # rounding may reach the upper end, which must go right
+            cut = float(low[col])
         nodes.append([tree, me, col, cut, me, me, 0.0])
         goes_left = rows[:, col] <= cut
         todo += [(rows[~goes_left], level + 1, me, 1), (rows[goes_left], level + 1, me, 0)]

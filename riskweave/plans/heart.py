@@ -132,8 +132,8 @@ def olap(spark: SparkSession) -> dict[str, DataFrame]:
 def classify(prepared: Prepared, forest_depth: int = 30, trees: int = 100) -> dict[str, object]:
     """Three classifiers on one stratified split, with their metrics and test scores."""
     train, test = split(prepared.patients, ["row_key"], stratify="target", seed=42)
-    train_v = models.assemble(train, prepared.columns, "target").persist()
-    test_v = models.assemble(test, prepared.columns, "target").persist()
+    train_v = materialize(models.assemble(train, prepared.columns, "target"), "train", spread=True)
+    test_v = materialize(models.assemble(test, prepared.columns, "target"), "test")
     estimators = {
         "Logistic Regression": models.logistic_regression(train_v.count()),
         "Decision Tree": models.decision_tree(),

@@ -1 +1,403 @@
-ORACLE = {}
+"""SQL with the same results as the registered queries, over the same tables."""
+
+from __future__ import annotations
+
+from riskweave import schemas as S
+from riskweave.plans import orders as O
+
+LINES = """
+lines AS (
+  SELECT l_orderkey, CAST(count(*) AS DOUBLE) AS n_lines, sum(l_quantity) AS qty, sum(l_extendedprice) AS price,
+         avg(l_discount) AS discount, avg(l_tax) AS tax,
+         max(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS open_lines,
+         max(CASE WHEN l_quantity >= 45 THEN 1 ELSE 0 END) AS bulk,
+         max(CASE WHEN l_discount >= CAST(0.08 AS DOUBLE) THEN 1 ELSE 0 END) AS deep_discount,
+         max(CASE WHEN l_tax >= CAST(0.07 AS DOUBLE) THEN 1 ELSE 0 END) AS high_tax,
+         avg(CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS returned
+  FROM lineitem GROUP BY l_orderkey),
+features AS (
+  SELECT o_orderkey AS order_id, o_totalprice AS totalprice, c_acctbal AS acctbal, n_lines, qty, price, discount, tax,
+         o_orderstatus AS status, o_orderpriority AS priority, c_mktsegment AS segment, c_nationkey AS nation,
+         open_lines, bulk, deep_discount, high_tax,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS urgent,
+         CASE WHEN c_acctbal >= 8000 THEN 1 ELSE 0 END AS rich,
+         CASE WHEN returned >= 0.5 THEN 1 ELSE 0 END AS target
+  FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN lines ON l_orderkey = o_orderkey)"""
+
+STAR = LINES + """,
+keyed AS (
+  SELECT row_number() OVER (ORDER BY order_id) AS k, *,
+         (coalesce(open_lines, 0) + coalesce(bulk, 0) + coalesce(deep_discount, 0) + coalesce(high_tax, 0)
+          + coalesce(urgent, 0)) / CAST(5 AS DOUBLE) AS risk_score
+  FROM features),
+order_fact AS (SELECT k AS fact_id, k AS party_id, k AS detail_id, k AS value_id, target, risk_score FROM keyed),
+dim_party AS (SELECT k AS party_id, segment, nation, acctbal FROM keyed),
+dim_order AS (SELECT k AS detail_id, status, priority FROM keyed),
+dim_value AS (SELECT k AS value_id, totalprice, qty, price FROM keyed)"""
+
+RECORDS = """
+records AS (
+  SELECT l_suppkey AS subject, l_extendedprice AS amount, l_extendedprice / 1000 AS amount_k,
+         l_extendedprice / ((l_quantity / 100) * (l_quantity / 100)) AS density, l_quantity AS quantity,
+         l_discount AS discount, CASE l_linestatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS status,
+         CAST(NULL AS INT) AS priority, CAST(NULL AS INT) AS channel,
+         CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 0 WHEN 'R' THEN 1 END AS target
+  FROM lineitem
+  UNION ALL
+  SELECT o_custkey, o_totalprice, o_totalprice / 1000, NULL, NULL, NULL,
+         CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 4 WHEN '3-MEDIUM' THEN 3 WHEN '5-LOW' THEN 1 END,
+         NULL, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END
+  FROM orders
+  UNION ALL
+  SELECT user_id, value, NULL, NULL, NULL, NULL, NULL, NULL,
+         CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 END,
+         CASE WHEN event_type = 'error' THEN 1 ELSE 0 END
+  FROM events)"""
+
+
+def _rnd(cols: list[str], digits: int) -> str:
+    return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+
+
+def _modes(source: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, (SELECT {c} FROM {source} WHERE {c} IS NOT NULL GROUP BY {c} "
+        f"ORDER BY count(*) DESC, {c} LIMIT 1) AS fill" for c in cols)
+
+
+def _records_out(source: str) -> str:
+    return f"SELECT {', '.join(O.RECORD_COLUMNS)} FROM {source}"
+
+
+def _describe(table: str, cols: list[str], digits: int) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), {digits}) AS mean, "
+        f"round(stddev_samp({c}), {digits}) AS std, round(min({c}), {digits}) AS min, "
+        f"round(quantile_cont({c}, 0.25), {digits}) AS q25, round(quantile_cont({c}, 0.5), {digits}) AS q50, "
+        f"round(quantile_cont({c}, 0.75), {digits}) AS q75, round(max({c}), {digits}) AS max FROM {table}" for c in cols)
+
+
+def _zscore(cols: list[str], table: str, keep: str) -> str:
+    z = ", ".join(
+        f"round(({c} - (SELECT avg({c}) FROM {table})) / (SELECT stddev_pop({c}) FROM {table}), 6) AS {c}" for c in cols)
+    return f"SELECT {keep}, {z} FROM {table}"
+
+
+def _anova(table: str, cols: list[str], label: str) -> str:
+    return " UNION ALL ".join(f"""
+      SELECT '{c}' AS feature, round((sum(n * (m - g) * (m - g)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*))), 6) AS f_score
+      FROM (SELECT count(*) AS n, avg({c}) AS m, var_pop({c}) AS v, (SELECT avg({c}) FROM {table}) AS g
+            FROM {table} GROUP BY {label})""" for c in cols)
+
+
+def _pairs(cols: list[str], fn: str, digits: int, scale: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{a}' AS row, '{b}' AS col, round({fn}({a}, {b}){scale}, {digits}) AS value FROM lineitem"
+        for i, a in enumerate(cols) for b in cols[i:])
+
+
+def _split(source: str, key: str, n_test: str = "ceil(CAST(0.2 AS DOUBLE) * n)") -> str:
+    return f"""
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY md5(CAST({key} AS VARCHAR)), {key}) AS rn, count(*) OVER () AS n FROM {source}),
+marked AS (SELECT *, rn <= {n_test} AS is_test FROM ranked)"""
+
+
+def _binary(pred: str, label: str, name: str) -> str:
+    return f"""
+  SELECT '{name}' AS model, avg(CASE WHEN {label} = {pred} THEN 1.0 ELSE 0.0 END) AS accuracy,
+         coalesce(CAST(sum({label} * {pred}) AS DOUBLE) / nullif(sum({pred}), 0), 0) AS precision,
+         coalesce(CAST(sum({label} * {pred}) AS DOUBLE) / nullif(sum({label}), 0), 0) AS recall,
+         coalesce(CAST(2 * sum({label} * {pred}) AS DOUBLE) / nullif(sum({label}) + sum({pred}), 0), 0) AS f1
+  FROM preds"""
+
+
+PREDS = """
+preds AS (
+  SELECT quality, toxic, CAST(n_chars >= 500 AS INT) AS long, CAST(n_chars >= 3000 AS INT) AS very_long,
+         CAST(lang = 'en' AS INT) AS english
+  FROM labels JOIN documents USING (doc_id))"""
+RULE_METRICS = PREDS + ", scores AS (" + " UNION ALL ".join(
+    _binary(m, "quality", m) for m in ("long", "very_long", "english")) + ")"
+
+CLASS_REPORT = f"""
+WITH {PREDS},
+classes AS (SELECT 0 AS c UNION ALL SELECT 1),
+per AS (
+  SELECT c, (SELECT count(*) FROM preds WHERE quality = c) AS support,
+         (SELECT count(*) FROM preds WHERE english = c) AS predicted,
+         (SELECT count(*) FROM preds WHERE quality = c AND english = c) AS hit
+  FROM classes),
+rates AS (
+  SELECT CASE c WHEN 0 THEN 'Poor' ELSE 'Good' END AS class, coalesce(CAST(hit AS DOUBLE) / nullif(predicted, 0), 0) AS precision,
+         coalesce(CAST(hit AS DOUBLE) / nullif(support, 0), 0) AS recall,
+         coalesce(CAST(2 * hit AS DOUBLE) / nullif(predicted + support, 0), 0) AS f1, support, hit FROM per),
+report AS (
+  SELECT class, precision, recall, f1, support FROM rates
+  UNION ALL SELECT 'accuracy', sum(hit) / sum(support), sum(hit) / sum(support), sum(hit) / sum(support), sum(support) FROM rates
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM rates
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), sum(support) FROM rates)
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM report"""
+
+ORDER_LINES = LINES + ", rows_ AS (SELECT order_id, qty, price, n_lines FROM features WHERE price IS NOT NULL)"
+REGRESS_SIMPLE = f"""
+WITH {ORDER_LINES}, {_split('rows_', 'order_id')},
+fit AS (SELECT regr_slope(price, qty) AS slope, regr_intercept(price, qty) AS intercept FROM marked WHERE NOT is_test),
+test AS (SELECT price, intercept + slope * qty AS p, slope, intercept FROM marked, fit WHERE is_test)
+SELECT round(max(slope), 4) AS slope, round(max(intercept), 3) AS intercept,
+       round(sqrt(avg((price - p) * (price - p))), 3) AS rmse,
+       round(1 - avg((price - p) * (price - p)) / var_pop(price), 6) AS r2 FROM test"""
+REGRESS_MULTI = f"""
+WITH {ORDER_LINES}, {_split('rows_', 'order_id')},
+s AS (
+  SELECT covar_pop(qty, price) AS c1, covar_pop(n_lines, price) AS c2, covar_pop(qty, n_lines) AS c12, var_pop(qty) AS v1,
+         var_pop(n_lines) AS v2, avg(qty) AS m1, avg(n_lines) AS m2, avg(price) AS my FROM marked WHERE NOT is_test),
+b AS (SELECT (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2, * FROM s),
+fit AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b),
+test AS (SELECT price, b0 + b1 * qty + b2 * n_lines AS p, b0, b1, b2 FROM marked, fit WHERE is_test)
+SELECT round(max(b1), 3) AS b_qty, round(max(b2), 2) AS b_lines, round(max(b0), 2) AS intercept,
+       round(sqrt(avg((price - p) * (price - p))), 3) AS rmse,
+       round(1 - avg((price - p) * (price - p)) / var_pop(price), 6) AS r2 FROM test"""
+
+PCA = ORDER_LINES + """,
+xy AS (SELECT order_id, qty AS x, n_lines * 10 AS y FROM rows_),
+cov AS (SELECT var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS c, avg(x) AS mx, avg(y) AS my FROM xy),
+eig AS (SELECT *, (a + c + sqrt((a - c) * (a - c) + 4 * b * b)) / 2 AS e1, (a + c - sqrt((a - c) * (a - c) + 4 * b * b)) / 2 AS e2 FROM cov),
+vec AS (SELECT *, b AS x1, e1 - a AS y1, b AS x2, e2 - a AS y2 FROM eig),
+unit AS (
+  SELECT *, sqrt(x1 * x1 + y1 * y1) * (CASE WHEN abs(x1) >= abs(y1) THEN sign(x1) ELSE sign(y1) END) AS n1,
+         sqrt(x2 * x2 + y2 * y2) * (CASE WHEN abs(x2) >= abs(y2) THEN sign(x2) ELSE sign(y2) END) AS n2 FROM vec)"""
+
+KMEANS_ASSIGN = """
+WITH cells AS (
+  SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+means AS (SELECT label, i, avg(v) AS m FROM cells GROUP BY label, i),
+rank AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS cluster FROM (SELECT DISTINCT label FROM embeddings)),
+dist AS (
+  SELECT c.vec_id, k.cluster, sum((c.v - m.m) * (c.v - m.m)) AS d
+  FROM cells c JOIN means m ON c.i = m.i JOIN rank k ON k.label = m.label GROUP BY c.vec_id, k.cluster)
+SELECT vec_id, CAST(arg_min(cluster, d) AS INT) AS cluster, round(min(d), 6) AS sq_dist FROM dist GROUP BY vec_id"""
+
+CLUSTER_LABELS = f"""
+WITH {LINES},
+rates AS (SELECT status, count(*) AS n, avg(target) AS rate FROM features GROUP BY status),
+ranked AS (SELECT *, row_number() OVER (ORDER BY rate, status) - 1 AS ord FROM rates)
+SELECT CAST(ord AS INT) AS ord, CASE ord WHEN 0 THEN 'Low Risk' WHEN 1 THEN 'Medium Risk' ELSE 'High Risk' END AS risk_label,
+       n AS row_count, round_even(rate, 3) AS outcome_rate, round(rate * 100, 4) AS outcome_percent FROM ranked"""
+
+
+def _mask(sub: str, items: list[str]) -> str:
+    """Comma-separated sorted names of the bits of ``sub``."""
+    names = sorted(enumerate(items), key=lambda p: p[1])
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN ({sub} & {1 << i}) <> 0 THEN '{v}' END" for i, v in names) + ")"
+
+
+def _itemsets(with_masks: str, items: list[str], support: float) -> str:
+    return f"""
+{with_masks},
+subs AS (SELECT CAST(range AS INT) AS sub FROM range(1, {1 << len(items)})),
+freq AS (
+  SELECT sub, count(*) AS freq, count(*) / CAST((SELECT count(*) FROM masks) AS DOUBLE) AS support
+  FROM subs JOIN masks ON (mask & sub) = sub GROUP BY sub),
+found AS (SELECT * FROM freq WHERE support >= CAST({support} AS DOUBLE))"""
+
+
+def _itemset_out(items: list[str]) -> str:
+    return f"SELECT {_mask('sub', items)} AS items, freq, CAST(bit_count(sub) AS INT) AS n_items, round(support, 6) AS support FROM found"
+
+
+def _rules(items: list[str], confidence: float) -> str:
+    return f""",
+rules AS (
+  SELECT {_mask('a.sub', items)} AS antecedents, {_mask('c.sub', items)} AS consequents, f.support AS support,
+         f.support / a.support AS confidence, f.support / a.support / c.support AS lift
+  FROM found f JOIN found a ON (f.sub & a.sub) = a.sub AND a.sub <> f.sub JOIN found c ON c.sub = xor(f.sub, a.sub)
+  WHERE f.support / a.support >= CAST({confidence} AS DOUBLE))
+SELECT antecedents, consequents, round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift FROM rules"""
+
+
+_EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+_PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+def _bit_case(col: str, items: list[str]) -> str:
+    return f"CASE {col} " + " ".join(f"WHEN '{v}' THEN {1 << i}" for i, v in enumerate(items)) + " ELSE 0 END"
+
+
+EVENT_MASKS = f"masks AS (SELECT bit_or({_bit_case('event_type', _EVENT_TYPES)}) AS mask FROM events GROUP BY user_id, CAST(ts AS DATE))"
+PART_MASKS = f"""masks AS (SELECT bit_or({_bit_case('p_type', _PART_TYPES)}) AS mask
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)"""
+FLAG_MASKS = LINES + ", masks AS (SELECT " + " + ".join(
+    f"CASE WHEN {c} <> 0 THEN {1 << i} ELSE 0 END" for i, c in enumerate(O.RULE_ITEMS)
+) + " AS mask FROM features WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in O.RULE_ITEMS) + ")"
+FLAG_ITEMSETS = _itemsets(FLAG_MASKS, O.RULE_ITEMS, 0.1)
+
+SCORE_EVENT = "round_even(least(value / 500.0, 1.0) * 100.0, 1)"
+BAND_RIGHT = "CASE " + " ".join(
+    f"WHEN s > {lo} AND s <= {hi} THEN '{b}'" for lo, hi, b in zip(S.SCORE_EDGES, S.SCORE_EDGES[1:], S.SCORE_BANDS)) + " END"
+
+
+def _band_left(p: str, labels: list[str]) -> str:
+    return f"CASE WHEN {p} < CAST(0.33 AS DOUBLE) THEN '{labels[0]}' WHEN {p} < CAST(0.66 AS DOUBLE) THEN '{labels[1]}' ELSE '{labels[2]}' END"
+
+
+SCORE = f"""
+parts AS (
+  SELECT o_orderkey,
+    CAST(0.9 AS DOUBLE) * (o_totalprice - (SELECT avg(o_totalprice) FROM orders)) / (SELECT stddev_pop(o_totalprice) FROM orders) AS c0,
+    CASE WHEN o_orderpriority = '2-HIGH' THEN CAST(0.5 AS DOUBLE) ELSE 0 END AS c1,
+    CASE WHEN o_orderpriority = '3-MEDIUM' THEN CAST(-0.25 AS DOUBLE) ELSE 0 END AS c2,
+    CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN CAST(0.125 AS DOUBLE) ELSE 0 END AS c3,
+    CASE WHEN o_orderpriority = '5-LOW' THEN CAST(-0.75 AS DOUBLE) ELSE 0 END AS c4,
+    CASE WHEN o_orderstatus = 'O' THEN CAST(0.3 AS DOUBLE) ELSE 0 END AS c5,
+    CASE WHEN o_orderstatus = 'P' THEN CAST(-0.6 AS DOUBLE) ELSE 0 END AS c6
+  FROM orders),
+probs AS (SELECT *, 1 / (1 + exp(-(CAST(-0.2 AS DOUBLE) + c0 + c1 + c2 + c3 + c4 + c5 + c6))) AS p FROM parts)"""
+SCORE_OUT = f"""
+WITH {SCORE}
+SELECT o_orderkey, round(p, 6) AS probability, round_even(p * 100, 1) AS risk_score,
+       {_band_left('p', S.PROBABILITY_BANDS)} AS risk_band, {_band_left('p', S.VERDICTS)} AS verdict FROM probs"""
+_SCORE_FEATURES = ["o_totalprice", "o_orderpriority_2-HIGH", "o_orderpriority_3-MEDIUM", "o_orderpriority_4-NOT SPECIFIED",
+                   "o_orderpriority_5-LOW", "o_orderstatus_O", "o_orderstatus_P"]
+TOP_CONTRIB = f"""
+WITH {SCORE},
+cells AS (""" + " UNION ALL ".join(
+    f"SELECT o_orderkey, {i} AS i, '{f}' AS feature, c{i} AS v FROM parts" for i, f in enumerate(_SCORE_FEATURES)) + """),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY v DESC, i) AS up,
+         row_number() OVER (PARTITION BY o_orderkey ORDER BY v, i) AS down FROM cells)
+SELECT o_orderkey, string_agg(feature, ',' ORDER BY up) FILTER (WHERE up <= 5) AS top_up,
+       string_agg(feature, ',' ORDER BY down) FILTER (WHERE down <= 3) AS top_down,
+       round(max(v), 6) AS largest, round(min(v), 6) AS smallest FROM ranked GROUP BY o_orderkey"""
+ADVICE = f"""
+WITH {SCORE}
+SELECT o_orderkey, CASE WHEN p >= CAST(0.33 AS DOUBLE) THEN 6 ELSE 4 END AS n_lines,
+       CASE WHEN p >= CAST(0.33 AS DOUBLE) THEN '{' '.join(S.ADVICE_AT_RISK)} ' ELSE '' END || '{' '.join(S.ADVICE_GENERAL)}' AS advice
+FROM probs"""
+
+SPLIT_STRATIFIED = """
+WITH counts AS (SELECT o_orderstatus AS c, count(*) AS n FROM orders GROUP BY o_orderstatus),
+total AS (SELECT sum(n) AS t, sum(n) - ceil(CAST(0.2 AS DOUBLE) * sum(n)) AS train FROM counts),
+exact AS (SELECT c, n, train, CAST(train AS DOUBLE) * n / t AS e FROM counts, total),
+placed AS (SELECT *, row_number() OVER (ORDER BY e - floor(e) DESC, c) AS pos, train - sum(floor(e)) OVER () AS spare FROM exact),
+quota AS (SELECT c, n - floor(e) - CASE WHEN pos <= spare THEN 1 ELSE 0 END AS q FROM placed),
+ranked AS (
+  SELECT o_orderkey, o_orderstatus,
+         row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) AS rn FROM orders)
+SELECT o_orderkey, o_orderstatus, rn <= q AS is_test FROM ranked JOIN quota ON c = o_orderstatus"""
+
+_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_FILLED = "filled AS (SELECT subject, " + ", ".join(
+    [f"coalesce({c}, (SELECT round(avg({c}), 4) FROM base)) AS {c}" for c in O.RECORD_MEANS]
+    + [f"coalesce({c}, (SELECT fill FROM modes WHERE feature = '{c}')) AS {c}" for c in O.RECORD_MODES]
+) + ", target FROM base)"
+
+ORACLE: dict[str, str] = {
+    "source_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS source, count(*) AS row_count FROM {t}" for t in ("lineitem", "orders", "events")),
+    "csv_scan": "SELECT o_orderpriority, o_totalprice, o_orderkey, CAST(o_custkey AS INT) AS o_custkey FROM orders",
+    "feature_table_roundtrip": f"""WITH {LINES} SELECT order_id, {_rnd(O.NUMERIC, 8)}, status, priority, segment, nation,
+        open_lines, bulk, deep_discount, high_tax, urgent, rich, target FROM features""",
+    "scaler_roundtrip": _zscore(["o_totalprice"], "orders", "o_orderkey"),
+    "integrate_sources": f"WITH {RECORDS} {_records_out('records')}",
+    "dedup_rows": "SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount FROM lineitem",
+    "dedup_documents": "SELECT DISTINCT text FROM documents",
+    "dedup_stats": f"""WITH {RECORDS} SELECT b AS rows_before, a AS rows_after, b - a AS rows_removed
+        FROM (SELECT (SELECT count(*) FROM records) AS b, (SELECT count(*) FROM (SELECT DISTINCT * FROM records)) AS a)""",
+    "null_audit": f"WITH {RECORDS} " + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count(*) - count({c}) AS null_count FROM records" for c in O.RECORD_COLUMNS),
+    "null_total_after_impute": f"""WITH {RECORDS}, base AS (SELECT * FROM records), modes AS ({_modes('base', O.RECORD_MODES)}),
+        {_FILLED} SELECT CAST({' + '.join(f'count(*) - count({c})' for c in O.RECORD_COLUMNS)} AS BIGINT) AS null_cells FROM filled""",
+    "impute_mean": f"WITH {RECORDS} " + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(avg({c}), 4) AS fill FROM records" for c in O.RECORD_MEANS),
+    "impute_mode": f"WITH {RECORDS} {_modes('records', O.RECORD_MODES)}",
+    "impute_rows": f"""WITH {RECORDS}, base AS (SELECT DISTINCT * FROM records), modes AS ({_modes('base', O.RECORD_MODES)}),
+        {_FILLED} {_records_out('filled')}""",
+    "describe_numeric": _describe("lineitem", _MEASURES, 4),
+    "one_hot_drop_first": "SELECT o_orderkey, " + ", ".join(
+        f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS \"{c}_{v}\"" for c, values in (
+            ("o_orderpriority", ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]), ("o_orderstatus", ["O", "P"]))
+        for v in values) + " FROM orders",
+    "zscore": _zscore(_MEASURES, "lineitem", "l_orderkey, l_linenumber"),
+    "anova_f": _anova("lineitem", _MEASURES, "l_returnflag"),
+    "select_k_best": f"""WITH {LINES}, base AS (SELECT * FROM features WHERE qty IS NOT NULL),
+        scores AS ({_anova('base', O.NUMERIC, 'target')}) SELECT feature FROM scores ORDER BY f_score DESC, feature LIMIT 3""",
+    "star_fact": f"WITH {STAR} SELECT * FROM order_fact",
+    "dim_party": f"WITH {STAR} SELECT * FROM dim_party",
+    "dim_order": f"WITH {STAR} SELECT * FROM dim_order",
+    "dim_value": f"WITH {STAR} SELECT value_id, {_rnd(['totalprice', 'qty', 'price'], 4)} FROM dim_value",
+    "star_counts": f"WITH {STAR} " + " UNION ALL ".join(
+        f"SELECT '{t}' AS source, count(*) AS row_count FROM {t}" for t in ("order_fact", "dim_party", "dim_order", "dim_value")),
+    "olap_by_segment": f"WITH {STAR} SELECT segment, round(avg(risk_score), 4) AS avg_risk_score, count(*) AS order_count, "
+        "CAST(sum(target) AS BIGINT) AS returned_count FROM order_fact JOIN dim_party USING (party_id) GROUP BY segment",
+    "olap_by_status": f"WITH {STAR} SELECT status, round(avg(target), 4) AS return_rate, count(*) AS order_count "
+        "FROM order_fact JOIN dim_order USING (detail_id) GROUP BY status",
+    "olap_by_priority": f"WITH {STAR} SELECT priority, round(avg(target), 4) AS return_rate, count(*) AS order_count "
+        "FROM order_fact JOIN dim_order USING (detail_id) GROUP BY priority",
+    "split_stratified": SPLIT_STRATIFIED,
+    "split_plain": f"WITH {_split('orders', 'o_orderkey')} SELECT o_orderkey, is_test FROM marked",
+    "class_balance": f"WITH {LINES} SELECT target, count(*) AS row_count FROM features GROUP BY target",
+    "classify_metrics": f"WITH {RULE_METRICS} SELECT model, {_rnd(['accuracy', 'precision', 'recall', 'f1'], 6)} FROM scores",
+    "class_report": CLASS_REPORT,
+    "best_model": f"""WITH {RULE_METRICS}
+        SELECT (SELECT model FROM scores ORDER BY f1 DESC, model LIMIT 1) AS best_f1_model, round(max(f1), 6) AS best_f1,
+               (SELECT model FROM scores ORDER BY accuracy DESC, model LIMIT 1) AS best_accuracy_model,
+               round(max(accuracy), 6) AS best_accuracy FROM scores""",
+    "regress_simple": REGRESS_SIMPLE,
+    "regress_multi": REGRESS_MULTI,
+    "regress_gram": _pairs(_MEASURES, "covar_pop", 2, " * count(*)"),
+    "pca_cov": _pairs(_MEASURES, "covar_samp", 4),
+    "pca_2d": f"""WITH {PCA} SELECT order_id, round(((x - mx) * x1 + (y - my) * y1) / n1, 4) AS pc1,
+        round(((x - mx) * x2 + (y - my) * y2) / n2, 4) AS pc2 FROM xy, unit""",
+    "pca_variance": f"""WITH {PCA} SELECT 'pc1' AS component, round(e1 / (e1 + e2), 6) AS explained_ratio FROM eig
+        UNION ALL SELECT 'pc2', round(e2 / (e1 + e2), 6) FROM eig""",
+    "kmeans_assign": KMEANS_ASSIGN,
+    "cluster_labels": CLUSTER_LABELS,
+    "itemsets_events": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_itemset_out(_EVENT_TYPES)}",
+    "itemsets_growth": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_itemset_out(_EVENT_TYPES)}",
+    "rules_events": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_rules(_EVENT_TYPES, 0.45)}",
+    "itemsets_parts": f"WITH {_itemsets(PART_MASKS, _PART_TYPES, 0.1)} {_itemset_out(_PART_TYPES)}",
+    "itemsets_flags": f"WITH {FLAG_ITEMSETS} {_itemset_out(O.RULE_ITEMS)}",
+    "rules_flags": f"WITH {FLAG_ITEMSETS} {_rules(O.RULE_ITEMS, 0.6)}",
+    "rules_top10": f"WITH {FLAG_ITEMSETS} {_rules(O.RULE_ITEMS, 0.6)} ORDER BY round(rules.lift, 9) DESC, "
+        "round(rules.confidence, 9) DESC, round(rules.support, 9) DESC, antecedents, consequents LIMIT 10",
+    "risk_bands_right": f"WITH scored AS (SELECT event_id, {SCORE_EVENT} AS s FROM events) "
+        f"SELECT event_id, s AS predicted_risk_score, {BAND_RIGHT} AS risk_band FROM scored",
+    "risk_bands_left": f"WITH scored AS (SELECT event_id, least(value / 500.0, 1.0) AS p FROM events) "
+        f"SELECT event_id, {_band_left('p', S.PROBABILITY_BANDS)} AS risk_band, {_band_left('p', S.VERDICTS)} AS verdict FROM scored",
+    "band_summary": f"""WITH scored AS (SELECT {SCORE_EVENT} AS s, CAST(event_type = 'error' AS INT) AS outcome FROM events),
+        banded AS (SELECT {BAND_RIGHT} AS risk_band, outcome FROM scored), bands AS ("""
+        + " UNION ALL ".join(f"SELECT {i} AS ord, '{b}' AS risk_band" for i, b in enumerate(S.SCORE_BANDS))
+        + """) SELECT ord, bands.risk_band, count(outcome) AS row_count, round(avg(outcome), 6) AS outcome_rate
+        FROM bands LEFT JOIN banded ON banded.risk_band = bands.risk_band GROUP BY ord, bands.risk_band""",
+    "rounding_modes": "SELECT l_orderkey, l_linenumber, round_even(l_quantity / 2, 0) AS half_even, "
+        "round(l_quantity / 2, 0) AS half_away FROM lineitem",
+    "validate_inputs": """WITH checked AS (SELECT l_orderkey, l_linenumber, concat_ws('; ',
+          CASE WHEN NOT l_quantity BETWEEN 5 AND 45 THEN 'l_quantity: no number in 5-45' END,
+          CASE WHEN NOT l_linenumber BETWEEN 1 AND 6 THEN 'l_linenumber: no whole number in 1-6' END,
+          CASE WHEN NOT l_extendedprice BETWEEN 1000 AND 90000 THEN 'l_extendedprice: no number in 1000-90000' END,
+          CASE WHEN lower(trim(l_returnflag)) NOT IN ('y', 'yes', '1', 'n', 'no', '0') THEN 'l_returnflag: not yes or no' END
+        ) AS rejected FROM lineitem) SELECT *, rejected = '' AS accepted FROM checked""",
+    "yes_no_tokens": """SELECT event_id, CASE event_type WHEN 'click' THEN 1 WHEN 'signup' THEN 1 WHEN 'view' THEN 0
+        WHEN 'purchase' THEN 0 END AS flag, event_id % 3 + 1 AS menu_code FROM events""",
+    "drift_flags": """WITH z AS (SELECT event_id, (value - (SELECT avg(value) FROM events)) / (SELECT stddev_pop(value) FROM events) AS z
+        FROM events) SELECT event_id, 'value' AS feature, round(z, 6) AS z FROM z WHERE abs(z) > 6""",
+    "align_columns": "SELECT CAST(0 AS DOUBLE) AS o_totalprice, o_orderkey, 0 AS unseen FROM orders",
+    "score_fixed": SCORE_OUT,
+    "score_reloaded": SCORE_OUT,
+    "stream_score": SCORE_OUT,
+    "top_contrib": TOP_CONTRIB,
+    "advice_lines": ADVICE,
+    "outlier_threshold": """WITH q AS (SELECT quantile_cont(value, 0.95) AS t FROM events)
+        SELECT round(max(t), 6) AS threshold, count(*) FILTER (WHERE value <= t) AS kept,
+               count(*) FILTER (WHERE value > t) AS removed FROM events, q""",
+    "preview_head": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10",
+    "run_summary": f"""WITH {RULE_METRICS}, {LINES}
+        SELECT count(*) AS row_count, count(*) FILTER (WHERE target = 0) AS kept_orders,
+               count(*) FILTER (WHERE target = 1) AS returned_orders,
+               (SELECT model FROM scores ORDER BY f1 DESC, model LIMIT 1) AS best_f1_model,
+               (SELECT round(max(f1), 6) FROM scores) AS best_f1 FROM features""",
+}

@@ -64,7 +64,7 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def feature_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = files.write_table(O.order_features(spark, sf), scratch_path(spark, "feature-table"))
-    return rounded(files.read_table(spark, path), 4)
+    return rounded(files.read_table(spark, path), 8)
 
 
 @query
@@ -80,7 +80,7 @@ def scaler_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def integrate_sources(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(O.records(spark, sf), 4)
+    return O.records(spark, sf)
 
 
 @query
@@ -128,7 +128,7 @@ def impute_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated records with every gap filled."""
     rows = materialize(integrate.dedup(O.records(spark, sf)), "records")
     fill = clean.fit_impute(rows, O.RECORD_MEANS, O.RECORD_MODES)
-    return rounded(clean.apply_impute(rows, fill), 4)
+    return clean.apply_impute(rows, {c: round(v, 4) if isinstance(v, float) else v for c, v in fill.items()})
 
 
 @query
@@ -269,8 +269,8 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
 def _training(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
     table, names = O.model_features(spark, sf)
     train, test = split(table, ["order_id"], stratify="target")
-    vectors = [materialize(models.assemble(part, names, "target"), "vectors") for part in (train, test)]
-    return vectors[0], vectors[1], names
+    vectors = materialize(models.assemble(train, names, "target"), "train", spread=True)
+    return vectors, models.assemble(test, names, "target"), names
 
 
 @query
@@ -530,7 +530,8 @@ def band_summary(spark: SparkSession, sf: str) -> DataFrame:
 def rounding_modes(spark: SparkSession, sf: str) -> DataFrame:
     half = F.col("l_quantity") / 2
     return O.load(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", C.round_half_even(half, 0).alias("half_even"), C.round_half_away(half, 0).alias("half_away"))
+        "l_orderkey", "l_linenumber", C.round_half_even(half, 0).alias("half_even"),
+        C.round_half_away(half, 0).alias("half_away"))
 
 
 @query
@@ -623,7 +624,7 @@ def score_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Every order scored by a random forest trained on four fifths of them."""
     table, names = O.model_features(spark, sf)
     train, _ = split(table, ["order_id"], stratify="target")
-    model = models.random_forest(50, 8).fit(models.assemble(train, names, "target"))
+    model = models.random_forest(50, 8).fit(materialize(models.assemble(train, names, "target"), "train", spread=True))
     art = scoring.Artefacts(features=names, scaler={}, weights=list(model.featureImportances.toArray()), model=model)
     scored = scoring.score(table, art, ["order_id", "target"])
     return scored.select("order_id", "target", "probability", "risk_score", "risk_band")
@@ -635,7 +636,7 @@ def score_batch(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def outliers_iforest(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their anomaly score; the 5 % most anomalous are no inliers."""
-    table = O.clean_features(spark, sf).select("order_id", *O.NUMERIC)
+    table = materialize(O.clean_features(spark, sf).select("order_id", *O.NUMERIC), "measures", spread=True)
     return outliers.mark_outliers(table, O.NUMERIC, "order_id").select("order_id", r("anomaly").alias("anomaly"), "is_inlier")
 
 

@@ -47,12 +47,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/riskweave/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the scratch folder and read it back.
 
     The copy outlives lost executors, later passes read only the columns they
-    need, and non-deterministic columns are fixed by being stored.
+    need, and non-deterministic columns are fixed by being stored. ``spread``
+    gives each core a file where the table is so small (a few megabytes per
+    core) that a scan would leave cores idle in compute-heavy passes.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+
+    def stored(rows: DataFrame) -> DataFrame:
+        path = scratch_path(spark, name)
+        rows.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    copy = stored(df)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and copy.rdd.getNumPartitions() < cores:
+        copy = stored(copy.repartition(cores))
+    return copy
