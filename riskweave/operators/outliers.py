@@ -133,10 +133,10 @@ def score_iforest(df: DataFrame, forest: IsolationForest, name: str = "anomaly")
     scale = average_path(forest.sample_size) or 1.0
 
     @F.pandas_udf("double")
-    def anomaly(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def anomaly(parts: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         feature, cut, left, right, path, roots = shared.value
-        for series in parts:
-            x = np.column_stack([s.to_numpy(float) for s in series])
+        for part in parts:
+            x = part.to_numpy(float)
             at = np.broadcast_to(roots, (len(x), len(roots))).copy()
             row = np.arange(len(x))[:, None]
             for _ in range(levels):
@@ -147,7 +147,7 @@ def score_iforest(df: DataFrame, forest: IsolationForest, name: str = "anomaly")
                 at = np.where(value <= cut[at], left[at], right[at])
             yield pd.Series(np.exp2(-path[at].mean(axis=1) / scale))
 
-    return df.withColumn(name, anomaly(*[F.col(c).cast("double") for c in forest.columns]))
+    return df.withColumn(name, anomaly(F.struct(*[F.col(c).cast("double").alias(c) for c in forest.columns])))
 
 
 def outlier_threshold(scored: DataFrame, score: str = "anomaly", contamination: float = 0.05) -> float:
