@@ -61,6 +61,21 @@ def _plus_plus(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarr
     return np.array(centers)
 
 
+def _refine(sample: np.ndarray, centers: np.ndarray, steps: int = 50) -> np.ndarray:
+    """Improve starting centres on the sample, so that fewer passes over all points follow
+    (Bradley and Fayyad 1998)."""
+    for _ in range(steps):
+        near = ((sample**2).sum(axis=1)[:, None] - 2.0 * sample @ centers.T + (centers**2).sum(axis=1)).argmin(axis=1)
+        new = centers.copy()
+        for j in range(len(centers)):
+            if (near == j).any():
+                new[j] = sample[near == j].mean(axis=0)
+        if np.allclose(new, centers):
+            break
+        centers = new
+    return centers
+
+
 def _matrix(batch: pa.RecordBatch, d: int) -> np.ndarray:
     return batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
@@ -129,7 +144,8 @@ def fit_many(
     sample = _seed_points(points, n, SEED_POINTS)
     d = sample.shape[1]
     models = [
-        (k, _plus_plus(sample, k, np.random.default_rng([seed, k, r]))) for k in ks for r in range(restarts)
+        (k, _refine(sample, _plus_plus(sample, k, np.random.default_rng([seed, k, r]))))
+        for k in ks for r in range(restarts)
     ]
     centers = [c for _, c in models]
     moving, passes = list(range(len(models))), [0] * len(models)

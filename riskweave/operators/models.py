@@ -38,14 +38,14 @@ def decision_tree(max_depth: int = 5, max_bins: int = 128) -> DecisionTreeClassi
     return DecisionTreeClassifier(maxDepth=max_depth, impurity="gini", maxBins=max_bins, seed=SEED)
 
 
-def random_forest(num_trees: int = 100, max_depth: int = 30, max_bins: int = 128) -> RandomForestClassifier:
+def random_forest(num_trees: int = 100, max_depth: int = 30, max_bins: int = 64) -> RandomForestClassifier:
     """Bootstrap forest. MLlib limits the depth to 30; smaller depths need fewer passes.
 
     The larger aggregation buffer lets one pass over the data split more nodes.
     """
     return RandomForestClassifier(
         numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins, impurity="gini",
-        featureSubsetStrategy="sqrt", maxMemoryInMB=1024, seed=SEED,
+        featureSubsetStrategy="sqrt", maxMemoryInMB=512, seed=SEED,
     )
 
 

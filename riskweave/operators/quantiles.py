@@ -5,13 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Rows of one open interval that are counted value by value.
-DIRECT_ROWS = 1_000_000
+DIRECT_ROWS = 50_000
 
 
 @dataclass
@@ -36,23 +38,31 @@ class _Search:
         return cond
 
 
-def _narrow(df: DataFrame, open_: list[_Search], accuracy: int) -> None:
+def _narrow(df: DataFrame, open_: list[_Search], direct_rows: int, max_accuracy: int) -> None:
     """Shrink every interval with one sketch pass and one counting pass.
 
-    The sketch guarantees a rank error of ``inside / accuracy``, so the wanted
+    The sketch is as fine as one more round needs, up to ``max_accuracy``. It
+    guarantees a rank error of ``inside / accuracy``, so the wanted
     rank is inside a bracket two errors wide on each side. Rows equal to a
     bracket end are counted apart, so a value shared by many rows ends the
     search instead of stalling it.
     """
+    widest = max(s.inside for s in open_)
+    accuracy = min(max_accuracy, max(100, 8 * widest // direct_rows))
+    # Searches in the same interval of a column share one sketch.
+    shared: dict[tuple, list[_Search]] = {}
+    for s in open_:
+        shared.setdefault((s.column, s.lo, s.hi), []).append(s)
     sketches = []
-    for i, s in enumerate(open_):
-        at = (s.rank - s.below) / max(1, s.inside - 1)
-        probs = [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)]
-        sketches.append(F.percentile_approx(F.when(s.between(), F.col(s.column)), probs, accuracy).alias(f"s{i}"))
-    ends = df.agg(*sketches).first()
+    for i, group in enumerate(shared.values()):
+        at = [(s.rank - s.below) / max(1, s.inside - 1) for s in group]
+        probs = [p for x in at for p in (max(0.0, x - 2 / accuracy), min(1.0, x + 2 / accuracy))]
+        inside = F.when(group[0].between(), F.col(group[0].column))
+        sketches.append(F.percentile_approx(inside, probs, accuracy).alias(f"s{i}"))
+    row = df.agg(*sketches).first()
+    ends = [(s, row[f"s{i}"][2 * j:2 * j + 2]) for i, g in enumerate(shared.values()) for j, s in enumerate(g)]
     counts = []
-    for i, s in enumerate(open_):
-        a, b = ends[f"s{i}"]
+    for i, (s, (a, b)) in enumerate(ends):
         x, inside = F.col(s.column), s.between()
         counts += [
             F.count_if(inside & (x < a)).alias(f"less{i}"),
@@ -61,8 +71,7 @@ def _narrow(df: DataFrame, open_: list[_Search], accuracy: int) -> None:
             F.count_if(inside & (x == b)).alias(f"at_b{i}"),
         ]
     got = df.agg(*counts).first()
-    for i, s in enumerate(open_):
-        a, b = ends[f"s{i}"]
+    for i, (s, (a, b)) in enumerate(ends):
         k = s.rank - s.below
         less, at_a, mid, at_b = (got[f"{n}{i}"] for n in ("less", "at_a", "mid", "at_b"))
         if k < less:
@@ -88,8 +97,9 @@ def _count_values(df: DataFrame, searches: list[_Search]) -> None:
         F.struct(F.lit(i).alias("g"), F.when(g[0].between(), F.col(g[0].column)).alias("v"))
         for i, g in enumerate(keyed)
     ]
+    used = reduce(or_, [g[0].between() for g in keyed])
     counts = (
-        df.select(F.inline(F.array(*entries))).where(F.col("v").isNotNull())
+        df.where(used).select(F.inline(F.array(*entries))).where(F.col("v").isNotNull())
         .groupBy("g", "v").agg(F.count("*").alias("n"))
     )
     upto = F.sum("n").over(W.partitionBy("g").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
@@ -98,10 +108,7 @@ def _count_values(df: DataFrame, searches: list[_Search]) -> None:
         (F.col("g") == i) & (F.col("upto") > s.rank - s.below) & (F.col("upto") - F.col("n") <= s.rank - s.below)
         for i, g in enumerate(keyed) for s in g
     ]
-    hit = wanted[0]
-    for cond in wanted[1:]:
-        hit = hit | cond
-    rows = running.where(hit).collect()  # at most one row per searched rank
+    rows = running.where(reduce(or_, wanted)).collect()  # at most one row per searched rank
     for r in rows:
         for s in keyed[r["g"]]:
             if r["upto"] - r["n"] <= s.rank - s.below < r["upto"]:
@@ -113,12 +120,12 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     direct_rows: int = DIRECT_ROWS,
-    accuracy: int = 10_000,
+    max_accuracy: int = 10_000,
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column with linear interpolation, NULL for empty columns.
 
-    Every pass is an aggregation over the table; intervals shrink about
-    ``accuracy / 4``-fold a pass until at most ``direct_rows`` rows are left in
+    Every pass is an aggregation over the table; intervals shrink up to
+    ``max_accuracy / 4``-fold a round until at most ``direct_rows`` rows are left in
     one, whose distinct values are then counted and summed up in order.
     """
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
@@ -134,7 +141,7 @@ def exact_quantiles(
         wide = [s for s in places.values() if s.found is None and s.inside > direct_rows]
         if not wide:
             break
-        _narrow(doubles, wide, accuracy)
+        _narrow(doubles, wide, direct_rows, max_accuracy)
     rest = [s for s in places.values() if s.found is None]
     if rest:
         _count_values(doubles, rest)

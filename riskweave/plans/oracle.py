@@ -291,7 +291,7 @@ SELECT o_orderkey, o_orderstatus, rn <= q AS is_test FROM ranked JOIN quota ON c
 
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _FILLED = "filled AS (SELECT subject, " + ", ".join(
-    [f"coalesce({c}, (SELECT round(avg({c}), 4) FROM base)) AS {c}" for c in O.RECORD_MEANS]
+    [f"coalesce({c}, (SELECT round(avg({c}), 7) FROM base)) AS {c}" for c in O.RECORD_MEANS]
     + [f"coalesce({c}, (SELECT fill FROM modes WHERE feature = '{c}')) AS {c}" for c in O.RECORD_MODES]
 ) + ", target FROM base)"
 
@@ -312,11 +312,11 @@ ORACLE: dict[str, str] = {
     "null_total_after_impute": f"""WITH {RECORDS}, base AS (SELECT * FROM records), modes AS ({_modes('base', O.RECORD_MODES)}),
         {_FILLED} SELECT CAST({' + '.join(f'count(*) - count({c})' for c in O.RECORD_COLUMNS)} AS BIGINT) AS null_cells FROM filled""",
     "impute_mean": f"WITH {RECORDS} " + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, round(avg({c}), 4) AS fill FROM records" for c in O.RECORD_MEANS),
+        f"SELECT '{c}' AS feature, round(avg({c}), 7) AS fill FROM records" for c in O.RECORD_MEANS),
     "impute_mode": f"WITH {RECORDS} {_modes('records', O.RECORD_MODES)}",
     "impute_rows": f"""WITH {RECORDS}, base AS (SELECT DISTINCT * FROM records), modes AS ({_modes('base', O.RECORD_MODES)}),
         {_FILLED} {_records_out('filled')}""",
-    "describe_numeric": _describe("lineitem", _MEASURES, 4),
+    "describe_numeric": _describe("lineitem", _MEASURES, 7),
     "one_hot_drop_first": "SELECT o_orderkey, " + ", ".join(
         f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS \"{c}_{v}\"" for c, values in (
             ("o_orderpriority", ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]), ("o_orderstatus", ["O", "P"]))

@@ -36,7 +36,7 @@ def query(fn: Query) -> Query:
 
 def r(col: Column | str, digits: int = 6) -> Column:
     """Rounded column; adding 0.0 turns a rounded -0.0 into 0.0."""
-    return F.round(F.col(col) if isinstance(col, str) else col, digits) + F.lit(0.0)
+    return C.round_half_even(col, digits) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -114,7 +114,7 @@ def null_total_after_impute(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def impute_mean(spark: SparkSession, sf: str) -> DataFrame:
     means = clean.column_means(O.records(spark, sf), O.RECORD_MEANS)
-    return rounded(spark.createDataFrame(list(means.items()), "feature string, fill double"), 4)
+    return rounded(spark.createDataFrame(list(means.items()), "feature string, fill double"), 7)
 
 
 @query
@@ -128,12 +128,12 @@ def impute_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated records with every gap filled."""
     rows = materialize(integrate.dedup(O.records(spark, sf)), "records")
     fill = clean.fit_impute(rows, O.RECORD_MEANS, O.RECORD_MODES)
-    return clean.apply_impute(rows, {c: round(v, 4) if isinstance(v, float) else v for c, v in fill.items()})
+    return clean.apply_impute(rows, {c: round(v, 7) if isinstance(v, float) else v for c, v in fill.items()})
 
 
 @query
 def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(clean.describe_exact(O.load(spark, sf, "lineitem"), MEASURES), 4)
+    return rounded(clean.describe_exact(O.load(spark, sf, "lineitem"), MEASURES), 7)
 
 
 # --- features -------------------------------------------------------------------------

@@ -74,7 +74,7 @@ def test_exact_quantiles_match_numpy(spark, kind, direct_rows):
     x = _column(kind, np.random.default_rng(5), 4001)
     df = spark.createDataFrame([(float(v),) for v in x] + [(None,)] * 7, "x double").repartition(5)
     probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
-    got = exact_quantiles(df, ["x"], probs, direct_rows=direct_rows, accuracy=100)["x"]
+    got = exact_quantiles(df, ["x"], probs, direct_rows=direct_rows, max_accuracy=100)["x"]
     assert got == pytest.approx(list(np.quantile(x, probs)), abs=1e-12)
 
 
