@@ -12,21 +12,32 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
 
-def binary_metrics(df: DataFrame, label: str, pred: str, name: str | None = None) -> DataFrame:
-    """accuracy, precision, recall and f1 of class 1; a zero denominator gives 0."""
-    y, p = F.col(label) == 1, F.col(pred) == 1
-    counts = df.agg(
-        F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"),
-        F.count_if(F.col(label) == F.col(pred)).alias("hit"), F.count("*").alias("n"),
-    )
-    out = counts.select(
-        *([F.lit(name).alias("model")] if name else []),
-        _ratio(F.col("hit"), F.col("n")).alias("accuracy"),
-        _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-        _ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
-        _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"),
+def compare_predictions(df: DataFrame, label: str, preds: Sequence[str]) -> DataFrame:
+    """Rows (model, accuracy, precision, recall, f1) of class 1, one per prediction column.
+
+    All columns are counted in one pass; a zero denominator gives 0.
+    """
+    y = F.col(label) == 1
+    counts = []
+    for i, p in enumerate(preds):
+        yes = F.col(p) == 1
+        counts.append(F.struct(
+            F.lit(p).alias("model"), F.count_if(y & yes).alias("tp"), F.count_if(yes).alias("predicted"),
+            F.count_if(y).alias("actual"), F.count_if(F.col(label) == F.col(p)).alias("hit"), F.count("*").alias("n"),
+        ).alias(f"m{i}"))
+    rows = df.agg(*counts).select(F.inline(F.array(*[f"m{i}" for i in range(len(preds))])))
+    return rows.select(
+        "model", _ratio(F.col("hit"), F.col("n")).alias("accuracy"),
+        _ratio(F.col("tp"), F.col("predicted")).alias("precision"),
+        _ratio(F.col("tp"), F.col("actual")).alias("recall"),
+        _ratio(2 * F.col("tp"), F.col("predicted") + F.col("actual")).alias("f1"),
     )
-    return out
+
+
+def binary_metrics(df: DataFrame, label: str, pred: str, name: str | None = None) -> DataFrame:
+    """accuracy, precision, recall and f1 of one prediction column, with ``name`` as model."""
+    out = compare_predictions(df, label, [pred])
+    return out.withColumn("model", F.lit(name)) if name else out.drop("model")
 
 
 def class_report(df: DataFrame, label: str, pred: str, names: Mapping | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from riskweave import schemas as S
 from riskweave.functions.columns import band_right_closed, convert, percent, ratio_per_square, recode
 from riskweave.operators import clean, cluster, features, integrate, metrics, models, outliers, pca, rules, warehouse
 from riskweave.operators.scoring import Artefacts
-from riskweave.operators.split import split
+from riskweave.operators.split import mark_test, split
 from riskweave.session import materialize
 from riskweave.sources.files import load_scaler, read_delimited, read_table, save_scaler, source_counts, write_table
 
@@ -22,18 +22,14 @@ DIMS = {
     "dim_clinical": ("clinical_id", S.DIM_CLINICAL),
     "dim_lifestyle": ("lifestyle_id", S.DIM_LIFESTYLE),
 }
+SPLIT_SEED = 42
 KEYS = {FACT: "fact_id", **{t: k for t, (k, _) in DIMS.items()}}
 
-OLAP = {
-    "risk_by_gender": """
-        SELECT p.gender, AVG(f.risk_score) AS avg_risk_score, COUNT(*) AS patient_count, SUM(f.target) AS disease_count
-        FROM heart_disease_fact f JOIN dim_patient p ON f.patient_id = p.patient_id GROUP BY p.gender""",
-    "disease_by_smoking": """
-        SELECT l.smoke, AVG(f.target) AS disease_rate, COUNT(*) AS patient_count
-        FROM heart_disease_fact f JOIN dim_lifestyle l ON f.lifestyle_id = l.lifestyle_id GROUP BY l.smoke""",
-    "disease_by_medication": """
-        SELECT c.BPMeds, AVG(f.target) AS disease_rate, COUNT(*) AS patient_count
-        FROM heart_disease_fact f JOIN dim_clinical c ON f.clinical_id = c.clinical_id GROUP BY c.BPMeds""",
+# Roll-up queries: dimension, grouping column and result columns.
+ROLLUPS = {
+    "risk_by_gender": ("dim_patient", "gender", ["avg_risk_score", "patient_count", "disease_count"]),
+    "disease_by_smoking": ("dim_lifestyle", "smoke", ["disease_rate", "patient_count"]),
+    "disease_by_medication": ("dim_clinical", "BPMeds", ["disease_rate", "patient_count"]),
 }
 
 
@@ -84,6 +80,7 @@ class Prepared:
     """Cleaned, encoded and scaled patients with what was fitted on the way."""
 
     patients: DataFrame  # with row_key, the identity of the deduplicated raw row
+    unscaled: DataFrame  # the same rows before standardisation
     columns: list[str]  # feature columns in order, without the target
     categories: dict[str, list]
     scaler: dict[str, tuple[float, float]]
@@ -92,46 +89,77 @@ class Prepared:
     removed_outliers: DataFrame
 
 
-def prepare(combined: DataFrame, contamination: float = 0.05, trees: int = 100) -> Prepared:
-    """Deduplicate, impute, drop outliers, encode and standardise."""
+def prepare(
+    combined: DataFrame, contamination: float = 0.05, trees: int = 100, fit_on: str = "all"
+) -> Prepared:
+    """Deduplicate, impute, drop outliers, encode and standardise.
+
+    By default fill values, outlier model and scale come from all rows, before any
+    split. ``fit_on="train"`` takes them from the training rows of the stratified
+    split that :func:`classify` would make of the deduplicated rows.
+    """
     combined = materialize(combined, "combined")
     names = list(S.CANONICAL_COLUMNS)
     distinct = integrate.dedup(combined)
     keyed = materialize(distinct.withColumn("row_key", integrate.row_key(distinct, names)), "distinct")
+    if fit_on == "train":
+        keyed = materialize(mark_test(keyed, ["row_key"], stratify="target", seed=SPLIT_SEED), "marked")
+        source = lambda df: df.where(~F.col("is_test"))
+    else:
+        source = lambda df: df
     mode_cols = [*S.BINARY, *S.NOMINAL]
-    fill = clean.fit_impute(keyed, S.CONTINUOUS, mode_cols)
-    filled = features.cast_int(clean.apply_impute(keyed, fill), mode_cols)
-    marked = outliers.mark_outliers(filled, S.CONTINUOUS, "row_key", contamination, trees)
+    fill = clean.fit_impute(source(keyed), S.CONTINUOUS, mode_cols)
+    filled = materialize(features.cast_int(clean.apply_impute(keyed, fill), mode_cols), "filled", spread=True)
+    forest = outliers.fit_iforest(source(filled), S.CONTINUOUS, "row_key", trees)
+    scored = materialize(outliers.score_iforest(filled, forest), "anomaly")
+    limit = outliers.outlier_threshold(source(scored), contamination=contamination)
+    marked = scored.withColumn("is_inlier", F.col("anomaly") <= F.lit(limit))
     inliers = outliers.drop_outliers(marked)
     categories = features.fit_one_hot(inliers, S.NOMINAL)
     encoded = features.apply_one_hot(inliers, categories)
-    scaler = features.fit_zscore(encoded, S.CONTINUOUS)
+    scaler = features.fit_zscore(source(encoded), S.CONTINUOUS)
     scaled = materialize(features.apply_zscore(encoded, scaler), "patients")
-    columns = [c for c in scaled.columns if c not in ("row_key", "target")]
+    columns = [c for c in scaled.columns if c not in ("row_key", "target", "is_test")]
     return Prepared(
-        scaled, columns, categories, scaler, fill,
+        scaled, encoded, columns, categories, scaler, fill,
         integrate.dedup_stats(combined, keyed), integrate.dedup_stats(marked, marked.where("is_inlier")),
     )
 
 
-def build_warehouse(prepared: Prepared) -> dict[str, DataFrame]:
-    """Fact and dimension tables over the prepared patients, registered as views."""
+def build_warehouse(prepared: Prepared, scaled: bool = True) -> dict[str, DataFrame]:
+    """Fact and dimension tables over the prepared patients, registered as views.
+
+    ``scaled=False`` stores measures in their units instead of standardised ones.
+    """
     tables = warehouse.build_star(
-        prepared.patients, ["row_key"], DIMS, FACT, ["target"], S.RISK_FLAGS,
+        prepared.patients if scaled else prepared.unscaled, ["row_key"], DIMS, FACT, ["target"], S.RISK_FLAGS,
         defaults=["gender", "hypertension", "diabetes", "stroke", "BPMeds", "smoke", "alcohol", "active"],
     )
     warehouse.register_views(tables)
     return tables
 
 
-def olap(spark: SparkSession) -> dict[str, DataFrame]:
-    """The three roll-up queries over the registered warehouse views."""
-    return {name: spark.sql(text) for name, text in OLAP.items()}
+def olap(tables: Mapping[str, DataFrame], digits: int | None = None) -> dict[str, DataFrame]:
+    """The three roll-ups over the warehouse; ``digits`` rounds their averages as SQL does.
+
+    Other questions go to ``spark.sql``, which sees the tables as views.
+    """
+    measures = {
+        "avg_risk_score": F.avg("risk_score"), "patient_count": F.count("*"),
+        "disease_count": F.sum("target"), "disease_rate": F.avg("target"),
+    }
+    return {
+        name: warehouse.rollup_query(tables[FACT], tables[dim], KEYS[dim], by, {m: measures[m] for m in wanted}, digits)
+        for name, (dim, by, wanted) in ROLLUPS.items()
+    }
 
 
 def classify(prepared: Prepared, forest_depth: int = 30, trees: int = 100) -> dict[str, object]:
     """Three classifiers on one stratified split, with their metrics and test scores."""
-    train, test = split(prepared.patients, ["row_key"], stratify="target", seed=42)
+    if "is_test" in prepared.patients.columns:
+        train, test = prepared.patients.where("not is_test"), prepared.patients.where("is_test")
+    else:
+        train, test = split(prepared.patients, ["row_key"], stratify="target", seed=SPLIT_SEED)
     train_v = materialize(models.assemble(train, prepared.columns, "target"), "train", spread=True)
     test_v = materialize(models.assemble(test, prepared.columns, "target"), "test")
     estimators = {
@@ -166,7 +194,7 @@ def risk_table(scored: DataFrame) -> DataFrame:
 def regress(prepared: Prepared, x: str = "sysBP", y: str = "cholesterol") -> dict[str, DataFrame]:
     """Simple and multiple regression of cholesterol on one 80/20 split."""
     rows = prepared.patients.dropna(subset=[y])
-    train, test = split(rows, ["row_key"], seed=42)
+    train, test = split(rows, ["row_key"], seed=SPLIT_SEED)
     simple = models.predict_simple(test, models.simple_regression(train, x, y), x)
     columns = [c for c in prepared.columns if c != y]
     fitted, multiple = models.multiple_regression(
@@ -239,7 +267,7 @@ def run(spark: SparkSession, uci: str, framingham: str, cardio: str, out: str, f
         "table_counts": source_counts(tables),
         "null_cells": clean.total_nulls(prepared.patients),
         "describe": clean.describe_exact(prepared.patients, S.CONTINUOUS),
-        "olap": olap(spark),
+        "olap": olap(tables),
         "classification": classified,
         "regression": regression,
         "clusters": segment(prepared, restarts),
@@ -260,11 +288,11 @@ def fit_artefacts(
     """
     table = read_table(spark, features_path)
     scaler = load_scaler(spark, scaler_path)
-    columns = [c for c in table.columns if c not in ("row_key", "target")]
+    columns = [c for c in table.columns if c not in ("row_key", "target", "is_test")]
     if categories is None:
         kept = {o: sorted(int(c[len(o) + 1:]) for c in columns if c.startswith(f"{o}_")) for o in S.NOMINAL}
         categories = {o: [None, *v] for o, v in kept.items()}
-    train, test = split(table, ["row_key"], stratify="target", seed=42)
+    train, test = split(table, ["row_key"], stratify="target", seed=SPLIT_SEED)
     train_v, test_v = (models.assemble(p, columns, "target") for p in (train, test))
     model, quality = models.evaluate("Random Forest", models.random_forest(trees, max_depth), train_v, test_v)
     art = Artefacts(

@@ -38,7 +38,7 @@ dim_value AS (SELECT k AS value_id, totalprice, qty, price FROM keyed)"""
 RECORDS = """
 records AS (
   SELECT l_suppkey AS subject, l_extendedprice AS amount, l_extendedprice / 1000 AS amount_k,
-         l_extendedprice / ((l_quantity / 100) * (l_quantity / 100)) AS density, l_quantity AS quantity,
+         l_extendedprice / 1000 / ((l_quantity / 10) * (l_quantity / 10)) AS density, l_quantity AS quantity,
          l_discount AS discount, CASE l_linestatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS status,
          CAST(NULL AS INT) AS priority, CAST(NULL AS INT) AS channel,
          CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 0 WHEN 'R' THEN 1 END AS target
@@ -356,6 +356,9 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'pc2', round(e2 / (e1 + e2), 6) FROM eig""",
     "kmeans_assign": KMEANS_ASSIGN,
     "cluster_labels": CLUSTER_LABELS,
+    "high_risk_rows": f"""WITH {LINES}, rates AS (SELECT status, avg(target) AS rate FROM features GROUP BY status)
+        SELECT order_id, status, 'High Risk' AS risk_label FROM features
+        WHERE status = (SELECT status FROM rates ORDER BY rate DESC, status DESC LIMIT 1)""",
     "itemsets_events": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_itemset_out(_EVENT_TYPES)}",
     "itemsets_growth": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_itemset_out(_EVENT_TYPES)}",
     "rules_events": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_rules(_EVENT_TYPES, 0.45)}",

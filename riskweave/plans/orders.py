@@ -108,7 +108,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, orders and events in one layout; what a source lacks is NULL."""
     line_map = {
         "subject": "l_suppkey", "amount": "l_extendedprice", "amount_k": convert("l_extendedprice", 1000),
-        "density": ratio_per_square("l_extendedprice", "l_quantity"), "quantity": "l_quantity",
+        "density": ratio_per_square(convert("l_extendedprice", 1000), "l_quantity", 10), "quantity": "l_quantity",
         "discount": "l_discount", "status": recode("l_linestatus", STATUS_CODES),
         "target": recode("l_returnflag", {"A": 0, "N": 0, "R": 1}),
     }

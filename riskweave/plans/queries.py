@@ -243,8 +243,7 @@ def _rule_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rule_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _rule_predictions(spark, sf)
-    return models.compare([metrics.binary_metrics(rows, "quality", m, m) for m in ("long", "very_long", "english")])
+    return metrics.compare_predictions(_rule_predictions(spark, sf), "quality", ["long", "very_long", "english"])
 
 
 @query
@@ -409,6 +408,14 @@ def cluster_labels(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cluster.label_profile(labelled, "target", S.RISK_LABELS), 4)
 
 
+@query
+def high_risk_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of the cluster labelled as the highest risk."""
+    rows = materialize(O.order_features(spark, sf).select("order_id", "status", "target"), "labels")
+    labelled = cluster.label_clusters(rows, "status", "target", S.RISK_LABELS)
+    return labelled.where(F.col("risk_label") == S.RISK_LABELS[-1]).select("order_id", "status", "risk_label")
+
+
 @query
 def kmeans_risk(spark: SparkSession, sf: str) -> DataFrame:
     """Three clusters of standardised orders, labelled by their rate of returns."""

@@ -119,3 +119,19 @@ def test_mapping_of_each_source(spark, paths):
     assert 40 <= cardio[0] and cardio[1] <= 65 and tuple(cardio)[2:] == (1, 180.0, 140.0, 0)
     assert {r[0] for r in one["uci"].select("glucose").distinct().collect()} == {90.0, 130.0}
     assert one["framingham"].where("alcohol is not null or thal is not null").count() == 0
+
+
+def test_fit_on_train_and_unscaled_warehouse(spark, paths):
+    combined = heart.integrate_sources(heart.read_sources(spark, *paths[:3]))
+    prepared = heart.prepare(combined, trees=10, fit_on="train")
+    train = prepared.patients.where("not is_test")
+    row = train.agg(F.avg("age"), F.stddev_pop("age")).first()
+    assert tuple(row) == pytest.approx((0.0, 1.0), abs=1e-9)
+    assert abs(prepared.patients.agg(F.avg("age")).first()[0]) > 1e-9
+    assert "is_test" not in prepared.columns
+    tables = heart.build_warehouse(prepared, scaled=False)
+    assert tables["dim_patient"].agg(F.min("age")).first()[0] >= 30
+    rounded = heart.olap(tables, 4)["disease_by_smoking"].collect()
+    assert all(r["disease_rate"] == round(r["disease_rate"], 4) for r in rounded)
+    sql = spark.sql("SELECT smoke, COUNT(*) AS n FROM heart_disease_fact JOIN dim_lifestyle USING (lifestyle_id) GROUP BY smoke")
+    assert {tuple(r) for r in sql.collect()} == {(r["smoke"], r["patient_count"]) for r in rounded}
