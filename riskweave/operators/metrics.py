@@ -60,19 +60,27 @@ def class_report(df: DataFrame, label: str, pred: str, names: Mapping | None = N
         _ratio(F.col("hit"), F.col("support")).alias("recall"),
         _ratio(2 * F.col("hit"), F.col("predicted") + F.col("support")).alias("f1"), "support", "hit",
     )
-    measures = ["precision", "recall", "f1"]
-    weight = F.col("support").cast("double")
-    total = F.sum("support").alias("support")
-    accuracy = per.agg(_ratio(F.sum("hit"), F.sum("support")).alias("v"), total).select(
-        F.lit("accuracy").alias("class"), *[F.col("v").alias(m) for m in measures], "support")
-    macro = per.agg(*[F.avg(m).alias(m) for m in measures], total).select(
-        F.lit("macro avg").alias("class"), *measures, "support")
-    weighted = per.agg(*[_ratio(F.sum(F.col(m) * weight), F.sum(weight)).alias(m) for m in measures], total).select(
-        F.lit("weighted avg").alias("class"), *measures, "support")
     if names:
         shown = F.coalesce(*[F.when(F.col("class") == str(k), F.lit(v)) for k, v in names.items()], F.col("class"))
         per = per.withColumn("class", shown)
-    return per.drop("hit").unionByName(accuracy).unionByName(macro).unionByName(weighted)
+    measures = ["precision", "recall", "f1"]
+    weight = F.col("support").cast("double")
+    # One row per class is gathered here, so the summary rows need no second pass.
+    whole = per.agg(
+        F.array_sort(F.collect_list(F.struct("class", *measures, "support"))).alias("classes"),
+        F.sum("support").alias("support"), _ratio(F.sum("hit"), F.sum("support")).alias("accuracy"),
+        *[F.avg(m).alias(f"macro_{m}") for m in measures],
+        *[_ratio(F.sum(F.col(m) * weight), F.sum(weight)).alias(f"weighted_{m}") for m in measures],
+    )
+
+    def line(title: str, cols: Sequence[str]) -> Column:
+        return F.struct(F.lit(title).alias("class"), *[F.col(c).alias(m) for c, m in zip(cols, measures)], F.col("support"))
+
+    tail = F.array(
+        line("accuracy", ["accuracy"] * 3), line("macro avg", [f"macro_{m}" for m in measures]),
+        line("weighted avg", [f"weighted_{m}" for m in measures]),
+    )
+    return whole.select(F.inline(F.concat("classes", tail)))
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str, name: str | None = None) -> DataFrame:
