@@ -208,8 +208,8 @@ def assign(df: DataFrame, x: Column | Sequence[str], centers: np.ndarray) -> Dat
 
 
 def cluster_rates(df: DataFrame, cluster: str, outcome: str) -> DataFrame:
-    """Rows (cluster, row_count, outcome_rate), one per cluster."""
-    return df.groupBy(cluster).agg(F.count("*").alias("row_count"), F.avg(outcome).alias("outcome_rate"))
+    """Rows (cluster, row_count, outcome_rate), one per cluster; rows without one are left out."""
+    return df.where(F.col(cluster).isNotNull()).groupBy(cluster).agg(F.count("*").alias("row_count"), F.avg(outcome).alias("outcome_rate"))
 
 
 def rank_labels(profile: DataFrame, cluster: str, labels: Sequence[str]) -> DataFrame:

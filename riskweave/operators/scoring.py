@@ -105,17 +105,19 @@ def contributions(
 ) -> DataFrame:
     """Add ``top_up`` and ``top_down``: the largest and smallest weight x value, with feature names.
 
-    Ties keep the column order. Sorting stays inside the row.
+    Missing values contribute nothing and are not listed. Ties keep the column
+    order. Sorting stays inside the row.
     """
-    values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * F.lit(float(w)) for c, w in zip(features, weights, strict=True)]
+    values = [F.col(c).cast("double") * F.lit(float(w)) for c, w in zip(features, weights, strict=True)]
 
     def ranked(sign: float, n: int) -> Column:
         cells = F.array(*[
             F.struct((v * F.lit(sign)).alias("by"), F.lit(i).alias("i"), F.lit(c).alias("feature"), v.alias("contribution"))
             for i, (c, v) in enumerate(zip(features, values))
         ])
+        known = F.filter(cells, lambda s: s["contribution"].isNotNull())
         return F.transform(
-            F.slice(F.array_sort(cells), 1, n),
+            F.slice(F.array_sort(known), 1, n),
             lambda s: F.struct(s["feature"].alias("feature"), s["contribution"].alias("contribution")),
         )
 

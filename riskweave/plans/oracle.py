@@ -87,7 +87,7 @@ def _zscore(cols: list[str], table: str, keep: str) -> str:
 def _anova(table: str, cols: list[str], label: str) -> str:
     return " UNION ALL ".join(f"""
       SELECT '{c}' AS feature, round((sum(n * (m - g) * (m - g)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*))), 6) AS f_score
-      FROM (SELECT count(*) AS n, avg({c}) AS m, var_pop({c}) AS v, (SELECT avg({c}) FROM {table}) AS g
+      FROM (SELECT count({c}) AS n, avg({c}) AS m, var_pop({c}) AS v, (SELECT avg({c}) FROM {table}) AS g
             FROM {table} GROUP BY {label})""" for c in cols)
 
 
@@ -142,7 +142,7 @@ report AS (
 SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
        CAST(support AS BIGINT) AS support FROM report"""
 
-ORDER_LINES = LINES + ", rows_ AS (SELECT order_id, qty, price, n_lines FROM features WHERE price IS NOT NULL)"
+ORDER_LINES = LINES + ", rows_ AS (SELECT order_id, qty, price, n_lines FROM features WHERE price IS NOT NULL AND qty IS NOT NULL)"
 REGRESS_SIMPLE = f"""
 WITH {ORDER_LINES}, {_split('rows_', 'order_id')},
 fit AS (SELECT regr_slope(price, qty) AS slope, regr_intercept(price, qty) AS intercept FROM marked WHERE NOT is_test),
@@ -183,7 +183,7 @@ SELECT vec_id, CAST(arg_min(cluster, d) AS INT) AS cluster, round(min(d), 6) AS
 
 CLUSTER_LABELS = f"""
 WITH {LINES},
-rates AS (SELECT status, count(*) AS n, avg(target) AS rate FROM features GROUP BY status),
+rates AS (SELECT status, count(*) AS n, avg(target) AS rate FROM features WHERE status IS NOT NULL GROUP BY status),
 ranked AS (SELECT *, row_number() OVER (ORDER BY rate, status) - 1 AS ord FROM rates)
 SELECT CAST(ord AS INT) AS ord, CASE ord WHEN 0 THEN 'Low Risk' WHEN 1 THEN 'Medium Risk' ELSE 'High Risk' END AS risk_label,
        n AS row_count, round_even(rate, 3) AS outcome_rate, round(rate * 100, 4) AS outcome_percent FROM ranked"""
@@ -241,7 +241,7 @@ BAND_RIGHT = "CASE " + " ".join(
 
 
 def _band_left(p: str, labels: list[str]) -> str:
-    return f"CASE WHEN {p} < CAST(0.33 AS DOUBLE) THEN '{labels[0]}' WHEN {p} < CAST(0.66 AS DOUBLE) THEN '{labels[1]}' ELSE '{labels[2]}' END"
+    return f"CASE WHEN {p} IS NULL THEN NULL WHEN {p} < CAST(0.33 AS DOUBLE) THEN '{labels[0]}' WHEN {p} < CAST(0.66 AS DOUBLE) THEN '{labels[1]}' ELSE '{labels[2]}' END"
 
 
 SCORE = f"""
@@ -268,7 +268,7 @@ cells AS (""" + " UNION ALL ".join(
     f"SELECT o_orderkey, {i} AS i, '{f}' AS feature, c{i} AS v FROM parts" for i, f in enumerate(_SCORE_FEATURES)) + """),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY v DESC, i) AS up,
-         row_number() OVER (PARTITION BY o_orderkey ORDER BY v, i) AS down FROM cells)
+         row_number() OVER (PARTITION BY o_orderkey ORDER BY v, i) AS down FROM cells WHERE v IS NOT NULL)
 SELECT o_orderkey, string_agg(feature, ',' ORDER BY up) FILTER (WHERE up <= 5) AS top_up,
        string_agg(feature, ',' ORDER BY down) FILTER (WHERE down <= 3) AS top_down,
        round(max(v), 6) AS largest, round(min(v), 6) AS smallest FROM ranked GROUP BY o_orderkey"""
@@ -282,12 +282,12 @@ SPLIT_STRATIFIED = """
 WITH counts AS (SELECT o_orderstatus AS c, count(*) AS n FROM orders GROUP BY o_orderstatus),
 total AS (SELECT sum(n) AS t, sum(n) - ceil(CAST(0.2 AS DOUBLE) * sum(n)) AS train FROM counts),
 exact AS (SELECT c, n, train, CAST(train AS DOUBLE) * n / t AS e FROM counts, total),
-placed AS (SELECT *, row_number() OVER (ORDER BY e - floor(e) DESC, c) AS pos, train - sum(floor(e)) OVER () AS spare FROM exact),
+placed AS (SELECT *, row_number() OVER (ORDER BY e - floor(e) DESC, c NULLS FIRST) AS pos, train - sum(floor(e)) OVER () AS spare FROM exact),
 quota AS (SELECT c, n - floor(e) - CASE WHEN pos <= spare THEN 1 ELSE 0 END AS q FROM placed),
 ranked AS (
   SELECT o_orderkey, o_orderstatus,
          row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) AS rn FROM orders)
-SELECT o_orderkey, o_orderstatus, rn <= q AS is_test FROM ranked JOIN quota ON c = o_orderstatus"""
+SELECT o_orderkey, o_orderstatus, rn <= q AS is_test FROM ranked JOIN quota ON c IS NOT DISTINCT FROM o_orderstatus"""
 
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _FILLED = "filled AS (SELECT subject, " + ", ".join(
@@ -356,7 +356,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'pc2', round(e2 / (e1 + e2), 6) FROM eig""",
     "kmeans_assign": KMEANS_ASSIGN,
     "cluster_labels": CLUSTER_LABELS,
-    "high_risk_rows": f"""WITH {LINES}, rates AS (SELECT status, avg(target) AS rate FROM features GROUP BY status)
+    "high_risk_rows": f"""WITH {LINES}, rates AS (SELECT status, avg(target) AS rate FROM features WHERE status IS NOT NULL GROUP BY status)
         SELECT order_id, status, 'High Risk' AS risk_label FROM features
         WHERE status = (SELECT status FROM rates ORDER BY rate DESC, status DESC LIMIT 1)""",
     "itemsets_events": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_itemset_out(_EVENT_TYPES)}",
@@ -374,15 +374,15 @@ ORACLE: dict[str, str] = {
     "band_summary": f"""WITH scored AS (SELECT {SCORE_EVENT} AS s, CAST(event_type = 'error' AS INT) AS outcome FROM events),
         banded AS (SELECT {BAND_RIGHT} AS risk_band, outcome FROM scored), bands AS ("""
         + " UNION ALL ".join(f"SELECT {i} AS ord, '{b}' AS risk_band" for i, b in enumerate(S.SCORE_BANDS))
-        + """) SELECT ord, bands.risk_band, count(outcome) AS row_count, round(avg(outcome), 6) AS outcome_rate
+        + """) SELECT ord, bands.risk_band, count(banded.risk_band) AS row_count, round(avg(outcome), 6) AS outcome_rate
         FROM bands LEFT JOIN banded ON banded.risk_band = bands.risk_band GROUP BY ord, bands.risk_band""",
     "rounding_modes": "SELECT l_orderkey, l_linenumber, round_even(l_quantity / 2, 0) AS half_even, "
         "round(l_quantity / 2, 0) AS half_away FROM lineitem",
     "validate_inputs": """WITH checked AS (SELECT l_orderkey, l_linenumber, concat_ws('; ',
-          CASE WHEN NOT l_quantity BETWEEN 5 AND 45 THEN 'l_quantity: no number in 5-45' END,
-          CASE WHEN NOT l_linenumber BETWEEN 1 AND 6 THEN 'l_linenumber: no whole number in 1-6' END,
-          CASE WHEN NOT l_extendedprice BETWEEN 1000 AND 90000 THEN 'l_extendedprice: no number in 1000-90000' END,
-          CASE WHEN lower(trim(l_returnflag)) NOT IN ('y', 'yes', '1', 'n', 'no', '0') THEN 'l_returnflag: not yes or no' END
+          CASE WHEN (l_quantity BETWEEN 5 AND 45) IS NOT TRUE THEN 'l_quantity: no number in 5-45' END,
+          CASE WHEN (l_linenumber BETWEEN 1 AND 6) IS NOT TRUE THEN 'l_linenumber: no whole number in 1-6' END,
+          CASE WHEN (l_extendedprice BETWEEN 1000 AND 90000) IS NOT TRUE THEN 'l_extendedprice: no number in 1000-90000' END,
+          CASE WHEN (lower(trim(l_returnflag)) IN ('y', 'yes', '1', 'n', 'no', '0')) IS NOT TRUE THEN 'l_returnflag: not yes or no' END
         ) AS rejected FROM lineitem) SELECT *, rejected = '' AS accepted FROM checked""",
     "yes_no_tokens": """SELECT event_id, CASE event_type WHEN 'click' THEN 1 WHEN 'signup' THEN 1 WHEN 'view' THEN 0
         WHEN 'purchase' THEN 0 END AS flag, event_id % 3 + 1 AS menu_code FROM events""",

@@ -308,7 +308,7 @@ def rf_importance_top10(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    rows = O.order_features(spark, sf).dropna(subset=["price"])
+    rows = O.order_features(spark, sf).dropna(subset=["price", "qty"])
     return materialize(rows.select("order_id", "qty", "price", "n_lines"), "lines")
 
 
@@ -616,8 +616,8 @@ def top_contrib(spark: SparkSession, sf: str) -> DataFrame:
     scored = scoring.score(O.load(spark, sf, "orders"), _order_artefacts(spark, sf), ["o_orderkey"])
     names = lambda c: F.array_join(F.transform(c, lambda s: s["feature"]), ",").alias(c)
     return scored.select("o_orderkey", names("top_up"), names("top_down"),
-                         r(F.col("top_up")[0]["contribution"]).alias("largest"),
-                         r(F.col("top_down")[0]["contribution"]).alias("smallest"))
+                         r(F.get("top_up", 0)["contribution"]).alias("largest"),
+                         r(F.get("top_down", 0)["contribution"]).alias("smallest"))
 
 
 @query
