@@ -18,16 +18,27 @@ DIRECT_ROWS = 50_000
 
 @dataclass
 class _Search:
-    """Search for the value of 0-based ``rank``, known to lie in the open (lo, hi)."""
+    """Search for the value of 0-based ``rank``, known to lie in the open (lo, hi).
+
+    ``upto_lo`` rows are at most ``lo`` and ``under_hi`` rows are less than ``hi``.
+    """
 
     column: str
     rank: int
-    below: int
-    inside: int
+    upto_lo: int
+    under_hi: int
     lo: float | None = None
     hi: float | None = None
     found: float | None = None
 
+    @property
+    def inside(self) -> int:
+        return self.under_hi - self.upto_lo
+
+    @property
+    def interval(self) -> tuple:
+        return self.column, self.lo, self.hi
+
     def between(self) -> Column:
         x = F.col(self.column)
         cond = x.isNotNull()
@@ -37,61 +48,56 @@ class _Search:
             cond &= x < F.lit(self.hi)
         return cond
 
+    def learn(self, value: float, less: int, equal: int) -> None:
+        """Use that ``less`` rows are below ``value`` and ``equal`` rows share it."""
+        if less <= self.rank < less + equal:
+            self.found = value
+        elif self.rank < less:
+            if self.hi is None or value < self.hi:
+                self.hi, self.under_hi = value, less
+        elif self.lo is None or value > self.lo:
+            self.lo, self.upto_lo = value, less + equal
+
 
 def _narrow(df: DataFrame, open_: list[_Search], direct_rows: int, max_accuracy: int) -> None:
     """Shrink every interval with one sketch pass and one counting pass.
 
     The sketch is as fine as one more round needs, up to ``max_accuracy``. It
-    guarantees a rank error of ``inside / accuracy``, so the wanted
-    rank is inside a bracket two errors wide on each side. Rows equal to a
-    bracket end are counted apart, so a value shared by many rows ends the
-    search instead of stalling it.
+    guarantees a rank error of ``inside / accuracy``, so the wanted rank is in a
+    bracket two errors wide on each side. Rows equal to a bracket end are counted
+    apart, so a value shared by many rows ends the search instead of stalling it.
     """
     widest = max(s.inside for s in open_)
     accuracy = min(max_accuracy, max(100, 8 * widest // direct_rows))
     # Searches in the same interval of a column share one sketch.
     shared: dict[tuple, list[_Search]] = {}
     for s in open_:
-        shared.setdefault((s.column, s.lo, s.hi), []).append(s)
+        shared.setdefault(s.interval, []).append(s)
     sketches = []
     for i, group in enumerate(shared.values()):
-        at = [(s.rank - s.below) / max(1, s.inside - 1) for s in group]
-        probs = [p for x in at for p in (max(0.0, x - 2 / accuracy), min(1.0, x + 2 / accuracy))]
-        inside = F.when(group[0].between(), F.col(group[0].column))
-        sketches.append(F.percentile_approx(inside, probs, accuracy).alias(f"s{i}"))
-    row = df.agg(*sketches).first()
-    ends = [(s, row[f"s{i}"][2 * j:2 * j + 2]) for i, g in enumerate(shared.values()) for j, s in enumerate(g)]
-    counts = []
-    for i, (s, (a, b)) in enumerate(ends):
-        x, inside = F.col(s.column), s.between()
-        counts += [
-            F.count_if(inside & (x < a)).alias(f"less{i}"),
-            F.count_if(inside & (x == a)).alias(f"at_a{i}"),
-            F.count_if(inside & (x > a) & (x < b)).alias(f"mid{i}"),
-            F.count_if(inside & (x == b)).alias(f"at_b{i}"),
-        ]
-    got = df.agg(*counts).first()
-    for i, (s, (a, b)) in enumerate(ends):
-        k = s.rank - s.below
-        less, at_a, mid, at_b = (got[f"{n}{i}"] for n in ("less", "at_a", "mid", "at_b"))
-        if k < less:
-            s.hi, s.inside = a, less
-        elif k < less + at_a:
-            s.found = a
-        elif k < less + at_a + mid:
-            s.lo, s.hi, s.below, s.inside = a, b, s.below + less + at_a, mid
-        elif a != b and k < less + at_a + mid + at_b:
-            s.found = b
-        else:
-            gone = less + at_a + mid + (at_b if a != b else 0)
-            s.lo, s.below, s.inside = b, s.below + gone, s.inside - gone
+        at = [(s.rank - s.upto_lo) / max(1, s.inside - 1) for s in group]
+        probs = sorted({p for x in at for p in (max(0.0, x - 2 / accuracy), min(1.0, x + 2 / accuracy))})
+        values = F.when(group[0].between(), F.col(group[0].column))
+        sketches.append(F.percentile_approx(values, probs, accuracy).alias(f"s{i}"))
+    ends: dict[str, set] = {}
+    for (column, _, _), values in zip(shared, df.agg(*sketches).first()):
+        ends.setdefault(column, set()).update(values)
+    cuts = [(c, v) for c, values in ends.items() for v in sorted(values)]
+    counts = df.agg(*[
+        count for c, v in cuts
+        for count in (F.count_if(F.col(c) < F.lit(v)), F.count_if(F.col(c) == F.lit(v)))
+    ]).first()
+    for i, (c, v) in enumerate(cuts):
+        for s in open_:
+            if s.column == c:
+                s.learn(v, counts[2 * i], counts[2 * i + 1])
 
 
 def _count_values(df: DataFrame, searches: list[_Search]) -> None:
     """Find the ranks by running counts over the distinct values of each interval."""
     groups: dict[tuple, list[_Search]] = {}
     for s in searches:
-        groups.setdefault((s.column, s.lo, s.hi), []).append(s)
+        groups.setdefault(s.interval, []).append(s)
     keyed = list(groups.values())
     entries = [
         F.struct(F.lit(i).alias("g"), F.when(g[0].between(), F.col(g[0].column)).alias("v"))
@@ -105,13 +111,13 @@ def _count_values(df: DataFrame, searches: list[_Search]) -> None:
     upto = F.sum("n").over(W.partitionBy("g").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
     running = counts.withColumn("upto", upto)
     wanted = [
-        (F.col("g") == i) & (F.col("upto") > s.rank - s.below) & (F.col("upto") - F.col("n") <= s.rank - s.below)
+        (F.col("g") == i) & (F.col("upto") > s.rank - s.upto_lo) & (F.col("upto") - F.col("n") <= s.rank - s.upto_lo)
         for i, g in enumerate(keyed) for s in g
     ]
     rows = running.where(reduce(or_, wanted)).collect()  # at most one row per searched rank
     for r in rows:
         for s in keyed[r["g"]]:
-            if r["upto"] - r["n"] <= s.rank - s.below < r["upto"]:
+            if r["upto"] - r["n"] <= s.rank - s.upto_lo < r["upto"]:
                 s.found = r["v"]
 
 
