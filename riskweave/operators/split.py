@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MAX_CLASSES = 1000
+# Rows of one hash prefix that a single task ranks.
+RANK_ROWS = 1_000_000
 
 
 def _order_hash(keys: Sequence[str], seed: int | None) -> Column:
@@ -29,52 +33,65 @@ def quotas(counts: Sequence[int], share: float) -> list[int]:
     return [c - b for c, b in zip(counts, base)]
 
 
+def _in_any(places: dict) -> Column:
+    """Rows of the given (class, hash prefix) pairs."""
+    return reduce(or_, [F.col("__c").eqNullSafe(F.lit(c)) & F.col("__h").startswith(p) for c, (p, *_) in places.items()])
+
+
 def mark_test(
-    df: DataFrame, keys: Sequence[str], share: float = 0.2, stratify: str | None = None, seed: int | None = None
+    df: DataFrame, keys: Sequence[str], share: float = 0.2, stratify: str | None = None, seed: int | None = None,
+    rank_rows: int = RANK_ROWS,
 ) -> DataFrame:
     """Add ``is_test``: the rows with the smallest hashes of their class, up to its quota.
 
     ``keys`` must tell the rows apart. Ranking all rows of a class in one window
-    would put a whole class into one task; instead the first 16 bits of the hash
-    are counted per class, only the rows of the one bucket in which the quota
-    ends are sorted, and the last test row found there is compared with every
-    row. Hashes spread evenly, so that bucket has about 1/65536 of the class.
-    The table itself is never shuffled.
+    would put a whole class into one task. Instead rows are counted by hash prefix,
+    and the one prefix per class in which the quota ends is split further until it
+    holds at most ``rank_rows`` rows. Those are ranked, and every row is compared
+    with the last test row found there. The table itself is never shuffled.
     """
     label = F.col(stratify) if stratify else F.lit(0)
     tagged = df.withColumn("__h", _order_hash(keys, seed))
-    slim = tagged.select(
-        label.alias("__c"), "__h", F.conv(F.substring("__h", 1, 4), 16, 10).cast("int").alias("__b"), *keys
-    )
-    buckets = slim.groupBy("__c", "__b").agg(F.count("*").alias("__n"))
-    upto = F.sum("__n").over(W.partitionBy("__c").orderBy("__b"))
-    rows = (
-        slim.groupBy("__c").agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
-    )
-    if len(rows) > MAX_CLASSES:
+    slim = tagged.select(label.alias("__c"), "__h", *keys)
+
+    def counts(rows: DataFrame, digits: int) -> dict:
+        prefix = F.substring("__h", 1, digits).alias("p")
+        found: dict = {}
+        for r in rows.groupBy("__c", prefix).count().limit(256 * MAX_CLASSES + 1).collect():
+            found.setdefault(r["__c"], []).append((r["p"], r["count"]))
+        return found
+
+    digits = 2
+    level = counts(slim, digits)
+    if len(level) > MAX_CLASSES:
         raise ValueError(f"{stratify} has more than {MAX_CLASSES} classes; it is no class label")
-    rows.sort(key=lambda r: (r["__c"] is not None, r["__c"] if r["__c"] is not None else 0))
-    wanted = [(r["__c"], q) for r, q in zip(rows, quotas([r["n"] for r in rows], share)) if q > 0]
-    if not wanted:
+    classes = sorted(level, key=lambda c: (c is not None, c if c is not None else 0))
+    left = dict(zip(classes, quotas([sum(n for _, n in level[c]) for c in classes], share)))
+    left = {c: q for c, q in left.items() if q > 0}
+    ends: dict = {}  # class -> (prefix, rows to take from it, rows in it)
+    while True:
+        for c, q in left.items():
+            for prefix, n in sorted(level.get(c, [])):
+                if q <= n:
+                    ends[c] = (prefix, q, n)
+                    break
+                q -= n
+        left = {c: q for c, (_, q, n) in ends.items() if n > rank_rows}
+        if not left or digits >= 32:
+            break
+        digits += 2
+        level = counts(slim.where(_in_any({c: ends[c] for c in left})), digits)
+    if not ends:
         return tagged.withColumn("is_test", F.lit(False)).drop("__h")
 
-    quota = F.lit(None).cast("bigint")
-    for c, q in wanted:
-        quota = F.when(F.col("__c").eqNullSafe(F.lit(c)), F.lit(q)).otherwise(quota)
-    last = buckets.withColumn("__upto", upto).withColumn("__q", quota).where(
-        (F.col("__upto") >= F.col("__q")) & (F.col("__upto") - F.col("__n") < F.col("__q"))
-    )
-    ends = [(r["__c"], r["__b"], r["__q"] - (r["__upto"] - r["__n"])) for r in last.collect()]
-
-    in_last, place = F.lit(False), F.lit(None).cast("bigint")
-    for c, b, q in ends:
-        here = F.col("__c").eqNullSafe(F.lit(c)) & (F.col("__b") == b)
-        in_last, place = in_last | here, F.when(here, F.lit(q)).otherwise(place)
+    place = F.lit(None).cast("bigint")
+    for c, (_, q, _) in ends.items():
+        place = F.when(F.col("__c").eqNullSafe(F.lit(c)), F.lit(q)).otherwise(place)
     rank = F.row_number().over(W.partitionBy("__c").orderBy("__h", *keys))
-    cut_rows = slim.where(in_last).withColumn("__r", rank).where(F.col("__r") == place).collect()
+    last_rows = slim.where(_in_any(ends)).withColumn("__r", rank).where(F.col("__r") == place).collect()
 
     is_test = F.lit(False)
-    for r in cut_rows:
+    for r in last_rows:  # one per class
         cut = [F.lit(r[k]).cast(df.schema[k].dataType).alias(k) for k in keys]
         at = F.struct("__h", *keys) <= F.struct(F.lit(r["__h"]).alias("__h"), *cut)
         is_test = F.when(label.eqNullSafe(F.lit(r["__c"])), at).otherwise(is_test)

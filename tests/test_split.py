@@ -29,8 +29,9 @@ def test_stratified_split_matches_ranking(spark):
     df = spark.createDataFrame(rows, "k long, c string")
     want = brute(rows, 0.2)
     for parts in (1, 6):
-        marked = mark_test(df.repartition(parts), ["k"], 0.2, "c").collect()
-        assert {r["k"] for r in marked if r["is_test"]} == want
+        for rank_rows in (10**6, 2):  # ranked at once, or after splitting hash prefixes
+            marked = mark_test(df.repartition(parts), ["k"], 0.2, "c", rank_rows=rank_rows).collect()
+            assert {r["k"] for r in marked if r["is_test"]} == want
     train, test = split(df, ["k"], 0.2, "c", seed=42)
     assert test.count() == math.ceil(0.2 * 777) and train.count() + test.count() == 777
     assert train.intersect(test).count() == 0
