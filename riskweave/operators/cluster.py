@@ -178,6 +178,13 @@ def fit_many(
     return best
 
 
+def assignment_table(points: DataFrame, centers: np.ndarray) -> DataFrame:
+    """Rows (cluster, row_count, wcss) of one assignment pass over the points."""
+    counts, cost, _, _ = _pass(points, [centers], centers.shape[1])
+    rows = [(i, int(n), float(c)) for i, (n, c) in enumerate(zip(counts, cost))]
+    return points.sparkSession.createDataFrame(rows, "cluster int, row_count bigint, wcss double")
+
+
 def elbow(points: DataFrame, ks: Sequence[int] = range(2, 9), restarts: int = 10, seed: int = SEED) -> DataFrame:
     """Rows (k, wcss, ratio_to_first): within-cluster sum of squares of the best model per k."""
     fits = fit_many(points, list(ks), restarts, seed)

@@ -80,7 +80,7 @@ def _describe(table: str, cols: list[str], digits: int) -> str:
 
 def _zscore(cols: list[str], table: str, keep: str) -> str:
     z = ", ".join(
-        f"round(({c} - (SELECT avg({c}) FROM {table})) / (SELECT stddev_pop({c}) FROM {table}), 6) AS {c}" for c in cols)
+        f"round(({c} - (SELECT avg({c}) FROM {table})) / (SELECT stddev_pop({c}) FROM {table}), 6) + 0 AS {c}" for c in cols)
     return f"SELECT {keep}, {z} FROM {table}"
 
 
@@ -93,7 +93,7 @@ def _anova(table: str, cols: list[str], label: str) -> str:
 
 def _pairs(cols: list[str], fn: str, digits: int, scale: str = "") -> str:
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS row, '{b}' AS col, round({fn}({a}, {b}){scale}, {digits}) AS value FROM lineitem"
+        f"SELECT '{a}' AS row, '{b}' AS col, round({fn}({a}, {b}){scale}, {digits}) + 0 AS value FROM lineitem"
         for i, a in enumerate(cols) for b in cols[i:])
 
 
@@ -171,15 +171,15 @@ unit AS (
   SELECT *, sqrt(x1 * x1 + y1 * y1) * (CASE WHEN abs(x1) >= abs(y1) THEN sign(x1) ELSE sign(y1) END) AS n1,
          sqrt(x2 * x2 + y2 * y2) * (CASE WHEN abs(x2) >= abs(y2) THEN sign(x2) ELSE sign(y2) END) AS n2 FROM vec)"""
 
-KMEANS_ASSIGN = """
-WITH cells AS (
+NEAREST = """
+cells AS (
   SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
 means AS (SELECT label, i, avg(v) AS m FROM cells GROUP BY label, i),
 rank AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS cluster FROM (SELECT DISTINCT label FROM embeddings)),
 dist AS (
   SELECT c.vec_id, k.cluster, sum((c.v - m.m) * (c.v - m.m)) AS d
-  FROM cells c JOIN means m ON c.i = m.i JOIN rank k ON k.label = m.label GROUP BY c.vec_id, k.cluster)
-SELECT vec_id, CAST(arg_min(cluster, d) AS INT) AS cluster, round(min(d), 6) AS sq_dist FROM dist GROUP BY vec_id"""
+  FROM cells c JOIN means m ON c.i = m.i JOIN rank k ON k.label = m.label GROUP BY c.vec_id, k.cluster),
+nearest AS (SELECT vec_id, CAST(arg_min(cluster, d) AS INT) AS cluster, min(d) AS d FROM dist GROUP BY vec_id)"""
 
 CLUSTER_LABELS = f"""
 WITH {LINES},
@@ -271,7 +271,7 @@ ranked AS (
          row_number() OVER (PARTITION BY o_orderkey ORDER BY v, i) AS down FROM cells WHERE v IS NOT NULL)
 SELECT o_orderkey, string_agg(feature, ',' ORDER BY up) FILTER (WHERE up <= 5) AS top_up,
        string_agg(feature, ',' ORDER BY down) FILTER (WHERE down <= 3) AS top_down,
-       round(max(v), 6) AS largest, round(min(v), 6) AS smallest FROM ranked GROUP BY o_orderkey"""
+       round(max(v), 6) + 0 AS largest, round(min(v), 6) + 0 AS smallest FROM ranked GROUP BY o_orderkey"""
 ADVICE = f"""
 WITH {SCORE}
 SELECT o_orderkey, CASE WHEN p >= CAST(0.33 AS DOUBLE) THEN 6 ELSE 4 END AS n_lines,
@@ -350,11 +350,12 @@ ORACLE: dict[str, str] = {
     "regress_multi": REGRESS_MULTI,
     "regress_gram": _pairs(_MEASURES, "covar_pop", 2, " * count(*)"),
     "pca_cov": _pairs(_MEASURES, "covar_samp", 4),
-    "pca_2d": f"""WITH {PCA} SELECT order_id, round(((x - mx) * x1 + (y - my) * y1) / n1, 4) AS pc1,
-        round(((x - mx) * x2 + (y - my) * y2) / n2, 4) AS pc2 FROM xy, unit""",
+    "pca_2d": f"""WITH {PCA} SELECT order_id, round(((x - mx) * x1 + (y - my) * y1) / n1, 4) + 0 AS pc1,
+        round(((x - mx) * x2 + (y - my) * y2) / n2, 4) + 0 AS pc2 FROM xy, unit""",
     "pca_variance": f"""WITH {PCA} SELECT 'pc1' AS component, round(e1 / (e1 + e2), 6) AS explained_ratio FROM eig
         UNION ALL SELECT 'pc2', round(e2 / (e1 + e2), 6) FROM eig""",
-    "kmeans_assign": KMEANS_ASSIGN,
+    "kmeans_assign": f"WITH {NEAREST} SELECT vec_id, cluster, round(d, 6) AS sq_dist FROM nearest",
+    "kmeans_step": f"WITH {NEAREST} SELECT cluster, count(*) AS row_count, round(sum(d), 6) AS wcss FROM nearest GROUP BY cluster",
     "cluster_labels": CLUSTER_LABELS,
     "high_risk_rows": f"""WITH {LINES}, rates AS (SELECT status, avg(target) AS rate FROM features WHERE status IS NOT NULL GROUP BY status)
         SELECT order_id, status, 'High Risk' AS risk_label FROM features

@@ -386,18 +386,30 @@ def pca_measures(spark: SparkSession, sf: str) -> DataFrame:
 # --- clusters -------------------------------------------------------------------------
 
 
-def _embedding_points(spark: SparkSession, sf: str) -> DataFrame:
-    return O.load(spark, sf, "embeddings").select(F.col("embedding").cast("array<double>").alias("x"))
+def _class_means(rows: DataFrame) -> np.ndarray:
+    """Mean vector of each label, in label order: classes x dimensions numbers."""
+    means = rows.select("label", F.posexplode("x").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("v"))
+    ordered = means.orderBy("label", "i").collect()
+    return np.array([m["v"] for m in ordered]).reshape(len({m["label"] for m in ordered}), -1)
+
+
+def _labelled_points(spark: SparkSession, sf: str) -> DataFrame:
+    return O.load(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
 
 
 @query
 def kmeans_assign(spark: SparkSession, sf: str) -> DataFrame:
     """Nearest of the ten class means for every embedding."""
-    rows = O.load(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
-    means = rows.select("label", F.posexplode("x").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("v"))
-    ordered = means.orderBy("label", "i").collect()  # classes x dimensions
-    centers = np.array([m["v"] for m in ordered]).reshape(len({m["label"] for m in ordered}), -1)
-    return cluster.assign(rows, F.col("x"), centers).select("vec_id", "cluster", r("sq_dist").alias("sq_dist"))
+    rows = _labelled_points(spark, sf)
+    near = cluster.assign(rows, F.col("x"), _class_means(rows))
+    return near.select("vec_id", "cluster", r("sq_dist").alias("sq_dist"))
+
+
+@query
+def kmeans_step(spark: SparkSession, sf: str) -> DataFrame:
+    """Size and squared distance of each cluster after one pass from the class means."""
+    rows = _labelled_points(spark, sf)
+    return rounded(cluster.assignment_table(rows.select("x"), _class_means(rows)))
 
 
 @query
@@ -436,7 +448,7 @@ def centroids(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def elbow(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.elbow(_embedding_points(spark, sf))
+    return cluster.elbow(_labelled_points(spark, sf).select("x"))
 
 
 # --- rules ----------------------------------------------------------------------------
