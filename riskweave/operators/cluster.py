@@ -7,12 +7,12 @@ product; a task returns one row of sums per centroid, whatever its row count.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -185,12 +185,16 @@ def assignment_table(points: DataFrame, centers: np.ndarray) -> DataFrame:
     return points.sparkSession.createDataFrame(rows, "cluster int, row_count bigint, wcss double")
 
 
+def elbow_table(spark: SparkSession, fits: Mapping[int, KMeansFit]) -> DataFrame:
+    """Rows (k, wcss, ratio_to_first) of fitted models in ascending k."""
+    first = fits[min(fits)].wcss
+    rows = [(k, fits[k].wcss, fits[k].wcss / first if first else None) for k in sorted(fits)]
+    return spark.createDataFrame(rows, "k int, wcss double, ratio_to_first double")
+
+
 def elbow(points: DataFrame, ks: Sequence[int] = range(2, 9), restarts: int = 10, seed: int = SEED) -> DataFrame:
-    """Rows (k, wcss, ratio_to_first): within-cluster sum of squares of the best model per k."""
-    fits = fit_many(points, list(ks), restarts, seed)
-    first = fits[list(ks)[0]].wcss
-    rows = [(k, f.wcss, f.wcss / first if first else None) for k, f in fits.items()]
-    return points.sparkSession.createDataFrame(rows, "k int, wcss double, ratio_to_first double")
+    """Within-cluster sum of squares of the best model for each k."""
+    return elbow_table(points.sparkSession, fit_many(points, list(ks), restarts, seed))
 
 
 def fit_kmeans(points: DataFrame, k: int = 3, restarts: int = 10, seed: int = SEED) -> KMeansFit:

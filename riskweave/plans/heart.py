@@ -171,7 +171,11 @@ def classify(prepared: Prepared, forest_depth: int = 30, trees: int = 100) -> di
     forest = fitted["Random Forest"][0]
     spark = prepared.patients.sparkSession
     scored = models.probability_of_one(forest.transform(test_v))
-    report = {n: metrics.class_report(m.transform(test_v), "label", "prediction") for n, (m, _) in fitted.items()}
+    whole = [F.col(c).cast("int").alias(c) for c in ("label", "prediction")]
+    report = {
+        n: metrics.class_report(m.transform(test_v).select(*whole), "label", "prediction", S.CLASS_NAMES)
+        for n, (m, _) in fitted.items()
+    }
     return {
         "models": {n: m for n, (m, _) in fitted.items()},
         "train_classes": metrics.value_counts(train_v, "label"),
@@ -211,18 +215,13 @@ def segment(prepared: Prepared, restarts: int = 10) -> dict[str, DataFrame]:
     """Elbow table, labelled clusters, centroids and principal components."""
     points = cluster.as_points(prepared.patients, S.CONTINUOUS)
     fits = cluster.fit_many(points, range(2, 9), restarts)
-    spark = prepared.patients.sparkSession
-    first = fits[2].wcss
-    elbow = spark.createDataFrame(
-        [(k, f.wcss, f.wcss / first if first else None) for k, f in fits.items()],
-        "k int, wcss double, ratio_to_first double")
     assigned = cluster.assign(prepared.patients, S.CONTINUOUS, fits[3].centers)
     labelled = cluster.label_clusters(assigned, "cluster", "target", S.RISK_LABELS)
     ranked = cluster.rank_labels(
         cluster.cluster_rates(assigned, "cluster", "target"), "cluster", S.RISK_LABELS)
     coords, variance = pca.pca_2d(labelled, S.CONTINUOUS)
     return {
-        "elbow": elbow, "patients": labelled,
+        "elbow": cluster.elbow_table(points.sparkSession, fits), "patients": labelled,
         "profile": cluster.label_profile(labelled, "target", S.RISK_LABELS),
         "centroids": cluster.centroid_table(labelled, fits[3], S.CONTINUOUS, ranked),
         "components": coords.select("risk_label", "pc1", "pc2"), "explained": variance,
@@ -265,6 +264,7 @@ def run(spark: SparkSession, uci: str, framingham: str, cardio: str, out: str, f
         "prepared": prepared,
         "source_counts": source_counts(sources),
         "table_counts": source_counts(tables),
+        "preview": prepared.patients.orderBy("row_key").limit(3),
         "null_cells": clean.total_nulls(prepared.patients),
         "describe": clean.describe_exact(prepared.patients, S.CONTINUOUS),
         "olap": olap(tables),

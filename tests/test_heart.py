@@ -81,6 +81,9 @@ def test_models(run):
     bands = run["band_summary"].collect()
     assert [r["risk_band"] for r in bands] == S.SCORE_BANDS
     assert set(run["classification"]["reports"]) == {r["model"] for r in table}
+    report = [r["class"] for r in run["classification"]["reports"]["Decision Tree"].collect()]
+    assert report == ["Disease", "No Disease", "accuracy", "macro avg", "weighted avg"]
+    assert run["preview"].count() == 3
 
 
 def test_clusters_rules_and_summary(run):
