@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import chat, quality
+from riskweave.llm import bpe, chat, quality
 from riskweave.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,21 @@ def op2_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(written, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.col("n").cast("long").alias("formatted_chars"), "valid")
+
+
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public vocabulary: the folder RISKWEAVE_TOKENIZERS names, or the installed package."""
+    folder = os.environ.get("RISKWEAVE_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document encoded and decoded again; digests of both."""
+    path = vocabulary_path()
+    encoded = bpe.encode_documents(table(spark, sf, "documents"), path)
+    return bpe.digests(bpe.decode_documents(encoded, path))
