@@ -68,12 +68,17 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-#: Rules whose failures are counted by host; a document must pass them, too.
-RULES = {
-    "base": base_failed(),
-    "symbols": 10 * F.col("n_symbols") > F.col("word_chars"),
-    "lines": 2 * F.col("n_dup_lines") > F.col("n_lines"),
-}
+def default_rules() -> dict[str, Column]:
+    """Rules whose failures are counted by host; a document must pass them, too."""
+    return {
+        "base": base_failed(),
+        "symbols": 10 * F.col("n_symbols") > F.col("word_chars"),
+        "lines": 2 * F.col("n_dup_lines") > F.col("n_lines"),
+    }
+
+
+#: Documents that a prior counts as where hosts do not differ.
+FLAT = 10.0
 
 
 def host_rates(measured: DataFrame, rules: dict[str, Column] | None = None) -> DataFrame:
@@ -83,7 +88,7 @@ def host_rates(measured: DataFrame, rules: dict[str, Column] | None = None) -> D
     documents moves towards the usual rate. Where hosts do not differ, the prior counts as
     much as ``FLAT`` documents. A NULL host is no host and gets no row.
     """
-    rules = rules or RULES
+    rules = rules or default_rules()
     counts = measured.where(F.col("host").isNotNull()).groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"), *[F.count_if(c).alias(f"rule_{r}") for r, c in rules.items()]
     )
@@ -98,9 +103,6 @@ def host_rates(measured: DataFrame, rules: dict[str, Column] | None = None) -> D
     return hosts.join(F.broadcast(prior), "rule").withColumn("rate", shrunk)  # one row per rule
 
 
-FLAT = 10.0
-
-
 def judge(measured: DataFrame, limit: float = 0.5) -> DataFrame:
     """``measured`` with ``base_failed``, ``host_failed`` and ``kept``.
 
@@ -112,7 +114,7 @@ def judge(measured: DataFrame, limit: float = 0.5) -> DataFrame:
     salted = measured.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(2**SALT_BITS)).cast("int"))
     joined = salted.join(repeated(verdict, "host", SALT_BITS), ["host", "salt"], "left")
     own = F.lit(False)
-    for failed in RULES.values():
+    for failed in default_rules().values():
         own = own | failed
     return joined.drop("salt").select(
         "*", base_failed().alias("base_failed"), F.col("worst").isNotNull().alias("host_failed"),

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, quality
+from riskweave.llm import bpe, chat, pii, quality
 from riskweave.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,12 @@ def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = vocabulary_path()
     encoded = bpe.encode_documents(table(spark, sf, "documents"), path)
     return bpe.digests(bpe.decode_documents(encoded, path))
+
+
+@query
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in every document: base counts, digest of base spans, and all spans."""
+    found = pii.find(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"))
