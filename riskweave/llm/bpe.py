@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.llm.common import small_batches
 from riskweave.session import ship_package
 
 #: The word pattern of byte-level vocabularies of this kind (a fixed value of the format).
@@ -157,6 +158,7 @@ class Vocabulary:
 
     def __init__(self, spark: SparkSession, path: str, limit: int = LIMIT):
         ship_package(spark)
+        small_batches(spark, 500)
         with open(path, "rb") as file:
             self._content = spark.sparkContext.broadcast(file.read())
         self._limit = limit

@@ -35,3 +35,14 @@ def computed(df: DataFrame, *cols: Column) -> DataFrame:
 def repeated(df: DataFrame, key: str, bits: int) -> DataFrame:
     """``df`` once for every salt below ``2 ** bits``, in column ``salt``."""
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(2**bits - 1))).alias("salt"))
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send at most ``rows`` rows at once to Python, unless the session has a smaller number.
+
+    A batch is held several times (JVM, Arrow, Python), so with whole texts the usual 10,000
+    rows may need more memory than a worker has.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.common import small_batches
 from riskweave.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
@@ -290,6 +291,7 @@ def parse(spans: str) -> list[tuple[str, int, int]]:
 def train(docs: DataFrame, text: str = "text", most: int = TRAIN_STRETCHES) -> np.ndarray:
     """Fit on at most ``most`` stretches (those of smallest hash, half of them with a span)."""
     ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     found = docs.select(F.col(text).alias("text")).mapInPandas(_labelled, "stretch string, spans string")
     ordered = found.distinct().orderBy(F.xxhash64("stretch"), "stretch", "spans")
     rows = [(r["stretch"], parse(r["spans"])) for r in ordered.limit(most).collect()]
@@ -313,6 +315,7 @@ def find(docs: DataFrame, weights: np.ndarray | None = None, key: str = "doc_id"
     One row per row of ``docs``; NULL text counts as empty; other columns are left out.
     """
     ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     weights = train(docs, text) if weights is None else weights
 
     @F.pandas_udf("struct<base:array<string>,spans:array<string>>")

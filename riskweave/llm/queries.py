@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, pii, quality
+from riskweave.llm import bpe, chat, ngram_join, pii, quality
 from riskweave.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
         F.array_join("spans", ",").alias("spans"))
+
+
+@query
+def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of shingles and component of near duplicates of every document."""
+    return ngram_join.ngram_join(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
