@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, ngram_join, pii, quality
+from riskweave.llm import bpe, chat, langid, ngram_join, pii, quality
 from riskweave.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,21 @@ def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
 def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     """Number of shingles and component of near duplicates of every document."""
     return ngram_join.ngram_join(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document, and whether it is kept."""
+    docs = table(spark, sf, "documents")
+    found = langid.identify(langid.document_evidence(docs), langid.fit(docs))
+    return found.select(
+        F.col("key").alias("doc_id"), "language", F.round("confidence", 6).alias("confidence"), "text_language", "kept")
+
+
+@query
+def page_languages(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every page, from its text, markup, address and host."""
+    model = langid.fit(table(spark, sf, "documents"))
+    found = langid.identify(langid.page_evidence(table(spark, sf, "pages")), model)
+    return found.select(
+        F.col("key").alias("page_id"), "language", F.round("confidence", 6).alias("confidence"), "text_language", "kept")
