@@ -32,9 +32,18 @@ def computed(df: DataFrame, *cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*cols))))
 
 
-def repeated(df: DataFrame, key: str, bits: int) -> DataFrame:
-    """``df`` once for every salt below ``2 ** bits``, in column ``salt``."""
-    return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(2**bits - 1))).alias("salt"))
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salt_by: Column, how: str = "inner", bits: int = 4) -> DataFrame:
+    """Join in which rows of ``big`` with one key are spread over ``2 ** bits`` tasks by ``salt_by``.
+
+    ``small`` has one row per key and is repeated per salt; it may be of any size.
+    """
+    salt = F.pmod(salt_by, F.lit(2**bits)).cast("int")
+    return big.withColumn("_salt", salt).join(repeated(small, "_salt", bits), [*keys, "_salt"], how).drop("_salt")
+
+
+def repeated(df: DataFrame, name: str, bits: int) -> DataFrame:
+    """``df`` once for every salt below ``2 ** bits``, in column ``name``."""
+    return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(2**bits - 1))).alias(name))
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import small_batches
+from riskweave.llm.common import salted_join, small_batches
 from riskweave.llm.shingles import chunks
 from riskweave.session import materialize, ship_package
 
@@ -174,14 +174,11 @@ def identify(rows: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     hosts = hosts.join(domains, F.col("domain").eqNullSafe(F.col("parent")), "left").select(
         "host", "domain", F.transform(_mixed(F.col("n"), F.coalesce("above", everywhere)), lambda p: F.log(p)).alias("p_host"))
 
-    salt = F.pmod(F.xxhash64("key"), F.lit(2**SALT_BITS)).cast("int")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(2**SALT_BITS - 1))).alias("salt")
-    joined = base.withColumn("salt", salt)
-    joined = joined.join(declared.select("*", salts), ["declared", "salt"], "left")
-    joined = joined.join(suffix.select("*", salts), ["suffix", "salt"], "left")
-    spread = hosts.select(F.col("host").alias("h"), F.col("domain").alias("d"), "p_host", salts.alias("s"))
-    joined = joined.join(
-        spread, (F.col("host") == F.col("h")) & F.col("domain").eqNullSafe(F.col("d")) & (F.col("salt") == F.col("s")), "left")
+    by = F.xxhash64("key")
+    joined = salted_join(base, declared, ["declared"], by, "left", SALT_BITS)
+    joined = salted_join(joined, suffix, ["suffix"], by, "left", SALT_BITS)
+    named = hosts.select("host", F.coalesce("domain", F.lit("")).alias("parent"), "p_host")
+    joined = salted_join(joined.withColumn("parent", F.coalesce("domain", F.lit(""))), named, ["host", "parent"], by, "left", SALT_BITS)
 
     nothing = F.array(*[F.lit(0.0)] * k)
     prior = F.coalesce("p_host", F.transform(everywhere, lambda p: F.log(p)))

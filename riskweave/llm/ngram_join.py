@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import small_batches
+from riskweave.llm.common import salted_join, small_batches
 from riskweave.llm.graph import components
 from riskweave.llm.shingles import mix, shingle_sets
 from riskweave.session import materialize, ship_package
@@ -258,14 +258,11 @@ def ngram_join(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: st
     found = components(links.select("a", "b"))
     labelled = copies.join(found, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
-    # copies are spread over salts, so that a large group of copies is not one task's
-    salt = F.pmod(F.xxhash64("rid"), F.lit(32)).cast("int")
-    spread = labelled.select("digest", "component", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("salt"))
-    member = materialize(held.select("rid", "doc_id", "digest", "size", salt.alias("salt")).join(
-        spread, ["digest", "salt"]).select("rid", "doc_id", "size", "component"), "members")
+    by = F.xxhash64("rid")
+    member = salted_join(held.select("rid", "doc_id", "digest", "size"), labelled, ["digest"], by)
+    member = materialize(member.select("rid", "doc_id", "size", "component"), "members")
     names = member.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    names = names.select("component", "component_id", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("salt"))
-    linked = member.withColumn("salt", salt).join(names, ["component", "salt"]).select(
+    linked = salted_join(member, names, ["component"], by).select(
         "rid", "doc_id", F.col("size").alias("n_shingles"), "component_id")
     alone = all_docs.where("tokens IS NULL").select("rid", "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import computed, repeated, words
+from riskweave.llm.common import computed, salted_join, words
 from riskweave.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -111,12 +111,11 @@ def judge(measured: DataFrame, limit: float = 0.5) -> DataFrame:
     spread over ``2 ** SALT_BITS`` tasks in the join.
     """
     verdict = host_rates(measured).groupBy("host").agg(F.max("rate").alias("worst")).where(F.col("worst") > limit)
-    salted = measured.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(2**SALT_BITS)).cast("int"))
-    joined = salted.join(repeated(verdict, "host", SALT_BITS), ["host", "salt"], "left")
+    joined = salted_join(measured, verdict, ["host"], F.xxhash64("key"), "left", SALT_BITS)
     own = F.lit(False)
     for failed in default_rules().values():
         own = own | failed
-    return joined.drop("salt").select(
+    return joined.select(
         "*", base_failed().alias("base_failed"), F.col("worst").isNotNull().alias("host_failed"),
         (~own & F.col("worst").isNull()).alias("kept"),
     ).drop("worst")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, langid, ngram_join, pii, quality
+from riskweave.llm import bpe, chat, langid, line_dedup, ngram_join, pii, quality
 from riskweave.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,12 @@ def page_languages(spark: SparkSession, sf: str) -> DataFrame:
     found = langid.identify(langid.page_evidence(table(spark, sf, "pages")), model)
     return found.select(
         F.col("key").alias("page_id"), "language", F.round("confidence", 6).alias("confidence"), "text_language", "kept")
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines dropped from every document, and what is left of it."""
+    done = line_dedup.line_dedup(table(spark, sf, "documents"))
+    left = F.coalesce("text", F.lit(""))
+    return done.select(
+        "doc_id", "n_lines", "n_dropped", F.length(left).cast("long").alias("kept_chars"), F.sha2(left, 256).alias("kept_sha256"))
