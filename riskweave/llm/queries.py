@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, langid, line_dedup, ngram_join, pii, quality
+from riskweave.llm import bpe, chat, langid, line_dedup, ngram_join, pii, quality, suffix_dedup
 from riskweave.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,13 @@ def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     left = F.coalesce("text", F.lit(""))
     return done.select(
         "doc_id", "n_lines", "n_dropped", F.length(left).cast("long").alias("kept_chars"), F.sha2(left, 256).alias("kept_sha256"))
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes of every document that repeat earlier ones, removed."""
+    done = suffix_dedup.suffix_dedup(table(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select(
+        "doc_id", "n_bytes", F.coalesce(removed, F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
