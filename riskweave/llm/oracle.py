@@ -69,3 +69,18 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id
 FROM (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) r LEFT JOIN n USING (doc_id)
 """
+
+ORACLE["op5_decontamination"] = r"""
+WITH t AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (
+  SELECT kind, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM t),
+s AS (
+  SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+i AS (SELECT id AS item_id, g, count(*) OVER (PARTITION BY id) AS n_item FROM s WHERE kind = 'i')
+SELECT s.id AS doc_id, item_id, n_item, count(*) AS n_shared
+FROM s JOIN i USING (g) WHERE s.kind = 'd' GROUP BY ALL HAVING 100 * count(*) >= 75 * n_item
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, langid, line_dedup, ngram_join, pii, quality, suffix_dedup
+from riskweave.llm import bpe, chat, decontam, langid, line_dedup, ngram_join, pii, quality, suffix_dedup
 from riskweave.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,10 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return done.select(
         "doc_id", "n_bytes", F.coalesce(removed, F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the shingles they share."""
+    found = decontam.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared")
