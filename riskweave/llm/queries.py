@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, decontam, langid, line_dedup, ngram_join, pii, quality, suffix_dedup
+from riskweave.llm import bpe, chat, decontam, langid, line_dedup, ngram_join, pii, quality, secret_scan, suffix_dedup
 from riskweave.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,12 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and the shingles they share."""
     found = decontam.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "item_id", "n_item", "n_shared")
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Findings in every document with the forest's verdict; values only as digests."""
+    found = secret_scan.scan(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", F.col("at").cast("long").alias("word_no"), F.length("value").cast("long").alias("n_chars"),
+        F.sha2("value", 256).alias("value_sha256"), F.round("score", 6).alias("score"), "secret")
