@@ -53,14 +53,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one that names the group.
 
-    Of repeated rows, which share id and text, one stays. Documents without doc_id cannot be named;
-    they stay unless a document with an id is in their group.
+    Of repeated rows, which share id and text, one stays. Documents without doc_id all stay but for
+    repeated rows, as no id names them.
     """
-    joined = ngram_join.ngram_join(docs)
-    names = joined.groupBy("doc_id").agg(F.min("component_id").alias("component_id")).where("doc_id <> component_id")
-    gone = names.select(F.col("doc_id").alias("_id"))
+    joined = materialize(ngram_join.ngram_join(docs), "near-duplicates")
+    gone = joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
     kept = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    twice = joined.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    if twice.limit(1).count() == 0:
+        return kept
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    return kept.join(twice, same, "left_anti").union(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
