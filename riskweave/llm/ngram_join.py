@@ -12,6 +12,8 @@ The steps, each of which keeps every document that can have a link:
    has to share as many prefix shingles as the smaller of its two ``m`` says.
 4. The documents of a shingle are first compared with a few of their number. Documents linked
    that way are in one component, and only pairs across components are compared further.
+   Of these, a pair cannot be similar if what both have in common with the shingle's centre (its
+   document with most links), and what neither has in common with it, is too little.
 """
 
 from __future__ import annotations
@@ -60,7 +62,7 @@ def _pack(batch: int, keys: list, texts: list, bits: int) -> Iterator[pa.RecordB
     # 48 bits below the bucket's bits, and the document's place in the batch
     entry = (hashes << np.uint64(bits) >> np.uint64(16) << np.uint64(16)) | owners.astype(np.uint64)
     bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    rows: list[tuple[int, int, int, bytes]] = [(batch, hash(batch) % (1 << bits), 0, _meta(keys, owners, hashes))]
+    rows: list[tuple[int, int, int, bytes]] = [(batch, (batch + (batch >> 24)) % (1 << bits), 0, _meta(keys, owners, hashes))]
     for kind, chosen in ((1, first), (2, known)):
         at, values = bucket[chosen], entry[chosen]
         cut = np.flatnonzero(np.diff(at)) + 1
@@ -234,11 +236,31 @@ def similar_sets(sets: DataFrame, percent: int = 75) -> DataFrame:
     marked = marked.withColumn("component", F.coalesce("component", "rid"))
     mixed = marked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     open_ = materialize(marked.join(mixed.select("token"), "token", "left_semi"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")) & _usable("x", "y", percent))
+
+    # the document of a shingle with most links is its centre; all others are compared with it
+    ends = first.select(F.col("a").alias("rid")).union(first.select("b")).groupBy("rid").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = open_.join(ends, "rid", "left")
+    centres = ranked.groupBy("token").agg(F.max_by("rid", F.struct(F.coalesce("degree", F.lit(0)), -F.col("rid"))).alias("centre"))
+    placed = materialize(open_.join(centres, "token"), "centred")
+    own = sets.select("rid", "size", "tokens")
+    other = sets.select(F.col("rid").alias("centre"), F.col("size").alias("size_c"), F.col("tokens").alias("tokens_c"))
+    close = salted_join(placed.select("rid", "centre").distinct().join(own, "rid"), other, ["centre"], F.xxhash64("rid"))
+    close = close.withColumn("both", F.size(F.array_intersect("tokens", "tokens_c")))
+    close = materialize(close.select(
+        "rid", "centre", "both", (F.size("tokens") - F.col("both")).alias("rest"),
+        (100 * F.col("both") >= percent * (F.col("size") + F.col("size_c") - F.col("both"))).alias("linked")), "centres")
+    second = close.where(F.col("linked") & (F.col("rid") != F.col("centre"))).select(F.col("rid").alias("a"), F.col("centre").alias("b"))
+
+    # two documents share no more than what both share with the centre and what neither does
+    near = placed.join(close, ["rid", "centre"])
+    x, y = near.alias("x"), near.alias("y")
+    most = F.least("x.both", "y.both") + F.least("x.rest", "y.rest")
+    possible = ~(F.col("x.linked") & F.col("y.linked")) & (most >= _needed(F.col("x.size"), F.col("y.size"), percent))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
+                   & _usable("x", "y", percent) & possible)
     pairs = pairs.groupBy(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.least("x.m", "y.m")).alias("m")).where("n >= m").select("a", "b")
-    return first.union(materialize(_verified(pairs, sets, percent), "links"))
+    return first.union(second).union(materialize(_verified(pairs, sets, percent), "links"))
 
 
 def ngram_join(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
