@@ -25,7 +25,7 @@ SECRET_FORMATS = (
 )
 HARMLESS_FORMATS = (
     r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$", r"^[0-9./:_-]+$", r"^(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}", r"^[a-z]+[0-9]{1,3}$",
-    r"^[A-Za-z]+(?:[-_/][A-Za-z]+)+[0-9]{0,2}$",
+    r"^[A-Za-z]+(?:[-_/][A-Za-z]+)+[0-9]{0,2}$", r"^[a-z]+[a-z0-9._-]*(?:/[a-z]+[a-z0-9._-]*)+$",
 )
 #: An assignment to one of these is a labelled secret if its value mixes letters and digits.
 KEYWORDS = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|private_?key|auth|credential|bearer)"
