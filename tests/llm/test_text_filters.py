@@ -1,0 +1,180 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.llm import langid, line_dedup, secret_scan, suffix_dedup
+
+
+# --- lines --------------------------------------------------------------------------------
+
+
+def test_recurring_templates_go_but_stay_once(make):
+    rows = [(i, f"unique {'abc' * i} words\nuser bob{i} logged in from host 10.0.0.{i} at noon today\nsame boiler plate line\n\nend{'x' * i}") for i in range(1, 9)]
+    rows += [(50, "user bob logged out by himself from nowhere"), (51, None), (52, ""), (None, "same boiler plate line"), (8, rows[7][1])]
+    docs = make(rows).withColumn("line", F.lit("clash")).withColumn("n_lines", F.lit("replaced"))
+    done = sorted(((r["doc_id"], r["text"], r["n_dropped"]) for r in line_dedup.line_dedup(docs, min_docs=5).collect()), key=str)
+    kept = [(1, rows[0][1], 0)] + [(i, f"unique {'abc' * i} words\n\nend{'x' * i}", 2) for i in (2, 3, 4, 5, 6, 7, 8, 8)]
+    assert done == sorted(kept + [(50, rows[8][1], 0), (51, None, 0), (52, "", 0), (None, "", 1)], key=str)
+
+
+def test_a_rare_word_becomes_a_field(make):
+    rows = [(i, f"the nightly backup of volume {name} has finished without errors") for i, name in enumerate("red blue green white black pink".split())]
+    rows += [(20, "the nightly backup of something else entirely went wrong again")]
+    done = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(make(rows), min_docs=5).collect()}
+    assert done[0] and done[20] and not any(done[i] for i in range(1, 6))
+
+
+def test_similar_lines_join_the_template(make):
+    line = "all rights reserved by the owner of this page and its heirs forever and ever"
+    rows = [(i, line) for i in range(6)] + [(10, line.replace("heirs", "friends")), (11, "all rights reserved by nobody but this is another line of the same length")]
+    done = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(make(rows), min_docs=5).collect()}
+    assert done[0] == line and not done[10] and done[11]
+
+
+def test_lines_of_an_empty_table_and_long_words(make):
+    assert line_dedup.line_dedup(make([])).count() == 0
+    rows = [(i, "z" * 200_000 + f"\n{'y' * 100_000}1") for i in range(2)]
+    assert [r["n_dropped"] for r in line_dedup.line_dedup(make(rows), min_docs=2).orderBy("doc_id").collect()] == [0, 2]
+
+
+# --- repeated strings ---------------------------------------------------------------------
+
+
+def cut(docs):
+    seen, out = set(), {}
+    for d, text in sorted(set(docs), key=lambda x: (x[0] is None, x[0] or 0)):
+        b = (text or "").encode()
+        gone = bytearray(len(b))
+        for i in range(len(b) - suffix_dedup.LENGTH + 1):
+            s = b[i:i + suffix_dedup.LENGTH]
+            if s in seen:
+                gone[i:i + suffix_dedup.LENGTH] = b"\1" * suffix_dedup.LENGTH
+            seen.add(s)
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out[d] = (len(b), sum(gone), sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone)), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def removed(docs):
+    done = suffix_dedup.suffix_dedup(docs, bits=8)
+    rows = done.select("doc_id", "n_bytes", F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"), "kept").collect()
+    return [(r["doc_id"], (r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest())) for r in rows]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_removal_agrees_with_brute_force(make, seed):
+    r = random.Random(seed)
+    base = ["".join(r.choice("ab é\n\0") for _ in range(r.choice([60, 150, 400]))) for _ in range(12)]
+    docs = []
+    for i in range(90):
+        parts = [r.choice(base) for _ in range(r.randrange(1, 6))]
+        text = "".join(p[r.randrange(len(p) // 2):][:r.randrange(50, 400)] for p in parts)
+        docs.append((i, r.choice([text] * 7 + ["a" * r.randrange(90, 900), "ab" * r.randrange(40, 400), None])))
+    want = cut(docs)
+    assert {d: x for d, x in removed(make(docs, 5).withColumn("spans", F.lit("clash")))} == want
+
+
+def test_repeated_rows_null_ids_and_short_texts(make):
+    long = "".join(random.Random(0).choice("abcdef ") for _ in range(300))
+    docs = [(2, long), (2, long), (1, long[50:250]), (None, long), (3, "short"), (4, None), (5, ""), (6, "x" * 20_000)]
+    got, want = removed(make(docs)), cut(docs)
+    assert sorted(got, key=str) == sorted([(d, want[d]) for d, _ in docs], key=str)
+    assert removed(make([])) == []
+
+
+def test_columns_find_the_later_of_equal_strings():
+    r = np.random.default_rng(3)
+    windows = r.integers(0, 2, (60, suffix_dedup.WIDTH), dtype=np.uint8)
+    windows[1:50] = windows[0]
+    for i in range(1, 50):
+        windows[i, r.integers(0, suffix_dedup.WIDTH, r.integers(0, 3))] = 9
+    rank = r.permutation(60)
+    none = np.zeros(60, dtype=np.int64)
+    late = suffix_dedup.later_strings(windows, none, none, rank)
+    for i in range(60):
+        for s in range(late.shape[1]):
+            same = (windows[:, s:s + suffix_dedup.LENGTH] == windows[i, s:s + suffix_dedup.LENGTH]).all(axis=1)
+            assert late[i, s] == (rank[same].min() < rank[i])
+
+
+# --- language -----------------------------------------------------------------------------
+
+SYLLABLES = {"aa": "ba ko mi lu", "bb": "schn tze öch ürg", "cc": "ción ñue rra llo"}
+
+
+def sentences(language, n, seed):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice(SYLLABLES[language].split()) for _ in range(r.randrange(1, 4))) for _ in range(n))
+
+
+def test_held_out_accuracy_and_rejection(make):
+    train = [(i, sentences(k, 40, i), k.upper() + "-x", "host") for i, k in enumerate(list(SYLLABLES) * 20)]
+    model = langid.fit(make(train))
+    assert model.languages == ("aa", "bb", "cc", "und")
+    rows = [(i, sentences(k, 12, 900 + i), None, None) for i, k in enumerate(list(SYLLABLES) * 30)]
+    rows += [(1000, "".join(chr(0x4E00 + (i * 37) % 5000) for i in range(80)), None, None), (1001, None, "aa", "host"), (1002, "", "aa", "host"), (None, "ba ko mi", None, None)]
+    got = {r["key"]: r for r in langid.identify(langid.document_evidence(make(rows).withColumn("salt", F.lit(1))), model).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i]["language"] == k for i, k in enumerate(list(SYLLABLES) * 30)) and got[None]["language"] == "aa"
+    assert [got[i]["kept"] for i in (1000, 1001, 1002)] == [False] * 3
+    assert langid.identify(langid.document_evidence(make([])), model).count() == 0
+
+
+def test_evidence_of_host_and_markup_decides_short_texts(spark):
+    model = langid.Model(("aa", "bb", "und"), np.zeros((3, (1 << langid.BITS) + 1), dtype=np.float32))
+    long = "x y z"
+    rows = [(i, long, "aa" if i % 2 else None, None, "d.org", "h.d.org") for i in range(8)]
+    got = langid.identify(spark.createDataFrame(rows, "key long, text string, declared string, suffix string, domain string, host string"), model)
+    assert {r["language"] for r in got.collect()} == {"aa"}
+
+
+def test_pages_give_their_evidence(spark):
+    pages = spark.createDataFrame([(1, "https://www.a.co.de:80/x", '<html lang="de-AT"><script>var x="<p>"</script><p>Hallo</p></html>'), (2, None, None)], "page_id long, url string, html string")
+    got = {r["key"]: r for r in langid.page_evidence(pages).collect()}
+    assert got[1]["text"].split() == ["Hallo"] and tuple(got[1])[2:] == ("de", "de", "co.de", "www.a.co.de") and tuple(got[2])[1:] == (None,) * 5
+
+
+def test_without_labels_everything_is_unknown(make):
+    model = langid.fit(make([(1, "abc abc", None, None)]))
+    assert [r["language"] for r in langid.identify(langid.document_evidence(make([(1, "abc abc", None, None)])), model).collect()] == ["und"]
+
+
+# --- secrets ------------------------------------------------------------------------------
+
+
+def secrets(n, seed):
+    r = random.Random(seed)
+    token = lambda k, a="abcdef0123456789": "".join(r.choice(a) for _ in range(k))
+    out = []
+    for i in range(n):
+        kind = i % 4
+        text = [f'the token = "{token(32)}1a2" was lost', f"write to mary.{i}@mail{i % 9}.example.com today", f"key AKIA{token(16, 'ABCDEFGHIJ0123456789')} leaked",
+                f"see release-notes/version{i}/changes and some more words"][kind]
+        out.append((i, "many words the and that before " + text, kind in (0, 2)))
+    return out
+
+
+def test_findings_on_held_out_documents(make):
+    rows = secrets(200, 1)
+    docs = make([(i, t) for i, t, _ in rows])
+    known = secret_scan.dictionary(docs)
+    half = secret_scan.features(secret_scan.candidates(docs.where("doc_id < 100")), known)
+    model = secret_scan.train(secret_scan.labelled(half))
+    from pyspark.ml.feature import VectorAssembler
+
+    rest = secret_scan.features(secret_scan.candidates(docs.where("doc_id >= 100")), known)
+    scored = model.transform(VectorAssembler(inputCols=list(secret_scan.FEATURES), outputCol="features").transform(rest))
+    truth = {i: s for i, _, s in rows}
+    got = {r["doc_id"]: r["prediction"] == 1.0 for r in scored.collect()}
+    assert sum(got.get(i, False) == truth[i] for i in range(100, 200)) >= 97
+
+
+def test_scan_handles_any_table(make):
+    rows = [(1, None), (2, ""), (3, "no secret here"), (None, 'password="a1b2c3d4e5f6"'), (4, "token=" + "9f" * 30_000), (5, 'password="a1b2c3d4e5f6"'), (5, 'password="a1b2c3d4e5f6"')]
+    docs = make(rows).withColumn("value", F.lit("clash")).withColumn("length", F.lit("clash"))
+    got = sorted(((r["doc_id"], r["at"], len(r["value"]), r["secret"]) for r in secret_scan.scan(docs).collect()), key=str)
+    assert got == sorted([(None, 0, 12, True), (4, 0, 60_000, True), (5, 0, 12, True), (5, 0, 12, True)], key=str)
+    assert secret_scan.scan(make([])).count() == 0
