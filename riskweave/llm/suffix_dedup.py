@@ -6,8 +6,9 @@ a smaller doc_id or before in the same one.
 1. *Anchors.* Every string of ``LENGTH`` bytes contains a smallest hash among its ``K``-byte
    pieces, and equal strings contain it at the same place. Anchors that occur once in all
    documents belong to no repeated string; the others are found by hash ranges.
-2. *Windows.* Around every other anchor lies the window of all strings that contain it,
-   ``2 * LENGTH - K`` bytes. Equal windows of a batch are sent once, by their first place.
+2. *Windows.* Around every other anchor lies the window of all strings in which its hash is the
+   smallest, at most ``2 * LENGTH - K`` bytes. Equal windows of a batch are sent once, by their
+   first place.
 3. *Columns.* The windows of a hash range are a collection of short documents whose sorted
    order is built column by column: every round inserts one symbol per window, sorts stably by
    it (the positional Burrows-Wheeler transform), and updates the length that neighbours have
@@ -65,11 +66,11 @@ class Bytes:
         """Hash of the bytes from ``a`` up to ``b``, for arrays of both."""
         return mix((self.sums[b] - self.sums[a]) * self.inverse[a] + (b - a).astype(np.uint64))
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places, hashes and document indexes of all anchors."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places, hashes and document indexes of all anchors; the smallest hash of the string at every byte."""
         n, pieces = len(self.data), LENGTH - K + 1
         if n < LENGTH:
-            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64)
         top = np.uint64(2**64 - 1)
         places = np.arange(n - K + 1)
         value = np.minimum(np.maximum(self.hashes(places, places + K), np.uint64(1)), top - np.uint64(1))
@@ -80,7 +81,7 @@ class Bytes:
         edge = np.zeros(pieces - 1, dtype=np.uint64)
         most = _sliding(np.concatenate([edge, least, edge]), pieces, np.maximum)
         at = np.flatnonzero(most[: len(value)] == value)
-        return at, value[at], owner[at]
+        return at, value[at], owner[at], least
 
 
 def _sliding(x: np.ndarray, width: int, combine: Callable) -> np.ndarray:
@@ -125,7 +126,7 @@ def _anchor_packer(bits: int):
     def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
         for held in _batches(rows):
-            _, hashes, owners = Bytes([r[2] for r in held]).anchors()
+            _, hashes, owners, _ = Bytes([r[2] for r in held]).anchors()
             order = np.argsort(hashes, kind="stable")
             hashes, owners = hashes[order], owners[order]
             new = np.ones(len(hashes), dtype=bool)
@@ -193,7 +194,7 @@ def _window_packer(bits: int):
     def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _batches(rows):
             text = Bytes([r[2] for r in held])
-            at, hashes, owners = text.anchors()
+            at, hashes, owners, least = text.anchors()
             # the low bits that the packed anchors lack are left out of the comparison, too
             short = (hashes & ~low).view(np.int64)
             wanted = [np.asarray(r[3], dtype=np.int64) for r in held]
@@ -201,8 +202,8 @@ def _window_packer(bits: int):
             for a, b in _cuts(owners):
                 hit[a:b] = np.isin(short[a:b], wanted[owners[a]])
             at, hashes, owners = at[hit], hashes[hit], owners[hit]
-            begin, end = text.start[owners], text.start[owners] + text.size[owners]
-            a, b = np.maximum(begin, at - REACH), np.minimum(end, at + LENGTH)
+            begin = text.start[owners]
+            a, b = _reach(least, at, hashes)
             left, right = a - (at - REACH), (at + LENGTH) - b
             ids = np.array([(r[0] is None, r[0] or 0, r[1]) for r in held], dtype=np.int64)
             order = np.lexsort((at - begin, *ids[owners].T[[2, 1, 0]], right, left, text.hashes(a, b), hashes))
@@ -238,6 +239,21 @@ def _window_packer(bits: int):
     return pack
 
 
+def _reach(least: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of the first, and end of the last string in which an anchor has the smallest hash.
+
+    Both depend on these strings alone, so equal strings lie in the windows of all their copies.
+    """
+    first, last = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    for i in range(0, len(at), 1 << 14):
+        starts = at[i:i + (1 << 14), None] + np.arange(-REACH, 1)
+        own = least[np.clip(starts, 0, len(least) - 1)] == hashes[i:i + (1 << 14), None]
+        own &= (starts >= 0) & (starts < len(least))
+        first[i:i + (1 << 14)] = starts[:, 0] + own.argmax(axis=1)
+        last[i:i + (1 << 14)] = starts[:, 0] + REACH - own[:, ::-1].argmax(axis=1)
+    return first, last + LENGTH
+
+
 def _windows(data: np.ndarray, a: np.ndarray, b: np.ndarray, left: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Windows as rows; 0 where they reach beyond their document."""
     place = (a - left)[chosen, None] + np.arange(WIDTH)
@@ -343,16 +359,20 @@ def _mark(frame: pd.DataFrame) -> pd.DataFrame:
 # --- the operator ---------------------------------------------------------------------------
 
 
-def repeated_spans(docs: DataFrame, bits: int | None = None) -> DataFrame:
-    """``doc_id``, ``mark`` (hash of the text), ``spans``: sorted, disjoint (start, end) in bytes.
+def documents(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``mark`` (hash of the text) and ``text``, the form that both joins shuffle once."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+
+
+def repeated_spans(rows: DataFrame, bits: int | None = None) -> DataFrame:
+    """Of rows from :func:`documents`: ``doc_id``, ``mark`` (hash of the text), ``spans``: sorted, disjoint (start, end) in bytes.
 
     Rows with equal doc_id and text are one document, so they do not remove each other. A NULL
     doc_id comes last in the order.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     ship_package(spark)
     small_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").where("text IS NOT NULL")
     bits = bits or max(8, min(30, (8 * rows.rdd.getNumPartitions()).bit_length()))
     packed = rows.mapInArrow(_anchor_packer(bits), _PACKED).groupBy("bucket").applyInPandas(_repeated, _PACKED)
     anchors = packed.groupBy("batch").applyInPandas(_anchor_collector(bits), "doc_id long, mark long, anchors array<long>")
@@ -372,10 +392,9 @@ def repeated_spans(docs: DataFrame, bits: int | None = None) -> DataFrame:
     return spans.select("doc_id", "mark", F.aggregate("all", none, merge).alias("spans"))
 
 
-def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``doc_id``, ``kept`` (remaining bytes), ``n_bytes``, ``spans`` for every row of ``docs``."""
+def without_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """``doc_id``, ``kept`` (remaining bytes), ``n_bytes``, ``spans`` for every row from :func:`documents`."""
     found = spans.select(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark"), "spans")
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
     rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark")), "left")
     data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
 
@@ -401,4 +420,5 @@ def suffix_dedup(docs: DataFrame, bits: int | None = None) -> DataFrame:
 
     NULL text counts as empty; other columns are left out, so their names cannot clash.
     """
-    return without_spans(docs, repeated_spans(docs, bits))
+    rows = documents(docs)
+    return without_spans(rows, repeated_spans(rows, bits))
