@@ -11,16 +11,18 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import round_half_even
-from riskweave.session import materialize
+from riskweave.session import materialize, ship_package
 
-# Points the starting centres are drawn from; all other work reads every point.
-SEED_POINTS = 2000
+# Candidates for starting centres: drawn in each pass over all points, and passes.
+DRAWN = 40
+DRAWS = 5
 SEED = 42
 
 
@@ -37,93 +39,140 @@ def as_points(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
 
 
-def _seed_points(points: DataFrame, n: int, size: int) -> np.ndarray:
-    """Distinct points with the smallest hashes: the same set for any partitioning."""
-    h = F.shiftrightunsigned(F.xxhash64("x"), 1)
-    share = min(1.0, 4 * size / max(1, n))
-    for bound in dict.fromkeys([share, 1.0]):
-        pool = points if bound == 1.0 else points.where(h < F.lit(int(bound * (2**63 - 1))))
-        rows = pool.distinct().orderBy(F.xxhash64("x"), "x").limit(size).collect()
-        if len(rows) >= min(size, 50):
+def weighted_points(points: DataFrame) -> DataFrame:
+    """Distinct points ``x`` with their number ``w``; unequal lengths, NULL or NaN inside are an error.
+
+    Copies are counted before the shuffle, so later passes handle a hot point once.
+    """
+    bad = F.col("x").isNull() | F.exists("x", lambda v: v.isNull() | F.isnan(v))
+    kind = points.agg(F.min(F.size("x")).alias("low"), F.max(F.size("x")).alias("high"), F.count_if(bad).alias("bad")).first()
+    if kind["low"] is None:
+        raise ValueError("no points to cluster")
+    if kind["bad"] or kind["low"] != kind["high"]:
+        raise ValueError(f"{kind['bad']} points are or hold NULL or NaN; lengths are {kind['low']} to {kind['high']}")
+    return points.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
+
+
+def _moments(points: DataFrame, d: int) -> tuple[np.ndarray, float, int]:
+    """Mean, mean column variance and number of all points."""
+    w = F.col("w")
+    row = points.agg(F.sum("w").alias("n"), *[(F.sum(w * F.get("x", F.lit(i))) / F.sum("w")).alias(f"m{i}") for i in range(d)]).first()
+    mean = np.array([row[f"m{i}"] for i in range(d)])
+    off = [F.sum(w * F.pow(F.get("x", F.lit(i)) - F.lit(float(m)), F.lit(2))) for i, m in enumerate(mean)]
+    spread = points.agg(*[c.alias(f"v{i}") for i, c in enumerate(off)]).first()
+    return mean, sum(spread) / row["n"] / d, row["n"]
+
+
+def _draw(points: DataFrame, chosen: np.ndarray, origin: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """``size`` distinct points, drawn in proportion to weight times squared distance to ``chosen``.
+
+    Every point gets the key -log(u) / (w d^2) with u from a hash, and the smallest keys win
+    (Efraimidis and Spirakis 2006): one pass, at most ``size`` rows from each task.
+    """
+    ship_package(points.sparkSession)
+
+    @F.pandas_udf("double")
+    def distance(x: pd.Series) -> pd.Series:
+        at = np.stack(x.to_numpy()) - origin
+        best = np.full(len(at), np.inf)
+        for c in chosen:  # differences first, so that a chosen point is exactly 0 away
+            np.minimum(best, ((at - c) ** 2).sum(axis=1), out=best)
+        return pd.Series(best)
+
+    u = (F.shiftrightunsigned(F.xxhash64("x", F.lit(seed)), 11) + 0.5) / F.lit(float(2**53))
+    key = F.try_divide(-F.log(u), F.col("w") * F.col("d2"))  # NULL for points that are chosen already
+    far = points.withColumn("d2", distance("x")).withColumn("key", key).where("key IS NOT NULL")
+    rows = far.select("x", "key").orderBy("key", "x").limit(size).collect()
+    return np.array([r["x"] for r in rows], dtype=float).reshape(-1, len(origin)) - origin
+
+
+def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return np.maximum((x**2).sum(axis=1)[:, None] - 2.0 * x @ centers.T + (centers**2).sum(axis=1), 0.0)
+
+
+def _candidates(points: DataFrame, origin: np.ndarray, seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates for centres and the number of points nearest to each (k-means||, Bahmani et al. 2012).
+
+    All points take part in every draw and in the weights. What reaches the driver are at most
+    ``DRAWS * size + 1`` points.
+    """
+    first = points.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(1).collect()
+    chosen = np.array([r["x"] for r in first], dtype=float) - origin
+    for i in range(DRAWS):
+        more = _draw(points, chosen, origin, size, seed + 1 + i)
+        if not len(more):
             break
-    return np.array([r["x"] for r in rows], dtype=float)
+        chosen = np.vstack([chosen, more])
+    counts, _, _ = _pass(points, [chosen], origin)
+    return chosen, counts
 
 
-def _plus_plus(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Starting centres spread by squared distance (Arthur and Vassilvitskii 2007)."""
-    centers = [sample[rng.integers(len(sample))]]
+def _plus_plus(sample: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Starting centres spread by weighted squared distance (Arthur and Vassilvitskii 2007)."""
+    centers = [sample[rng.choice(len(sample), p=weight / weight.sum())]]
     nearest = ((sample - centers[0]) ** 2).sum(axis=1)
     while len(centers) < k:
-        total = nearest.sum()
-        pick = rng.choice(len(sample), p=nearest / total) if total > 0 else rng.integers(len(sample))
+        total = (weight * nearest).sum()
+        pick = rng.choice(len(sample), p=weight * nearest / total) if total > 0 else rng.integers(len(sample))
         centers.append(sample[pick])
         nearest = np.minimum(nearest, ((sample - centers[-1]) ** 2).sum(axis=1))
     return np.array(centers)
 
 
-def _refine(sample: np.ndarray, centers: np.ndarray, steps: int = 50) -> np.ndarray:
-    """Improve starting centres on the sample, so that fewer passes over all points follow
-    (Bradley and Fayyad 1998)."""
+def _refine(sample: np.ndarray, weight: np.ndarray, centers: np.ndarray, steps: int = 50) -> np.ndarray:
+    """Recluster the weighted candidates, so that fewer passes over all points follow."""
     for _ in range(steps):
-        near = ((sample**2).sum(axis=1)[:, None] - 2.0 * sample @ centers.T + (centers**2).sum(axis=1)).argmin(axis=1)
+        near = _distances(sample, centers).argmin(axis=1)
         new = centers.copy()
         for j in range(len(centers)):
-            if (near == j).any():
-                new[j] = sample[near == j].mean(axis=0)
+            if weight[near == j].sum() > 0:
+                new[j] = np.average(sample[near == j], axis=0, weights=weight[near == j])
         if np.allclose(new, centers):
             break
         centers = new
     return centers
 
 
-def _matrix(batch: pa.RecordBatch, d: int) -> np.ndarray:
-    return batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-
+def _pass(points: DataFrame, centers: list[np.ndarray], origin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One assignment pass for several models, in coordinates relative to ``origin``.
 
-def _pass(points: DataFrame, centers: list[np.ndarray], d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """One assignment pass for several models.
-
-    Returns per centroid the count, squared distance and coordinate sums, and the
-    same for the whole data set about the origin.
+    Returns per centroid the weight, the squared distances and the coordinate sums. Moving the
+    origin into the data keeps the products exact enough wherever the points lie.
     """
-    sizes = [len(c) for c in centers]
-    starts = np.concatenate([[0], np.cumsum(sizes)])
+    ship_package(points.sparkSession)
+    d = len(origin)
+    starts = np.concatenate([[0], np.cumsum([len(c) for c in centers])])
     m = int(starts[-1])
     stacked = points.sparkSession.sparkContext.broadcast(np.vstack(centers))
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = stacked.value
-        c2 = (c**2).sum(axis=1)
-        out = np.zeros((m + 1, d + 2))
+        out = np.zeros((m, d + 2))
         for batch in batches:
-            x = _matrix(batch, d)
-            if not len(x):
+            if not batch.num_rows:
                 continue
-            x2 = (x**2).sum(axis=1)
-            dist = np.maximum(x2[:, None] - 2.0 * x @ c.T + c2, 0.0)
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d) - origin
+            w = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
+            dist = _distances(x, c)
             member = np.zeros((len(x), m))
             rows = np.arange(len(x))
             for a, b in zip(starts[:-1], starts[1:]):
-                best = dist[:, a:b].argmin(axis=1)
-                member[rows, a + best] = 1.0
-            out[:m, 0] += member.sum(axis=0)
-            out[:m, 1] += (member * dist).sum(axis=0)
-            out[:m, 2:] += member.T @ x
-            out[m, 0] += len(x)
-            out[m, 1] += x2.sum()
-            out[m, 2:] += x.sum(axis=0)
-        arrays = [pa.array(np.arange(m + 1, dtype=np.int32)), *[pa.array(out[:, j]) for j in range(d + 2)]]
+                member[rows, a + dist[:, a:b].argmin(axis=1)] = w
+            out[:, 0] += member.sum(axis=0)
+            out[:, 1] += (member * dist).sum(axis=0)
+            out[:, 2:] += member.T @ x
+        arrays = [pa.array(np.arange(m, dtype=np.int32)), *[pa.array(out[:, j]) for j in range(d + 2)]]
         yield pa.RecordBatch.from_arrays(arrays, ["slot", *[f"s{j}" for j in range(d + 2)]])
 
     schema = "slot int, " + ", ".join(f"s{j} double" for j in range(d + 2))
     # One row per centroid comes back.
-    totals = points.mapInArrow(sums, schema).groupBy("slot").sum().toArrow()
-    got = np.zeros((m + 1, d + 2))
+    totals = points.select("x", "w").mapInArrow(sums, schema).groupBy("slot").sum().toArrow()
+    got = np.zeros((m, d + 2))
     slots = totals.column("slot").to_numpy()
     for j in range(d + 2):
         got[slots, j] = totals.column(f"sum(s{j})").to_numpy()
-    stacked.unpersist()
-    return got[:m, 0], got[:m, 1], got[:m, 2:], got[m]
+    stacked.destroy()
+    return got[:, 0], got[:, 1], got[:, 2:]
 
 
 def fit_many(
@@ -136,15 +185,14 @@ def fit_many(
     variance (squared), or after ``max_iter`` passes. Emptied clusters keep their centre.
     ``store`` writes the points once, so that passes do not repeat the query before.
     """
+    points = weighted_points(points)
     if store:
         points = materialize(points, "points", spread=True)
-    n = points.count()
-    if not n:
-        raise ValueError("no points to cluster")
-    sample = _seed_points(points, n, SEED_POINTS)
-    d = sample.shape[1]
+    d = len(points.first()["x"])
+    origin, variance, _ = _moments(points, d)
+    sample, weight = _candidates(points, origin, seed, max(DRAWN, 2 * max(ks)))
     models = [
-        (k, _refine(sample, _plus_plus(sample, k, np.random.default_rng([seed, k, r]))))
+        (k, _refine(sample, weight, _plus_plus(sample, weight, k, np.random.default_rng([seed, k, r]))))
         for k in ks for r in range(restarts)
     ]
     centers = [c for _, c in models]
@@ -152,9 +200,7 @@ def fit_many(
     for _ in range(max_iter):
         if not moving:
             break
-        counts, _, sums, whole = _pass(points, [centers[i] for i in moving], d)
-        mean = whole[2:] / whole[0]
-        variance = max(0.0, whole[1] / whole[0] - float(mean @ mean)) / d
+        counts, _, sums = _pass(points, [centers[i] for i in moving], origin)
         still, at = [], 0
         for i in moving:
             k = len(centers[i])
@@ -167,20 +213,35 @@ def fit_many(
             if shift > tol * variance:
                 still.append(i)
         moving = still
-    _, cost, _, _ = _pass(points, centers, d)
+    _, cost, _ = _pass(points, centers, origin)
     best: dict[int, KMeansFit] = {}
     at = 0
     for (k, _), c, p in zip(models, centers, passes):
         wcss = float(cost[at:at + k].sum())
         at += k
         if k not in best or wcss < best[k].wcss:
-            best[k] = KMeansFit(k, c, wcss, p)
+            best[k] = KMeansFit(k, c + origin, wcss, p)
     return best
 
 
+def lloyd(points: DataFrame, centers: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(centres, counts, squared distances) after ``steps`` passes from given centres.
+
+    Counts and distances are those to the returned centres. An emptied cluster keeps its centre.
+    """
+    stored = materialize(weighted_points(points), "points", spread=True)
+    origin = np.asarray(centers, dtype=float).mean(axis=0)
+    at = np.asarray(centers, dtype=float) - origin
+    for _ in range(steps):
+        counts, _, sums = _pass(stored, [at], origin)
+        at = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1.0)[:, None], at)
+    counts, cost, _ = _pass(stored, [at], origin)
+    return at + origin, counts, cost
+
+
 def assignment_table(points: DataFrame, centers: np.ndarray) -> DataFrame:
     """Rows (cluster, row_count, wcss) of one assignment pass over the points."""
-    counts, cost, _, _ = _pass(points, [centers], centers.shape[1])
+    _, counts, cost = lloyd(points, centers, 0)
     rows = [(i, int(n), float(c)) for i, (n, c) in enumerate(zip(counts, cost))]
     return points.sparkSession.createDataFrame(rows, "cluster int, row_count bigint, wcss double")
 
@@ -211,7 +272,30 @@ def squared_distance(x: Column | Sequence[str], center: Sequence[float]) -> Colu
 
 
 def assign(df: DataFrame, x: Column | Sequence[str], centers: np.ndarray) -> DataFrame:
-    """Add ``cluster``, the index of the nearest centre, and ``sq_dist``; ties go to the lower index."""
+    """Add ``cluster``, the index of the nearest centre, and ``sq_dist``; ties go to the lower index.
+
+    An array column goes through Arrow in batches; NULL, or a wrong length, has no cluster.
+    """
+    if isinstance(x, Column):
+        centers = np.asarray(centers, dtype=float)
+        d = centers.shape[1]
+
+        @F.pandas_udf("struct<cluster int, sq_dist double>")
+        def near(points: pd.Series) -> pd.DataFrame:
+            good = np.array([p is not None and len(p) == d for p in points], dtype=bool)
+            out = pd.DataFrame({"cluster": pd.array([None] * len(points), dtype="Int32"), "sq_dist": np.nan})
+            if good.any():
+                m = np.stack([np.asarray(p, dtype=float) for p in points[good]])
+                dist = np.stack([((m - c) ** 2).sum(axis=1) for c in centers], axis=1)
+                best = dist.argmin(axis=1)
+                known = ~np.isnan(dist).any(axis=1)
+                at = np.flatnonzero(good)[known]
+                out.loc[at, "cluster"] = best[known]
+                out.loc[at, "sq_dist"] = dist[known, best[known]]
+            return out
+
+        placed = df.withColumn("__near", near(x))
+        return placed.select(*df.columns, "__near.cluster", F.when(F.col("__near.cluster").isNotNull(), F.col("__near.sq_dist")).alias("sq_dist"))
     nearest = F.array_min(F.array(*[
         F.struct(squared_distance(x, c).alias("sq_dist"), F.lit(i).alias("cluster")) for i, c in enumerate(centers)
     ]))
@@ -224,21 +308,22 @@ def cluster_rates(df: DataFrame, cluster: str, outcome: str) -> DataFrame:
 
 
 def rank_labels(profile: DataFrame, cluster: str, labels: Sequence[str]) -> DataFrame:
-    """Rows (cluster, risk_rank, risk_label): labels in ascending order of the outcome rate."""
-    rank = F.row_number().over(W.orderBy("outcome_rate", cluster))
+    """Rows (cluster, risk_rank, risk_label): labels in ascending order of the outcome rate.
+
+    The lowest rate has the first label and the highest the last; with more clusters than labels
+    neighbouring ranks share one, with fewer some stay unused.
+    """
+    rank = F.row_number().over(W.orderBy("outcome_rate", cluster))  # one row per cluster
+    ranked = profile.select(cluster, rank.alias("risk_rank"), F.count(F.lit(1)).over(W.partitionBy(F.lit(0))).alias("n"))
+    place = F.floor((F.col("risk_rank") - 1) * (len(labels) - 1) / F.greatest(F.col("n") - 1, F.lit(1)) + 0.5)
     names = F.array(*[F.lit(v) for v in labels])
-    # One row per cluster.
-    return profile.select(cluster, rank.alias("risk_rank")).withColumn(
-        "risk_label", F.try_element_at(names, F.col("risk_rank"))
-    )
+    return ranked.select(cluster, "risk_rank", F.get(names, place.cast("int")).alias("risk_label"))
 
 
 def label_clusters(df: DataFrame, cluster: str, outcome: str, labels: Sequence[str]) -> DataFrame:
     """Add ``risk_label``: clusters ranked by their outcome rate."""
     ranked = rank_labels(cluster_rates(df, cluster, outcome), cluster, labels)
-    # At most len(labels) rows carry a label, so the lookup side is tiny.
-    named = ranked.where(F.col("risk_rank") <= len(labels)).select(cluster, "risk_label")
-    return df.join(F.broadcast(named), cluster, "left")
+    return df.join(ranked.select(cluster, "risk_label"), cluster, "left")
 
 
 def label_profile(labelled: DataFrame, outcome: str, labels: Sequence[str], digits: int = 3) -> DataFrame:

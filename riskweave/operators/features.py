@@ -8,19 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.operators.clean import long_by_type
+from riskweave.operators.warehouse import with_dense_key
 
-MAX_CATEGORIES = 1000
 
+def fit_one_hot(df: DataFrame, cols: Sequence[str], max_categories: int | None = None) -> dict[str, list]:
+    """Sorted categories of each column, each of which becomes a column of the wide table.
 
-def fit_one_hot(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
-    """Sorted categories of each column. Too many categories are an error, never cut off."""
+    With ``max_categories`` more of them are an error, never cut off. For columns of very many
+    values see :func:`index_categories`.
+    """
     found: dict[str, list] = {c: [] for c in cols}
     for long in long_by_type(df, cols):
-        rows = long.distinct().limit(max_categories * len(cols) + 1).collect()
+        values = long.distinct()
+        rows = (values if max_categories is None else values.limit(max_categories * len(cols) + 1)).collect()
         for r in rows:
             found[r["feature"]].append(r["value"])
     for c, values in found.items():
-        if len(values) > max_categories:
+        if max_categories is not None and len(values) > max_categories:
             raise ValueError(f"{c} has more than {max_categories} categories; it is no nominal column")
         values.sort()
     return found
@@ -39,26 +43,40 @@ def apply_one_hot(df: DataFrame, categories: Mapping[str, list], drop_first: boo
     return df.select(*[F.col(c) for c in df.columns if c not in categories], *dummies)
 
 
+def index_categories(df: DataFrame, col: str, name: str) -> DataFrame:
+    """Add ``name``: the 0-based place of the value among all values of ``col``, NULL for NULL.
+
+    The category table is joined and may be of any size; the place is the index of a sparse encoding.
+    """
+    values = with_dense_key(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], "__place")
+    return df.join(values.select(col, (F.col("__place") - 1).alias(name)), col, "left").select(*df.columns, name)
+
+
 def cast_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("int") for c in cols})
 
 
 def fit_zscore(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """(mean, population deviation) of every column, from one pass."""
+    """(mean, population deviation) of every column, from one pass.
+
+    The deviation of a column whose smallest and largest value agree is exactly 0, whatever
+    round-off the sums have.
+    """
     row = df.agg(
-        *[F.avg(c).alias(f"m|{c}") for c in cols], *[F.stddev_pop(c).alias(f"s|{c}") for c in cols]
+        *[F.avg(c).alias(f"m|{c}") for c in cols],
+        *[F.when(F.min(c) == F.max(c), F.lit(0.0)).otherwise(F.stddev_pop(c)).alias(f"s|{c}") for c in cols],
     ).first()
     return {c: (row[f"m|{c}"], row[f"s|{c}"]) for c in cols}
 
 
-def is_constant(mean: float, std: float) -> bool:
-    """A deviation that is only round-off of a constant column."""
-    return std <= 1e-9 * max(1.0, abs(mean))
+def collapsed_columns(stats: Mapping[str, tuple[float, float]], least: float = 1e-6) -> list[str]:
+    """Columns whose fitted deviation is at most ``least``: scaling them would only enlarge noise."""
+    return [c for c, (mean, std) in stats.items() if mean is None or std is None or std <= least]
 
 
 def zscore_column(name: str, stats: tuple[float, float]) -> Column:
     mean, std = stats
-    if mean is None or is_constant(mean, std):
+    if mean is None or not std:
         return F.when(F.col(name).isNotNull(), F.lit(0.0))
     return (F.col(name) - F.lit(mean)) / F.lit(std)
 
@@ -90,12 +108,14 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     long = per_class.unpivot([], list(cols), "feature", "s").select("feature", "s.n", "s.m", "s.v")
     sums = long.groupBy("feature").agg(
         F.sum("n").alias("n"), F.count("*").alias("k"), F.sum(F.col("n") * F.col("v")).alias("within"),
-        F.sum(F.col("n") * F.col("m")).alias("s"), F.sum(F.col("n") * F.col("m") * F.col("m")).alias("ss"),
+        F.try_divide(F.sum(F.col("n") * F.col("m")), F.sum("n")).alias("g"),
     )
-    between = F.col("ss") - F.col("s") * F.col("s") / F.col("n")
-    return sums.select(
+    # distances of class means from the grand mean, so that a large mean cancels before squaring
+    off = long.join(F.broadcast(sums.select("feature", "g")), "feature").groupBy("feature").agg(  # one row per column
+        F.sum(F.col("n") * F.pow(F.col("m") - F.col("g"), F.lit(2))).alias("between"))
+    return sums.join(F.broadcast(off), "feature").select(
         "feature",
-        F.try_divide(between / (F.col("k") - 1), F.col("within") / (F.col("n") - F.col("k"))).alias("f_score"),
+        F.try_divide(F.try_divide("between", F.col("k") - 1), F.try_divide("within", F.col("n") - F.col("k"))).alias("f_score"),
     )
 
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.session import materialize
+
 
 def _ratio(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
@@ -65,9 +67,8 @@ def class_report(df: DataFrame, label: str, pred: str, names: Mapping | None = N
         per = per.withColumn("class", shown)
     measures = ["precision", "recall", "f1"]
     weight = F.col("support").cast("double")
-    # One row per class is gathered here, so the summary rows need no second pass.
+    per = materialize(per, "classes")  # one row per class, read for the summary rows and for itself
     whole = per.agg(
-        F.array_sort(F.collect_list(F.struct("class", *measures, "support"))).alias("classes"),
         F.sum("support").alias("support"), _ratio(F.sum("hit"), F.sum("support")).alias("accuracy"),
         *[F.avg(m).alias(f"macro_{m}") for m in measures],
         *[_ratio(F.sum(F.col(m) * weight), F.sum(weight)).alias(f"weighted_{m}") for m in measures],
@@ -80,7 +81,7 @@ def class_report(df: DataFrame, label: str, pred: str, names: Mapping | None = N
         line("accuracy", ["accuracy"] * 3), line("macro avg", [f"macro_{m}" for m in measures]),
         line("weighted avg", [f"weighted_{m}" for m in measures]),
     )
-    return whole.select(F.inline(F.concat("classes", tail)))
+    return per.select("class", *measures, "support").unionByName(whole.select(F.inline(tail)))
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str, name: str | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.operators.quantiles import exact_quantiles
-from riskweave.session import materialize
+from riskweave.session import materialize, ship_package
 
 _NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
 
@@ -47,22 +47,22 @@ class IsolationForest:
 def tree_samples(df: DataFrame, cols: Sequence[str], key: str, trees: int, psi: int, seed: int, rows: int) -> DataFrame:
     """Rows (tree, columns): ``psi`` rows for each tree, chosen by hashes of the row key.
 
-    About 4 psi candidates per tree survive a hash test inside the scan; the
-    ranking that follows sees only those. On a large table a row is a candidate
-    of at most one tree and costs two hashes.
+    About 4 psi candidates per tree survive the scan; the ranking that follows sees only
+    those. One hash says for how many trees a row is a candidate (a binomial number), and only
+    rows with any choose their trees, so a row of a large table costs one hash.
     """
     unit = _unit_hash(F.col(key), F.lit(seed))
     wanted = 4.0 * psi
-    if rows > wanted * trees:
-        tree = F.pmod(F.xxhash64(key, F.lit(seed + 1)), F.lit(trees)).cast("int")
-        picked = df.where(unit < F.lit(wanted * trees / rows)).withColumn("tree", tree)
-    else:
-        share = min(1.0, wanted / rows)
-        each = F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)),
-            lambda t: _unit_hash(F.col(key), F.lit(seed), t) < F.lit(share),
-        )
-        picked = df.withColumn("tree", F.explode(each))
+    share = min(1.0, wanted / rows)
+    # P(at most i trees) for i = 0 .. trees - 1, in logarithms so that no term vanishes early
+    terms = [math.lgamma(trees + 1) - math.lgamma(i + 1) - math.lgamma(trees - i + 1)
+             + (i * math.log(share) + (trees - i) * math.log1p(-share) if share < 1 else -math.inf) for i in range(trees)]
+    at_most = np.minimum(np.cumsum(np.exp(terms)), 1.0)
+    number = F.size(F.filter(F.array(*[F.lit(float(p)) for p in at_most]), lambda p: p <= unit))
+    some = df.where(unit >= F.lit(float(at_most[0])))
+    ranked = F.sort_array(F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64(key, F.lit(seed + 1), t).alias("h"), t.alias("tree"))))
+    picked = some.withColumn("__t", F.explode(F.slice(ranked, 1, number))).withColumn("tree", F.col("__t.tree")).drop("__t")
     order = W.partitionBy("tree").orderBy(F.xxhash64(key, F.lit(seed + 2), "tree"), key)
     return picked.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= psi).select("tree", *cols)
 
@@ -98,6 +98,7 @@ def fit_iforest(
 ) -> IsolationForest:
     """Grow ``trees`` trees on ``min(psi, rows)`` rows each. ``key`` must tell rows apart."""
     cols = list(cols)
+    ship_package(df.sparkSession)
     rows = df.count()
     if not rows:
         raise ValueError("no rows to fit")

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskweave.session import materialize
+
 # Rows of one open interval that are counted value by value.
 DIRECT_ROWS = 50_000
 
@@ -79,18 +81,14 @@ def _narrow(df: DataFrame, open_: list[_Search], direct_rows: int, max_accuracy:
         probs = sorted({p for x in at for p in (max(0.0, x - 2 / accuracy), min(1.0, x + 2 / accuracy))})
         values = F.when(group[0].between(), F.col(group[0].column))
         sketches.append(F.percentile_approx(values, probs, accuracy).alias(f"s{i}"))
-    ends: dict[str, set] = {}
-    for (column, _, _), values in zip(shared, df.agg(*sketches).first()):
-        ends.setdefault(column, set()).update(values)
-    cuts = [(c, v) for c, values in ends.items() for v in sorted(values)]
-    counts = df.agg(*[
-        count for c, v in cuts
-        for count in (F.count_if(F.col(c) < F.lit(v)), F.count_if(F.col(c) == F.lit(v)))
-    ]).first()
-    for i, (c, v) in enumerate(cuts):
-        for s in open_:
-            if s.column == c:
-                s.learn(v, counts[2 * i], counts[2 * i + 1])
+    cuts = [(group, v) for group, values in zip(shared.values(), df.agg(*sketches).first()) for v in sorted(set(values))]
+    # Counted inside the interval only; how many rows lie below it is known.
+    inside = [(g[0].between(), F.col(g[0].column), F.lit(v)) for g, v in cuts]
+    counts = df.agg(*[count for b, x, v in inside for count in (F.count_if(b & (x < v)), F.count_if(b & (x == v)))]).first()
+    below = {id(s): s.upto_lo for s in open_}  # learn() moves it
+    for i, (group, v) in enumerate(cuts):
+        for s in group:
+            s.learn(v, below[id(s)] + counts[2 * i], counts[2 * i + 1])
 
 
 def _count_values(df: DataFrame, searches: list[_Search]) -> None:
@@ -130,8 +128,8 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column with linear interpolation, NULL for empty columns.
 
-    Every pass is an aggregation over the table; intervals shrink up to
-    ``max_accuracy / 4``-fold a round until at most ``direct_rows`` rows are left in
+    The first passes are aggregations over the table, later ones over the rows in the
+    intervals that are still open; these shrink up to ``max_accuracy / 4``-fold a round until at most ``direct_rows`` rows are left in
     one, whose distinct values are then counted and summed up in order.
     """
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
@@ -148,6 +146,9 @@ def exact_quantiles(
         if not wide:
             break
         _narrow(doubles, wide, direct_rows, max_accuracy)
+        left = [s for s in places.values() if s.found is None]
+        if left:  # a few rows in ten thousand lie in an open interval; later passes read only those
+            doubles = materialize(doubles.where(reduce(or_, [s.between() for s in left])), "intervals")
     rest = [s for s in places.values() if s.found is None]
     if rest:
         _count_values(doubles, rest)

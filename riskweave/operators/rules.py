@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskweave.session import materialize
+
 # Up to this many items all subsets of the distinct baskets are enumerated (3^12 at most).
 MASK_ITEMS = 12
 
@@ -22,13 +24,24 @@ def flags_mask(items: Sequence[str]) -> Column:
 
 
 def basket_masks(df: DataFrame, keys: Sequence[str], item: str, items: Sequence[str]) -> DataFrame:
-    """One row per basket with the bit set of its items, combined before the shuffle."""
+    """One row per basket with the bit set of its items, combined before the shuffle.
+
+    ``items`` has to name every value; :func:`item_values` reads them from the data.
+    """
     bit = F.lit(0)
     for i, v in enumerate(items):
         bit = F.when(F.col(item) == F.lit(v), F.lit(1 << i)).otherwise(bit)
     return df.groupBy(*keys).agg(F.bit_or(bit).alias("mask"))
 
 
+def item_values(df: DataFrame, item: str) -> list:
+    """All values of a column of few values, sorted; more than fit a bit set are an error."""
+    found = [r[0] for r in df.select(item).where(F.col(item).isNotNull()).distinct().limit(MASK_ITEMS + 1).collect()]
+    if len(found) > MASK_ITEMS:
+        raise ValueError(f"{item} has more than {MASK_ITEMS} values; collect them per basket and use array_itemsets()")
+    return sorted(found)
+
+
 def _mask_items(mask: Column, items: Sequence[str]) -> Column:
     names = F.array(*[F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.lit(v)) for i, v in enumerate(items)])
     return F.array_sort(F.array_compact(names))
@@ -74,35 +87,42 @@ def array_itemsets(df: DataFrame, min_support: float = 0.1) -> DataFrame:
     total = df.where(F.col("items").isNotNull()).count()
     if not total:
         return df.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
-    found = FPGrowth(itemsCol="items", minSupport=min_support).fit(df).freqItemsets
-    return found.select(
-        F.array_sort("items").alias("items"), "freq", F.size("items").alias("n_items"),
-        (F.col("freq") / F.lit(total)).alias("support"),
-    )
+    # Half a row less, so that rounding cannot raise the threshold; the filter is the same as for masks.
+    asked = max(0.0, min_support - 0.5 / total)
+    found = FPGrowth(itemsCol="items", minSupport=asked).fit(df).freqItemsets
+    support = F.col("freq") / F.lit(total)
+    return found.where(support >= F.lit(min_support)).select(
+        F.array_sort("items").alias("items"), "freq", F.size("items").alias("n_items"), support.alias("support"))
 
 
 def rules(frequent: DataFrame, min_confidence: float = 0.6) -> DataFrame:
-    """Every split of every frequent itemset into antecedents and consequents.
+    """Splits of frequent itemsets into antecedents and consequents, with enough confidence.
 
     Subsets of a frequent set are frequent, so both sides are looked up in the
-    same table. An empty input gives no rows.
+    same table. Moving an item to the consequents never raises the confidence, so consequents
+    grow item by item (Agrawal and Srikant 1994) and only from rules that passed: no task
+    enumerates the subsets of a wide set. An empty input gives no rows.
     """
-    last = F.expr("cast(shiftleft(1, n_items) - 2 as int)")
-    splits = frequent.where("n_items > 1").withColumn("__m", F.explode(F.sequence(F.lit(1), last)))
-
-    def in_side(wanted: bool) -> Column:
-        bit = lambda i: F.call_function("shiftleft", F.lit(1), i)
-        return F.filter("items", lambda _, i: (F.col("__m").bitwiseAND(bit(i)) != 0) == F.lit(wanted))
-
-    splits = splits.select(in_side(True).alias("antecedents"), in_side(False).alias("consequents"), "support")
-    left = frequent.select(F.col("items").alias("antecedents"), F.col("support").alias("a_support"))
+    frequent = materialize(frequent.select("items", "support"), "frequent")
+    sides = frequent.select(F.col("items").alias("antecedents"), F.col("support").alias("a_support"))
+    level = frequent.where(F.size("items") > 1).select("items", "support", F.array().cast("array<string>").alias("consequents"))
+    found = None
+    while True:
+        last = F.coalesce(F.try_element_at("consequents", F.lit(-1)), F.lit(""))
+        grown = level.withColumn("__last", last).withColumn("__more", F.explode("items"))
+        grown = grown.where((F.col("__more") > F.col("__last")) | (F.size("consequents") == 0))
+        grown = grown.select("items", "support", F.array_append("consequents", F.col("__more")).alias("consequents"))
+        grown = grown.where(F.size("consequents") < F.size("items"))
+        grown = grown.withColumn("antecedents", F.array_except("items", "consequents")).join(sides, "antecedents")
+        confidence = F.col("support") / F.col("a_support")
+        level = materialize(grown.where(confidence >= F.lit(min_confidence)).select(
+            "items", "support", "antecedents", "consequents", confidence.alias("confidence")), "rules")
+        found = level if found is None else found.unionByName(level)
+        if level.limit(1).count() == 0:
+            break
     right = frequent.select(F.col("items").alias("consequents"), F.col("support").alias("c_support"))
-    confidence = F.col("support") / F.col("a_support")
-    return (
-        splits.join(left, "antecedents").where(confidence >= F.lit(min_confidence)).join(right, "consequents")
-        .select("antecedents", "consequents", "support", confidence.alias("confidence"),
-                (confidence / F.col("c_support")).alias("lift"))
-    )
+    return found.join(right, "consequents").select(
+        "antecedents", "consequents", "support", "confidence", (F.col("confidence") / F.col("c_support")).alias("lift"))
 
 
 def top_rules(found: DataFrame, k: int = 10) -> DataFrame:

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 1000
+from riskweave.operators.warehouse import with_dense_key
+from riskweave.session import materialize
+
 # Rows of one hash prefix that a single task ranks.
 RANK_ROWS = 1_000_000
+# Classes whose last test rows are still broadcast; beyond, they are joined by shuffling.
+BROADCAST_CLASSES = 100_000
 
 
 def _order_hash(keys: Sequence[str], seed: int | None) -> Column:
@@ -22,7 +24,7 @@ def _order_hash(keys: Sequence[str], seed: int | None) -> Column:
 
 
 def quotas(counts: Sequence[int], share: float) -> list[int]:
-    """Test rows of each class: training rows are apportioned by largest remainder."""
+    """Test rows of each of a few classes, in their order; :func:`quota_table` does any number."""
     total = sum(counts)
     train = total - math.ceil(share * total)
     exact = [train * c / total if total else 0.0 for c in counts]
@@ -33,9 +35,20 @@ def quotas(counts: Sequence[int], share: float) -> list[int]:
     return [c - b for c, b in zip(counts, base)]
 
 
-def _in_any(places: dict) -> Column:
-    """Rows of the given (class, hash prefix) pairs."""
-    return reduce(or_, [F.col("__c").eqNullSafe(F.lit(c)) & F.col("__h").startswith(p) for c, (p, *_) in places.items()])
+def quota_table(counts: DataFrame, share: float) -> DataFrame:
+    """``counts`` (c, n) with ``q``, the test rows of each class.
+
+    Training rows are apportioned by largest remainder, ties in class order (NULL first). Classes
+    are ranked by a dense key, so there may be any number of them.
+    """
+    whole = counts.agg(F.sum("n").alias("total")).first()["total"] or 0
+    train = whole - math.ceil(share * whole)
+    exact = F.lit(train) * F.col("n") / F.lit(float(max(whole, 1)))
+    base = counts.withColumn("base", F.floor(exact)).withColumn("less", F.col("base") - exact).withColumn("known", F.col("c").isNotNull())
+    base = materialize(base, "quotas")
+    spare = train - (base.agg(F.sum("base").alias("s")).first()["s"] or 0)
+    ranked = with_dense_key(base, ["less", "known", "c"], "place")
+    return ranked.select("c", "n", (F.col("n") - F.col("base") - (F.col("place") <= F.lit(spare)).cast("int")).alias("q"))
 
 
 def mark_test(
@@ -48,54 +61,40 @@ def mark_test(
     would put a whole class into one task. Instead rows are counted by hash prefix,
     and the one prefix per class in which the quota ends is split further until it
     holds at most ``rank_rows`` rows. Those are ranked, and every row is compared
-    with the last test row found there. The table itself is never shuffled.
+    with the last test row found there. Quotas, prefixes and last rows are tables, so the number
+    of classes has no bound; while it is small the rows themselves are never shuffled.
     """
     label = F.col(stratify) if stratify else F.lit(0)
     tagged = df.withColumn("__h", _order_hash(keys, seed))
-    slim = tagged.select(label.alias("__c"), "__h", *keys)
-
-    def counts(rows: DataFrame, digits: int) -> dict:
-        prefix = F.substring("__h", 1, digits).alias("p")
-        found: dict = {}
-        for r in rows.groupBy("__c", prefix).count().limit(256 * MAX_CLASSES + 1).collect():
-            found.setdefault(r["__c"], []).append((r["p"], r["count"]))
-        return found
-
+    slim = tagged.select(label.alias("c"), "__h", *keys)
+
+    def ending(rows: DataFrame, quota: DataFrame, digits: int) -> DataFrame:
+        """Per class the prefix in which its quota ends: (c, p, q still to take, rows n)."""
+        counts = rows.groupBy("c", F.substring("__h", 1, digits).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        joined = counts.join(quota.select(F.col("c").alias("__c"), "q"), F.col("c").eqNullSafe(F.col("__c")))
+        before = F.coalesce(F.sum("n").over(W.partitionBy("c").orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        placed = joined.withColumn("q", F.col("q") - before)  # at most 256 prefixes per class
+        return placed.where((F.col("q") > 0) & (F.col("q") <= F.col("n"))).select("c", "p", "q", "n")
+
+    totals = materialize(slim.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "classes")
+    few = totals.count() <= BROADCAST_CLASSES
+    small = F.broadcast if few else (lambda rows: rows)
+    ends = materialize(ending(slim, quota_table(totals, share).where("q > 0"), 2), "cuts")
     digits = 2
-    level = counts(slim, digits)
-    if len(level) > MAX_CLASSES:
-        raise ValueError(f"{stratify} has more than {MAX_CLASSES} classes; it is no class label")
-    classes = sorted(level, key=lambda c: (c is not None, c if c is not None else 0))
-    left = dict(zip(classes, quotas([sum(n for _, n in level[c]) for c in classes], share)))
-    left = {c: q for c, q in left.items() if q > 0}
-    ends: dict = {}  # class -> (prefix, rows to take from it, rows in it)
-    while True:
-        for c, q in left.items():
-            for prefix, n in sorted(level.get(c, [])):
-                if q <= n:
-                    ends[c] = (prefix, q, n)
-                    break
-                q -= n
-        left = {c: q for c, (_, q, n) in ends.items() if n > rank_rows}
-        if not left or digits >= 32:
-            break
+    while digits < 32 and (ends.agg(F.max("n").alias("n")).first()["n"] or 0) > rank_rows:
         digits += 2
-        level = counts(slim.where(_in_any({c: ends[c] for c in left})), digits)
-    if not ends:
-        return tagged.withColumn("is_test", F.lit(False)).drop("__h")
-
-    place = F.lit(None).cast("bigint")
-    for c, (_, q, _) in ends.items():
-        place = F.when(F.col("__c").eqNullSafe(F.lit(c)), F.lit(q)).otherwise(place)
-    rank = F.row_number().over(W.partitionBy("__c").orderBy("__h", *keys))
-    last_rows = slim.where(_in_any(ends)).withColumn("__r", rank).where(F.col("__r") == place).collect()
-
-    is_test = F.lit(False)
-    for r in last_rows:  # one per class
-        cut = [F.lit(r[k]).cast(df.schema[k].dataType).alias(k) for k in keys]
-        at = F.struct("__h", *keys) <= F.struct(F.lit(r["__h"]).alias("__h"), *cut)
-        is_test = F.when(label.eqNullSafe(F.lit(r["__c"])), at).otherwise(is_test)
-    return tagged.withColumn("is_test", is_test).drop("__h")
+        inside = ends.select(F.col("c").alias("__c"), F.col("p").alias("__p"))
+        part = slim.join(small(inside), F.col("c").eqNullSafe(F.col("__c")) & (F.substring("__h", 1, digits - 2) == F.col("__p")))
+        ends = materialize(ending(part.select(*slim.columns), ends, digits), "cuts")
+
+    rank = F.row_number().over(W.partitionBy("c").orderBy("__h", *keys))
+    inside = ends.select(F.col("c").alias("__c"), F.col("p").alias("__p"), "q")
+    part = slim.join(small(inside), F.col("c").eqNullSafe(F.col("__c")) & F.col("__h").startswith(F.col("__p")))
+    last = materialize(part.withColumn("__r", rank).where(F.col("__r") == F.col("q")).select(
+        F.col("c").alias("__c"), F.struct("__h", *keys).alias("__last")), "last-rows")
+    joined = tagged.join(small(last), label.eqNullSafe(F.col("__c")), "left")
+    is_test = F.coalesce(F.struct("__h", *keys) <= F.col("__last"), F.lit(False))
+    return joined.select(*df.columns, is_test.alias("is_test"))
 
 
 def split(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -230,8 +230,8 @@ def segment(prepared: Prepared, restarts: int = 10) -> dict[str, DataFrame]:
 
 def associate(prepared: Prepared) -> dict[str, DataFrame]:
     """Frequent itemsets and rules among the clinical flags."""
-    frequent = rules.itemsets(prepared.patients, S.RULE_ITEMS, 0.1)
-    found = rules.rules(frequent, 0.6)
+    frequent = materialize(rules.itemsets(prepared.patients, S.RULE_ITEMS, 0.1), "itemsets")
+    found = materialize(rules.rules(frequent, 0.6), "rules")
     return {"itemsets": frequent, "rules": found, "top_rules": rules.top_rules(found)}
 
 
@@ -243,8 +243,8 @@ def run_summary(prepared: Prepared, comparison: DataFrame, regression: DataFrame
     )
     best = metrics.best_model(comparison)
     multi = regression.where("model = 'multiple'").select("rmse", "r2")
-    one = [df.withColumn("__one", F.lit(1)) for df in (shape, best, multi)]  # one row each
-    return one[0].join(one[1], "__one").join(one[2], "__one").drop("__one")
+    all_ = shape.unionByName(best, allowMissingColumns=True).unionByName(multi, allowMissingColumns=True)  # one row each
+    return all_.agg(*[F.max(c).alias(c) for c in all_.columns])
 
 
 def run(spark: SparkSession, uci: str, framingham: str, cardio: str, out: str, forest_depth: int = 30,
@@ -279,11 +279,13 @@ def run(spark: SparkSession, uci: str, framingham: str, cardio: str, out: str, f
 
 def fit_artefacts(
     spark: SparkSession, features_path: str, scaler_path: str, categories: Mapping[str, list] | None = None,
-    trees: int = 100, max_depth: int = 30,
+    trees: int = 100, max_depth: int = 30, least_deviation: float = 1e-6,
+    collapsed: Sequence[str] = tuple(S.COLLAPSED),
 ) -> tuple[Artefacts, DataFrame]:
     """Train the scorer on the saved feature table and scaler: (artefacts, holdout metrics).
 
-    Without ``categories`` they are read off the dummy column names, each with a
+    The ``collapsed`` columns, and those whose fitted deviation is at most ``least_deviation``,
+    are neutralised, as scaling them would only enlarge noise. Without ``categories`` they are read off the dummy column names, each with a
     dropped smallest category.
     """
     table = read_table(spark, features_path)
@@ -297,6 +299,6 @@ def fit_artefacts(
     model, quality = models.evaluate("Random Forest", models.random_forest(trees, max_depth), train_v, test_v)
     art = Artefacts(
         features=columns, scaler={c: scaler[c] for c in S.CONTINUOUS if c in columns}, categories=dict(categories),
-        collapsed=S.COLLAPSED, weights=[float(w) for w in model.featureImportances.toArray()], model=model,
+        collapsed=[c for c in scaler if c in {*collapsed, *features.collapsed_columns(scaler, least_deviation)}], weights=[float(w) for w in model.featureImportances.toArray()], model=model,
     )
     return art, quality

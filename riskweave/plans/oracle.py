@@ -22,7 +22,7 @@ features AS (
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS urgent,
          CASE WHEN c_acctbal >= 8000 THEN 1 ELSE 0 END AS rich,
          CASE WHEN returned >= 0.5 THEN 1 ELSE 0 END AS target
-  FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN lines ON l_orderkey = o_orderkey)"""
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN lines ON l_orderkey = o_orderkey)"""
 
 STAR = LINES + """,
 keyed AS (
@@ -303,8 +303,8 @@ ORACLE: dict[str, str] = {
         open_lines, bulk, deep_discount, high_tax, urgent, rich, target FROM features""",
     "scaler_roundtrip": _zscore(["o_totalprice"], "orders", "o_orderkey"),
     "integrate_sources": f"WITH {RECORDS} {_records_out('records')}",
-    "dedup_rows": "SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount FROM lineitem",
-    "dedup_documents": "SELECT DISTINCT text FROM documents",
+    "dedup_rows": "SELECT DISTINCT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem",
+    "dedup_documents": "SELECT DISTINCT * FROM documents",
     "dedup_stats": f"""WITH {RECORDS} SELECT b AS rows_before, a AS rows_after, b - a AS rows_removed
         FROM (SELECT (SELECT count(*) FROM records) AS b, (SELECT count(*) FROM (SELECT DISTINCT * FROM records)) AS a)""",
     "null_audit": f"WITH {RECORDS} " + " UNION ALL ".join(
@@ -362,7 +362,7 @@ ORACLE: dict[str, str] = {
         WHERE status = (SELECT status FROM rates ORDER BY rate DESC, status DESC LIMIT 1)""",
     "itemsets_events": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_itemset_out(_EVENT_TYPES)}",
     "itemsets_growth": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_itemset_out(_EVENT_TYPES)}",
-    "rules_events": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.1)} {_rules(_EVENT_TYPES, 0.45)}",
+    "rules_events": f"WITH {_itemsets(EVENT_MASKS, _EVENT_TYPES, 0.0005)} {_rules(_EVENT_TYPES, 0.01)}",
     "itemsets_parts": f"WITH {_itemsets(PART_MASKS, _PART_TYPES, 0.1)} {_itemset_out(_PART_TYPES)}",
     "itemsets_flags": f"WITH {FLAG_ITEMSETS} {_itemset_out(O.RULE_ITEMS)}",
     "rules_flags": f"WITH {FLAG_ITEMSETS} {_rules(O.RULE_ITEMS, 0.6)}",

@@ -63,7 +63,7 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders, customer = load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer")
     wide = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(
-        customer, F.col("o_custkey") == F.col("c_custkey"))
+        customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     return wide.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("totalprice"),
         F.col("c_acctbal").alias("acctbal"), "n_lines", "qty", "price", "discount", "tax",

@@ -85,12 +85,12 @@ def integrate_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dedup_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return integrate.dedup(O.load(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount"))
+    return integrate.dedup(O.load(spark, sf, "lineitem")).withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
 @query
 def dedup_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return integrate.dedup(O.load(spark, sf, "documents").select("text"))
+    return integrate.dedup(O.load(spark, sf, "documents"))
 
 
 @query
@@ -127,8 +127,10 @@ def impute_mode(spark: SparkSession, sf: str) -> DataFrame:
 def impute_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated records with every gap filled."""
     rows = materialize(integrate.dedup(O.records(spark, sf)), "records")
-    fill = clean.fit_impute(rows, O.RECORD_MEANS, O.RECORD_MODES)
-    return clean.apply_impute(rows, {c: round(v, 7) if isinstance(v, float) else v for c, v in fill.items()})
+    given = {f"_{c}": F.col(c) for c in O.RECORD_MEANS}
+    filled = clean.apply_impute(rows.withColumns(given), clean.fit_impute(rows, O.RECORD_MEANS, O.RECORD_MODES))
+    shown = {c: F.coalesce(F.col(f"_{c}"), r(c, 7)) for c in O.RECORD_MEANS}  # only filled cells depend on the order of sums
+    return filled.withColumns(shown).drop(*given)
 
 
 @query
@@ -268,8 +270,14 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
 def _training(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
     table, names = O.model_features(spark, sf)
     train, test = split(table, ["order_id"], stratify="target")
-    vectors = materialize(models.assemble(train, names, "target"), "train", spread=True)
-    return vectors, models.assemble(test, names, "target"), names
+    return _dealt(models.assemble(train, names, "target", ["order_id"])), models.assemble(test, names, "target"), names
+
+
+def _dealt(vectors: DataFrame) -> DataFrame:
+    """Rows dealt and sorted by their key: MLlib draws its bags per partition, so a forest
+    depends on ``spark.sql.shuffle.partitions`` but not on the cores or files at hand."""
+    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(vectors, "train").repartition(n, "order_id").sortWithinPartitions("order_id")
 
 
 @query
@@ -292,11 +300,12 @@ def classify_rf(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    """Logistic regression and decision tree on one split, and the better of the two."""
+    """Logistic regression, decision tree and forest on one split; the best one is marked."""
     train, test, _ = _training(spark, sf)
     results = [
         models.evaluate("Logistic Regression", models.logistic_regression(train.count()), train, test)[1],
         models.evaluate("Decision Tree", models.decision_tree(), train, test)[1],
+        models.evaluate("Random Forest", models.random_forest(**FOREST), train, test)[1],
     ]
     return metrics.best_model(models.compare(results))
 
@@ -388,9 +397,9 @@ def pca_measures(spark: SparkSession, sf: str) -> DataFrame:
 
 def _class_means(rows: DataFrame) -> np.ndarray:
     """Mean vector of each label, in label order: classes x dimensions numbers."""
-    means = rows.select("label", F.posexplode("x").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("v"))
-    ordered = means.orderBy("label", "i").collect()
-    return np.array([m["v"] for m in ordered]).reshape(len({m["label"] for m in ordered}), -1)
+    d = rows.agg(F.max(F.size("x")).alias("d")).first()["d"]
+    means = rows.groupBy("label").agg(*[F.avg(F.get("x", F.lit(i))).alias(f"m{i}") for i in range(d)]).orderBy("label").collect()
+    return np.array([[m[f"m{i}"] for i in range(d)] for m in means])
 
 
 def _labelled_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -453,14 +462,11 @@ def elbow(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- rules ----------------------------------------------------------------------------
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-
-
 def _event_itemsets(spark: SparkSession, sf: str, support: float = 0.1) -> DataFrame:
     """Event types seen per user and day."""
     visits = O.load(spark, sf, "events").select("user_id", F.to_date("ts").alias("day"), "event_type")
-    return rules.mask_itemsets(rules.basket_masks(visits, ["user_id", "day"], "event_type", EVENT_TYPES), EVENT_TYPES, support)
+    types = rules.item_values(visits, "event_type")
+    return rules.mask_itemsets(rules.basket_masks(visits, ["user_id", "day"], "event_type", types), types, support)
 
 
 def _text_items(df: DataFrame, *cols: str) -> DataFrame:
@@ -474,7 +480,7 @@ def itemsets_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rules_events(spark: SparkSession, sf: str) -> DataFrame:
-    return _text_items(rules.rules(_event_itemsets(spark, sf), 0.45), "antecedents", "consequents")
+    return _text_items(rules.rules(_event_itemsets(spark, sf, 0.0005), 0.01), "antecedents", "consequents")
 
 
 @query
@@ -482,8 +488,9 @@ def itemsets_parts(spark: SparkSession, sf: str) -> DataFrame:
     """Part types bought together in one order."""
     lines = O.load(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     part = O.load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    masks = rules.basket_masks(lines.join(part, "l_partkey"), ["l_orderkey"], "p_type", PART_TYPES)
-    return _text_items(rules.mask_itemsets(masks, PART_TYPES, 0.1), "items")
+    types = rules.item_values(part, "p_type")
+    masks = rules.basket_masks(lines.join(part, "l_partkey"), ["l_orderkey"], "p_type", types)
+    return _text_items(rules.mask_itemsets(masks, types, 0.1), "items")
 
 
 @query
@@ -643,7 +650,7 @@ def score_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Every order scored by a random forest trained on four fifths of them."""
     table, names = O.model_features(spark, sf)
     train, _ = split(table, ["order_id"], stratify="target")
-    model = models.random_forest(50, 8).fit(materialize(models.assemble(train, names, "target"), "train", spread=True))
+    model = models.random_forest(**FOREST).fit(_dealt(models.assemble(train, names, "target", ["order_id"])))
     art = scoring.Artefacts(features=names, scaler={}, weights=list(model.featureImportances.toArray()), model=model)
     scored = scoring.score(table, art, ["order_id", "target"])
     return scored.select("order_id", "target", "probability", "risk_score", "risk_band")
@@ -681,4 +688,5 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
         F.count("*").alias("row_count"), F.count_if(F.col("target") == 0).alias("kept_orders"),
         F.count_if(F.col("target") == 1).alias("returned_orders"))
     best = rounded(metrics.best_model(_rule_metrics(spark, sf), ["f1"]))
-    return shape.withColumn("one", F.lit(1)).join(best.withColumn("one", F.lit(1)), "one").drop("one")
+    both = shape.unionByName(best, allowMissingColumns=True)  # one row each
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])

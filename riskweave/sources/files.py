@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,23 +14,48 @@ from riskweave.schemas import NA_TOKENS
 def read_delimited(spark: SparkSession, path: str, columns: Mapping[str, str], sep: str = ",") -> DataFrame:
     """Typed columns of a text file with a header, found by name.
 
-    Columns are looked up by their header, so extra or reordered columns are
+    Columns are looked up by the header of each file, so extra or reordered columns are
     harmless, and only the wanted ones are parsed. Missing-value tokens become
-    NULL; any other text that is no number fails the cast.
+    NULL; any other text that is no number fails the cast, and so does a fraction in a
+    column of whole numbers.
     """
-    raw = spark.read.csv(path, header=True, sep=sep, encoding="UTF-8")
-    missing = [c for c in columns if c not in raw.columns]
-    if missing:
-        raise ValueError(f"{path} lacks the columns {missing}")
+    parts = []
+    for header, paths in _headers(spark, path, sep).items():
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise ValueError(f"{paths[0]} lacks the columns {missing}")
+        parts.append(spark.read.csv(paths, header=True, sep=sep, encoding="UTF-8", schema=", ".join(f"`c{i}` string" for i in range(len(header))), enforceSchema=True).toDF(*header))
 
     def typed(name: str, kind: str):
         text = F.trim(F.col(f"`{name}`"))
         value = F.when(~text.isin(NA_TOKENS), text)
-        if kind == "int":  # whole numbers may be written as 1.0
-            value = value.cast("double")
+        if kind in ("int", "bigint"):  # whole numbers may be written as 1.0
+            number = value.cast("double")
+            whole = F.when(number.isNull() | (number == F.floor(number)), number)
+            return F.coalesce(whole.cast(kind), F.when(value.isNotNull(), F.raise_error(F.concat(F.lit(f"{name}: no whole number: "), value)).cast(kind))).alias(name)
         return value.cast(kind).alias(name)
 
-    return raw.select(*[typed(n, k) for n, k in columns.items()])
+    read = [raw.select(*[typed(n, k) for n, k in columns.items()]) for raw in parts]
+    out = read[0]
+    for more in read[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _headers(spark: SparkSession, path: str, sep: str) -> dict[tuple[str, ...], list[str]]:
+    """Files below ``path`` by their header; a folder may hold files of different column order."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    wide = StructType([StructField("line", StringType())])
+    first = spark.read.schema(wide).text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "line")
+    found: dict[tuple[str, ...], list[str]] = {}
+    heads = first.groupBy("file").agg(F.min_by("line", "at").alias("line")).orderBy("file").collect()  # one row per file
+    for row in heads:
+        names = next(csv.reader([row["line"].lstrip("\ufeff")], delimiter=sep))
+        found.setdefault(tuple(n.strip() for n in names), []).append(row["file"])
+    if not found:
+        raise ValueError(f"{path} has no header")
+    return found
 
 
 def source_counts(sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -61,7 +87,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def save_scaler(spark: SparkSession, stats: Mapping[str, tuple[float, float]], path: str) -> None:
     """Persist fitted means and deviations, one row per column."""
-    rows = [(c, float(m), float(s)) for c, (m, s) in stats.items()]
+    number = lambda v: None if v is None else float(v)  # noqa: E731 - an all-NULL column has neither
+    rows = [(c, number(m), number(s)) for c, (m, s) in stats.items()]
     spark.createDataFrame(rows, "feature string, mean double, std double").coalesce(1).write.mode(
         "overwrite"
     ).parquet(path)
