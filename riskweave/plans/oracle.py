@@ -142,7 +142,10 @@ report AS (
 SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
        CAST(support AS BIGINT) AS support FROM report"""
 
-ORDER_LINES = LINES + ", rows_ AS (SELECT order_id, qty, price, n_lines FROM features WHERE price IS NOT NULL AND qty IS NOT NULL)"
+ORDER_LINES = LINES + ", rows_ AS (SELECT order_id, " + ", ".join(
+    f"coalesce({c}, (SELECT avg({c}) FROM features)) AS {c}" for c in ("qty", "price", "n_lines")) + " FROM features)"
+IMPUTED = LINES + ", filled AS (SELECT order_id, target, " + ", ".join(
+    f"coalesce({c}, (SELECT avg({c}) FROM features)) AS {c}" for c in O.NUMERIC) + " FROM features)"
 REGRESS_SIMPLE = f"""
 WITH {ORDER_LINES}, {_split('rows_', 'order_id')},
 fit AS (SELECT regr_slope(price, qty) AS slope, regr_intercept(price, qty) AS intercept FROM marked WHERE NOT is_test),
@@ -323,7 +326,7 @@ ORACLE: dict[str, str] = {
         for v in values) + " FROM orders",
     "zscore": _zscore(_MEASURES, "lineitem", "l_orderkey, l_linenumber"),
     "anova_f": _anova("lineitem", _MEASURES, "l_returnflag"),
-    "select_k_best": f"""WITH {LINES}, base AS (SELECT * FROM features WHERE qty IS NOT NULL),
+    "select_k_best": f"""WITH {IMPUTED}, base AS (SELECT * FROM filled),
         scores AS ({_anova('base', O.NUMERIC, 'target')}) SELECT feature FROM scores ORDER BY f_score DESC, feature LIMIT 3""",
     "star_fact": f"WITH {STAR} SELECT * FROM order_fact",
     "dim_party": f"WITH {STAR} SELECT * FROM dim_party",
@@ -405,3 +408,108 @@ ORACLE: dict[str, str] = {
                (SELECT model FROM scores ORDER BY f1 DESC, model LIMIT 1) AS best_f1_model,
                (SELECT round(max(f1), 6) FROM scores) AS best_f1 FROM features""",
 }
+
+
+# --- fitted models ----------------------------------------------------------------------
+
+_FLAG_SPLIT = LINES + """,
+flags AS (SELECT order_id, CAST(coalesce(n_lines, 0) >= 4 AS INT) AS target, """ + ", ".join(f"coalesce({c}, 0) AS {c}" for c in O.FLAGS) + """ FROM features),
+counts AS (SELECT target AS c, count(*) AS n FROM flags GROUP BY target),
+total AS (SELECT sum(n) AS t, sum(n) - ceil(CAST(0.2 AS DOUBLE) * sum(n)) AS train FROM counts),
+exact AS (SELECT c, n, train, CAST(train AS DOUBLE) * n / t AS e FROM counts, total),
+placed AS (SELECT *, row_number() OVER (ORDER BY e - floor(e) DESC, c) AS pos, train - sum(floor(e)) OVER () AS spare FROM exact),
+quota AS (SELECT c, n - floor(e) - CASE WHEN pos <= spare THEN 1 ELSE 0 END AS q FROM placed),
+marked AS (
+  SELECT f.*, row_number() OVER (PARTITION BY target ORDER BY md5(CAST(order_id AS VARCHAR)), order_id) <= q AS is_test
+  FROM flags f JOIN quota ON c = target)"""
+
+
+def _stump(names: list[str], prefix: str = "") -> str:
+    """Best single flag by gini, and every test row with the share of ones on its side."""
+    sides = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {i} AS pos, {c} AS side, count(*) AS n, sum(target) AS ones FROM marked WHERE NOT is_test GROUP BY {c}"
+        for i, c in enumerate(names))
+    side = "CASE feature " + " ".join(f"WHEN '{c}' THEN {c}" for c in names) + " END"
+    return f"""
+{prefix}sides AS ({sides}),
+{prefix}gains AS (SELECT feature, pos, sum(n * 2 * (ones / n) * (1 - ones / n)) AS impurity FROM {prefix}sides GROUP BY feature, pos HAVING count(*) > 1),
+{prefix}best AS (SELECT feature FROM {prefix}gains ORDER BY impurity, pos LIMIT 1),
+{prefix}scored AS (
+  SELECT order_id, target, s.ones / s.n AS p FROM marked m, {prefix}best b JOIN {prefix}sides s USING (feature)
+  WHERE is_test AND s.side = ({side}))"""
+
+
+def _stump_metrics(name: str, prefix: str = "") -> str:
+    return f"""
+  SELECT '{name}' AS model, avg(CASE WHEN target = y THEN 1.0 ELSE 0.0 END) AS accuracy,
+         coalesce(CAST(sum(target * y) AS DOUBLE) / nullif(sum(y), 0), 0) AS precision,
+         coalesce(CAST(sum(target * y) AS DOUBLE) / nullif(sum(target), 0), 0) AS recall,
+         coalesce(CAST(2 * sum(target * y) AS DOUBLE) / nullif(sum(target) + sum(y), 0), 0) AS f1
+  FROM (SELECT target, CAST(p > 0.5 AS INT) AS y FROM {prefix}scored)"""
+
+
+_ONE = ("open_lines", "bulk", "urgent")
+_COMPARED = f"WITH {_FLAG_SPLIT}, " + ", ".join(_stump([c], f"{c}_") for c in _ONE) + ", compared AS (" + " UNION ALL ".join(
+    _stump_metrics(c, f"{c}_") for c in _ONE) + ")"
+_BEST_STUMP = """(SELECT model FROM compared ORDER BY accuracy DESC, model LIMIT 1) AS best_accuracy_model,
+    (SELECT round(max(accuracy), 6) FROM compared) AS best_accuracy"""
+_SLOPES = f"WITH {IMPUTED}, slopes AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, regr_slope(target, {c}) AS s FROM filled" for c in O.NUMERIC) + ")"
+
+
+def _lloyd(start: str, steps: int, prefix: str = "") -> str:
+    """Passes from ``start`` (cluster, i, v) over ``cells``; the last assignment is ``{prefix}near``."""
+    out, centers = [], start
+    for step in range(steps + 1):
+        near = f"{prefix}n{step}" if step < steps else f"{prefix}near"
+        out.append(f"""{near} AS (
+  SELECT vec_id, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (
+    SELECT vec_id, cluster, sum((c.v - k.v) * (c.v - k.v)) AS d FROM cells c JOIN {centers} k USING (i) GROUP BY vec_id, cluster) GROUP BY vec_id)""")
+        if step < steps:
+            centers = f"{prefix}c{step + 1}"
+            out.append(f"{centers} AS (SELECT cluster, i, avg(v) AS v FROM {near} JOIN cells USING (vec_id) GROUP BY cluster, i)")
+    return ",\n".join(out)
+
+
+_CELLS = """
+cells AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+classes AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS cluster FROM (SELECT DISTINCT label FROM embeddings)),
+starts AS (SELECT cluster, i, avg(v) AS v FROM cells JOIN classes USING (label) GROUP BY cluster, i)"""
+_ELBOW = f"WITH {_CELLS}, " + ", ".join(
+    f"s{k} AS (SELECT * FROM starts WHERE cluster < {k}), " + _lloyd(f"s{k}", 4, f"k{k}_") for k in range(2, 6)) + ", costs AS (" + " UNION ALL ".join(
+    f"SELECT {k} AS k, sum(d) AS wcss FROM k{k}_near" for k in range(2, 6)) + ")"
+
+ORACLE |= {
+    "classify_stump": f"WITH {_FLAG_SPLIT}, {_stump(O.FLAGS)}, m AS ({_stump_metrics('Stump')}) "
+    f"SELECT model, {_rnd(['accuracy', 'precision', 'recall', 'f1'], 6)} FROM m",
+    "stump_importance": f"WITH {_FLAG_SPLIT}, {_stump(O.FLAGS)} SELECT feature, importance FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST((SELECT count(*) FROM best WHERE feature = '{c}') AS DOUBLE) AS importance" for c in O.FLAGS)
+    + ") ORDER BY importance DESC, feature LIMIT 3",
+    "stump_risk": f"""WITH {_FLAG_SPLIT}, {_stump(O.FLAGS)}, t AS (SELECT order_id, round_even(p * 100, 1) AS s, target FROM scored)
+        SELECT order_id, s AS predicted_risk_score, {BAND_RIGHT} AS risk_band, CAST(target AS INT) AS actual_target FROM t""",
+    "compare_stumps": f"{_COMPARED} SELECT {_BEST_STUMP}",
+    "top_slopes_positive": f"{_SLOPES} SELECT feature FROM slopes ORDER BY s DESC, feature LIMIT 2",
+    "top_slopes_negative": f"{_SLOPES} SELECT feature FROM slopes ORDER BY s, feature LIMIT 2",
+    "kmeans_lloyd": f"""WITH {_CELLS}, {_lloyd('starts', 4)},
+rates AS (SELECT cluster, avg(CAST(label % 2 = 0 AS INT)) AS rate FROM near JOIN embeddings USING (vec_id) GROUP BY cluster),
+ranks AS (SELECT cluster, row_number() OVER (ORDER BY rate, cluster) AS risk_rank, count(*) OVER () AS n FROM rates)
+SELECT CAST(cluster AS INT) AS cluster, CAST(i AS VARCHAR) AS feature, round(v, 6) + 0 AS value, CAST(risk_rank AS INT) AS risk_rank,
+  CASE CAST(floor((risk_rank - 1) * 2 / greatest(n - 1, 1) + CAST(0.5 AS DOUBLE)) AS INT) WHEN 0 THEN 'Low Risk' WHEN 1 THEN 'Medium Risk' ELSE 'High Risk' END AS risk_label
+FROM c4 JOIN ranks USING (cluster)""",
+    "elbow_lloyd": f"""{_ELBOW} SELECT k, round(wcss, 6) AS wcss, round(wcss / (SELECT wcss FROM costs WHERE k = 2), 6) AS ratio_to_first FROM costs""",
+    "iforest_fixed": """WITH b AS (
+  SELECT o_orderkey AS order_id,
+    (CASE WHEN o_totalprice <= 100000 THEN CASE WHEN c_acctbal <= 0 THEN CAST(2 AS DOUBLE) ELSE CAST(4.25 AS DOUBLE) END ELSE CAST(1.5 AS DOUBLE) END
+     + CASE WHEN c_acctbal <= 5000 THEN CAST(3.5 AS DOUBLE) WHEN o_totalprice <= 250000 THEN CAST(2.75 AS DOUBLE) ELSE CAST(2 AS DOUBLE) END) / 2 AS path
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+s AS (SELECT order_id, pow(2, -path / (2 * (ln(CAST(255 AS DOUBLE)) + CAST(0.5772156649015329 AS DOUBLE)) - CAST(2 * 255 AS DOUBLE) / 256)) AS a FROM b)
+SELECT order_id, round(a, 6) AS score FROM s WHERE round(a, 9) <= round((SELECT quantile_cont(a, 0.9) FROM s), 9)""",
+    "pca_reduced": """WITH t AS (SELECT (4 * CAST(count(*) AS DOUBLE)) / (count(*) - 1) AS trace,
+  corr(l_quantity, l_extendedprice) * count(*) / (count(*) - 1) AS c FROM lineitem)
+SELECT component, CAST(0 AS DOUBLE) AS residual, CAST(1 AS DOUBLE) AS length, round(trace, 5) AS trace, round(c, 5) + 0 AS corr
+FROM t, (SELECT unnest(['pc1', 'pc2']) AS component)""",
+    "csv_bom": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+    "star_defaults": f"""WITH {LINES} SELECT row_number() OVER (ORDER BY order_id) AS flags_id, CAST(coalesce(open_lines, 0) AS INT) AS open_lines,
+        CAST(coalesce(bulk, 0) AS INT) AS bulk, CAST(coalesce(high_tax, 0) AS INT) AS high_tax FROM features""",
+    "run_quality": f"""{_COMPARED}, reg AS ({REGRESS_SIMPLE})
+        SELECT (SELECT count(*) FROM orders) AS row_count, {_BEST_STUMP}, (SELECT rmse FROM reg) AS rmse, (SELECT r2 FROM reg) AS r2""",
+}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from riskweave import schemas as S
 from riskweave.functions import columns as C
 from riskweave.operators import clean, cluster, features, integrate, metrics, models, outliers, pca, rules, scoring
 from riskweave.operators.split import mark_test, split
-from riskweave.operators.warehouse import load_star, rollup_query, save_star
+from riskweave.operators.warehouse import build_star, load_star, rollup_query, save_star
 from riskweave.plans import orders as O
 from riskweave.session import materialize, scratch_path
 from riskweave.sources import files
@@ -161,8 +162,7 @@ def anova_f(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def select_k_best(spark: SparkSession, sf: str) -> DataFrame:
     """The three order measures that separate the target best."""
-    rows = O.order_features(spark, sf).dropna(subset=["qty"])
-    best = features.select_k_best(materialize(rows, "select"), O.NUMERIC, "target", 3)
+    best = features.select_k_best(materialize(O.clean_features(spark, sf), "select"), O.NUMERIC, "target", 3)
     return spark.createDataFrame([(c,) for c in best], "feature string")
 
 
@@ -317,8 +317,9 @@ def rf_importance_top10(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    rows = O.order_features(spark, sf).dropna(subset=["price", "qty"])
-    return materialize(rows.select("order_id", "qty", "price", "n_lines"), "lines")
+    """All orders; those without lines have the means."""
+    table = materialize(O.order_features(spark, sf).select("order_id", "qty", "price", "n_lines"), "lines")
+    return clean.apply_impute(table, clean.fit_impute(table, ["qty", "price", "n_lines"], []))
 
 
 @query
@@ -690,3 +691,151 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     best = rounded(metrics.best_model(_rule_metrics(spark, sf), ["f1"]))
     both = shape.unionByName(best, allowMissingColumns=True)  # one row each
     return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
+# --- fitted models whose results SQL can compute as well -------------------------------
+
+
+def _flag_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of all orders with their 0/1 flags, missing ones 0; the target is to have four lines."""
+    many = (F.coalesce("n_lines", F.lit(0.0)) >= 4).cast("int").alias("target")
+    rows = O.order_features(spark, sf).select("order_id", many, *[F.coalesce(c, F.lit(0)).alias(c) for c in O.FLAGS])
+    return split(materialize(rows, "flags"), ["order_id"], stratify="target")
+
+
+def _stump(spark: SparkSession, sf: str, names: list[str]) -> tuple[object, DataFrame, DataFrame]:
+    """Decision tree of depth one on flags: (model, its metrics, scored test rows)."""
+    train, test = _flag_rows(spark, sf)
+    vectors = _dealt(models.assemble(train, names, "target", ["order_id"]))
+    held = models.assemble(test, names, "target", ["order_id"])
+    model, quality = models.evaluate("Stump", models.decision_tree(1), vectors, held)
+    return model, quality, models.probability_of_one(model.transform(held))
+
+
+@query
+def classify_stump(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_stump(spark, sf, O.FLAGS)[1])
+
+
+@query
+def stump_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(models.importance_table(spark, _stump(spark, sf, O.FLAGS)[0], O.FLAGS, 3))
+
+
+@query
+def stump_risk(spark: SparkSession, sf: str) -> DataFrame:
+    """Risk score, band and outcome of every held-out order."""
+    scored = _stump(spark, sf, O.FLAGS)[2].withColumn("predicted_risk_score", C.percent("probability_1"))
+    band = C.band_right_closed("predicted_risk_score", S.SCORE_EDGES, S.SCORE_BANDS)
+    return scored.select("order_id", "predicted_risk_score", band.alias("risk_band"), F.col("label").cast("int").alias("actual_target"))
+
+
+@query
+def compare_stumps(spark: SparkSession, sf: str) -> DataFrame:
+    """Three stumps on one split, each with one flag, and the best of them."""
+    found = [_stump(spark, sf, [c])[1].withColumn("model", F.lit(c)) for c in ("open_lines", "bulk", "urgent")]
+    return rounded(metrics.best_model(models.compare(found), ["accuracy"]))
+
+
+def _slopes(spark: SparkSession, sf: str) -> DataFrame:
+    table = O.clean_features(spark, sf)
+    slopes = table.agg(*[F.regr_slope("target", c).alias(c) for c in O.NUMERIC]).first()  # one row
+    return models.weights_table(spark, [slopes[c] for c in O.NUMERIC], O.NUMERIC, "slope")
+
+
+@query
+def top_slopes_positive(spark: SparkSession, sf: str) -> DataFrame:
+    return models.top_weights(_slopes(spark, sf), "slope", 2).select("feature")
+
+
+@query
+def top_slopes_negative(spark: SparkSession, sf: str) -> DataFrame:
+    return models.top_weights(_slopes(spark, sf), "slope", 2, largest=False).select("feature")
+
+
+LLOYD_STEPS = 4
+
+
+@query
+def kmeans_lloyd(spark: SparkSession, sf: str) -> DataFrame:
+    """Centres after four passes from the class means, ranked by the share of even labels."""
+    rows = _labelled_points(spark, sf).withColumn("even", (F.col("label") % 2 == 0).cast("int"))
+    centers, _, _ = cluster.lloyd(rows.select("x"), _class_means(rows), LLOYD_STEPS)
+    placed = materialize(cluster.assign(rows, F.col("x"), centers), "placed")
+    ranked = cluster.rank_labels(cluster.cluster_rates(placed, "cluster", "even"), "cluster", S.RISK_LABELS)
+    names = [str(i + 1) for i in range(centers.shape[1])]
+    return rounded(cluster.centroid_table(rows, cluster.KMeansFit(len(centers), centers, 0.0, LLOYD_STEPS), names, ranked))
+
+
+@query
+def elbow_lloyd(spark: SparkSession, sf: str) -> DataFrame:
+    """Within-cluster squares after four passes from the first k class means, k = 2 to 5."""
+    rows = _labelled_points(spark, sf)
+    means = _class_means(rows)
+    fits = {}
+    for k in range(2, 6):
+        centers, _, cost = cluster.lloyd(rows.select("x"), means[:k], LLOYD_STEPS)
+        fits[k] = cluster.KMeansFit(k, centers, float(cost.sum()), LLOYD_STEPS)
+    return rounded(cluster.elbow_table(spark, fits))
+
+
+#: Two isolation trees: (tree, node, feature, cut, left, right, path), leaves with feature -1.
+FIXED_FOREST = [
+    (0, 0, 0, 100000.0, 1, 2, 0.0), (0, 1, 1, 0.0, 3, 4, 0.0), (0, 2, -1, 0.0, 2, 2, 1.5), (0, 3, -1, 0.0, 3, 3, 2.0), (0, 4, -1, 0.0, 4, 4, 4.25),
+    (1, 0, 1, 5000.0, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, 3.5), (1, 2, 0, 250000.0, 3, 4, 0.0), (1, 3, -1, 0.0, 3, 3, 2.75), (1, 4, -1, 0.0, 4, 4, 2.0),
+]
+
+
+@query
+def iforest_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders that a fixed forest keeps, with their scores; the limit is the 90 % quantile."""
+    nodes = pd.DataFrame(FIXED_FOREST, columns=["tree", "node", "feature", "split", "left", "right", "path"])
+    forest = outliers.IsolationForest(["totalprice", "acctbal"], nodes, 2, 256)
+    table = O.load(spark, sf, "orders").join(O.load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("totalprice"), F.col("c_acctbal").alias("acctbal"))
+    scored = materialize(outliers.score_iforest(table, forest), "anomaly")
+    marked = scored.withColumn("is_inlier", F.col("anomaly") <= F.lit(outliers.outlier_threshold(scored, "anomaly", 0.1)))
+    shown = marked.withColumn("score", r("anomaly"))
+    return outliers.drop_outliers(shown).select("order_id", "score")
+
+
+@query
+def pca_reduced(spark: SparkSession, sf: str) -> DataFrame:
+    """Two components of four standardised measures: C v - (share x trace) v, the length of v, and the trace."""
+    lines = O.load(spark, sf, "lineitem")
+    scaled = materialize(features.apply_zscore(lines, features.fit_zscore(lines, MEASURES)).select(*MEASURES), "scaled")
+    loadings, _, shares = pca.fit_pca(scaled, MEASURES, 2)
+    cells = {(c["row"], c["col"]): c["value"] for c in models.covariance_matrix(scaled, MEASURES).collect()}  # 4 x 4 numbers
+    cov = np.array([[cells.get((a, b), cells.get((b, a))) for b in MEASURES] for a in MEASURES])
+    trace = float(np.trace(cov))
+    rows = [(f"pc{i + 1}", float(np.abs(cov @ v - share * trace * v).max()), float(v @ v), trace, float(cov[0, 1]))
+            for i, (v, share) in enumerate(zip(loadings, shares))]
+    return rounded(spark.createDataFrame(rows, "component string, residual double, length double, trace double, corr double"), 5)
+
+
+@query
+def csv_bom(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers written as comma text with a byte-order mark and read back by column name."""
+    text = O.load(spark, sf, "customer").select(F.col("c_name").alias("\ufeffc_name"), "c_acctbal", "c_custkey")
+    path = files.write_table(text, scratch_path(spark, "customer-csv"), "csv")
+    return files.read_delimited(spark, path, {"c_custkey": "bigint", "c_name": "string", "c_acctbal": "double"})
+
+
+@query
+def star_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """A dimension of flags, stored as whole numbers with 0 where an order has no lines."""
+    tables = build_star(
+        O.order_features(spark, sf), ["order_id"], {"dim_flags": ("flags_id", ["open_lines", "bulk", "high_tax"])}, "flag_fact",
+        ["target"], O.RISK_FLAGS, defaults=["open_lines", "bulk", "high_tax"])
+    return tables["dim_flags"]
+
+
+@query
+def run_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """One row: orders, best stump, and the error of the price regression."""
+    shape = O.load(spark, sf, "orders").agg(F.count(F.lit(1)).alias("row_count"))
+    parts = [shape, compare_stumps(spark, sf), regress_simple(spark, sf).select("rmse", "r2")]
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part, allowMissingColumns=True)  # one row each
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
