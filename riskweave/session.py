@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,9 +70,34 @@ def scratch_dir(spark: SparkSession) -> str:
     return local
 
 
+_OPEN: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder."""
-    return f"{scratch_dir(spark).rstrip('/')}/riskweave/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/riskweave/{name}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the stored copies made inside the block when it ends.
+
+    Results are lazy and read the copies, so write them within the block:
+    ``with scratch_scope(spark): heart.run(...)["olap"]["risk_by_gender"].write.parquet(out)``.
+    """
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialize(df: DataFrame, name: str, spread: bool = False) -> DataFrame:

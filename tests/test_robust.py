@@ -137,3 +137,13 @@ print("MARKED", outliers.mark_outliers(df, ["a", "b"], "id", trees=4, psi=32).wh
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "MODELS 2" in done.stdout and "MARKED" in done.stdout, done.stderr[-3000:]
+
+
+def test_copies_of_a_scope_are_deleted(spark, tmp_path):
+    from riskweave.session import materialize, scratch_scope
+
+    with scratch_scope(spark):
+        kept = materialize(spark.range(5), "scoped")
+        path = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert kept.count() == 5 and os.path.isdir(path)
+    assert not os.path.exists(path)
