@@ -39,30 +39,30 @@ def as_points(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
 
 
+def _inspect(points: DataFrame) -> tuple[np.ndarray, float]:
+    """Mean and mean column variance of all points; broken points are an error. Two small jobs."""
+    first = points.where("size(x) > 0").select(F.size("x").alias("d")).first()
+    if first is None:
+        raise ValueError("no points to cluster")
+    d = first["d"]
+    bad = F.col("x").isNull() | (F.size("x") != d) | F.exists("x", lambda v: v.isNull() | F.isnan(v))
+    at = [F.get("x", F.lit(i)) for i in range(d)]
+    row = points.agg(
+        F.count_if(F.coalesce(bad, F.lit(True))).alias("bad"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(at)],
+        *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(at)]).first()
+    if row["bad"]:
+        raise ValueError(f"{row['bad']} points are or hold NULL or NaN, or have another length than {d}")
+    return np.array([row[f"m{i}"] for i in range(d)]), sum(row[f"v{i}"] for i in range(d)) / d
+
+
 def weighted_points(points: DataFrame) -> DataFrame:
-    """Distinct points ``x`` with their number ``w``; unequal lengths, NULL or NaN inside are an error.
+    """Distinct points ``x`` with their number ``w``.
 
     Copies are counted before the shuffle, so later passes handle a hot point once.
     """
-    bad = F.col("x").isNull() | F.exists("x", lambda v: v.isNull() | F.isnan(v))
-    kind = points.agg(F.min(F.size("x")).alias("low"), F.max(F.size("x")).alias("high"), F.count_if(bad).alias("bad")).first()
-    if kind["low"] is None:
-        raise ValueError("no points to cluster")
-    if kind["bad"] or kind["low"] != kind["high"]:
-        raise ValueError(f"{kind['bad']} points are or hold NULL or NaN; lengths are {kind['low']} to {kind['high']}")
     return points.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
 
 
-def _moments(points: DataFrame, d: int) -> tuple[np.ndarray, float, int]:
-    """Mean, mean column variance and number of all points."""
-    w = F.col("w")
-    row = points.agg(F.sum("w").alias("n"), *[(F.sum(w * F.get("x", F.lit(i))) / F.sum("w")).alias(f"m{i}") for i in range(d)]).first()
-    mean = np.array([row[f"m{i}"] for i in range(d)])
-    off = [F.sum(w * F.pow(F.get("x", F.lit(i)) - F.lit(float(m)), F.lit(2))) for i, m in enumerate(mean)]
-    spread = points.agg(*[c.alias(f"v{i}") for i, c in enumerate(off)]).first()
-    return mean, sum(spread) / row["n"] / d, row["n"]
-
-
 def _draw(points: DataFrame, chosen: np.ndarray, origin: np.ndarray, size: int, seed: int) -> np.ndarray:
     """``size`` distinct points, drawn in proportion to weight times squared distance to ``chosen``.
 
@@ -185,11 +185,10 @@ def fit_many(
     variance (squared), or after ``max_iter`` passes. Emptied clusters keep their centre.
     ``store`` writes the points once, so that passes do not repeat the query before.
     """
+    origin, variance = _inspect(points)
     points = weighted_points(points)
     if store:
         points = materialize(points, "points", spread=True)
-    d = len(points.first()["x"])
-    origin, variance, _ = _moments(points, d)
     sample, weight = _candidates(points, origin, seed, max(DRAWN, 2 * max(ks)))
     models = [
         (k, _refine(sample, weight, _plus_plus(sample, weight, k, np.random.default_rng([seed, k, r]))))
@@ -229,6 +228,7 @@ def lloyd(points: DataFrame, centers: np.ndarray, steps: int) -> tuple[np.ndarra
 
     Counts and distances are those to the returned centres. An emptied cluster keeps its centre.
     """
+    _inspect(points)
     stored = materialize(weighted_points(points), "points", spread=True)
     origin = np.asarray(centers, dtype=float).mean(axis=0)
     at = np.asarray(centers, dtype=float) - origin
