@@ -100,19 +100,20 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(conf).delete(place, True)
 
 
-def materialize(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str, spread: bool = False, codec: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the scratch folder and read it back.
 
     The copy outlives lost executors, later passes read only the columns they
     need, and non-deterministic columns are fixed by being stored. ``spread``
     gives each core a file where the table is so small (a few megabytes per
-    core) that a scan would leave cores idle in compute-heavy passes.
+    core) that a scan would leave cores idle in compute-heavy passes. ``codec`` names
+    another compression than the session's, for copies that hold texts.
     """
     spark = df.sparkSession
 
     def stored(rows: DataFrame) -> DataFrame:
         path = scratch_path(spark, name)
-        rows.write.parquet(path)
+        rows.write.parquet(path, compression=codec)
         return spark.read.schema(df.schema).parquet(path)
 
     copy = stored(df)
