@@ -104,7 +104,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.75, lea
     A template keeps its lines in one document, the one with the smallest doc_id (and text hash),
     so that of a passage that all its documents have something stays.
     """
-    lines = materialize(parse(docs, leading), "lines")
+    lines = materialize(parse(docs, leading), "lines", codec="zstd")
     known = materialize(templates(lines, min_docs, alike), "line-templates")
     who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_mark")
     placed = materialize(salted_join(
