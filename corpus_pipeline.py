@@ -9,19 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import bpe, decontam, langid, line_dedup, ngram_join
+from riskweave.llm.common import without
 from riskweave.llm.queries import vocabulary_path
 from riskweave.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _same_document(docs: DataFrame) -> DataFrame:
-    """``docs`` with the hash of the text that, with the id, names a document."""
-    return docs.withColumn("_mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+def _mark() -> Column:
+    """Hash of the text that, with the id, names a document."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,12 +31,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document without any text, or in no language that the labels name, is rejected. The
     columns stay as they are, the declared language included.
     """
-    marked = _same_document(docs)
-    evidence = langid.document_evidence(marked).withColumn("key", F.struct(F.col("key").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")))
-    found = langid.identify(evidence, langid.fit(docs)).where(~F.col("kept"))
-    rejected = found.select(F.col("key.id").alias("_id"), F.col("key.mark").alias("_m")).distinct()
-    kept = marked.join(rejected, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")), "left_anti")
-    return kept.select(*docs.columns)
+    key = F.struct(F.col("key").alias("id"), _mark().alias("mark"))
+    evidence = langid.document_evidence(docs).withColumn("key", key)
+    rejected = langid.identify(evidence, langid.fit(docs)).where(~F.col("kept")).select("key.id", "key.mark")
+    return without(docs, rejected, {"id": F.col("doc_id"), "mark": _mark()})
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeated rows, as no id names them.
     """
     joined = materialize(ngram_join.ngram_join(docs), "near-duplicates")
-    gone = joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    kept = without(docs, joined.where("doc_id <> component_id"), {"doc_id": F.col("doc_id")})
     twice = joined.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
     if twice.limit(1).count() == 0:
         return kept

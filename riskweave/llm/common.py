@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.session import materialize
+
 #: What separates words: the six ASCII white-space characters. Everything else belongs to a word.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -41,6 +43,29 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salt_by: Colu
     return big.withColumn("_salt", salt).join(repeated(small, "_salt", bits), [*keys, "_salt"], how).drop("_salt")
 
 
+#: Rows of a few numbers each that are still broadcast (some tens of MB at most).
+BROADCAST_ROWS = 500_000
+
+
+def bounded(rows: DataFrame, n: int) -> DataFrame:
+    """``rows``, of which there are at most ``n``: broadcast if that is few, else joined by a shuffle."""
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
+
+
+def without(docs: DataFrame, gone: DataFrame, by: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` whose values are not in ``gone``.
+
+    ``by`` maps columns of ``gone`` to expressions over ``docs``; NULLs are equal. ``gone`` is stored and
+    counted, so that texts are not shuffled against a short list.
+    """
+    names = {c: f"_gone_{c}" for c in by}
+    listed = materialize(gone.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct(), "gone")
+    same = F.lit(True)
+    for c, expression in by.items():
+        same = same & expression.eqNullSafe(F.col(names[c]))
+    return docs.join(bounded(listed, listed.count()), same, "left_anti")
+
+
 def repeated(df: DataFrame, name: str, bits: int) -> DataFrame:
     """``df`` once for every salt below ``2 ** bits``, in column ``name``."""
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(2**bits - 1))).alias(name))

@@ -16,13 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import ascii_lower, computed, words
+from riskweave.llm.common import ascii_lower, bounded, computed, without, words
 from riskweave.session import materialize
 
 LENGTH = 5
 HASHES = 32
-#: Rows of item tables that are still broadcast (some tens of bytes each).
-BROADCAST_ROWS = 500_000
 
 
 def _identity(docs: DataFrame) -> DataFrame:
@@ -62,11 +60,6 @@ def item_shingles(items: DataFrame) -> DataFrame:
     return rows.join(sizes, "item_id").withColumn("k", F.ceil(F.log2("n_item")).cast("int"))
 
 
-def _bounded(rows: DataFrame, n: int) -> DataFrame:
-    """Broadcast where the count is known to be small; else Spark joins by shuffling."""
-    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
-
-
 def leaks(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
     """Pairs ``doc_id``, ``_mark`` (hash of the text), ``item_id``, ``n_item``, ``n_shared``.
 
@@ -83,7 +76,7 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
 
     rows = _identity(docs)
     found = _numbered(rows, "doc_id", "_mark").select("doc_id", "_mark", "at", _mark_of(F.col("at")).alias("fp"))
-    hits = found.join(_bounded(keys, n_items * HASHES), "fp")
+    hits = found.join(bounded(keys, n_items * HASHES), "fp")
     step = F.expr("shiftleft(1, k)")
     number = F.floor(F.col("at") / step).cast("int")
     windows = hits.select("doc_id", "_mark", F.explode(F.array(F.struct("k", number.alias("n")), F.struct("k", (number - 1).alias("n")))).alias("x"))
@@ -104,12 +97,12 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
     prints = prints.groupBy("doc_id", "_mark", "k", "n").agg(*[F.min(_hash(j)).alias(f"m{j}") for j in range(HASHES)])
     made = F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"m{j}").alias("h")) for j in range(HASHES)])
     prints = prints.select("doc_id", "_mark", "k", F.inline(made))
-    candidates = prints.join(_bounded(lows.select("k", "j", "h", "item_id"), n_items * HASHES), ["k", "j", "h"])
+    candidates = prints.join(bounded(lows.select("k", "j", "h", "item_id"), n_items * HASHES), ["k", "j", "h"])
     candidates = materialize(candidates.select("doc_id", "_mark", "item_id").distinct(), "candidates")
 
     exact = _numbered(near, "doc_id", "_mark").select("doc_id", "_mark", "at", "w", _mark_of(F.col("at")).alias("fp"))
     own = shingles.select("fp", "shingle", "item_id", "n_item")
-    exact = exact.join(_bounded(own, shingles.count()), "fp").where(_shingle(F.col("at")) == F.col("shingle"))
+    exact = exact.join(bounded(own, shingles.count()), "fp").where(_shingle(F.col("at")) == F.col("shingle"))
     shared = exact.groupBy("doc_id", "_mark", "item_id", "n_item").agg(F.count_distinct("shingle").alias("n_shared"))
     shared = shared.where(100 * F.col("n_shared") >= percent * F.col("n_item"))
     c = candidates.select(F.col("doc_id").alias("_d"), F.col("_mark").alias("_m"), F.col("item_id").alias("_i"))
@@ -119,6 +112,5 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
     """Rows of ``docs``, with all their columns, that hold no item."""
-    bad = leaks(docs, items, percent).select(F.col("doc_id").alias("_d"), F.col("_mark").alias("_m")).distinct()
     mark = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (mark == F.col("_m")), "left_anti")
+    return without(docs, leaks(docs, items, percent), {"doc_id": F.col("doc_id"), "_mark": mark})
