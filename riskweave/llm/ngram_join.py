@@ -12,8 +12,8 @@ The steps, each of which keeps every document that can have a link:
    has to share as many prefix shingles as the smaller of its two ``m`` says.
 4. The documents of a shingle are first compared with a few of their number. Documents linked
    that way are in one component, and only pairs across components are compared further.
-   Of these, a pair cannot be similar if what both have in common with the shingle's centre (its
-   document with most links), and what neither has in common with it, is too little.
+   Of these, a pair cannot be similar if what both have in common with the shingle's centre (the
+   document most alike to those it was compared with), and what neither has in common with it, is too little.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import salted_join, small_batches
@@ -35,6 +36,8 @@ from riskweave.session import materialize, ship_package
 #: Documents and shingles that one batch holds at most (one document may hold more shingles).
 BATCH_DOCS, BATCH_SHINGLES = 1 << 16, 1 << 20
 MATCHES = (1, 2, 3, 4, 6, 8)
+#: Shingles of a document that look for a leader, and entries before a common shingle that are compared.
+TRIES, LOOK_BACK = 16, 4
 PACKED = "batch long, bucket long, kind int, payload binary"
 
 
@@ -193,17 +196,17 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     length = F.least(F.col("size").cast("int") - F.col("o") + F.col("m") - F.col("alone"), F.size("t"))
     return ranked.where(length > 0).select(
         "rid", "size", "alone", "m", F.posexplode(F.slice("t", 1, length)).alias("at", "x")
-    ).select("rid", "size", "m", (F.col("at") + F.col("alone")).alias("place"), F.col("x.token").alias("token"))
+    ).select("rid", "size", "m", "at", (F.col("at") + F.col("alone")).alias("place"), F.col("x.token").alias("token"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sets are similar, by exact counting of their common shingles."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs with ``jaccard`` and ``linked``, by exact counting of their common shingles."""
     left = sets.select(F.col("rid").alias("a"), F.col("size").alias("size_a"), F.col("tokens").alias("tokens_a"))
     right = sets.select(F.col("rid").alias("b"), F.col("size").alias("size_b"), F.col("tokens").alias("tokens_b"))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
     joined = pairs.join(left, "a").join(right, "b").withColumn("both", both)
-    similar = 100 * F.col("both") >= percent * (F.col("size_a") + F.col("size_b") - F.col("both"))
-    return joined.where(similar).select("a", "b")
+    union = F.col("size_a") + F.col("size_b") - F.col("both")
+    return joined.select("a", "b", (F.col("both") / union).alias("jaccard"), (100 * F.col("both") >= percent * union).alias("linked"))
 
 
 def _usable(x: str, y: str, percent: int) -> Column:
@@ -223,13 +226,14 @@ def similar_sets(sets: DataFrame, percent: int = 75) -> DataFrame:
     in one component already are not compared, so the links are not all similar pairs.
     """
     entries = materialize(_prefixes(sets, percent), "prefixes")
-    # one leader per shingle and size class, other ones for other shingles: entries, not pairs
+    # one leader per shingle and size class, for a document's rarest shingles: some pairs per document
     scale = F.floor(F.log(F.col("size").cast("double")) / F.lit(0.1)).cast("int")
-    picked = entries.withColumn("scale", scale)
+    picked = entries.where(F.col("at") < TRIES).withColumn("scale", scale)
     leaders = picked.groupBy("token", "scale").agg(F.min_by("rid", F.xxhash64("rid", "token")).alias("b"))
     star = picked.join(leaders, ["token", "scale"]).where(F.col("rid") != F.col("b"))
     star = star.select(F.least("rid", "b").alias("a"), F.greatest("rid", "b").alias("b")).distinct()
-    first = materialize(_verified(star, sets, percent), "links")
+    tried = materialize(_compared(star, sets, percent), "tried")
+    first = tried.where("linked").select("a", "b")
     found = components(first)
 
     marked = entries.join(found.withColumnRenamed("node", "rid"), "rid", "left")
@@ -237,30 +241,43 @@ def similar_sets(sets: DataFrame, percent: int = 75) -> DataFrame:
     mixed = marked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     open_ = materialize(marked.join(mixed.select("token"), "token", "left_semi"), "open")
 
-    # the document of a shingle with most links is its centre; all others are compared with it
-    ends = first.select(F.col("a").alias("rid")).union(first.select("b")).groupBy("rid").agg(F.count(F.lit(1)).alias("degree"))
+    # the document of a shingle that is most alike to those it met is its centre; all others are compared with it
+    ends = tried.select(F.col("a").alias("rid"), "jaccard").union(tried.select("b", "jaccard"))
+    ends = ends.groupBy("rid").agg(F.avg("jaccard").alias("mean"), F.count(F.lit(1)).alias("met"))
+    fame = F.when(F.col("met") >= 3, F.col("mean")).otherwise(F.col("mean") / 2)
     ranked = open_.join(ends, "rid", "left")
-    centres = ranked.groupBy("token").agg(F.max_by("rid", F.struct(F.coalesce("degree", F.lit(0)), -F.col("rid"))).alias("centre"))
+    centres = ranked.groupBy("token").agg(F.max_by("rid", F.struct(F.coalesce(fame, F.lit(0.0)), -F.col("rid"))).alias("centre"))
     placed = materialize(open_.join(centres, "token"), "centred")
     own = sets.select("rid", "size", "tokens")
-    other = sets.select(F.col("rid").alias("centre"), F.col("size").alias("size_c"), F.col("tokens").alias("tokens_c"))
+    other = sets.join(placed.select(F.col("centre").alias("rid")).distinct(), "rid", "left_semi")
+    other = other.select(F.col("rid").alias("centre"), F.col("size").alias("size_c"), F.col("tokens").alias("tokens_c"))
     close = salted_join(placed.select("rid", "centre").distinct().join(own, "rid"), other, ["centre"], F.xxhash64("rid"))
     close = close.withColumn("both", F.size(F.array_intersect("tokens", "tokens_c")))
     close = materialize(close.select(
         "rid", "centre", "both", (F.size("tokens") - F.col("both")).alias("rest"),
         (100 * F.col("both") >= percent * (F.col("size") + F.col("size_c") - F.col("both"))).alias("linked")), "centres")
-    second = close.where(F.col("linked") & (F.col("rid") != F.col("centre"))).select(F.col("rid").alias("a"), F.col("centre").alias("b"))
+    linked = close.where(F.col("linked") & (F.col("rid") != F.col("centre"))).select(F.col("rid").alias("a"), F.col("centre").alias("b"))
+    second = materialize(first.union(linked).distinct(), "links")
+    joined = components(second).withColumnRenamed("node", "rid")
+    placed = placed.drop("component").join(joined, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
 
     # two documents share no more than what both share with the centre and what neither does
-    near = placed.join(close, ["rid", "centre"])
+    # a pair is listed at its first common shingle; others are left out if one shortly before is common, too
+    order = W.partitionBy("rid").orderBy("place")
+    before = F.array_compact(F.array(*[F.lag("token", i).over(order) for i in range(1, LOOK_BACK + 1)]))
+    near = materialize(placed.join(close, ["rid", "centre"]).withColumn("before", before), "near")
     x, y = near.alias("x"), near.alias("y")
     most = F.least("x.both", "y.both") + F.least("x.rest", "y.rest")
     possible = ~(F.col("x.linked") & F.col("y.linked")) & (most >= _needed(F.col("x.size"), F.col("y.size"), percent))
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
-                   & _usable("x", "y", percent) & possible)
-    pairs = pairs.groupBy(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.least("x.m", "y.m")).alias("m")).where("n >= m").select("a", "b")
-    return first.union(second).union(materialize(_verified(pairs, sets, percent), "links"))
+                   & _usable("x", "y", percent) & possible & ~F.arrays_overlap("x.before", "y.before"))
+    pairs = pairs.groupBy(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).agg(F.min(F.least("x.m", "y.m")).alias("m"))
+    # all common prefix shingles of documents in two components are in these lists
+    prefix = near.groupBy("rid").agg(F.collect_list("token").alias("prefix"))
+    pairs = pairs.join(prefix.select(F.col("rid").alias("a"), F.col("prefix").alias("prefix_a")), "a").join(
+        prefix.select(F.col("rid").alias("b"), F.col("prefix").alias("prefix_b")), "b")
+    pairs = pairs.where(F.size(F.array_intersect("prefix_a", "prefix_b")) >= F.col("m")).select("a", "b")
+    return second.union(materialize(_compared(pairs, sets, percent).where("linked").select("a", "b"), "links"))
 
 
 def ngram_join(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
