@@ -1,9 +1,9 @@
 """Recurring lines: a log-template tree over all documents, and what remains of their texts.
 
 The tree has a fixed depth: number of tokens, then the leading tokens. Tokens with a digit count
-as variable fields from the start. Below a leaf, a token that few documents have at its
-place is a variable field, too; the rest of the line is its template. A line that fits no
-recurring template exactly joins the one it resembles. All of that is counting and joining by
+as variable fields from the start. Below a leaf, a token that fewer documents have at its
+place than the line's other tokens is a variable field, too; the rest of the line is its template.
+A line that fits no recurring template exactly joins the one it resembles. All of that is counting and joining by
 key, so that the result depends neither on the order of lines nor on their distribution.
 """
 
@@ -43,46 +43,49 @@ def _tokens(rows: DataFrame) -> DataFrame:
 def templates(lines: DataFrame, min_docs: int = 5, alike: float = 0.75) -> DataFrame:
     """``leaf``, ``line``, ``template`` for every masked line that has a recurring template.
 
-    A token is constant if at least ``min_docs`` documents have it at its place below the leaf.
-    A template recurs if that many documents have it, and needs a share ``alike`` of constant
-    tokens. A line that has no recurring template takes the most frequent one below its leaf
+    Of a line's tokens the share ``alike`` that most documents have at their place below the leaf is
+    constant, with all others that as many documents have; what fewer have is a variable field. Tokens are
+    compared with those of their own line, so that the size of the table does not matter. Lines that
+    share a template with more constant tokens share this one, too. A template recurs if ``min_docs``
+    documents have it. A line that has no recurring template takes the most frequent one below its leaf
     that agrees with it in a share ``alike`` of the tokens, of which one quarter as a whole.
     """
     per_doc = lines.select("leaf", "line", "doc_id", "_mark").distinct()
     counts = materialize(per_doc.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n_docs")), "line-counts")
-    exact = counts.where(F.col("n_docs") >= min_docs).select("leaf", "line", F.col("line").alias("template"), "n_docs")
-    # leaves with enough documents, of which some have a line that does not recur by itself
-    open_ = counts.groupBy("leaf").agg(F.sum("n_docs").alias("docs"), F.min("n_docs").alias("least"))
-    open_ = open_.where((F.col("docs") >= min_docs) & (F.col("least") < min_docs)).select("leaf")
+    exact = counts.where(F.col("n_docs") >= min_docs).select("leaf", "line", F.col("line").alias("template"))
+    # leaves with enough documents and more than one line
+    open_ = counts.groupBy("leaf").agg(F.sum("n_docs").alias("docs"), F.count(F.lit(1)).alias("n_lines"))
+    open_ = open_.where((F.col("docs") >= min_docs) & (F.col("n_lines") > 1)).select("leaf")
     texts = lines.select("leaf", "line", "n_tokens", "masked").join(open_, "leaf", "left_semi")
     texts = texts.groupBy("leaf", "line").agg(F.first("n_tokens").alias("n_tokens"), F.first("masked").alias("masked"))
-    texts = materialize(texts.join(counts, ["leaf", "line"]), "open-lines")
+    texts = materialize(texts.join(counts, ["leaf", "line"]), "open-lines", codec="zstd")
 
     tokens = _tokens(texts)
-    constant = tokens.groupBy("leaf", "place", "token").agg(F.sum("n_docs").alias("docs")).where(F.col("docs") >= min_docs)
-    few = tokens.where(F.col("n_docs") < min_docs)
-    shown = few.join(constant.select("leaf", "place", "token", F.lit(True).alias("fixed")), ["leaf", "place", "token"], "left")
-    shown = shown.withColumn("fixed", F.coalesce("fixed", F.lit(False)) & (F.col("token") != FIELD))
-    marked = F.struct("place", F.when(F.col("fixed"), F.col("token")).otherwise(FIELD).alias("token"))
-    shown = shown.groupBy("leaf", "line", "n_tokens", "n_docs").agg(
-        F.transform(F.sort_array(F.collect_list(marked)), lambda x: x["token"]).alias("tokens"), F.count_if("fixed").alias("n_fixed"))
-    shown = materialize(shown.withColumn("template", F.xxhash64(F.lit("general"), F.array_join("tokens", " "))), "templates")
-    general = shown.where(F.col("n_fixed") >= alike * F.col("n_tokens"))
+    support = tokens.where(F.col("token") != FIELD).groupBy("leaf", "place", "token").agg(F.sum("n_docs").alias("docs")).where(F.col("docs") >= min_docs)
+    cell = F.struct("place", "token", F.coalesce("docs", F.lit(0)).alias("docs"))
+    shown = tokens.join(support, ["leaf", "place", "token"], "left").groupBy("leaf", "line", "n_tokens", "n_docs").agg(
+        F.sort_array(F.collect_list(cell)).alias("cells"), F.count("docs").alias("n_known"))
+    # a line that agrees with a template has at least so many of its constant tokens
+    shown = shown.where(F.col("n_known") >= (2 * alike - 1) * F.col("n_tokens"))
+    ranked = F.sort_array(F.transform("cells", lambda c: c["docs"]), asc=False)
+    shown = computed(shown, F.get(ranked, F.ceil(alike * F.col("n_tokens")).cast("int") - 1).alias("least"))
+    shown = shown.select(
+        "leaf", "line", "n_tokens", "n_docs", "least", F.transform("cells", lambda c: c["token"]).alias("words"),
+        F.transform("cells", lambda c: F.when(c["docs"] >= F.greatest("least", F.lit(min_docs)), c["token"]).otherwise(FIELD)).alias("tokens"))
+    shown = materialize(shown.withColumn("template", F.xxhash64(F.lit("general"), F.array_join("tokens", " "))), "templates", codec="zstd")
+    general = shown.where(F.col("least") >= min_docs)
     recurring = general.groupBy("leaf", "template").agg(F.sum("n_docs").alias("n_docs"), F.first("tokens").alias("tokens")).where(F.col("n_docs") >= min_docs)
-    fitting = general.join(recurring.select("leaf", "template"), ["leaf", "template"]).select("leaf", "line", "template", "n_docs")
-
-    left = shown.join(fitting.select("leaf", "line"), ["leaf", "line"], "left_anti")
-    left = left.join(texts.select("leaf", "line", "masked"), ["leaf", "line"]).select(
-        "leaf", "line", "n_docs", F.split("masked", " ", -1).alias("tokens"))
-    known = recurring.select("leaf", "template", "n_docs", "tokens").unionByName(
-        texts.where(F.col("n_docs") >= min_docs).select(
-            "leaf", F.col("line").alias("template"), "n_docs", F.split("masked", " ", -1).alias("tokens")))
-    near = _blocks(left).join(_blocks(known).select(
+    recurring = materialize(recurring, "recurring", codec="zstd")
+    fitting = general.join(recurring.select("leaf", "template"), ["leaf", "template"]).select("leaf", "line", "template")
+
+    left = shown.join(fitting.select("leaf", "line"), ["leaf", "line"], "left_anti").select("leaf", "line", F.col("words").alias("tokens"))
+    near = _blocks(left).join(_blocks(recurring).select(
         "leaf", "block", "at", "template", F.col("n_docs").alias("support"), F.col("tokens").alias("pattern")), ["leaf", "block", "at"])
     equal = F.size(F.filter(F.zip_with("tokens", "pattern", lambda a, b: (a == b) | (b == FIELD)), lambda x: x))
-    near = near.where(equal >= F.lit(alike) * F.size("tokens")).groupBy("leaf", "line", "n_docs").agg(
+    near = near.where(equal >= F.lit(alike) * F.size("tokens")).groupBy("leaf", "line").agg(
         F.max_by("template", F.struct("support", "template")).alias("template"))
-    return exact.unionByName(fitting).unionByName(near.select("leaf", "line", "template", "n_docs")).select("leaf", "line", "template")
+    found = fitting.unionByName(near)
+    return found.unionByName(exact.join(found.select("leaf", "line"), ["leaf", "line"], "left_anti"))
 
 
 def _blocks(rows: DataFrame) -> DataFrame:

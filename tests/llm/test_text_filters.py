@@ -40,6 +40,16 @@ def test_lines_of_an_empty_table_and_long_words(make):
     assert [r["n_dropped"] for r in line_dedup.line_dedup(make(rows), min_docs=2).orderBy("doc_id").collect()] == [0, 2]
 
 
+@pytest.mark.parametrize("n", [100, 1000, 20_000])
+def test_a_family_of_lines_is_one_template_at_every_size(spark, n):
+    line = "'the report of ', word(0), ' on the sale of ', word(1), ' at our shop was sent by ', word(2), ' to all'"
+    for i, salt in enumerate((3, 5, 7)):
+        line = line.replace(f"word({i})", f"translate(cast(abs(hash(id, {salt})) % 100 as string), '0123456789', 'abcdefghij')")
+    docs = spark.range(n).selectExpr("id AS doc_id", f"concat({line}) AS text")
+    done = line_dedup.line_dedup(docs)
+    assert [(r["doc_id"], r["n_dropped"]) for r in done.where("n_dropped = 0").collect()] == [(0, 0)]
+
+
 # --- repeated strings ---------------------------------------------------------------------
 
 
