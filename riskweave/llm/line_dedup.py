@@ -9,7 +9,7 @@ key, so that the result depends neither on the order of lines nor on their distr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import computed, salted_join, words
@@ -18,7 +18,6 @@ from riskweave.session import materialize
 FIELD = "<*>"
 #: A whole token that has a digit; possessive, so that a long token is read once.
 _NUMBER = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-BLOCKS = 4
 
 
 def _identity(docs: DataFrame) -> DataFrame:
@@ -44,11 +43,10 @@ def templates(lines: DataFrame, min_docs: int = 5, alike: float = 0.75) -> DataF
     """``leaf``, ``line``, ``template`` for every masked line that has a recurring template.
 
     Of a line's tokens the share ``alike`` that most documents have at their place below the leaf is
-    constant, with all others that as many documents have; what fewer have is a variable field. Tokens are
-    compared with those of their own line, so that the size of the table does not matter. Lines that
-    share a template with more constant tokens share this one, too. A template recurs if ``min_docs``
-    documents have it. A line that has no recurring template takes the most frequent one below its leaf
-    that agrees with it in a share ``alike`` of the tokens, of which one quarter as a whole.
+    constant. Of the others a token is a variable field if less than half as many documents have it as
+    have the rarest of those. Tokens are compared with those of their own line, so that the size of the
+    table does not matter. A template recurs if ``min_docs`` documents have it. A line that has no recurring template takes the most frequent one below its leaf
+    that agrees with it in a share ``alike`` of the tokens.
     """
     per_doc = lines.select("leaf", "line", "doc_id", "_mark").distinct()
     counts = materialize(per_doc.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n_docs")), "line-counts")
@@ -71,7 +69,7 @@ def templates(lines: DataFrame, min_docs: int = 5, alike: float = 0.75) -> DataF
     shown = computed(shown, F.get(ranked, F.ceil(alike * F.col("n_tokens")).cast("int") - 1).alias("least"))
     shown = shown.select(
         "leaf", "line", "n_tokens", "n_docs", "least", F.transform("cells", lambda c: c["token"]).alias("words"),
-        F.transform("cells", lambda c: F.when(c["docs"] >= F.greatest("least", F.lit(min_docs)), c["token"]).otherwise(FIELD)).alias("tokens"))
+        F.transform("cells", lambda c: F.when(c["docs"] >= F.greatest(F.col("least") / 2, F.lit(min_docs)), c["token"]).otherwise(FIELD)).alias("tokens"))
     shown = materialize(shown.withColumn("template", F.xxhash64(F.lit("general"), F.array_join("tokens", " "))), "templates", codec="zstd")
     general = shown.where(F.col("least") >= min_docs)
     recurring = general.groupBy("leaf", "template").agg(F.sum("n_docs").alias("n_docs"), F.first("tokens").alias("tokens")).where(F.col("n_docs") >= min_docs)
@@ -79,26 +77,33 @@ def templates(lines: DataFrame, min_docs: int = 5, alike: float = 0.75) -> DataF
     fitting = general.join(recurring.select("leaf", "template"), ["leaf", "template"]).select("leaf", "line", "template")
 
     left = shown.join(fitting.select("leaf", "line"), ["leaf", "line"], "left_anti").select("leaf", "line", F.col("words").alias("tokens"))
-    near = _blocks(left).join(_blocks(recurring).select(
-        "leaf", "block", "at", "template", F.col("n_docs").alias("support"), F.col("tokens").alias("pattern")), ["leaf", "block", "at"])
-    equal = F.size(F.filter(F.zip_with("tokens", "pattern", lambda a, b: (a == b) | (b == FIELD)), lambda x: x))
-    near = near.where(equal >= F.lit(alike) * F.size("tokens")).groupBy("leaf", "line").agg(
-        F.max_by("template", F.struct("support", "template")).alias("template"))
-    found = fitting.unionByName(near)
+    found = fitting.unionByName(_alike(left, recurring, support, alike))
     return found.unionByName(exact.join(found.select("leaf", "line"), ["leaf", "line"], "left_anti"))
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows once for every quarter of their tokens that has no variable field."""
-    n = F.size("tokens")
-
-    def quarter(i: int) -> Column:
-        start, stop = F.floor(n * i / BLOCKS).cast("int"), F.floor(n * (i + 1) / BLOCKS).cast("int")
-        part = F.slice("tokens", start + 1, F.greatest(stop - start, F.lit(0)))
-        return F.struct(F.lit(i).alias("at"), part.alias("part"))
+def _alike(left: DataFrame, known: DataFrame, support: DataFrame, alike: float) -> DataFrame:
+    """``leaf``, ``line``, ``template`` for all lines that agree with a known template in a share ``alike`` of the tokens.
 
-    rows = rows.select("*", F.inline(F.array(*[quarter(i) for i in range(BLOCKS)])))
-    return rows.where((F.size("part") > 0) & ~F.array_contains("part", FIELD)).withColumn("block", F.xxhash64("part")).drop("part")
+    If ``d`` tokens may differ, a line that agrees has one at least of any ``d + 1`` constants of the
+    template. Those that the fewest documents have are the template's keys, so no pair is missed; the
+    pairs are verified. Rows of a key that many lines have are spread over tasks.
+    """
+    n = F.size("tokens")
+    numbered = known.select("leaf", "template", (n - F.ceil(F.lit(alike) * n) + 1).cast("int").alias("n_keys"), F.posexplode("tokens").alias("place", "token"))
+    keys = numbered.where(F.col("token") != FIELD).join(support, ["leaf", "place", "token"])
+    cells = F.sort_array(F.collect_list(F.struct("docs", "place", "token")))
+    keys = keys.groupBy("leaf", "template", "n_keys").agg(cells.alias("cells"))
+    keys = keys.select("leaf", "template", F.inline(F.slice("cells", F.lit(1), F.col("n_keys"))))
+    key = F.xxhash64("leaf", "place", "token").alias("key")
+    keys = keys.groupBy(key).agg(F.collect_set(F.struct("leaf", "template")).alias("templates"))
+    rows = left.select("leaf", "line", F.posexplode("tokens").alias("place", "token")).select("leaf", "line", key)
+    pairs = salted_join(rows, keys, ["key"], F.col("line")).select("leaf", "line", F.inline("templates").alias("of_leaf", "template"))
+    pairs = pairs.where(F.col("leaf") == F.col("of_leaf")).select("leaf", "line", "template").distinct()
+    near = pairs.join(known.select("leaf", "template", F.col("n_docs").alias("support"), F.col("tokens").alias("pattern")), ["leaf", "template"])
+    near = near.join(left, ["leaf", "line"])
+    equal = F.size(F.filter(F.zip_with("tokens", "pattern", lambda a, b: (a == b) | (b == FIELD)), lambda x: x))
+    near = near.where((n == F.size("pattern")) & (equal >= F.lit(alike) * n))
+    return near.groupBy("leaf", "line").agg(F.max_by("template", F.struct("support", "template")).alias("template"))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.75, leading: int = 3) -> DataFrame:

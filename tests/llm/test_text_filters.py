@@ -50,6 +50,14 @@ def test_a_family_of_lines_is_one_template_at_every_size(spark, n):
     assert [(r["doc_id"], r["n_dropped"]) for r in done.where("n_dropped = 0").collect()] == [(0, 0)]
 
 
+def test_a_similar_line_joins_wherever_its_tokens_differ(make):
+    tokens = [f"tok{chr(97 + i)}" for i in range(24)]
+    other = lambda places: " ".join("other" if i in places else t for i, t in enumerate(tokens))
+    rows = [(i, " ".join(tokens)) for i in range(6)] + [(10, other({5, 7, 13, 20})), (11, other({4, 8, 12, 16, 20, 23})), (12, other({4, 8, 12, 16, 20, 22, 23}))]
+    done = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(make(rows)).collect()}
+    assert done[0] and not done[10] and not done[11] and done[12]
+
+
 # --- repeated strings ---------------------------------------------------------------------
 
 
