@@ -1,7 +1,7 @@
 """Recurring lines: a log-template tree over all documents, and what remains of their texts.
 
 The tree has a fixed depth: number of tokens, then the leading tokens. Tokens with a digit count
-as variable fields from the start. Below a leaf, a token that fewer documents have at its
+as variable fields from the start, unless they are over a quarter of the line. Below a leaf, a token that fewer documents have at its
 place than the line's other tokens is a variable field, too; the rest of the line is its template.
 A line that fits no recurring template exactly joins the one it resembles. All of that is counting and joining by
 key, so that the result depends neither on the order of lines nor on their distribution.
@@ -25,11 +25,18 @@ def _identity(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_text", F.coalesce("text", F.lit(""))).withColumn("_mark", F.xxhash64("_text"))
 
 
-def parse(docs: DataFrame, leading: int = 3) -> DataFrame:
-    """One row per line with a token: document, line number, leaf, hash and text of the masked line."""
+def parse(docs: DataFrame, leading: int = 3, alike: float = 0.75) -> DataFrame:
+    """One row per line with a token: document, line number, leaf, hash and text of the masked line.
+
+    A line of which less than a share ``alike`` would be left stays unmasked, so that it recurs
+    only with its numbers.
+    """
     lines = _identity(docs.select("doc_id", "text")).select("doc_id", "_mark", F.posexplode(F.split("_text", "\n", -1)).alias("line_no", "line"))
     masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", _NUMBER, FIELD)).otherwise(F.col("line"))
     lines = computed(lines, words(masked).alias("tokens")).where(F.size("tokens") > 0)
+    kept = F.size(F.filter("tokens", lambda t: t != FIELD))
+    tokens = F.when(kept >= F.lit(alike) * F.size("tokens"), F.col("tokens")).otherwise(words(F.col("line")))
+    lines = computed(lines, tokens.alias("chosen")).select("doc_id", "_mark", "line_no", F.col("chosen").alias("tokens"))
     lines = lines.select("doc_id", "_mark", "line_no", F.size("tokens").alias("n_tokens"), F.slice("tokens", 1, leading).alias("lead"), F.array_join("tokens", " ").alias("masked"))
     return lines.select(
         "doc_id", "_mark", "line_no", F.xxhash64("n_tokens", "lead").alias("leaf"), F.xxhash64("masked").alias("line"), "n_tokens", "masked")
@@ -112,7 +119,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.75, lea
     A template keeps its lines in one document, the one with the smallest doc_id (and text hash),
     so that of a passage that all its documents have something stays.
     """
-    lines = materialize(parse(docs, leading), "lines", codec="zstd")
+    lines = materialize(parse(docs, leading, alike), "lines", codec="zstd")
     known = materialize(templates(lines, min_docs, alike), "line-templates")
     who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_mark")
     placed = materialize(salted_join(

@@ -58,6 +58,12 @@ def test_a_similar_line_joins_wherever_its_tokens_differ(make):
     assert done[0] and not done[10] and not done[11] and done[12]
 
 
+def test_lines_of_numbers_are_no_template(make):
+    rows = [(i, f"{i}{i} 3{i} 5{i}\n7 {i} 8{i} 9\n2024 12 31\nPage {i} of {i}9") for i in range(1, 9)]
+    done = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(make(rows)).collect()}
+    assert done == {i: t if i == 1 else t.replace("2024 12 31\n", "") for i, t in rows}
+
+
 # --- repeated strings ---------------------------------------------------------------------
 
 
