@@ -1,14 +1,10 @@
-"""Benchmark items inside documents, by size-partitioned MinHash and exact containment.
+"""Benchmark items inside documents, by MinHash sketches sized by the item and exact containment.
 
-Items are partitioned by size. For a size class of up to ``2^k`` shingles, documents are
-seen as overlapping windows of ``2 * 2^k`` shingles, one every ``2^k``, so an item that a
-document holds in one piece lies in a window at most a few times its size, however long the
-document is. A window is a candidate for an item when one of ``HASHES`` minimum hashes agrees;
-an item of which 75 % lie in a window is then missed with a probability below 1e-5. Candidates
-are verified by the share of the item's distinct shingles in the whole document.
-
-A minimum hash agrees only where the window holds the very shingle that is the item's minimum,
-so signatures are made for windows that hold one of these shingles, and for no others.
+Every item has a sketch: its shingles of smallest hash, as many as the item's size asks for. Of
+``n`` shingles ``m`` must be in a document, so the ``n - m + 1`` smallest hold one that is there, wherever
+the rest of them lies. A document with one shingle of the sketch is a candidate, and no pair
+can be missed: the bound on the loss is 0 at every size. Candidates are verified by the share of the
+item's distinct shingles in the whole document.
 """
 
 from __future__ import annotations
@@ -20,7 +16,6 @@ from riskweave.llm.common import ascii_lower, bounded, computed, without, words
 from riskweave.session import materialize
 
 LENGTH = 5
-HASHES = 32
 
 
 def _identity(docs: DataFrame) -> DataFrame:
@@ -48,16 +43,20 @@ def _shingle(at: Column) -> Column:
     return F.concat_ws(" ", *[F.get("w", at + i) for i in range(LENGTH)])
 
 
-def _hash(j: int, column: str = "fp") -> Column:
-    return F.xxhash64(column, F.lit(j))
-
-
 def item_shingles(items: DataFrame) -> DataFrame:
-    """``item_id``, ``n_item`` (distinct shingles), ``k`` (size class), ``fp``, ``shingle``. Repeated items count once."""
+    """``item_id``, ``n_item`` (distinct shingles), ``fp``, ``shingle``. Repeated items count once."""
     base = items.select("item_id", F.coalesce("text", F.lit("")).alias("_text")).where("item_id IS NOT NULL")
     rows = _numbered(base, "item_id").select("item_id", _mark_of(F.col("at")).alias("fp"), _shingle(F.col("at")).alias("shingle")).distinct()
     sizes = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item"))
-    return rows.join(sizes, "item_id").withColumn("k", F.ceil(F.log2("n_item")).cast("int"))
+    return rows.join(sizes, "item_id")
+
+
+def _sketches(shingles: DataFrame, percent: int) -> DataFrame:
+    """``fp`` of the shingles of which a document that holds ``percent`` of an item has one at least."""
+    needed = F.ceil(F.col("n_item") * percent / 100)
+    size = F.greatest(F.col("n_item") - needed + 1, F.lit(1)).cast("int")
+    each = shingles.groupBy("item_id", size.alias("size")).agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("fp").alias("h"), "fp", "shingle"))).alias("s"))
+    return each.select(F.explode(F.slice("s", F.lit(1), F.col("size"))).alias("s")).select("s.fp").distinct()
 
 
 def leaks(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
@@ -68,46 +67,19 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
     are not carried.
     """
     shingles = materialize(item_shingles(items), "item-shingles")
-    n_items = shingles.select("item_id").distinct().count()
-    lows = shingles.groupBy("item_id", "k").agg(*[F.min_by(F.struct(_hash(j).alias("h"), "fp"), _hash(j)).alias(f"m{j}") for j in range(HASHES)])
-    signature = F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"m{j}.h").alias("h"), F.col(f"m{j}.fp").alias("fp")) for j in range(HASHES)])
-    lows = materialize(lows.select("item_id", "k", F.inline(signature)), "item-signatures")
-    keys = lows.select("fp", "k").distinct()
+    keys = materialize(_sketches(shingles, percent), "item-sketches")
 
     rows = _identity(docs)
-    found = _numbered(rows, "doc_id", "_mark").select("doc_id", "_mark", "at", _mark_of(F.col("at")).alias("fp"))
-    hits = found.join(bounded(keys, n_items * HASHES), "fp")
-    step = F.expr("shiftleft(1, k)")
-    number = F.floor(F.col("at") / step).cast("int")
-    windows = hits.select("doc_id", "_mark", F.explode(F.array(F.struct("k", number.alias("n")), F.struct("k", (number - 1).alias("n")))).alias("x"))
-    windows = windows.where("x.n >= 0").groupBy("doc_id", "_mark").agg(F.collect_set("x").alias("windows"))
-
-    # documents with a candidate window, with their words, read by both of the next steps
-    marked = windows.select(F.col("doc_id").alias("_d"), F.col("_mark").alias("_m"), "windows")
-    near = rows.join(marked, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m")))
-    near = materialize(near.select("doc_id", "_mark", "_text", "windows"), "near")
-
-    prints = computed(near, words(ascii_lower(F.col("_text"))).alias("w"))
-    prints = prints.select("doc_id", "_mark", "w", F.inline("windows"))
-    width = F.expr("shiftleft(2, k)")
-    start = F.col("n") * F.expr("shiftleft(1, k)")
-    stop = F.least(start + width, F.greatest(F.size("w") - LENGTH + 1, F.lit(1)))
-    prints = prints.select("doc_id", "_mark", "k", "n", "w", F.explode(F.sequence(start, stop - 1)).alias("at"))
-    prints = prints.select("doc_id", "_mark", "k", "n", _mark_of(F.col("at")).alias("fp"))
-    prints = prints.groupBy("doc_id", "_mark", "k", "n").agg(*[F.min(_hash(j)).alias(f"m{j}") for j in range(HASHES)])
-    made = F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"m{j}").alias("h")) for j in range(HASHES)])
-    prints = prints.select("doc_id", "_mark", "k", F.inline(made))
-    candidates = prints.join(bounded(lows.select("k", "j", "h", "item_id"), n_items * HASHES), ["k", "j", "h"])
-    candidates = materialize(candidates.select("doc_id", "_mark", "item_id").distinct(), "candidates")
+    found = _numbered(rows, "doc_id", "_mark").select("doc_id", "_mark", _mark_of(F.col("at")).alias("fp"))
+    hits = found.join(bounded(keys, keys.count()), "fp").select(F.col("doc_id").alias("_d"), F.col("_mark").alias("_m")).distinct()
+    near = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m")))
+    near = materialize(near.select("doc_id", "_mark", "_text"), "near")
 
     exact = _numbered(near, "doc_id", "_mark").select("doc_id", "_mark", "at", "w", _mark_of(F.col("at")).alias("fp"))
     own = shingles.select("fp", "shingle", "item_id", "n_item")
     exact = exact.join(bounded(own, shingles.count()), "fp").where(_shingle(F.col("at")) == F.col("shingle"))
     shared = exact.groupBy("doc_id", "_mark", "item_id", "n_item").agg(F.count_distinct("shingle").alias("n_shared"))
-    shared = shared.where(100 * F.col("n_shared") >= percent * F.col("n_item"))
-    c = candidates.select(F.col("doc_id").alias("_d"), F.col("_mark").alias("_m"), F.col("item_id").alias("_i"))
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m")) & (F.col("item_id") == F.col("_i"))
-    return shared.join(c, same, "left_semi")
+    return shared.where(100 * F.col("n_shared") >= percent * F.col("n_item"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:

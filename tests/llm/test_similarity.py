@@ -113,3 +113,17 @@ def test_items_are_found_in_long_documents(spark, make):
     clean = decontam.decontaminate(rows, table)
     assert sorted(x["doc_id"] for x in clean.collect()) == sorted(d for d, _ in docs if d not in bad) and clean.columns == rows.columns
     assert decontam.leaks(make([]), table).count() == 0 and decontam.leaks(rows, table.limit(0)).count() == 0
+
+
+def test_no_leak_is_lost_at_unlucky_sizes(spark, make):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(8))
+    items = [(i, " ".join(word() for _ in range(n + 4))) for i, n in enumerate([17, 33] * 30)]
+    docs = []
+    for i, text in items:
+        w = text.split()
+        n = len(w) - 4
+        part = w[:-(-3 * n // 4) + 4]
+        docs += [(100 * i + c, " ".join([word() for _ in range(c)] + part + [word() for _ in range(120)])) for c in range(100)]
+    found = decontam.leaks(make(docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((x["doc_id"], x["item_id"]) for x in found.collect()) == [(d, d // 100) for d, _ in docs]
