@@ -8,6 +8,8 @@ patterns miss (``name [at] host.org``, a phone number without country code).
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import small_batches
-from riskweave.session import ship_package
+from riskweave.session import materialize, ship_package
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 24
@@ -78,7 +80,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # --- candidate segments and their features ------------------------------------------------
 
 _TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|\s|[^\W0-9A-Za-z_]+|.", re.S)
-_TRIGGER = re.compile(r"[0-9]|@|[(\[{]\s?at\s?[)\]}]|\bdot\b", re.I)
+_TRIGGER = re.compile(r"[0-9]|@|[(\[{]\s?at\s?[)\]}]|\bat\b\s?[A-Za-z0-9-]+\.[A-Za-z0-9-]|\bdot\b", re.I)
 _AT = re.compile(r"@|[(\[{]\s?at\s?[)\]}]|\bat\b", re.I)
 _MAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _SAID_MAIL = re.compile(
@@ -270,18 +272,26 @@ def rewritten(text: str, spans: list[tuple[str, int, int]], turn: int) -> tuple[
     return out + text[done:], made
 
 
-def _labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stretches that touch a base span or a failed match, with the spans inside them."""
+def _place(row: tuple[str, str]) -> tuple[bytes, tuple[str, str]]:
+    return hashlib.md5(row[0].encode("utf-8", "surrogatepass")).digest(), row
+
+
+def _labelled(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """Stretches with the spans inside them: of those with a span and of those without, ``most`` of smallest hash."""
+    kept: dict[bool, set] = {True: set(), False: set()}
     for frame in batches:
-        rows = []
         for text in frame["text"]:
             if text and _ANY.search(text):
                 spans = base_spans(text)
                 for a, b in stretches(text):
                     if b - a <= 1000:
-                        inside = [f"{k}:{s - a}:{e - a}" for k, s, e in spans if s >= a and e <= b]
-                        rows.append((text[a:b], ",".join(inside)))
-        yield pd.DataFrame(rows, columns=["stretch", "spans"])
+                        inside = ",".join(f"{k}:{s - a}:{e - a}" for k, s, e in spans if s >= a and e <= b)
+                        kept[bool(inside)].add((text[a:b], inside))
+        for label, rows in kept.items():
+            if len(rows) > 10 * most:
+                kept[label] = set(heapq.nsmallest(most, rows, key=_place))
+    rows = [x for found in kept.values() for x in heapq.nsmallest(most, found, key=_place)]
+    yield pd.DataFrame(rows, columns=["stretch", "spans"])
 
 
 def parse(spans: str) -> list[tuple[str, int, int]]:
@@ -292,9 +302,13 @@ def train(docs: DataFrame, text: str = "text", most: int = TRAIN_STRETCHES) -> n
     """Fit on at most ``most`` stretches (those of smallest hash, half of them with a span)."""
     ship_package(docs.sparkSession)
     small_batches(docs.sparkSession)
-    found = docs.select(F.col(text).alias("text")).mapInPandas(_labelled, "stretch string, spans string")
-    ordered = found.distinct().orderBy(F.xxhash64("stretch"), "stretch", "spans")
-    rows = [(r["stretch"], parse(r["spans"])) for r in ordered.limit(most).collect()]
+    half = most // 2
+    found = docs.select(F.col(text).alias("text")).mapInPandas(lambda batches: _labelled(batches, half), "stretch string, spans string")
+    found = materialize(found, "stretches").distinct()
+    rows = []
+    for label in (F.col("spans") != "", F.col("spans") == ""):
+        each = found.where(label).orderBy(F.md5("stretch"), "stretch", "spans").limit(half)
+        rows += [(r["stretch"], parse(r["spans"])) for r in each.collect()]
     made = [rewritten(t, s, i) for i, (t, s) in enumerate(rows) if s]
     return fit(rows + made + [(t, []) for t in CLEAN * max(1, len(rows) // 40)])
 

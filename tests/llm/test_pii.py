@@ -59,6 +59,22 @@ def test_the_crf_adds_what_the_patterns_miss_and_leaves_clean_text_alone(make):
     assert added("on 2020-11-12 10:30 there were 1200 of them") == []
 
 
+def test_the_sample_holds_spans_where_they_are_rare(make):
+    r = random.Random(4)
+    rows = [f"item {r.randrange(10**6)} costs {r.randrange(1000)}.{r.randrange(100)} today" for _ in range(6000)]
+    rows += [f"please write to mary{i}.smith@mail{i}.example.com about it" for i in range(40)]
+    weights = pii.train(make(list(enumerate(rows))))
+    text = "please write to jane.smith at mail.example.org about it"
+    assert ("email", 16, 46) in pii.all_spans(text, weights)[1]
+
+
+def test_every_form_of_training_is_scored():
+    spans = [("email", 5, 23)]
+    for turn in range(60):
+        text, made = pii.rewritten("mail jane@example.co.org now", spans, turn)
+        assert any(a <= made[0][1] and made[0][2] <= b for a, b in pii.stretches(text)), text
+
+
 def test_without_training_data_nothing_is_added(make):
     assert (pii.fit([]) <= 0).all()
     assert pii.all_spans("call (303) 555-1234", pii.fit([]))[1] == []
