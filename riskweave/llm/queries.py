@@ -132,5 +132,5 @@ def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Findings in every document with the forest's verdict; values only as digests."""
     found = secret_scan.scan(table(spark, sf, "documents"))
     return found.select(
-        "doc_id", F.col("at").cast("long").alias("word_no"), F.length("value").cast("long").alias("n_chars"),
+        "doc_id", F.col("at").cast("long").alias("word_no"), F.col("start").cast("long").alias("offset"), F.length("value").cast("long").alias("n_chars"),
         F.sha2("value", 256).alias("value_sha256"), F.round("score", 6).alias("score"), "secret")

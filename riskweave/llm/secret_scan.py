@@ -1,6 +1,6 @@
 """Secrets in texts: candidates by shape, and a random forest that removes false positives.
 
-Candidates are words, or the values of assignments, that look like credentials. Features of a candidate
+Candidates are all runs of a word, between whatever delimiters, that look like credentials. Features of a candidate
 are its length, the transitions between its character classes, how much of it words of a
 dictionary cover, signs of a path or address, and its neighbouring words. The forest is
 fitted here to labelled findings: those of a known format are secrets; findings that are
@@ -30,7 +30,11 @@ HARMLESS_FORMATS = (
 #: An assignment to one of these is a labelled secret if its value mixes letters and digits.
 KEYWORDS = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|private_?key|auth|credential|bearer)"
 EXAMPLES = r"(?i)(?:example|sample|dummy|placeholder|changeme|test|xxxx)"
-_VALUE = r"(?:^|[=:@\"'(\[<>,;])([A-Za-z0-9+/_.-]{10,}={0,2})[\"'\])>,;.!?]*$"
+#: Every other character delimits values, so that a word may have any number of them.
+_VALUE = r"[A-Za-z0-9+/_.-]{10,}={0,2}"
+#: Characters of the same word that are seen on either side of a value.
+CONTEXT = 64
+_PART = r"[^\"'`{}<>,;()\[\]|\\]*"
 _CLASS_CHANGE = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])"
 FEATURES = ("length", "changes", "digits", "upper", "distinct", "hex", "covered", "slashes", "dots", "assigned", "keyword", "example", "plain_next")
 #: Bounds of the fit: labelled findings (those of smallest hash), and words in the dictionary.
@@ -46,17 +50,31 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> DataFrame:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``_mark``, ``at`` (number of the word), ``value``, ``before``, ``after``, ``word``.
+    """``doc_id``, ``_mark``, ``at`` (number of the word), ``start`` (offset in it), ``value``, ``before``, ``after``, ``word``.
 
-    A candidate has ten characters at least, a digit and a letter. NULL text has none.
+    A candidate has ten characters at least, a digit and a letter. NULL text has none. ``word`` is what
+    belongs to the value between quotes, brackets and commas, at most ``CONTEXT`` characters on a side.
     """
     base = docs.select("doc_id", F.xxhash64("text").alias("_mark"), F.col("text").alias("_text")).where(F.col("_text").rlike("[0-9]"))
     base = computed(base, words(F.col("_text")).alias("w"))
     each = base.select("doc_id", "_mark", "w", F.posexplode("w").alias("at", "word")).where(F.col("word").rlike("[0-9]") & (F.octet_length("word") >= 10))
-    value = F.regexp_extract("word", _VALUE, 1)
-    before = F.concat_ws(" ", F.get("w", F.col("at") - 2), F.get("w", F.col("at") - 1), F.expr("substring(word, 1, greatest(locate(value, word) - 1, 0))"))
-    each = each.withColumn("value", value).where(F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]"))
-    return each.select("doc_id", "_mark", "at", "value", before.alias("before"), F.coalesce(F.get("w", F.col("at") + 1), F.lit("")).alias("after"), "word")
+    each = each.select(
+        "doc_id", "_mark", "at", "word", F.concat_ws(" ", F.get("w", F.col("at") - 2), F.get("w", F.col("at") - 1), F.lit("")).alias("earlier"),
+        F.coalesce(F.get("w", F.col("at") + 1), F.lit("")).alias("after"))
+    each = computed(each, F.regexp_extract_all("word", F.lit(_VALUE), F.lit(0)).alias("values"), F.split("word", _VALUE, -1).alias("gaps"))
+    each = each.where(F.size("values") > 0)
+    lengths = F.zip_with(F.slice("gaps", F.lit(1), F.size("values")), "values", lambda g, v: F.length(g) + F.length(v))
+    ends = F.aggregate(lengths, F.array(F.lit(0)), lambda done, n: F.array_append(done, F.element_at(done, -1) + n))
+    each = computed(each, ends.alias("ends"))
+    gap = lambda i: F.coalesce(F.get("gaps", i), F.lit(""))
+    value = lambda i: F.coalesce(F.get("values", i), F.lit(""))
+    found = F.transform("values", lambda v, i: F.struct(
+        v.alias("value"), (F.get("ends", i) + F.length(gap(i))).alias("start"),
+        F.substring(F.concat(gap(i - 1), value(i - 1), gap(i)), -CONTEXT, CONTEXT).alias("left"),
+        F.substring(F.concat(gap(i + 1), value(i + 1)), 1, CONTEXT).alias("right")))
+    each = each.select("doc_id", "_mark", "at", "earlier", "after", F.inline(found)).where(F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]"))
+    part = F.concat(F.regexp_extract("left", _PART + "$", 0), "value", F.regexp_extract("right", "^" + _PART, 0))
+    return each.select("doc_id", "_mark", "at", "start", "value", F.concat("earlier", "left").alias("before"), "after", part.alias("word"))
 
 
 def _coverage(found: DataFrame, known: DataFrame) -> DataFrame:
@@ -99,8 +117,10 @@ def labelled(found: DataFrame) -> DataFrame:
             out = out | F.col("value").rlike(p)
         return out
 
-    assigned = F.col("before").rlike(KEYWORDS + r"[A-Za-z_]*\s*[=:]\s*[\"']?$") & F.col("value").rlike("[0-9].*[A-Za-z].*[0-9]")
-    address = F.col("word").contains("@") | F.col("word").rlike(r"^[a-z]+://")
+    assigned = F.col("before").rlike(KEYWORDS + r"[A-Za-z_]*[\"'`]?\s*[=:]\s*[\"'`]?$") & F.col("value").rlike("[0-9].*[A-Za-z].*[0-9]")
+    # of user:password@host the password is none of an address
+    login = F.col("before").rlike(r"://[^/@\s]*:$") & F.expr("substring(word, locate(value, word) + length(value), 1) = '@'")
+    address = (F.col("word").contains("@") | F.col("word").rlike(r"^[a-z]+://")) & ~login
     label = F.when(any_of(SECRET_FORMATS) | assigned, 1.0).when(any_of(HARMLESS_FORMATS) | address, 0.0)
     return found.withColumn("label", label).where("label IS NOT NULL")
 
@@ -122,10 +142,10 @@ def train(rows: DataFrame, most: int = TRAIN_FINDINGS, trees: int = 30, depth: i
 
 
 def scan(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """Findings in ``docs``: ``doc_id``, ``_mark``, ``at``, ``value``, ``score``, ``secret``.
+    """Findings in ``docs``: ``doc_id``, ``_mark``, ``at``, ``start``, ``value``, ``score``, ``secret``.
 
     ``score`` is the forest's probability; ``secret`` says whether it is at least ``least``. One row
-    per word that is a candidate; repeated rows of ``docs`` give repeated findings. Other
+    per candidate, of which a word may have several; repeated rows of ``docs`` give repeated findings. Other
     columns are left out, so their names cannot clash.
     """
     known = materialize(dictionary(docs), "dictionary")
@@ -137,4 +157,4 @@ def scan(docs: DataFrame, least: float = 0.5) -> DataFrame:
     else:
         ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
         scored = model.transform(ready).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
-    return scored.select("doc_id", "_mark", "at", "value", "score", (F.col("score") >= least).alias("secret"))
+    return scored.select("doc_id", "_mark", "at", "start", "value", "score", (F.col("score") >= least).alias("secret"))
