@@ -93,24 +93,35 @@ def _alike(left: DataFrame, known: DataFrame, support: DataFrame, alike: float)
 
     If ``d`` tokens may differ, a line that agrees has one at least of any ``d + 1`` constants of the
     template. Those that the fewest documents have are the template's keys, so no pair is missed; the
-    pairs are verified. Rows of a key that many lines have are spread over tasks.
+    pairs are verified. The most frequent template of a leaf is compared with all its lines before. Rows of a key that many lines have are spread over tasks.
     """
     n = F.size("tokens")
-    numbered = known.select("leaf", "template", (n - F.ceil(F.lit(alike) * n) + 1).cast("int").alias("n_keys"), F.posexplode("tokens").alias("place", "token"))
+    may_differ = (n - F.ceil(F.lit(alike) * n)).cast("int")
+    equal = F.size(F.filter(F.zip_with("tokens", "pattern", lambda a, b: (a == b) | (b == FIELD)), lambda x: x))
+    agrees = (n == F.size("pattern")) & (equal >= F.lit(alike) * n)
+    known = known.select("leaf", "template", F.col("n_docs").alias("support"), F.col("tokens").alias("pattern"))
+    # most lines agree with the most frequent template of their leaf, and no other would be taken before it
+    top = known.groupBy("leaf").agg(F.max_by(F.struct("template", "pattern"), F.struct("support", "template")).alias("top")).select("leaf", "top.*")
+    led = materialize(left.join(top, "leaf").where(agrees).select("leaf", "line", "template"), "led")
+    left = left.join(led.select("leaf", "line"), ["leaf", "line"], "left_anti")
+
+    cells = F.sort_array(F.collect_list(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "place", "token")))
+    numbered = known.select("leaf", "template", F.size("pattern").alias("n"), F.posexplode("pattern").alias("place", "token"))
     keys = numbered.where(F.col("token") != FIELD).join(support, ["leaf", "place", "token"])
-    cells = F.sort_array(F.collect_list(F.struct("docs", "place", "token")))
-    keys = keys.groupBy("leaf", "template", "n_keys").agg(cells.alias("cells"))
-    keys = keys.select("leaf", "template", F.inline(F.slice("cells", F.lit(1), F.col("n_keys"))))
+    keys = keys.groupBy("leaf", "template", "n").agg(cells.alias("cells"))
+    d = (F.col("n") - F.ceil(F.lit(alike) * F.col("n"))).cast("int")
+    keys = keys.select("leaf", "template", F.inline(F.slice("cells", F.lit(1), d + 1)))
     key = F.xxhash64("leaf", "place", "token").alias("key")
     keys = keys.groupBy(key).agg(F.collect_set(F.struct("leaf", "template")).alias("templates"))
-    rows = left.select("leaf", "line", F.posexplode("tokens").alias("place", "token")).select("leaf", "line", key)
+    rows = left.join(known.select("leaf"), "leaf", "left_semi").select("leaf", "line", may_differ.alias("d"), F.posexplode("tokens").alias("place", "token"))
+    rows = rows.join(support, ["leaf", "place", "token"], "left").groupBy("leaf", "line", "d").agg(cells.alias("cells"))
+    # in the order of keys, the first token in common is among these: at most d differ and at most d are fields
+    rows = rows.select("leaf", "line", F.inline(F.slice("cells", F.lit(1), 2 * F.col("d") + 1))).where("docs > 0").select("leaf", "line", key)
     pairs = salted_join(rows, keys, ["key"], F.col("line")).select("leaf", "line", F.inline("templates").alias("of_leaf", "template"))
     pairs = pairs.where(F.col("leaf") == F.col("of_leaf")).select("leaf", "line", "template").distinct()
-    near = pairs.join(known.select("leaf", "template", F.col("n_docs").alias("support"), F.col("tokens").alias("pattern")), ["leaf", "template"])
-    near = near.join(left, ["leaf", "line"])
-    equal = F.size(F.filter(F.zip_with("tokens", "pattern", lambda a, b: (a == b) | (b == FIELD)), lambda x: x))
-    near = near.where((n == F.size("pattern")) & (equal >= F.lit(alike) * n))
-    return near.groupBy("leaf", "line").agg(F.max_by("template", F.struct("support", "template")).alias("template"))
+    near = pairs.join(known, ["leaf", "template"]).join(left, ["leaf", "line"]).where(agrees)
+    near = near.groupBy("leaf", "line").agg(F.max_by("template", F.struct("support", "template")).alias("template"))
+    return led.unionByName(near)
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.75, leading: int = 3) -> DataFrame:
