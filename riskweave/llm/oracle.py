@@ -84,3 +84,73 @@ i AS (SELECT id AS item_id, g, count(*) OVER (PARTITION BY id) AS n_item FROM s
 SELECT s.id AS doc_id, item_id, n_item, count(*) AS n_shared
 FROM s JOIN i USING (g) WHERE s.kind = 'd' GROUP BY ALL HAVING 100 * count(*) >= 75 * n_item
 """
+
+ORACLE["op11_sharding"] = r"""
+WITH RECURSIVE k AS (
+  SELECT DISTINCT doc_id, CASE WHEN doc_id < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END AS k
+  FROM documents),
+walk AS (
+  SELECT doc_id, k, -1::BIGINT AS stop, 0::BIGINT AS after FROM k
+  UNION ALL
+  SELECT doc_id, nk, after, floor((after + 1)::DOUBLE * (2147483648::DOUBLE / ((nk // 8589934592) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT doc_id, after, (k * 2862933555777941757 + 1) % 18446744073709551616 AS nk FROM walk WHERE after < 9)),
+place AS (
+  SELECT doc_id, (max(stop) FILTER (stop < 8))::INTEGER AS shard, max(stop)::INTEGER AS grown_shard FROM walk GROUP BY doc_id),
+crc AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+d AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size,
+    xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+      lambda x: ('0x' || x)::BIGINT), lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]))) AS text_crc32
+  FROM documents, crc)
+SELECT d.doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY
+    md5(concat_ws('|', coalesce(d.doc_id::VARCHAR, ''), size, text_crc32, shard, grown_shard, 0))) - 1 AS slot
+FROM d JOIN place ON d.doc_id IS NOT DISTINCT FROM place.doc_id
+"""
+
+ORACLE["op12_hard_negatives"] = r"""
+WITH p AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::INTEGER AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM p a JOIN p b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, s.vec_id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+ORACLE["op13_collocations"] = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+pos AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, w[i:i + k - 1] AS p FROM pos, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, p, count(*) AS c FROM g GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, count(*) AS n FROM pos GROUP BY lang),
+c AS (SELECT lang, p, c AS a FROM f WHERE len(p) > 1),
+cover AS (
+  SELECT lang, p[i:i + k - 1] AS p, max(a) AS longer
+  FROM (SELECT lang, p, a, k, unnest(range(1, len(p) - k + 2)) AS i FROM (SELECT lang, p, a, unnest(range(2, len(p))) AS k FROM c))
+  GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN cover USING (lang, p) WHERE longer IS NULL OR 100 * longer < 100 * a),
+cut AS (
+  SELECT x.lang, x.p, a, n, k, l.c AS l, r.c AS r, (1000::HUGEINT * a * n) // (l.c::HUGEINT * r.c) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM kept) x JOIN n USING (lang)
+  JOIN f l ON l.lang = x.lang AND l.p = x.p[1:k] JOIN f r ON r.lang = x.lang AND r.p = x.p[k + 1:]
+  QUALIFY row_number() OVER (PARTITION BY x.lang, x.p ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER v AS rank, array_to_string(p, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+FROM cut WINDOW v AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' '))
+QUALIFY row_number() OVER v <= 2000
+"""

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, decontam, langid, line_dedup, ngram_join, pii, quality, secret_scan, suffix_dedup
+from riskweave.llm import (
+    bpe, chat, collocations, decontam, langid, line_dedup, negatives, ngram_join, pii, quality, secret_scan, sharding, suffix_dedup)
 from riskweave.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +135,28 @@ def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", F.col("at").cast("long").alias("word_no"), F.col("start").cast("long").alias("offset"), F.length("value").cast("long").alias("n_chars"),
         F.sha2("value", 256).alias("value_sha256"), F.round("score", 6).alias("score"), "secret")
+
+
+@query
+def op11_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Shard and slot of every document among eight shards, and its shard among nine."""
+    found = sharding.shard(table(spark, sf, "documents"), 8)
+    return found.select(
+        F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding and each of its five positives."""
+    rows = table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    points = negatives.quantised(rows.select("vec_id", label.alias("label"), "embedding"), "vec_id", "label", "embedding", 256)
+    return negatives.mine(points, F.col("id") % 100 == 0).select(
+        F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank", F.col("negative").alias("negative_id"),
+        "positive_score", "negative_score")
+
+
+@query
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """The 2000 best phrases of two to five words of every language."""
+    return collocations.collocations(table(spark, sf, "documents"), 100, 2000)
