@@ -467,6 +467,21 @@ class Forest:
         out = df.withColumn(probability, score(F.struct(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(self.features)])))
         return out.withColumn(prediction, (F.col(probability) > 0.5).cast("double"))
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Overwrite ``path`` with the nodes and the cuts as Parquet."""
+        nodes = pd.DataFrame({c: getattr(self, c) for c in _NODE_NAMES})
+        spark.createDataFrame(nodes, _NODE).write.mode("overwrite").parquet(f"{path}/nodes")
+        cuts = [(i, c, [float(v) for v in own]) for i, (c, own) in enumerate(zip(self.features, self.cuts))]
+        spark.createDataFrame(cuts, "place int, feature string, cuts array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/cuts")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Forest:
+        """Read a forest that :meth:`save` wrote; a missing path is an error."""
+        nodes = spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").toPandas()
+        cuts = spark.read.parquet(f"{path}/cuts").orderBy("place").collect()
+        return Forest([r["feature"] for r in cuts], [np.array(r["cuts"], dtype=float) for r in cuts], int(nodes["tree"].max()) + 1,
+                      *[nodes[c].to_numpy() for c in _NODE_NAMES])
+
     def table(self, spark: SparkSession) -> DataFrame:
         """The nodes, one row each; an inner node sends values up to ``cut`` to node 2n, larger ones to 2n + 1."""
         cut = [float(self.cuts[f][c]) if f >= 0 else None for f, c in zip(self.feature, self.code)]

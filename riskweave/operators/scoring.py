@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from riskweave import schemas as S
 from riskweave.functions.columns import abs_above, band_left_closed, parse_yes_no, percent
 from riskweave.operators.features import align_to, apply_one_hot, apply_zscore, fixed_zero
+from riskweave.operators.forest import Forest
 from riskweave.sources.files import load_scaler, save_scaler
 
 
@@ -34,23 +35,27 @@ class Artefacts:
     collapsed: list[str] = field(default_factory=list)
     weights: list[float] = field(default_factory=list)
     intercept: float = 0.0
-    model: Model | None = None
+    model: Model | Forest | None = None
 
     def save(self, spark: SparkSession, path: str) -> None:
         save_scaler(spark, self.scaler, f"{path}/scaler")
         meta = {"features": self.features, "categories": self.categories, "collapsed": self.collapsed,
                 "weights": [float(w) for w in self.weights], "intercept": self.intercept,
-                "has_model": self.model is not None}
+                "has_model": self.model is not None, "is_forest": isinstance(self.model, Forest)}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").parquet(
             f"{path}/meta")
-        if self.model is not None:
+        if isinstance(self.model, Forest):
+            self.model.save(spark, f"{path}/model")
+        elif self.model is not None:
             self.model.write().overwrite().save(f"{path}/model")
 
     @staticmethod
     def load(spark: SparkSession, path: str, model_class: type = RandomForestClassificationModel) -> Artefacts:
         meta = json.loads(spark.read.parquet(f"{path}/meta").first()["meta"])
-        has_model = meta.pop("has_model")
-        model = model_class.load(f"{path}/model") if has_model else None
+        has_model, is_forest = meta.pop("has_model"), meta.pop("is_forest", False)
+        model = None
+        if has_model:
+            model = Forest.load(spark, f"{path}/model") if is_forest else model_class.load(f"{path}/model")
         return Artefacts(scaler=load_scaler(spark, f"{path}/scaler"), model=model, **meta)
 
 
@@ -153,6 +158,8 @@ def score(df: DataFrame, art: Artefacts, keep: Sequence[str] = ()) -> DataFrame:
     features = build_features(df, art, keep)
     if art.model is None:
         scored = features.withColumn("probability_1", logistic_probability(art.features, art.weights, art.intercept))
+    elif isinstance(art.model, Forest):
+        scored = art.model.transform(features)
     else:
         vectors = VectorAssembler(inputCols=art.features, outputCol="features").transform(features)
         scored = art.model.transform(vectors).withColumn("probability_1", vector_to_array("probability")[1])

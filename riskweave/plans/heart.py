@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from riskweave import schemas as S
 from riskweave.functions.columns import band_right_closed, convert, percent, ratio_per_square, recode
 from riskweave.operators import clean, cluster, features, integrate, metrics, models, outliers, pca, rules, warehouse
+from riskweave.operators.forest import fit_forest, fit_tree
+from riskweave.operators.logistic import fit_logistic
 from riskweave.operators.scoring import Artefacts
 from riskweave.operators.split import mark_test, split
 from riskweave.session import materialize
@@ -160,29 +162,22 @@ def classify(prepared: Prepared, forest_depth: int = 30, trees: int = 100) -> di
         train, test = prepared.patients.where("not is_test"), prepared.patients.where("is_test")
     else:
         train, test = split(prepared.patients, ["row_key"], stratify="target", seed=SPLIT_SEED)
-    train_v = materialize(models.assemble(train, prepared.columns, "target"), "train", spread=True)
-    test_v = materialize(models.assemble(test, prepared.columns, "target"), "test")
-    estimators = {
-        "Logistic Regression": models.logistic_regression(train_v.count()),
-        "Decision Tree": models.decision_tree(),
-        "Random Forest": models.random_forest(trees, forest_depth),
-    }
-    fitted = {name: models.evaluate(name, est, train_v, test_v) for name, est in estimators.items()}
-    forest = fitted["Random Forest"][0]
-    spark = prepared.patients.sparkSession
-    scored = models.probability_of_one(forest.transform(test_v))
-    whole = [F.col(c).cast("int").alias(c) for c in ("label", "prediction")]
-    report = {
-        n: metrics.class_report(m.transform(test_v).select(*whole), "label", "prediction", S.CLASS_NAMES)
-        for n, (m, _) in fitted.items()
+    train, test = materialize(train, "train", spread=True), materialize(test, "test")
+    columns = prepared.columns
+    fitted = {
+        "Logistic Regression": fit_logistic(train, columns, "target"),
+        "Decision Tree": fit_tree(train, columns, "target", "row_key"),
+        "Random Forest": fit_forest(train, columns, "target", "row_key", trees, forest_depth),
     }
+    scored = {n: m.transform(test).withColumn("prediction", F.col("prediction").cast("int")) for n, m in fitted.items()}
+    weights = models.weights_table(train.sparkSession, fitted["Random Forest"].importances(), columns, "importance")
     return {
-        "models": {n: m for n, (m, _) in fitted.items()},
-        "train_classes": metrics.value_counts(train_v, "label"),
-        "comparison": models.compare([m for _, m in fitted.values()]),
-        "reports": report,
-        "importances": models.importance_table(spark, forest, prepared.columns),
-        "risk_bands": risk_table(scored),
+        "models": fitted,
+        "train_classes": metrics.value_counts(train.select(F.col("target").cast("double").alias("label")), "label"),
+        "comparison": models.compare([metrics.binary_metrics(t, "target", "prediction", n) for n, t in scored.items()]),
+        "reports": {n: metrics.class_report(t, "target", "prediction", S.CLASS_NAMES) for n, t in scored.items()},
+        "importances": models.top_weights(weights, "importance", 10),
+        "risk_bands": risk_table(scored["Random Forest"]),
     }
 
 
@@ -191,7 +186,7 @@ def risk_table(scored: DataFrame) -> DataFrame:
     return scored.withColumn("predicted_risk_score", percent("probability_1")).select(
         "predicted_risk_score",
         band_right_closed("predicted_risk_score", S.SCORE_EDGES, S.SCORE_BANDS).alias("risk_band"),
-        F.col("label").cast("int").alias("actual_target"),
+        F.col("target").cast("int").alias("actual_target"),
     )
 
 
@@ -295,10 +290,10 @@ def fit_artefacts(
         kept = {o: sorted(int(c[len(o) + 1:]) for c in columns if c.startswith(f"{o}_")) for o in S.NOMINAL}
         categories = {o: [None, *v] for o, v in kept.items()}
     train, test = split(table, ["row_key"], stratify="target", seed=SPLIT_SEED)
-    train_v, test_v = (models.assemble(p, columns, "target") for p in (train, test))
-    model, quality = models.evaluate("Random Forest", models.random_forest(trees, max_depth), train_v, test_v)
+    model = fit_forest(materialize(train, "train"), columns, "target", "row_key", trees, max_depth)
+    quality = metrics.binary_metrics(model.transform(test), "target", "prediction", "Random Forest")
     art = Artefacts(
         features=columns, scaler={c: scaler[c] for c in S.CONTINUOUS if c in columns}, categories=dict(categories),
-        collapsed=[c for c in scaler if c in {*collapsed, *features.collapsed_columns(scaler, least_deviation)}], weights=[float(w) for w in model.featureImportances.toArray()], model=model,
+        collapsed=[c for c in scaler if c in {*collapsed, *features.collapsed_columns(scaler, least_deviation)}], weights=model.importances().tolist(), model=model,
     )
     return art, quality

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from riskweave import schemas as S
 from riskweave.plans import orders as O
+from riskweave.plans.oracle_models import model_sql
 
 LINES = """
 lines AS (
@@ -513,3 +514,5 @@ FROM t, (SELECT unnest(['pc1', 'pc2']) AS component)""",
     "run_quality": f"""{_COMPARED}, reg AS ({REGRESS_SIMPLE})
         SELECT (SELECT count(*) FROM orders) AS row_count, {_BEST_STUMP}, (SELECT rmse FROM reg) AS rmse, (SELECT r2 FROM reg) AS r2""",
 }
+
+ORACLE |= model_sql(LINES, {"trees": 6, "max_depth": 3})

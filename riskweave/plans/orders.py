@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.functions.columns import convert, ratio_per_square, recode
+from riskweave.functions.columns import convert, ratio_per_square, recode, round_half_even
 from riskweave.operators import clean, features, integrate, warehouse
 from riskweave.session import materialize
 
@@ -96,6 +96,17 @@ def model_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[st
     return stored, [c for c in stored.columns if c not in ("order_id", "target")]
 
 
+def tree_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """Imputed and encoded orders in their own units, which trees split like standardised ones, and their feature columns.
+
+    Measures are rounded, so that means of equal lines are equal numbers in whatever order they were added up.
+    """
+    table = clean_features(spark, sf_dir)
+    encoded = features.apply_one_hot(table, features.fit_one_hot(table, NOMINAL)).drop("nation")
+    stored = materialize(encoded.withColumns({c: round_half_even(c, 6) for c in NUMERIC}), "trees")
+    return stored, [c for c in stored.columns if c not in ("order_id", "target")]
+
+
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Fact and dimensions at order grain, registered as views."""
     tables = warehouse.build_star(

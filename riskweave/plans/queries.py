@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskweave import schemas as S
 from riskweave.functions import columns as C
-from riskweave.operators import clean, cluster, features, integrate, metrics, models, outliers, pca, rules, scoring
+from riskweave.operators import clean, cluster, features, forest, integrate, logistic, metrics, models, outliers, pca, rules, scoring
 from riskweave.operators.split import mark_test, split
 from riskweave.operators.warehouse import build_star, load_star, rollup_query, save_star
 from riskweave.plans import orders as O
@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-FOREST = {"num_trees": 100, "max_depth": 10}
+FOREST = {"trees": 100, "max_depth": 10}
 
 
 def query(fn: Query) -> Query:
@@ -267,53 +267,115 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
 # --- models ---------------------------------------------------------------------------
 
 
-def _training(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    table, names = O.model_features(spark, sf)
-    train, test = split(table, ["order_id"], stratify="target")
-    return _dealt(models.assemble(train, names, "target", ["order_id"])), models.assemble(test, names, "target"), names
-
-
 def _dealt(vectors: DataFrame) -> DataFrame:
-    """Rows dealt and sorted by their key: MLlib draws its bags per partition, so a forest
-    depends on ``spark.sql.shuffle.partitions`` but not on the cores or files at hand."""
+    """Rows dealt and sorted by their key: MLlib draws per partition, so its models
+    depend on ``spark.sql.shuffle.partitions`` but not on the cores or files at hand."""
     n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return materialize(vectors, "train").repartition(n, "order_id").sortWithinPartitions("order_id")
 
 
+def _scaled_training(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    table, names = O.model_features(spark, sf)
+    train, test = split(table, ["order_id"], stratify="target")
+    return materialize(train, "train"), test, names
+
+
 @query
 def classify_lr(spark: SparkSession, sf: str) -> DataFrame:
-    train, test, _ = _training(spark, sf)
-    return models.evaluate("Logistic Regression", models.logistic_regression(train.count()), train, test)[1]
+    train, test, names = _scaled_training(spark, sf)
+    return rounded(_quality("Logistic Regression", logistic.fit_logistic(train, names, "target"), test))
+
+
+@query
+def logistic_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """The gradient of the penalised loss at the fitted weights of all features: 0 at the one optimum of a convex loss."""
+    train, _, names = _scaled_training(spark, sf)
+    fit = logistic.fit_logistic(train, names, "target")
+    return rounded(logistic.gradient(train, fit, "target"), 4)
+
+
+@query
+def logistic_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights and intercept of the target on lines and quantity."""
+    train, _, _ = _tree_training(spark, sf)
+    scaled = train.select((F.col("n_lines") / 4).alias("lines"), (F.col("qty") / 100).alias("quantity"), "target")
+    fit = logistic.fit_logistic(materialize(scaled, "weights"), ["lines", "quantity"], "target")
+    return rounded(models.weights_table(spark, [*fit.weights, fit.intercept], ["lines", "quantity", "intercept"], "weight"))
+
+
+def _tree_training(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    table, names = O.tree_features(spark, sf)
+    train, test = split(table, ["order_id"], stratify="target")
+    return materialize(train, "train"), test, names
+
+
+def _quality(name: str, fitted: forest.Forest | logistic.Logistic, test: DataFrame) -> DataFrame:
+    return metrics.binary_metrics(fitted.transform(test), "target", "prediction", name)
 
 
 @query
 def classify_dt(spark: SparkSession, sf: str) -> DataFrame:
-    train, test, _ = _training(spark, sf)
-    return models.evaluate("Decision Tree", models.decision_tree(), train, test)[1]
+    train, test, names = _tree_training(spark, sf)
+    return rounded(_quality("Decision Tree", forest.fit_tree(train, names, "target", "order_id"), test))
+
+
+@query
+def decision_tree_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every node of the decision tree with its cut and its training rows of both classes."""
+    train, _, names = _tree_training(spark, sf)
+    return rounded(forest.fit_tree(train, names, "target", "order_id").table(spark))
+
+
+@query
+def dt_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Impurity importances of the decision tree."""
+    train, _, names = _tree_training(spark, sf)
+    fitted = forest.fit_tree(train, names, "target", "order_id")
+    return rounded(models.weights_table(spark, fitted.importances(), names, "importance"))
+
+
+#: A forest small enough for SQL to grow again.
+SMALL_FOREST = {"trees": 6, "max_depth": 3}
+
+
+@query
+def forest_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every node of a small forest: hashed bags, hashed choice of features, cuts and counts."""
+    train, _, names = _tree_training(spark, sf)
+    return rounded(forest.fit_forest(train, names, "target", "order_id", **SMALL_FOREST).table(spark))
+
+
+@query
+def forest_risk(spark: SparkSession, sf: str) -> DataFrame:
+    """Probability and class of every held-out order by the small forest."""
+    train, test, names = _tree_training(spark, sf)
+    scored = forest.fit_forest(train, names, "target", "order_id", **SMALL_FOREST).transform(test)
+    return scored.select("order_id", r("probability_1").alias("probability"), F.col("prediction").cast("int").alias("prediction"))
 
 
 @query
 def classify_rf(spark: SparkSession, sf: str) -> DataFrame:
-    train, test, _ = _training(spark, sf)
-    return models.evaluate("Random Forest", models.random_forest(**FOREST), train, test)[1]
+    train, test, names = _tree_training(spark, sf)
+    return _quality("Random Forest", forest.fit_forest(train, names, "target", "order_id", **FOREST), test)
 
 
 @query
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """Logistic regression, decision tree and forest on one split; the best one is marked."""
-    train, test, _ = _training(spark, sf)
-    results = [
-        models.evaluate("Logistic Regression", models.logistic_regression(train.count()), train, test)[1],
-        models.evaluate("Decision Tree", models.decision_tree(), train, test)[1],
-        models.evaluate("Random Forest", models.random_forest(**FOREST), train, test)[1],
-    ]
-    return metrics.best_model(models.compare(results))
+    train, test, names = _scaled_training(spark, sf)
+    fitted = {
+        "Logistic Regression": logistic.fit_logistic(train, names, "target"),
+        "Decision Tree": forest.fit_tree(train, names, "target", "order_id"),
+        "Random Forest": forest.fit_forest(train, names, "target", "order_id", **FOREST),
+    }
+    return metrics.best_model(models.compare([_quality(n, m, test) for n, m in fitted.items()]))
 
 
 @query
 def rf_importance_top10(spark: SparkSession, sf: str) -> DataFrame:
-    train, _, names = _training(spark, sf)
-    return models.importance_table(spark, models.random_forest(**FOREST).fit(train), names)
+    train, _, names = _tree_training(spark, sf)
+    fitted = forest.fit_forest(train, names, "target", "order_id", **FOREST)
+    return models.top_weights(models.weights_table(spark, fitted.importances(), names, "importance"), "importance", 10)
 
 
 def _order_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -649,10 +711,10 @@ def advice_lines(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def score_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Every order scored by a random forest trained on four fifths of them."""
-    table, names = O.model_features(spark, sf)
+    table, names = O.tree_features(spark, sf)
     train, _ = split(table, ["order_id"], stratify="target")
-    model = models.random_forest(**FOREST).fit(_dealt(models.assemble(train, names, "target", ["order_id"])))
-    art = scoring.Artefacts(features=names, scaler={}, weights=list(model.featureImportances.toArray()), model=model)
+    model = forest.fit_forest(materialize(train, "train"), names, "target", "order_id", **FOREST)
+    art = scoring.Artefacts(features=names, scaler={}, weights=model.importances().tolist(), model=model)
     scored = scoring.score(table, art, ["order_id", "target"])
     return scored.select("order_id", "target", "probability", "risk_score", "risk_band")
 
