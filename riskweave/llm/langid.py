@@ -30,6 +30,8 @@ TRIGRAM, ENTRY, LEVEL = 0.1, 1.0, 20.0
 #: Trigrams overlap and repeat, so their evidence counts for less than their number.
 WEIGHT = 0.2
 SALT_BITS = 5
+#: Labels that make a language; each takes 128 kB of the model.
+MOST_LANGUAGES = 256
 #: Prior share of texts in no known language.
 UNKNOWN_SHARE = 0.001
 
@@ -80,15 +82,16 @@ def primary(tag: Column) -> Column:
     return F.when(first != "", first)
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "lang", min_docs: int = 10) -> Model:
-    """Count trigrams of all labelled documents; labels of fewer than ``min_docs`` make no language.
+def fit(docs: DataFrame, text: str = "text", label: str = "lang", most: int = MOST_LANGUAGES) -> Model:
+    """Count trigrams of all labelled documents. Every label makes a language, however few its documents; smoothing covers small counts.
 
-    What reaches the driver is one number per language and bucket.
+    What reaches the driver is one number per language and bucket. That bounds the model: beyond ``most`` labels
+    those of the fewest documents make no language.
     """
     ship_package(docs.sparkSession)
     small_batches(docs.sparkSession)
-    labelled = docs.select(primary(F.col(label)).alias("label"), F.col(text).alias("text")).where("label IS NOT NULL AND text <> ''")
-    named = sorted(r["label"] for r in labelled.groupBy("label").count().where(F.col("count") >= min_docs).collect())
+    labelled = docs.select(primary(F.col(label)).alias("label"), F.col(text).alias("text")).where(f"label <> '{UNKNOWN}' AND text <> ''")
+    named = sorted(r["label"] for r in labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(most).collect())
     counted = labelled.where(F.col("label").isin(named)) if named else labelled.limit(0)
     sums = counted.mapInPandas(_counts, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     table = np.full((len(named) + 1, (1 << BITS) + 1), TRIGRAM)
@@ -109,6 +112,7 @@ def scored(rows: DataFrame, model: Model) -> DataFrame:
     """
     ship_package(rows.sparkSession)
     small_batches(rows.sparkSession)
+    table = rows.sparkSession.sparkContext.broadcast(model.table)  # 128 kB a language
 
     @F.pandas_udf("array<double>")
     def likelihood(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -116,7 +120,7 @@ def scored(rows: DataFrame, model: Model) -> DataFrame:
             out: list = []
             for _, group in chunks(texts.tolist()):
                 bucket, starts = _trigrams(group)
-                sums = np.stack([np.add.reduceat(t[bucket], starts, dtype=np.float64) for t in model.table], axis=1) * WEIGHT
+                sums = np.stack([np.add.reduceat(t[bucket], starts, dtype=np.float64) for t in table.value], axis=1) * WEIGHT
                 sums -= sums.max(axis=1, keepdims=True)
                 out += [s if len(t) >= 3 else None for s, t in zip(sums, group)]
             yield pd.Series(out, dtype=object)

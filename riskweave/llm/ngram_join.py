@@ -41,7 +41,7 @@ TRIES, LOOK_BACK = 16, 4
 PACKED = "batch long, bucket long, kind int, payload binary"
 
 
-def _meta(keys: list, owners: np.ndarray, hashes: np.ndarray) -> bytes:
+def _meta(keys: list[tuple], owners: np.ndarray, hashes: np.ndarray) -> bytes:
     """Size and a 128-bit digest of every set of a batch, as one table in Arrow format."""
     n = len(keys)
     size = np.bincount(owners, minlength=n)
@@ -49,7 +49,9 @@ def _meta(keys: list, owners: np.ndarray, hashes: np.ndarray) -> bytes:
     sums = [np.bincount(owners, weights=(x & low if k else x >> np.uint64(32)).astype(np.float64), minlength=n)
             for x in (hashes, again) for k in (0, 1)]
     digest = ["-".join(f"{int(x):x}" for x in row) for row in zip(size, *sums)]
-    made = pa.record_batch([pa.array(keys, pa.int64()), pa.array(size, pa.int64()), pa.array(digest)], ["doc_id", "size", "digest"])
+    ids, marks = zip(*keys)
+    made = pa.record_batch(
+        [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(size, pa.int64()), pa.array(digest)], ["doc_id", "mark", "size", "digest"])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, made.schema) as out:
         out.write_batch(made)
@@ -85,7 +87,7 @@ def _packer(bits: int):
         texts: list = []
         size = 0
         for rows in batches:
-            for key, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+            for *key, text in zip(*[c.to_pylist() for c in rows.columns]):
                 keys.append(key)
                 texts.append(text)
                 size += len(text or "") // 6
@@ -143,14 +145,14 @@ def _collector(bits: int, percent: int):
             for i in np.flatnonzero((count * 100 >= percent * size) & (size > 0)):
                 tokens[i] = token[ends[i] - count[i]:ends[i]]
         return pd.DataFrame({
-            "rid": (batch << 16) + np.arange(len(docs)), "doc_id": pd.array(docs["doc_id"], dtype="Int64"), "size": size,
+            "rid": (batch << 16) + np.arange(len(docs)), "doc_id": pd.array(docs["doc_id"], dtype="Int64"), "mark": docs["mark"], "size": size,
             "digest": docs["digest"], "tokens": tokens})
 
     return collect
 
 
 def shared_shingles(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, bits: int | None = None) -> DataFrame:
-    """One row per document: ``rid``, ``doc_id``, ``size``, ``digest``, ``tokens``.
+    """One row per document: ``rid``, ``doc_id``, ``mark`` (hash of the text), ``size``, ``digest``, ``tokens``.
 
     ``tokens`` are the shingles that occur in another document, NULL where these are too few
     for any link. ``bits`` sets the number of hash ranges; by default it follows the input's partitions.
@@ -158,12 +160,13 @@ def shared_shingles(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     spark = docs.sparkSession
     ship_package(spark)
     small_batches(spark)
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), mark.alias("mark"), F.col(text).alias("text"))
     bits = bits or max(8, min(30, (8 * rows.rdd.getNumPartitions()).bit_length()))
     packed = rows.mapInArrow(_packer(bits), PACKED)
     returned = packed.groupBy("bucket").applyInPandas(_shared, PACKED)
     return returned.groupBy("batch").applyInPandas(
-        _collector(bits, percent), "rid long, doc_id long, size long, digest string, tokens array<long>")
+        _collector(bits, percent), "rid long, doc_id long, mark long, size long, digest string, tokens array<long>")
 
 
 def _needed(a: Column, b: Column, percent: int) -> Column:
@@ -281,10 +284,11 @@ def similar_sets(sets: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` for every row of ``docs``.
+    """``doc_id``, ``mark``, ``n_shingles``, ``component_id`` and ``component_mark`` for every row of ``docs``.
 
     NULL and wordless texts have empty sets and link with nothing; repeated rows link like
-    any copies. A component is named by its smallest doc_id, NULL if it has none. Other
+    any copies. A component is named by its smallest doc_id, NULL if it has none. Its first document is that
+    of this id with the smallest ``mark`` (hash of the text), which ``component_mark`` is: an id may come with several texts. Other
     columns of ``docs`` are left out, so their names cannot clash.
     """
     all_docs = materialize(shared_shingles(docs, key, text, percent), "shared")
@@ -298,12 +302,14 @@ def ngram_join(docs: DataFrame, percent: int = 75, key: str = "doc_id", text: st
     labelled = copies.join(found, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
     by = F.xxhash64("rid")
-    member = salted_join(held.select("rid", "doc_id", "digest", "size"), labelled, ["digest"], by)
-    member = materialize(member.select("rid", "doc_id", "size", "component"), "members")
-    names = member.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    member = salted_join(held.select("rid", "doc_id", "mark", "digest", "size"), labelled, ["digest"], by)
+    member = materialize(member.select("rid", "doc_id", "mark", "size", "component"), "members")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first")
+    names = member.groupBy("component").agg(first)
     linked = salted_join(member, names, ["component"], by).select(
-        "rid", "doc_id", F.col("size").alias("n_shingles"), "component_id")
-    alone = all_docs.where("tokens IS NULL").select("rid", "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+        "rid", "doc_id", "mark", F.col("size").alias("n_shingles"), F.col("first.doc_id").alias("component_id"), F.col("first.mark").alias("component_mark"))
+    alone = all_docs.where("tokens IS NULL").select(
+        "rid", "doc_id", "mark", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("mark").alias("component_mark"))
     return linked.unionByName(alone)
 
 

@@ -58,3 +58,16 @@ def test_empty_tables(spark, folder):
     none = spark.read.parquet(f"{path}/documents.parquet").limit(0)
     for name, fn in corpus_pipeline.STAGES:
         assert fn(spark, none, path).count() == 0, name
+
+
+def test_an_id_with_two_texts_loses_only_the_copy(spark, make, folder):
+    a, b = sentences("aa", 60, 1), sentences("aa", 60, 2)
+    docs = make([(1, a), (5, a), (5, b), (None, a), (None, b), (7, b), (7, b), (None, None), (None, None), (9, "")])
+    kept = stage(spark, "n-gram near duplicates", docs, folder[0]).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(1, a), (5, b), (None, None), (9, "")], key=str)
+
+
+def test_small_tables_are_kept(spark, make, folder):
+    for n in (1, 9, 20):
+        docs = make([(i, sentences("aa", 60, i), "aa", "h") for i in range(n)] + [(100 + i, sentences("cc", 60, 500 + i), "cc", "h") for i in range(n)])
+        assert stage(spark, "language identification", docs, folder[0]).count() == 2 * n
