@@ -50,17 +50,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one that names the group.
+    """One document of each group of near duplicates: the one of smallest doc_id, then of smallest hash of the text.
 
-    Of repeated rows, which share id and text, one stays. Documents without doc_id all stay but for
-    repeated rows, as no id names them.
+    A document is an id with a text: of one id, a text may go and another stay. Documents without doc_id come last in a
+    group. Of repeated rows one stays.
     """
     joined = materialize(ngram_join.ngram_join(docs), "near-duplicates")
-    kept = without(docs, joined.where("doc_id <> component_id"), {"doc_id": F.col("doc_id")})
-    twice = joined.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("component_mark"))
+    kept = without(docs, joined.where(~first), {"doc_id": F.col("doc_id"), "mark": _mark()})
+    twice = joined.groupBy(F.col("doc_id").alias("_twice_id"), F.col("mark").alias("_twice_mark")).count().where("count > 1").drop("count")
     if twice.limit(1).count() == 0:
         return kept
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    same = F.col("doc_id").eqNullSafe(F.col("_twice_id")) & (_mark() == F.col("_twice_mark"))
     return kept.join(twice, same, "left_anti").union(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
