@@ -508,6 +508,7 @@ SELECT order_id, round(a, 6) AS score FROM s WHERE round(a, 9) <= round((SELECT
   corr(l_quantity, l_extendedprice) * count(*) / (count(*) - 1) AS c FROM lineitem)
 SELECT component, CAST(0 AS DOUBLE) AS residual, CAST(1 AS DOUBLE) AS length, round(trace, 5) AS trace, round(c, 5) + 0 AS corr
 FROM t, (SELECT unnest(['pc1', 'pc2']) AS component)""",
+    "csv_mixed": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "csv_bom": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "star_defaults": f"""WITH {LINES} SELECT row_number() OVER (ORDER BY order_id) AS flags_id, CAST(coalesce(open_lines, 0) AS INT) AS open_lines,
         CAST(coalesce(bulk, 0) AS INT) AS bulk, CAST(coalesce(high_tax, 0) AS INT) AS high_tax FROM features""",

@@ -62,6 +62,16 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_delimited(spark, path, wanted, ";")
 
 
+@query
+def csv_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers written into one folder as files of two column orders, one with a column more, and read back by name."""
+    rows = O.load(spark, sf, "customer")
+    path = scratch_path(spark, "mixed-csv")
+    files.write_table(rows.where("c_custkey % 2 = 0").select("c_custkey", "c_name", "c_acctbal"), f"{path}/even", "csv")
+    files.write_table(rows.where("c_custkey % 2 = 1").select("c_acctbal", "c_mktsegment", "c_custkey", "c_name"), f"{path}/odd", "csv")
+    return files.read_delimited(spark, path, {"c_custkey": "bigint", "c_name": "string", "c_acctbal": "double"})
+
+
 @query
 def feature_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = files.write_table(O.order_features(spark, sf), scratch_path(spark, "feature-table"))

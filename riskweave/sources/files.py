@@ -3,28 +3,31 @@
 from __future__ import annotations
 
 import csv
+import json
 from collections.abc import Mapping
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.schemas import NA_TOKENS
+from riskweave.session import ship_package
+from riskweave.sources import delimited
 
 
 def read_delimited(spark: SparkSession, path: str, columns: Mapping[str, str], sep: str = ",") -> DataFrame:
     """Typed columns of a text file with a header, found by name.
 
     Columns are looked up by the header of each file, so extra or reordered columns are
-    harmless, and only the wanted ones are parsed. Missing-value tokens become
+    harmless, and only the wanted ones are parsed. Fields do not hold line breaks. Missing-value tokens become
     NULL; any other text that is no number fails the cast, and so does a fraction in a
     column of whole numbers.
     """
-    parts = []
-    for header, paths in _headers(spark, path, sep).items():
-        missing = [c for c in columns if c not in header]
-        if missing:
-            raise ValueError(f"{paths[0]} lacks the columns {missing}")
-        parts.append(spark.read.csv(paths, header=True, sep=sep, encoding="UTF-8", schema=", ".join(f"`c{i}` string" for i in range(len(header))), enforceSchema=True).toDF(*header))
+    uri = qualified(spark, path)
+    if urlsplit(uri).scheme in delimited.SCHEMES:
+        read = [_own_scan(spark, uri, list(columns), sep)]
+    else:
+        read = _scans_by_header(spark, path, columns, sep)
 
     def typed(name: str, kind: str):
         text = F.trim(F.col(f"`{name}`"))
@@ -35,13 +38,43 @@ def read_delimited(spark: SparkSession, path: str, columns: Mapping[str, str], s
             return F.coalesce(whole.cast(kind), F.when(value.isNotNull(), F.raise_error(F.concat(F.lit(f"{name}: no whole number: "), value)).cast(kind))).alias(name)
         return value.cast(kind).alias(name)
 
-    read = [raw.select(*[typed(n, k) for n, k in columns.items()]) for raw in parts]
+    read = [raw.select(*[typed(n, k) for n, k in columns.items()]) for raw in read]
     out = read[0]
     for more in read[1:]:
         out = out.unionByName(more)
     return out
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of its file system; one without a scheme is on the session's default file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
+def _own_scan(spark: SparkSession, uri: str, columns: list[str], sep: str) -> DataFrame:
+    """The columns as texts by the data source ``delimited``. The first file's header is looked at here, so that a wrong name fails at once."""
+    found = delimited.data_files(uri)
+    if not found:
+        raise ValueError(f"{uri} has no header")
+    first = delimited.read_header(delimited.file_system(uri)[0], found[0][0], sep)[0]
+    delimited.check_header(first, columns, found[0][0])
+    ship_package(spark)
+    spark.dataSource.register(delimited.DelimitedSource)
+    return spark.read.format("delimited").options(path=uri, sep=sep, columns=json.dumps(columns)).load()
+
+
+def _scans_by_header(spark: SparkSession, path: str, columns: Mapping[str, str], sep: str) -> list[DataFrame]:
+    """One scan per distinct header, for file systems that only Spark's own readers can open; the headers take a pass of their own."""
+    parts = []
+    for header, paths in _headers(spark, path, sep).items():
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise ValueError(f"{paths[0]} lacks the columns {missing}")
+        texts = ", ".join(f"`c{i}` string" for i in range(len(header)))
+        parts.append(spark.read.csv(paths, header=True, sep=sep, encoding="UTF-8", schema=texts, enforceSchema=True).toDF(*header))
+    return parts
+
+
 def _headers(spark: SparkSession, path: str, sep: str) -> dict[tuple[str, ...], list[str]]:
     """Files below ``path`` by their header; a folder may hold files of different column order."""
     from pyspark.sql.types import StringType, StructField, StructType

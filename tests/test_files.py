@@ -1,9 +1,11 @@
+import gzip
+
 import pytest
 from pyspark.errors import AnalysisException
 
 from riskweave import schemas as S
 from riskweave.session import materialize, scratch_dir
-from riskweave.sources import files
+from riskweave.sources import delimited, files
 
 
 def test_bom_crlf_missing_tokens_and_column_order(spark, tmp_path):
@@ -54,3 +56,41 @@ def test_scratch_follows_the_session_setting(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     copy = materialize(spark.range(10).repartition(1), "t", spread=True)
     assert copy.count() == 10 and scratch_dir(spark) in copy.inputFiles()[0]
+
+
+def test_ranges_cover_every_line_once(spark, tmp_path):
+    text = "b;a\r\n" + "".join(f"{i};{'x' * (i % 37)}{i}\r\n" for i in range(500)) + "last;z"
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "one.csv").write_bytes(("\ufeff" + text).encode())
+    (tmp_path / "d" / "two.csv").write_text("a;c;b\nq;w;7\n")
+    (tmp_path / "d" / "_SUCCESS").write_text("")
+    (tmp_path / "d" / ".hidden.csv").write_text("nothing")
+    (tmp_path / "d" / "empty.csv").write_text("")
+    want = sorted([(f"{'x' * (i % 37)}{i}", str(i)) for i in range(500)] + [("z", "last"), ("q", "7")])
+    for size in (1, 7, 64, 1000, 1 << 20):
+        read = delimited.DelimitedReader({"path": str(tmp_path / "d"), "sep": ";", "columns": '["a", "b"]', "part_bytes": str(size)})
+        got = [tuple(r.values()) for p in read.partitions() for b in read.read(p) for r in b.to_pylist()]
+        assert sorted(got) == want, size
+    df = files.read_delimited(spark, str(tmp_path / "d"), {"a": "string", "b": "string"}, ";")
+    assert sorted(map(tuple, df.collect())) == want
+
+
+def test_packed_files_short_lines_and_quotes(spark, tmp_path):
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as f:
+        f.write('n,t\n1,"x, ""y"""\n2\n\n3,z\n')
+    df = files.read_delimited(spark, str(tmp_path / "a.csv.gz"), {"t": "string", "n": "int"})
+    assert sorted((r["n"], r["t"]) for r in df.collect() if r["t"]) == [(1, 'x, "y"'), (3, "z")] and df.where("n = 2 AND t IS NULL").count() == 1
+    (tmp_path / "b.csv").write_text("n,t\n1,2,3\n")
+    with pytest.raises(Exception, match="more fields"):
+        files.read_delimited(spark, str(tmp_path / "b.csv"), {"n": "int"}).collect()
+    with pytest.raises(FileNotFoundError):
+        files.read_delimited(spark, str(tmp_path / "absent"), {"n": "int"})
+
+
+def test_spark_readers_serve_other_file_systems(spark, tmp_path, monkeypatch):
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "one.csv").write_text("n,t\n1,x\n")
+    (tmp_path / "e" / "two.csv").write_text("t,n\ny,2\n")
+    monkeypatch.setattr(delimited, "SCHEMES", set())
+    got = files.read_delimited(spark, str(tmp_path / "e"), {"n": "int", "t": "string"}).collect()
+    assert sorted(map(tuple, got)) == [(1, "x"), (2, "y")]
