@@ -34,6 +34,28 @@ def dedup(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+#: Groups of fingerprints that are marked as repeated or not; at most this many numbers are broadcast.
+FINGERPRINT_GROUPS = 1 << 20
+
+
+def dedup_wide(df: DataFrame) -> DataFrame:
+    """Distinct rows of a table of wide rows, few of which are repeated; two NULLs are equal.
+
+    Only 128-bit fingerprints of the rows are exchanged and counted. Rows whose group of fingerprints holds no repeated one are
+    distinct and stay where they are; the others are compared as a whole. ``df`` is read three times, so
+    store it first if it is costly to make.
+    """
+    if not df.columns:
+        return df.distinct()
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    prints = df.select(F.xxhash64(*cells).alias("a"), F.xxhash64(F.lit(1), *reversed(cells)).alias("b"))
+    group = lambda h: F.pmod(h, F.lit(FINGERPRINT_GROUPS)).cast("int")
+    repeated = prints.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(group(F.col("a")).alias("__repeated")).distinct()
+    here = group(F.xxhash64(*cells)) == F.col("__repeated")
+    small = F.broadcast(repeated)  # at most FINGERPRINT_GROUPS numbers
+    return df.join(small, here, "left_anti").unionAll(df.join(small, here, "left_semi").distinct())
+
+
 def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: rows before, rows after, rows removed."""
     tagged = before.select(F.lit(1).alias("b"), F.lit(0).alias("a")).unionAll(

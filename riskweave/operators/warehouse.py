@@ -111,7 +111,8 @@ def save_star(
         target = f"{path.rstrip('/')}/{name}"
         if buckets and keys:
             df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-            df.write.mode("overwrite").bucketBy(buckets, keys[name]).sortBy(keys[name]).option(
+            # one file a bucket, not one a bucket and task
+            df.repartition(buckets, keys[name]).write.mode("overwrite").bucketBy(buckets, keys[name]).sortBy(keys[name]).option(
                 "path", target
             ).saveAsTable(name)
         else:

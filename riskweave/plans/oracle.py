@@ -508,6 +508,10 @@ SELECT order_id, round(a, 6) AS score FROM s WHERE round(a, 9) <= round((SELECT
   corr(l_quantity, l_extendedprice) * count(*) / (count(*) - 1) AS c FROM lineitem)
 SELECT component, CAST(0 AS DOUBLE) AS residual, CAST(1 AS DOUBLE) AS length, round(trace, 5) AS trace, round(c, 5) + 0 AS corr
 FROM t, (SELECT unnest(['pc1', 'pc2']) AS component)""",
+    "dedup_copies": "SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag FROM lineitem",
+    "olap_stored": f"WITH {STAR} " + " UNION ALL ".join(
+        f"SELECT '{by}' AS level, CAST({by} AS VARCHAR) AS value, round(avg(target), 4) AS return_rate, count(*) AS order_count, "
+        f"round(avg(risk_score), 4) AS avg_risk_score FROM keyed GROUP BY {by}" for by in ("segment", "nation", "status", "priority")),
     "csv_mixed": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "csv_bom": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "star_defaults": f"""WITH {LINES} SELECT row_number() OVER (ORDER BY order_id) AS flags_id, CAST(coalesce(open_lines, 0) AS INT) AS open_lines,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import convert, ratio_per_square, recode, round_half_even
 from riskweave.operators import clean, features, integrate, warehouse
-from riskweave.session import materialize
+from riskweave.session import materialize, scratch_path
 
 NUMERIC = ["totalprice", "acctbal", "n_lines", "qty", "price", "discount", "tax"]
 NOMINAL = ["status", "priority", "segment"]
@@ -115,6 +117,16 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return tables
 
 
+def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star as catalog tables, bucketed by the key that fact and dimensions share."""
+    mark = uuid.uuid4().hex
+    keys = {FACT: "fact_id", **{t: k for t, (k, _) in DIMS.items()}}
+    tables = {f"{n}_{mark}": t for n, t in star(spark, sf_dir).items()}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    warehouse.save_star(tables, scratch_path(spark, "star"), {f"{n}_{mark}": k for n, k in keys.items()}, buckets)
+    return {n: spark.table(f"{n}_{mark}") for n in keys}
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, orders and events in one layout; what a source lacks is NULL."""
     line_map = {

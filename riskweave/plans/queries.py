@@ -96,12 +96,20 @@ def integrate_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dedup_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return integrate.dedup(O.load(spark, sf, "lineitem")).withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
+    return integrate.dedup_wide(O.load(spark, sf, "lineitem")).withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
 @query
 def dedup_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return integrate.dedup(O.load(spark, sf, "documents"))
+    return integrate.dedup_wide(O.load(spark, sf, "documents"))
+
+
+@query
+def dedup_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of which every third has a copy and every fifth has two: copies removed, unique lines left where they are."""
+    lines = O.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
+    twice = lines.unionAll(lines.where("l_orderkey % 3 = 0")).unionAll(lines.where("l_orderkey % 5 = 0"))
+    return integrate.dedup_wide(twice)
 
 
 @query
@@ -227,6 +235,21 @@ def olap_by_priority(spark: SparkSession, sf: str) -> DataFrame:
     return rollup_query(tables["order_fact"], tables["dim_order"], "detail_id", "priority", aggs, 4)
 
 
+@query
+def olap_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The three roll-ups over a warehouse stored in buckets of the shared key: fact and dimensions are joined where they lie."""
+    tables = O.stored_star(spark, sf)
+    aggs = {"return_rate": F.avg("target"), "order_count": F.count(F.lit(1)), "avg_risk_score": F.avg("risk_score")}
+    levels = (("dim_party", "party_id", "segment"), ("dim_party", "party_id", "nation"), ("dim_order", "detail_id", "status"),
+              ("dim_order", "detail_id", "priority"))
+    parts = []
+    for dim, key, by in levels:
+        fact = tables[O.FACT].select(F.col("fact_id").alias(key), "target", "risk_score")  # all tables share the key
+        rolled = rollup_query(fact, tables[dim], key, by, aggs, 4)
+        parts.append(rolled.select(F.lit(by).alias("level"), F.col(by).cast("string").alias("value"), *aggs))
+    return integrate.union_all(*parts)
+
+
 # --- splits and metrics ---------------------------------------------------------------
 
 

@@ -89,3 +89,23 @@ def test_describe(spark):
     y = np.array(x[:4])
     assert list(row)[1:] == pytest.approx(
         [4, y.mean(), y.std(ddof=1), 1.0, *np.quantile(y, [0.25, 0.5, 0.75]), 8.0])
+
+
+def test_wide_dedup_moves_only_rows_whose_fingerprint_repeats(spark):
+    rows = [(1, None, "a"), (1, None, "a"), (None, 1, "a"), (2, 3, None), (2, 3, None), (2, 3, None), (4, 4, "b"), (5, None, None)]
+    df = spark.createDataFrame(rows, "x int, y int, z string").repartition(3)
+    key = lambda r: str(tuple(r))
+    assert sorted(map(tuple, integrate.dedup_wide(df).collect()), key=str) == sorted(set(rows), key=str)
+    signed = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (1.0,)], "v double")
+    assert integrate.dedup_wide(signed).count() == signed.distinct().count() == 3
+    assert integrate.dedup_wide(df.limit(0)).count() == 0
+    once = df.distinct().withColumn("__n", F.lit(1))
+    plan = integrate.dedup_wide(once)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("LeftAnti")  # the distinct side is only under the semi join
+    assert sorted(map(key, integrate.dedup_wide(once).drop("__n").collect())) == sorted(map(str, set(rows)))
+
+
+def test_rows_that_share_a_group_of_fingerprints_are_all_kept(spark, monkeypatch):
+    monkeypatch.setattr(integrate, "FINGERPRINT_GROUPS", 2)
+    df = spark.range(200).withColumn("v", F.col("id") % 7)
+    assert integrate.dedup_wide(df.unionAll(df.where("id < 3"))).count() == 200

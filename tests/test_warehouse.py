@@ -1,9 +1,12 @@
+import os
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import warehouse
+from riskweave.plans.queries import REGISTRY
 
 DIMS = {"dim_a": ("a_id", ["age", "gender"]), "dim_b": ("b_id", ["smoke"])}
 
@@ -64,3 +67,18 @@ def test_bucketed_tables_join_without_shuffle(spark, star, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert joined.count() == 12 and "Exchange hashpartitioning" not in plan
+
+
+def test_stored_rollups_exchange_nothing_below_the_aggregate(spark):
+    folder = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip(f"no tables in {folder}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rolled = REGISTRY["olap_stored"](spark, folder)
+        plan = rolled._jdf.queryExecution().executedPlan().toString()
+        assert rolled.count() > 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) == ["nation", "priority", "segment", "status"]
+    assert plan.count("SortMergeJoin") == 4
