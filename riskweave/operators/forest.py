@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,12 +46,24 @@ POISSON = [math.floor(sum(math.exp(-1) / math.factorial(j) for j in range(i + 1)
 # --- draws ------------------------------------------------------------------------------------------
 
 
-def draw(a: np.ndarray, b: int) -> np.ndarray:
-    """32-bit numbers drawn from 64-bit numbers ``a`` and ``b``."""
+def draw64(a: np.ndarray, b: int) -> np.ndarray:
+    """64-bit numbers drawn from 64-bit numbers ``a`` and a whole number ``b``."""
     z = a.astype(np.uint64) * np.uint64(KEY_FACTOR) + np.uint64(b * TREE_FACTOR % 2**64)
     for _ in range(2):
         z = (z ^ (z >> np.uint64(32))) * np.uint64(MIX_FACTOR)
-    return z >> np.uint64(32)
+    return z
+
+
+def draw(a: np.ndarray, b: int) -> np.ndarray:
+    """The upper 32 bits of :func:`draw64`."""
+    return draw64(a, b) >> np.uint64(32)
+
+
+def key_of(df: DataFrame, key: str) -> Column:
+    """64-bit number of a row key: whole numbers as they are (NULL as 0), other keys by their hash."""
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        return F.coalesce(F.col(key).cast("long"), F.lit(0).cast("long"))
+    return F.xxhash64(key)
 
 
 def bag_weights(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
@@ -127,10 +139,8 @@ def coded(columns: Sequence[np.ndarray], cuts: Sequence[np.ndarray]) -> np.ndarr
 def encode(df: DataFrame, cols: Sequence[str], cuts: list[np.ndarray], label: str, key: str) -> DataFrame:
     """Stored ``k`` (64-bit key), ``y`` and ``codes`` (one byte per column) of every row."""
     ship_package(df.sparkSession)
-    whole = isinstance(df.schema[key].dataType, T.IntegralType)
     d = len(cols)
-    k = F.coalesce(F.col(key).cast("long"), F.lit(0).cast("long")) if whole else F.xxhash64(key)
-    rows = df.select(k.alias("k"), F.col(label).cast("int").alias("y"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    rows = df.select(key_of(df, key).alias("k"), F.col(label).cast("int").alias("y"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -12,21 +12,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.operators.forest import draw, draw64, key_of
 from riskweave.operators.quantiles import exact_quantiles
 from riskweave.session import materialize, ship_package
 
 _NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
 
 
-def _unit_hash(*parts: Column) -> Column:
-    """Hash of the parts as a number in [0, 1)."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 1) / F.lit(float(2**63))
-
-
 def average_path(n: int) -> float:
     """Mean path length of an unsuccessful search in a binary tree of n points."""
     if n <= 1:
@@ -44,37 +40,83 @@ class IsolationForest:
     sample_size: int
 
 
+def _smallest(parts: list[tuple[np.ndarray, ...]], psi: int) -> tuple[np.ndarray, ...]:
+    """Of (draws, keys, values) the ``psi`` rows of smallest draw, then key."""
+    z, k, x = (np.concatenate(c) for c in zip(*parts))
+    if len(z) > psi:
+        z, k, x = (c[np.lexsort((k, z))[:psi]] for c in (z, k, x))
+    return z, k, x
+
+
+def _bottom(rows: DataFrame, d: int, trees: int, psi: int, seed: int, limit: int) -> DataFrame:
+    """``tree``, ``z``, ``k`` and values of the rows with the ``psi`` smallest draws below ``limit`` in each tree.
+
+    Every task keeps ``psi`` rows a tree, and of those the smallest are kept where a tree's rows meet.
+    """
+    names = ["tree", "z", "k", *[f"x{i}" for i in range(d)]]
+
+    def given(held: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        for tree, parts in held.items():
+            z, k, x = _smallest(parts, psi)
+            columns = [pa.array(np.full(len(z), tree, np.int32)), pa.array(z.view(np.int64)), pa.array(k.view(np.int64)), *[pa.array(x[:, i]) for i in range(d)]]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    def take(held: dict[int, list], tree: int, part: tuple) -> None:
+        own = held.setdefault(tree, [])
+        own.append(part)
+        if sum(len(z) for z, _, _ in own) > 4 * psi:
+            held[tree] = [_smallest(own, psi)]
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for b in batches:
+            k = b.column(0).to_numpy().view(np.uint64)
+            x = np.column_stack([b.column(i + 1).to_numpy(zero_copy_only=False) for i in range(d)])
+            for tree in range(trees):
+                z = draw64(k, seed * 1000 + tree + 1)
+                near = np.flatnonzero(z <= np.uint64(limit))
+                if len(near):
+                    take(held, tree, (z[near], k[near], x[near]))
+        yield from given(held)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for b in batches:
+            tree, z, k, *x = [b.column(i).to_numpy(zero_copy_only=False) for i in range(d + 3)]
+            x = np.column_stack(x)
+            for t in np.unique(tree):
+                own = tree == t
+                take(held, int(t), (z[own].view(np.uint64), k[own].view(np.uint64), x[own]))
+        yield from given(held)
+
+    schema = "tree int, z long, k long, " + ", ".join(f"x{i} double" for i in range(d))
+    tasks = min(trees, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.mapInArrow(drawn, schema).repartition(tasks, "tree").mapInArrow(merged, schema)
+
+
 def tree_samples(df: DataFrame, cols: Sequence[str], key: str, trees: int, psi: int, seed: int, rows: int) -> DataFrame:
-    """Rows (tree, columns): ``psi`` rows for each tree, chosen by hashes of the row key.
+    """Stored rows (tree, z, k, x0, x1, ...): for each tree the ``psi`` rows of smallest draw from row key and tree.
 
-    About 4 psi candidates per tree survive the scan; the ranking that follows sees only
-    those. One hash says for how many trees a row is a candidate (a binomial number), and only
-    rows with any choose their trees, so a row of a large table costs one hash.
+    Only draws that some eight times ``psi`` rows have are looked at; should a tree not fill up with those, the limit is raised.
     """
-    unit = _unit_hash(F.col(key), F.lit(seed))
-    wanted = 4.0 * psi
-    share = min(1.0, wanted / rows)
-    # P(at most i trees) for i = 0 .. trees - 1, in logarithms so that no term vanishes early
-    terms = [math.lgamma(trees + 1) - math.lgamma(i + 1) - math.lgamma(trees - i + 1)
-             + (i * math.log(share) + (trees - i) * math.log1p(-share) if share < 1 else -math.inf) for i in range(trees)]
-    at_most = np.minimum(np.cumsum(np.exp(terms)), 1.0)
-    number = F.size(F.filter(F.array(*[F.lit(float(p)) for p in at_most]), lambda p: p <= unit))
-    some = df.where(unit >= F.lit(float(at_most[0])))
-    ranked = F.sort_array(F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64(key, F.lit(seed + 1), t).alias("h"), t.alias("tree"))))
-    picked = some.withColumn("__t", F.explode(F.slice(ranked, 1, number))).withColumn("tree", F.col("__t.tree")).drop("__t")
-    order = W.partitionBy("tree").orderBy(F.xxhash64(key, F.lit(seed + 2), "tree"), key)
-    return picked.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= psi).select("tree", *cols)
+    ship_package(df.sparkSession)
+    slim = df.select(key_of(df, key).alias("k"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    share = 8 * psi / max(rows, 1)
+    while True:
+        limit = min(int(share * 2**64), 2**64 - 1)
+        found = materialize(_bottom(slim, len(cols), trees, psi, seed, limit), "samples")
+        if limit == 2**64 - 1 or found.count() == trees * psi:
+            return found
+        share *= 8
 
 
 def grow_tree(tree: int, data: np.ndarray, depth: int, seed: int) -> list[tuple]:
-    """Nodes of one isolation tree: random column, random cut between its extremes."""
-    rng = np.random.default_rng([seed, tree])
-    data = data[np.lexsort(data.T[::-1])]  # the sample's order must not matter
+    """Nodes of one isolation tree. A node's column, among those that vary, and its cut between the column's extremes are
+    drawn from the tree and the node's place (the root is 1, its children 2 and 3)."""
     nodes: list[list] = []
-    todo = [(data, 0, -1, 0)]
+    todo = [(data, 0, -1, 0, 1)]
     while todo:
-        rows, level, parent, side = todo.pop()
+        rows, level, parent, side, place = todo.pop()
         me = len(nodes)
         if parent >= 0:
             nodes[parent][4 + side] = me
@@ -83,32 +125,32 @@ def grow_tree(tree: int, data: np.ndarray, depth: int, seed: int) -> list[tuple]
         if level >= depth or len(rows) <= 1 or not len(usable):
             nodes.append([tree, me, -1, 0.0, me, me, level + average_path(len(rows))])
             continue
-        col = int(rng.choice(usable))
-        cut = float(rng.uniform(low[col], high[col]))
+        which, where = draw(np.array([place << 16, (place << 16) + 1]), seed * 1000 + tree + 1)
+        col = int(usable[int(which) % len(usable)])
+        cut = float(low[col] + (high[col] - low[col]) * (float(where) / 2**32))
         if cut >= high[col]:  # rounding may reach the upper end, which must go right
             cut = float(low[col])
         nodes.append([tree, me, col, cut, me, me, 0.0])
         goes_left = rows[:, col] <= cut
-        todo += [(rows[~goes_left], level + 1, me, 1), (rows[goes_left], level + 1, me, 0)]
+        todo += [(rows[~goes_left], level + 1, me, 1, 2 * place + 1), (rows[goes_left], level + 1, me, 0, 2 * place)]
     return [tuple(n) for n in nodes]
 
 
 def fit_iforest(
-    df: DataFrame, cols: Sequence[str], key: str, trees: int = 100, psi: int = 256, seed: int = 42
+    df: DataFrame, cols: Sequence[str], key: str, trees: int = 100, psi: int = 256, seed: int = 42, max_depth: int | None = None,
 ) -> IsolationForest:
-    """Grow ``trees`` trees on ``min(psi, rows)`` rows each. ``key`` must tell rows apart."""
+    """Grow ``trees`` trees on ``min(psi, rows)`` rows each, by default to the depth at which that many rows are told apart.
+    ``key`` must tell rows apart."""
     cols = list(cols)
-    ship_package(df.sparkSession)
     rows = df.count()
     if not rows:
         raise ValueError("no rows to fit")
     size = min(psi, rows)
-    depth = max(1, math.ceil(math.log2(max(size, 2))))
+    depth = max_depth or max(1, math.ceil(math.log2(max(size, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = int(pdf["tree"].iloc[0])
         return pd.DataFrame(
-            grow_tree(tree, pdf[cols].to_numpy(float), depth, seed),
+            grow_tree(int(pdf["tree"].iloc[0]), pdf[[f"x{i}" for i in range(len(cols))]].to_numpy(float), depth, seed),
             columns=["tree", "node", "feature", "split", "left", "right", "path"],
         )
 

@@ -33,15 +33,15 @@ marked AS (
   FROM flat f JOIN quota ON c = target)"""
 
 
-def _drawn(a: str, b: str) -> str:
-    """The 32-bit number that ``forest.draw`` takes from two whole numbers."""
+def _drawn(a: str, b: str, bits: int = 32) -> str:
+    """The number that ``forest.draw`` (of 32 bits) or ``forest.draw64`` takes from two whole numbers."""
     big = "18446744073709551616::UHUGEINT"
 
     def mixed(z: str) -> str:
         return f"((xor(({z})::UBIGINT, ({z})::UBIGINT >> 32)::UHUGEINT * {R.MIX_FACTOR}::UHUGEINT) % {big})"
 
     start = f"((({a})::UHUGEINT * {R.KEY_FACTOR}::UHUGEINT % {big} + ({b})::UHUGEINT * {R.TREE_FACTOR}::UHUGEINT % {big}) % {big})"
-    return f"({mixed(mixed(start))} // 4294967296)::UBIGINT"
+    return f"({mixed(mixed(start))} // {2 ** (64 - bits)})::UBIGINT"
 
 
 def grown(source: str, key: str, label: str, columns: list[str], trees: int, depth: int, bins: int, usable: int, bagged: bool,
@@ -137,6 +137,37 @@ beta{d + 1} AS (SELECT w1 - {det(column(0))} / {det(m)} AS w1, w2 - {det(column(
     return ",".join(out)
 
 
+def isolation(columns: list[str], source: str, key: str, depth: int, trees: int, psi: int, seed: int) -> str:
+    """Rows (key, score) by isolation trees that are grown again: bottom draws as samples, drawn columns and cuts."""
+    path = lambda n: f"CASE WHEN {n} <= 1 THEN 0::DOUBLE WHEN {n} = 2 THEN 1::DOUBLE ELSE 2 * (ln(({n} - 1)::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * ({n} - 1)::DOUBLE / {n} END"
+    b = f"{seed * 1000 + 1} + tree"
+    long = " UNION ALL ".join(f"SELECT {key} AS k, {i} AS f, CAST({c} AS DOUBLE) AS v FROM {source}" for i, c in enumerate(columns))
+    out = [f"""long AS MATERIALIZED ({long}), trees AS (SELECT unnest(range({trees})) AS tree),
+s0 AS (SELECT {key} AS k, tree, 1::BIGINT AS node FROM {source}, trees
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {_drawn(key, b, 64)}, {key}) <= {psi}),
+a0 AS (SELECT {key} AS k, tree, 1::BIGINT AS node, NULL::DOUBLE AS path FROM {source}, trees)"""]
+    for d in range(depth):
+        out.append(f"""
+e{d} AS (
+  SELECT tree, node, f, lo, hi, row_number() OVER (PARTITION BY tree, node ORDER BY f) - 1 AS pos, count(*) OVER (PARTITION BY tree, node) AS able
+  FROM (SELECT tree, node, f, min(v) AS lo, max(v) AS hi FROM s{d} JOIN long USING (k) GROUP BY ALL HAVING max(v) > min(v))),
+c{d} AS (
+  SELECT tree, node, f, CASE WHEN cut >= hi THEN lo ELSE cut END AS cut
+  FROM (SELECT *, lo + (hi - lo) * ({_drawn('(node << 16) + 1', b)}::DOUBLE / 4294967296) AS cut FROM e{d} WHERE pos = {_drawn('node << 16', b)} % able)),
+n{d} AS (SELECT tree, node, count(*) AS n FROM s{d} GROUP BY tree, node),
+s{d + 1} AS (SELECT k, tree, 2 * node + CAST(v > cut AS INT) AS node FROM s{d} JOIN c{d} USING (tree, node) JOIN long USING (k, f)),
+a{d + 1} AS (
+  SELECT a.k, a.tree, CASE WHEN cut IS NULL THEN a.node ELSE 2 * a.node + CAST(v > cut AS INT) END AS node,
+    CASE WHEN path IS NOT NULL THEN path WHEN cut IS NULL THEN {d} + {path('n')} END AS path
+  FROM a{d} a LEFT JOIN c{d} c ON c.tree = a.tree AND c.node = a.node LEFT JOIN long l ON l.k = a.k AND l.f = c.f
+  LEFT JOIN n{d} n ON n.tree = a.tree AND n.node = a.node)""")
+    out.append(f"""
+last AS (SELECT tree, node, {depth} + {path('count(*)')} AS end_ FROM s{depth} GROUP BY tree, node)""")
+    return ",".join(out) + f"""
+SELECT k AS {key}, round(pow(2::DOUBLE, -avg(coalesce(path, end_)) / ({path(psi)})), 6) AS score
+FROM a{depth} LEFT JOIN last USING (tree, node) GROUP BY k"""
+
+
 def model_sql(lines: str, small: dict[str, int]) -> dict[str, str]:
     rows = tree_rows(lines)
     one = "WITH " + rows + ",\n" + grown("marked", "order_id", "target", COLUMNS, 1, 5, 128, len(COLUMNS), False)
@@ -155,6 +186,8 @@ def model_sql(lines: str, small: dict[str, int]) -> dict[str, str]:
         "classify_dt": f"{one}, {predicted(5, 1)} {quality('Decision Tree', tested)}",
         "forest_nodes": f"{many} {node_table(COLUMNS)}",
         "forest_risk": f"{many}, {predicted(small['max_depth'], small['trees'])} SELECT k AS order_id, round(p, 6) AS probability, CAST(p > 0.5 AS INT) AS prediction FROM scored",
+        "iforest_grown": "WITH o AS (SELECT o_orderkey, o_totalprice, coalesce(c_acctbal, 0) AS c_acctbal, o_custkey FROM orders LEFT JOIN customer ON o_custkey = c_custkey), "
+        + isolation(["o_totalprice", "c_acctbal", "o_custkey"], "o", "o_orderkey", 2, 12, 100, 7),
         "logistic_gradient": slopes,
         "logistic_weights": f"""WITH {rows}, train AS (SELECT n_lines / 4 AS lines, qty / 100 AS quantity, target FROM marked WHERE NOT is_test),
 {newton('train', ['lines', 'quantity'], 'target')}

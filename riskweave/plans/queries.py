@@ -26,6 +26,7 @@ from riskweave.streaming.score import read_records, start_scoring
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
+SMALL_IFOREST = {"trees": 12, "psi": 100, "seed": 7}
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 FOREST = {"trees": 100, "max_depth": 10}
 
@@ -762,6 +763,16 @@ def outliers_iforest(spark: SparkSession, sf: str) -> DataFrame:
     return outliers.mark_outliers(table, O.NUMERIC, "order_id").select("order_id", r("anomaly").alias("anomaly"), "is_inlier")
 
 
+@query
+def iforest_grown(spark: SparkSession, sf: str) -> DataFrame:
+    """Anomaly score of every order by a grown forest of twelve trees of depth two."""
+    orders = O.load(spark, sf, "orders").join(O.load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        "o_orderkey", "o_totalprice", F.coalesce("c_acctbal", F.lit(0.0)).alias("c_acctbal"), F.col("o_custkey").cast("double").alias("o_custkey"))
+    table = materialize(orders, "measures", spread=True)
+    fit = outliers.fit_iforest(table, ["o_totalprice", "c_acctbal", "o_custkey"], "o_orderkey", max_depth=2, **SMALL_IFOREST)
+    return outliers.score_iforest(table, fit, "score").select("o_orderkey", r("score").alias("score"))
+
+
 @query
 def outlier_threshold(spark: SparkSession, sf: str) -> DataFrame:
     """The 95 % quantile of event values and the rows it keeps and removes."""

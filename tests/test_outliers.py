@@ -30,11 +30,15 @@ def test_same_forest_for_any_partitioning(frame):
     assert len(per_tree) == 10 and per_tree.max() <= 2 * 256 - 1
 
 
-@pytest.mark.parametrize("rows", [300, 60000])
-def test_samples_are_full_and_bounded(spark, rows):
-    df = spark.range(rows).withColumn("a", F.rand(1))
-    sizes = outliers.tree_samples(df, ["a"], "id", 20, 64, 7, rows).groupBy("tree").count().collect()
-    assert len(sizes) == 20 and {r["count"] for r in sizes} == {64}
+@pytest.mark.parametrize("rows, share", [(300, None), (60000, None), (60000, 1e-9)])
+def test_samples_are_the_rows_of_smallest_draw(spark, rows, share, monkeypatch):
+    df = spark.range(rows).withColumn("a", F.col("id") / 7).repartition(5)
+    found = outliers.tree_samples(df, ["a"], "id", 20, 64, 7, rows if share is None else int(rows / share)).collect()
+    keys = np.arange(rows, dtype=np.uint64)
+    for t in range(20):
+        z = outliers.draw64(keys, 7 * 1000 + t + 1)
+        assert {r["k"] for r in found if r["tree"] == t} == set(np.argsort(z)[:64].tolist())
+    assert all(r["x0"] == r["k"] / 7 for r in found) and len(found) == 20 * 64
 
 
 def test_constant_column_and_tiny_table(spark):
