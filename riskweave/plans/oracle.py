@@ -520,4 +520,36 @@ FROM t, (SELECT unnest(['pc1', 'pc2']) AS component)""",
         SELECT (SELECT count(*) FROM orders) AS row_count, {_BEST_STUMP}, (SELECT rmse FROM reg) AS rmse, (SELECT r2 FROM reg) AS r2""",
 }
 
+
+
+def _wide_sets(least: float, longest: int = 7) -> str:
+    """CTEs up to ``found`` (items, freq, support): frequent sets by joins of baskets with their items, level by level."""
+    out = [f"""
+rows_ AS (
+  SELECT DISTINCT l_orderkey AS b, unnest([p_brand, l_returnflag, 'month ' || month(l_shipdate)]) AS item
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+total AS (SELECT CAST(count(DISTINCT b) AS DOUBLE) AS n FROM rows_),
+f1 AS (SELECT [item] AS items, count(*) AS freq FROM rows_ GROUP BY item HAVING count(*) / (SELECT n FROM total) >= CAST({least} AS DOUBLE)),
+h1 AS (SELECT b, [item] AS items FROM rows_ WHERE [item] IN (SELECT items FROM f1))"""]
+    for k in range(2, longest + 1):
+        out.append(f"""
+g{k} AS (SELECT h.b, list_append(h.items, o.items[1]) AS items FROM h{k - 1} h JOIN h1 o ON o.b = h.b AND o.items[1] > h.items[-1]),
+f{k} AS (SELECT items, count(*) AS freq FROM g{k} GROUP BY items HAVING count(*) / (SELECT n FROM total) >= CAST({least} AS DOUBLE)),
+h{k} AS (SELECT g{k}.* FROM g{k} SEMI JOIN f{k} USING (items))""")
+    every = " UNION ALL ".join(f"SELECT * FROM f{k}" for k in range(1, longest + 1))
+    return ",".join(out) + f""",
+found AS (SELECT items, freq, freq / (SELECT n FROM total) AS support FROM ({every}))"""
+
+
+ORACLE |= {
+    "itemsets_wide": f"WITH {_wide_sets(0.04)} SELECT array_to_string(items, ',') AS items, freq, len(items)::INT AS n_items, round_even(support, 6) AS support FROM found",
+    "rules_wide": f"""WITH {_wide_sets(0.04)},
+masks AS (SELECT items, support, unnest(range(1, (1 << len(items)) - 1)) AS m FROM found WHERE len(items) > 1),
+sides AS (SELECT support, list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 1) AS a, list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 0) AS c FROM masks)
+SELECT array_to_string(s.a, ',') AS antecedents, array_to_string(s.c, ',') AS consequents, round_even(s.support, 6) AS support,
+  round_even(s.support / x.support, 6) AS confidence, round_even(s.support / x.support / y.support, 6) AS lift
+FROM sides s JOIN found x ON x.items = s.a JOIN found y ON y.items = s.c WHERE s.support / x.support >= 0.5::DOUBLE""",
+    "rules_none": """SELECT '' AS antecedents, '' AS consequents, 0::DOUBLE AS support, 0::DOUBLE AS confidence, 0::DOUBLE AS lift
+WHERE (SELECT max(n) / sum(1) FROM (SELECT count(DISTINCT l_orderkey) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type)) < 0""",
+}
 ORACLE |= model_sql(LINES, {"trees": 6, "max_depth": 3})

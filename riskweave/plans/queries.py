@@ -562,8 +562,7 @@ def elbow(spark: SparkSession, sf: str) -> DataFrame:
 def _event_itemsets(spark: SparkSession, sf: str, support: float = 0.1) -> DataFrame:
     """Event types seen per user and day."""
     visits = O.load(spark, sf, "events").select("user_id", F.to_date("ts").alias("day"), "event_type")
-    types = rules.item_values(visits, "event_type")
-    return rules.mask_itemsets(rules.basket_masks(visits, ["user_id", "day"], "event_type", types), types, support)
+    return rules.basket_itemsets(visits, ["user_id", "day"], "event_type", support)
 
 
 def _text_items(df: DataFrame, *cols: str) -> DataFrame:
@@ -585,9 +584,33 @@ def itemsets_parts(spark: SparkSession, sf: str) -> DataFrame:
     """Part types bought together in one order."""
     lines = O.load(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     part = O.load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    types = rules.item_values(part, "p_type")
-    masks = rules.basket_masks(lines.join(part, "l_partkey"), ["l_orderkey"], "p_type", types)
-    return _text_items(rules.mask_itemsets(masks, types, 0.1), "items")
+    return _text_items(rules.basket_itemsets(lines.join(part, "l_partkey"), ["l_orderkey"], "p_type", 0.1), "items")
+
+
+def _wide_itemsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Brands, months and return flags of one order: some forty items."""
+    lines = O.load(spark, sf, "lineitem").join(O.load(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    items = F.array("p_brand", "l_returnflag", F.concat(F.lit("month "), F.month("l_shipdate").cast("string")))
+    rows = lines.select("l_orderkey", F.explode(items).alias("item"))
+    return rules.basket_itemsets(rows, ["l_orderkey"], "item", 0.04)
+
+
+@query
+def itemsets_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_items(_wide_itemsets(spark, sf), "items")
+
+
+@query
+def rules_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_items(rules.rules(_wide_itemsets(spark, sf), 0.5), "antecedents", "consequents")
+
+
+@query
+def rules_none(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules of part types at a support that no set has: no rows, and the same columns."""
+    lines = O.load(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    part = O.load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    return _text_items(rules.rules(rules.basket_itemsets(lines.join(part, "l_partkey"), ["l_orderkey"], "p_type", 0.99)), "antecedents", "consequents")
 
 
 @query

@@ -87,3 +87,42 @@ def test_expansion_happens_after_collapse(spark):
     masks = spark.range(100000).select((F.col("id") % 16).cast("int").alias("mask"))
     plan = rules.mask_itemsets(masks, ["a", "b", "c", "d"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode") < plan.index("Aggregate [mask")  # the root prints first
+
+
+@pytest.mark.parametrize("block, candidates", [(1 << 16, 1 << 18), (64, 7)])
+def test_bitmaps_find_all_sets_of_many_items(spark, monkeypatch, block, candidates):
+    monkeypatch.setattr(rules, "BLOCK", block)
+    monkeypatch.setattr(rules, "CANDIDATES", candidates)
+    rng = np.random.default_rng(5)
+    names = [f"i{j:02d}" for j in range(16)]
+    baskets = [[n for n, v in zip(names, row) if v] for row in rng.random((700, 16)) < np.linspace(0.7, 0.02, 16)]
+    rows = [(b + b[:1],) for b in baskets] + [([],), ([None],), (None,), (["only"],)]
+    got = rules.vertical_itemsets(spark.createDataFrame(rows, "items array<string>").repartition(5), 0.15).collect()
+    want = brute_itemsets([set(b) for b in baskets] + [set(), set(), {"only"}], 0.15)
+    assert {tuple(r["items"]): r["support"] for r in got} == pytest.approx(want) and max(map(len, want)) > 3
+    assert all(r["n_items"] == len(r["items"]) for r in got)
+
+
+def test_thirteenth_item_goes_to_bitmaps(spark):
+    rows = [(b, f"v{j:02d}") for b in range(40) for j in range(13) if (b + j) % 3]
+    df = spark.createDataFrame(rows, "b int, v string")
+    baskets = [{v for k, v in rows if k == b} for b in range(40)]
+    got = {tuple(r["items"]): r["support"] for r in rules.basket_itemsets(df, ["b"], "v", 0.5).collect()}
+    assert got == pytest.approx(brute_itemsets(baskets, 0.5)) and rules.item_values(df, "v") is None
+
+
+def test_empty_tables_and_too_many_sets(spark, monkeypatch):
+    empty = spark.createDataFrame([], "items array<string>")
+    assert rules.vertical_itemsets(empty).count() == 0 and rules.vertical_itemsets(empty).columns == ["items", "freq", "n_items", "support"]
+    assert rules.rules(rules.vertical_itemsets(spark.createDataFrame([(["a"],), (["b"],)], "items array<string>"), 0.9)).count() == 0
+    monkeypatch.setattr(rules, "MAX_SETS", 3)
+    with pytest.raises(ValueError):
+        rules.vertical_itemsets(spark.createDataFrame([(["a", "b", "c"],)], "items array<string>"), 0.5)
+
+
+def test_both_ways_of_splitting_give_the_same_rules(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 1, 1, 0), (1, 1, 1, 1), (1, 1, 0, 1), (0, 1, 1, 1), (0, 0, 0, 0)], "a int, b int, c int, d int")
+    frequent = rules.itemsets(df, ["a", "b", "c", "d"], 0.2)
+    at_once = as_dict(rules.rules(frequent, 0.5))
+    monkeypatch.setattr(rules, "MASK_ITEMS", 1)
+    assert as_dict(rules.rules(frequent, 0.5)) == at_once and len(at_once) > 10
