@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from riskweave.operators.quantiles import exact_quantiles
 
+#: Values a sketch of frequent items tracks, and the best of them that are counted.
+TRACKED, LISTED = 65_536, 1_024
+
 
 def long_by_type(df: DataFrame, cols: Sequence[str]) -> Iterator[DataFrame]:
     """The columns as (feature, value) rows, one frame per data type, NULLs left out."""
@@ -27,13 +31,47 @@ def column_means(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     return df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
 
 
-def column_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
+def column_modes(df: DataFrame, cols: Sequence[str], tracked: int = TRACKED, listed: int = LISTED) -> dict[str, object]:
     """Most frequent value of every column; ties go to the smallest value.
 
-    Values are counted per column first, so the shuffle carries one row per
-    distinct value and task, and no single task holds a whole column.
+    One pass keeps the frequent items of every column in a sketch of bounded size that merges across tasks. Where all values of a
+    column of few values are listed, their counts are exact. For others the listed values are counted in a second pass, and the best is
+    the mode for certain if it beats what any other value can have; only where it does not are all values counted.
     """
     modes: dict[str, object] = dict.fromkeys(cols)
+    if not cols:
+        return modes
+    parts = {
+        "t": lambda c: F.call_function("approx_top_k", c, F.lit(listed), F.lit(tracked)), "n": F.count, "d": F.approx_count_distinct}
+    found = df.agg(*[f(F.col(f"`{c}`")).alias(f"{m}{i}") for i, c in enumerate(cols) for m, f in parts.items()]).first()
+    unsure = []
+    for i, c in enumerate(cols):
+        n, items = found[f"n{i}"], [(r["count"], r["item"]) for r in found[f"t{i}"] if r["item"] is not None]
+        if not n:
+            continue
+        if len(items) < listed < tracked // 8 and found[f"d{i}"] < 2 * listed and sum(k for k, _ in items) == n:
+            modes[c] = _best(items)
+            continue
+        col = F.col(f"`{c}`")
+        counted = df.where(col.isin([v for _, v in items])).groupBy(col.alias("v")).count().collect() if items else []  # at most ``listed`` rows
+        exact = [(r["count"], r["v"]) for r in counted]
+        # other values have at most what the sketch may lose, twice, or the last estimate of a full list
+        others = max(math.ceil(7 / tracked * n), min(k for k, _ in items) if len(items) >= listed - 1 else 0)
+        if exact and (sum(k for k, _ in exact) == n or max(k for k, _ in exact) > others):
+            modes[c] = _best(exact)
+        else:
+            unsure.append(c)
+    return modes | (_counted_modes(df, unsure) if unsure else {})
+
+
+def _best(counts: list[tuple[int, object]]) -> object:
+    most = max((n for n, _ in counts), default=0)
+    return min((v for n, v in counts if n == most), default=None)
+
+
+def _counted_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
+    """Modes by counting every value: one row per distinct value and task is shuffled."""
+    modes: dict[str, object] = dict.fromkeys(cols)
     for long in long_by_type(df, cols):
         counts = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
         best = counts.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"))

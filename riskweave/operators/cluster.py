@@ -11,7 +11,6 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -71,13 +70,14 @@ def _draw(points: DataFrame, chosen: np.ndarray, origin: np.ndarray, size: int,
     """
     ship_package(points.sparkSession)
 
-    @F.pandas_udf("double")
-    def distance(x: pd.Series) -> pd.Series:
-        at = np.stack(x.to_numpy()) - origin
-        best = np.full(len(at), np.inf)
-        for c in chosen:  # differences first, so that a chosen point is exactly 0 away
-            np.minimum(best, ((at - c) ** 2).sum(axis=1), out=best)
-        return pd.Series(best)
+    @F.arrow_udf("double")
+    def distance(x: pa.Array) -> pa.Array:
+        at = x.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(origin)) - origin
+        best = _distances(at, chosen).min(axis=1)
+        # next to a chosen point the product is round-off; differences are exactly 0 for the point itself
+        for i in np.flatnonzero(best <= 1e-7 * (at**2).sum(axis=1)):
+            best[i] = ((at[i] - chosen) ** 2).sum(axis=1).min()
+        return pa.array(best)
 
     u = (F.shiftrightunsigned(F.xxhash64("x", F.lit(seed)), 11) + 0.5) / F.lit(float(2**53))
     key = F.try_divide(-F.log(u), F.col("w") * F.col("d2"))  # NULL for points that are chosen already
@@ -280,22 +280,22 @@ def assign(df: DataFrame, x: Column | Sequence[str], centers: np.ndarray) -> Dat
         centers = np.asarray(centers, dtype=float)
         d = centers.shape[1]
 
-        @F.pandas_udf("struct<cluster int, sq_dist double>")
-        def near(points: pd.Series) -> pd.DataFrame:
-            good = np.array([p is not None and len(p) == d for p in points], dtype=bool)
-            out = pd.DataFrame({"cluster": pd.array([None] * len(points), dtype="Int32"), "sq_dist": np.nan})
-            if good.any():
-                m = np.stack([np.asarray(p, dtype=float) for p in points[good]])
-                dist = np.stack([((m - c) ** 2).sum(axis=1) for c in centers], axis=1)
-                best = dist.argmin(axis=1)
-                known = ~np.isnan(dist).any(axis=1)
-                at = np.flatnonzero(good)[known]
-                out.loc[at, "cluster"] = best[known]
-                out.loc[at, "sq_dist"] = dist[known, best[known]]
-            return out
+        @F.arrow_udf("struct<cluster int, sq_dist double>")
+        def near(points: pa.Array) -> pa.Array:
+            good = points.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False) == d
+            m = points.filter(pa.array(good)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, d)  # NULLs become NaN
+            best, least = np.zeros(len(m), dtype=np.int32), np.full(len(m), np.inf)
+            for i, c in enumerate(centers):
+                dist = ((m - c) ** 2).sum(axis=1)
+                closer = dist < least
+                best[closer], least[closer] = i, dist[closer]
+            cluster, sq_dist = np.zeros(len(points), dtype=np.int32), np.zeros(len(points))
+            cluster[good], sq_dist[good] = best, least
+            good[good] = ~np.isnan(m).any(axis=1)
+            return pa.StructArray.from_arrays([pa.array(cluster, mask=~good), pa.array(sq_dist, mask=~good)], ["cluster", "sq_dist"])
 
         placed = df.withColumn("__near", near(x))
-        return placed.select(*df.columns, "__near.cluster", F.when(F.col("__near.cluster").isNotNull(), F.col("__near.sq_dist")).alias("sq_dist"))
+        return placed.select(*df.columns, "__near.cluster", "__near.sq_dist")
     nearest = F.array_min(F.array(*[
         F.struct(squared_distance(x, c).alias("sq_dist"), F.lit(i).alias("cluster")) for i, c in enumerate(centers)
     ]))

@@ -552,4 +552,32 @@ FROM sides s JOIN found x ON x.items = s.a JOIN found y ON y.items = s.c WHERE s
     "rules_none": """SELECT '' AS antecedents, '' AS consequents, 0::DOUBLE AS support, 0::DOUBLE AS confidence, 0::DOUBLE AS lift
 WHERE (SELECT max(n) / sum(1) FROM (SELECT count(DISTINCT l_orderkey) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type)) < 0""",
 }
+
+
+def _shares(cells: str, steps: int = 4000) -> str:
+    """Explained shares of two components of a covariance matrix, rows (i, j, v), by power iteration and deflation."""
+    def walk(name: str, m: str) -> str:
+        return f"""
+{name} AS (
+  SELECT 0 AS step, m, list_transform(m, lambda r, i: 1 + i::DOUBLE / 7) AS v FROM {m}
+  UNION ALL
+  SELECT step + 1, m, list_transform(w, lambda x: x / sqrt(list_inner_product(w, w)))
+  FROM (SELECT step, m, list_transform(m, lambda r: list_inner_product(r, v)) AS w FROM {name} WHERE step < {steps})),
+{name}_end AS (SELECT m, v, list_inner_product(v, list_transform(m, lambda r: list_inner_product(r, v))) AS e FROM {name} WHERE step = {steps})"""
+
+    return f"""lines_ AS (SELECT i, list(v ORDER BY j) AS r FROM ({cells}) GROUP BY i), matrix AS (SELECT list(r ORDER BY i) AS m FROM lines_),
+trace AS (SELECT sum(r[i + 1]) AS t FROM lines_),{walk('a', 'matrix')},
+rest AS (SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - e * v[i] * v[j])) AS m FROM a_end),{walk('b', 'rest')}
+SELECT 'pc1' AS component, round((SELECT e FROM a_end) / t, 6) AS explained_ratio FROM trace
+UNION ALL SELECT 'pc2', round((SELECT e FROM b_end) / t, 6) FROM trace"""
+
+
+_CORRELATIONS = " UNION ALL ".join(
+    f"SELECT {i} AS i, {j} AS j, {f'corr({a}, {b})' if i != j else 'any_value(1::DOUBLE)'} AS v FROM filled" for i, a in enumerate(O.NUMERIC) for j, b in enumerate(O.NUMERIC))
+ORACLE |= {
+    "pca_measures": f"WITH RECURSIVE {IMPUTED}, {_shares(_CORRELATIONS)}",
+    "pca_embeddings": "WITH RECURSIVE cells AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings), "
+    + _shares("SELECT x.i AS i, y.i AS j, covar_samp(x.v, y.v) AS v FROM cells x JOIN cells y USING (vec_id) GROUP BY x.i, y.i"),
+    "mode_many": f"SELECT feature, CAST(fill AS BIGINT) AS fill FROM ({_modes('lineitem', ['l_partkey', 'l_suppkey', 'l_orderkey'])})",
+}
 ORACLE |= model_sql(LINES, {"trees": 6, "max_depth": 3})

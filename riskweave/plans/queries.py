@@ -143,6 +143,14 @@ def impute_mode(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(list(modes.items()), "feature string, fill int")
 
 
+@query
+def mode_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Most frequent values of columns of many values."""
+    columns = ["l_partkey", "l_suppkey", "l_orderkey"]
+    modes = clean.column_modes(O.load(spark, sf, "lineitem"), columns)
+    return spark.createDataFrame([(c, modes[c]) for c in columns], "feature string, fill bigint")
+
+
 @query
 def impute_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated records with every gap filled."""
@@ -486,7 +494,16 @@ def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def pca_measures(spark: SparkSession, sf: str) -> DataFrame:
     """Explained variance of two components of all standardised order measures."""
-    return pca.pca_2d(O.model_features(spark, sf)[0], O.NUMERIC)[1]
+    return rounded(pca.pca_2d(O.model_features(spark, sf)[0], O.NUMERIC)[1])
+
+
+@query
+def pca_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """Explained variance of the two first components of all embeddings."""
+    wide = O.load(spark, sf, "embeddings").select(*[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(64)])
+    stored = materialize(wide, "embeddings")
+    shares = pca.fit_pca(stored, stored.columns, 2)[2]
+    return rounded(spark.createDataFrame([(f"pc{i + 1}", v) for i, v in enumerate(shares)], "component string, explained_ratio double"))
 
 
 # --- clusters -------------------------------------------------------------------------

@@ -109,3 +109,15 @@ def test_rows_that_share_a_group_of_fingerprints_are_all_kept(spark, monkeypatch
     monkeypatch.setattr(integrate, "FINGERPRINT_GROUPS", 2)
     df = spark.range(200).withColumn("v", F.col("id") % 7)
     assert integrate.dedup_wide(df.unionAll(df.where("id < 3"))).count() == 200
+
+
+def test_modes_of_many_values_are_exact(spark):
+    n = 3000
+    rows = [(i % 700, f"s{i % 900:04d}", i, None) for i in range(n)] + [(11, "s0005", 7, None)] * 3
+    df = spark.createDataFrame(rows, "a int, b string, c int, d int").repartition(4)
+    for tracked, listed in ((clean.TRACKED, clean.LISTED), (1024, 16), (64, 8)):
+        got = clean.column_modes(df, ["a", "b", "c", "d"], tracked, listed)
+        assert got == {"a": 11, "b": "s0005", "c": 7, "d": None}, (tracked, listed)
+    flat = spark.range(5000).withColumn("v", F.col("id") + 3)
+    assert clean.column_modes(flat, ["v"], 64, 8) == {"v": 3}  # all values tie: the smallest
+    assert clean.column_modes(flat.limit(0), ["v"]) == {"v": None} and clean.column_modes(flat, []) == {}

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.operators import models, pca
+from riskweave.operators import logistic, models, pca
 
 
 @pytest.fixture(scope="module")
@@ -75,3 +75,41 @@ def test_covariance_and_gram(frame, data):
     assert cov["a", "b"] == pytest.approx(np.cov(x.T)[0, 1])
     gram = {(r["row"], r["col"]): r["value"] for r in models.gram_matrix(frame, ["a", "b"]).collect()}
     assert gram["b", "b"] == pytest.approx(((x[:, 1] - x[:, 1].mean()) ** 2).sum())
+
+
+def test_block_iteration_of_a_wide_table(spark):
+    r = np.random.default_rng(9)
+    x = r.normal(size=(300, 40)) @ np.diag(np.linspace(5, 0.1, 40)) @ r.normal(size=(40, 40))
+    names = [f"c{i}" for i in range(40)]
+    df = spark.createDataFrame([tuple(map(float, row)) for row in x], ", ".join(f"{c} double" for c in names)).repartition(4)
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    for block in (64, 4):
+        loadings, means, ratios = pca.fit_pca(df, names, 3, block=block)
+        assert ratios == pytest.approx((values[::-1] / values.sum())[:3].tolist(), abs=1e-9)
+        assert np.abs(loadings) == pytest.approx(np.abs(vectors[:, ::-1].T[:3]), abs=1e-5)
+        assert means == pytest.approx(x.mean(axis=0)) and (loadings.max(axis=1) >= -loadings.min(axis=1)).all()
+    with pytest.raises(ValueError):
+        pca.fit_pca(df.withColumn("c0", F.when(F.col("c0") > 0, F.col("c0"))), names, 2)
+
+
+def test_newton_meets_the_optimum_and_refuses_one_class(spark, frame, data):
+    x, y = data
+    t = (y > 0).astype(float)
+    fit = logistic.fit_logistic(frame, ["a", "b", "c"], "target")
+    p = 1 / (1 + np.exp(-(x @ fit.weights + fit.intercept)))
+    assert x.T @ (p - t) + fit.weights == pytest.approx(np.zeros(3), abs=1e-6) and (p - t).sum() == pytest.approx(0.0, abs=1e-6)
+    assert fit.steps < 15
+    zero = [r["gradient"] for r in logistic.gradient(frame, fit, "target").collect()]
+    assert zero == pytest.approx([0.0] * 4, abs=1e-6)
+    scored = fit.transform(frame).select("probability_1", "prediction").collect()
+    assert sorted(r["probability_1"] for r in scored) == pytest.approx(sorted(p.tolist()))
+    constant = logistic.fit_logistic(frame.withColumn("k", F.lit(1.0)), ["a", "k"], "target")
+    assert constant.weights[1] == pytest.approx(0.0, abs=1e-6)  # the free intercept does a constant's work
+    with pytest.raises(ValueError):
+        logistic.fit_logistic(frame.where("target = 1"), ["a"], "target")
+
+
+def test_separable_classes_have_finite_weights(spark):
+    df = spark.createDataFrame([(float(i), int(i >= 50)) for i in range(100)], "x double, y int")
+    fit = logistic.fit_logistic(df, ["x"], "y")
+    assert 0 < fit.weights[0] < 100 and fit.transform(df).where("prediction = y").count() == 100
