@@ -127,3 +127,28 @@ def test_no_leak_is_lost_at_unlucky_sizes(spark, make):
         docs += [(100 * i + c, " ".join([word() for _ in range(c)] + part + [word() for _ in range(120)])) for c in range(100)]
     found = decontam.leaks(make(docs), spark.createDataFrame(items, "item_id long, text string"))
     assert sorted((x["doc_id"], x["item_id"]) for x in found.collect()) == [(d, d // 100) for d, _ in docs]
+
+
+def test_large_items_are_found_by_their_signatures(spark, make):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(8))
+    items = [(i, " ".join(word() for _ in range(n + 4))) for i, n in enumerate([1, 2, 63, 64, 65, 128, 129, 400] * 4)]
+    docs = []
+    for i, text in items:
+        w = text.split()
+        n = len(w) - 4
+        for c, share in enumerate((100, 75, 74, 40)):
+            keep = -(-share * n // 100) + 4 if n > 4 else len(w)
+            # the part that is kept lies in two places of a long text
+            half = keep // 2 + 2
+            cut = w[:half + 4] + [word() for _ in range(2000)] + w[half:keep]
+            docs.append((10 * i + c, " ".join(cut if n > 4 else w)))
+    want = leaked(docs, items)
+    found = decontam.leaks(make(docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(tuple(x) for x in found.select("doc_id", "item_id", "n_item", "n_shared").collect()) == want and len(want) > 40
+    assert decontam._matches(75) == 4 and decontam._matches(10) == 1
+    shingled = decontam.item_shingles(spark.createDataFrame(items, "item_id long, text string"))
+    for x in decontam.signatures(shingled, 75).groupBy("item_id", "part", "need").count().collect():
+        n = len(shingles(dict(items)[x["item_id"]]))
+        exact = n <= 2 ** decontam.SMALL
+        assert n <= 2 ** x["part"] and x["count"] == (n - -(-75 * n // 100) + 1 if exact else decontam.HASHES) and x["need"] == (1 if exact else 4)
