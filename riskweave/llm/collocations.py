@@ -207,8 +207,13 @@ def suffix_keys(p: Pieces, frequent: np.ndarray) -> np.ndarray:
     return keys
 
 
-def suffixes(texts: DataFrame, seed: int, frequent: np.ndarray) -> DataFrame:
-    """Suffixes with their counts in a chunk: the words ``w1`` to ``w5`` (0: none) and ``n``."""
+def _buckets(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Route bucket of suffixes, by their two leading words."""
+    return (_mix(keys[:, 0].view(np.uint64) * np.uint64(5) + keys[:, 1].view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def suffixes(texts: DataFrame, seed: int, frequent: np.ndarray, bits: int) -> DataFrame:
+    """Suffixes with their counts in a chunk, packed by route bucket: ``bucket``, ``rows`` and ``packed`` (five words and a count each)."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,19 +222,42 @@ def suffixes(texts: DataFrame, seed: int, frequent: np.ndarray) -> DataFrame:
         def packed() -> Iterator[pa.RecordBatch]:
             keys = np.concatenate(held)
             keys, n = _distinct(keys, np.ones(len(keys), dtype=np.int64))
-            for a in range(0, len(keys), 100_000):
-                part = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays([*[pa.array(keys[part, d]) for d in range(LONGEST)], pa.array(n[part])], [*WORDS, "n"])
+            bucket = _buckets(keys, bits)
+            order = np.argsort(bucket, kind="stable")
+            bucket, table = bucket[order], np.column_stack([keys, n])[order]
+            ends = np.flatnonzero(np.diff(bucket, append=-1)) + 1
+            starts = np.concatenate([[0], ends[:-1]])
+            for a, b in zip(starts, ends):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(bucket[a:a + 1]), pa.array([b - a], pa.int64()), pa.array([table[a:b].tobytes()], pa.binary())], ["bucket", "rows", "packed"])
 
         for _, p in _chunks(batches, seed):
             held.append(suffix_keys(p, shared.value))
             if sum(map(len, held)) >= CHUNK_WORDS:
                 yield from packed()
                 held = []
-        if held:
+        if sum(map(len, held)):
             yield from packed()
 
-    return texts.mapInArrow(cut, _SUFFIX)
+    return texts.mapInArrow(cut, "bucket int, rows long, packed binary")
+
+
+def _unpacked(packed: list[bytes]) -> np.ndarray:
+    """Rows of five words and a count."""
+    return np.concatenate([np.frombuffer(x, np.int64) for x in packed]).reshape(-1, LONGEST + 1)
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """Packed suffixes as rows: the words ``w1`` to ``w5`` (0: none) and ``n``."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                table = _unpacked([x])
+                for a in range(0, len(table), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(table[a:a + 100_000, d].copy()) for d in range(LONGEST + 1)], [*WORDS, "n"])
+
+    return rows.select("packed").mapInArrow(unpack, _SUFFIX)
 
 
 def routed(rows: DataFrame, route_rows: int) -> DataFrame:
@@ -284,27 +312,67 @@ def equal_parts(keys: np.ndarray, n: np.ndarray, deep: np.ndarray, at_least: int
             todo.append((same, d + 1))
 
 
-def phrase_counts(rows: DataFrame, at_least: int, route_rows: int = ROUTE_ROWS) -> DataFrame:
-    """``p`` (hashes of two to five words) and ``a`` of all phrases found ``at_least`` times."""
+def _phrases(keys: np.ndarray, n: np.ndarray, deep: np.ndarray, at_least: int) -> Iterator[pa.RecordBatch]:
+    keys = np.asfortranarray(keys)
+    found = list(equal_parts(keys, n, deep, at_least))
+    for a in range(0, len(found), 50_000):
+        part = found[a:a + 50_000]
+        paths = pa.array([keys[r, :size].tolist() for r, size, _ in part], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([paths, pa.array([c for *_, c in part], pa.int64())], ["p", "a"])
+
+
+_PHRASE = "p array<long>, a long"
+
+
+def phrase_counts(stored: DataFrame, at_least: int, route_rows: int = ROUTE_ROWS) -> DataFrame:
+    """``p`` (hashes of two to five words) and ``a`` of all phrases found ``at_least`` times, from stored packed suffixes.
+
+    A bucket is sorted by one task. Buckets of more than ``4 * route_rows`` rows are unpacked and routed by as many leading words
+    as it takes; at most rows / (4 * route_rows) of them are listed.
+    """
+    sizes = stored.groupBy("bucket").agg(F.sum("rows").alias("rows"))
+    hot = [r["bucket"] for r in sizes.where(F.col("rows") > 4 * route_rows).collect()]
+    total = stored.agg(F.sum("rows").alias("rows")).first()["rows"] or 0
+    usual = stored.where(~F.col("bucket").isin(hot)) if hot else stored
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+            table = _unpacked(parts)
+            yield from _phrases(table[:, :LONGEST], table[:, LONGEST].copy(), np.full(len(table), 2), at_least)
+
+        now, held = -1, []
+        for b in batches:
+            for bucket, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if bucket != now and held:
+                    yield from done(held)
+                    held = []
+                now = bucket
+                held.append(packed)
+        if held:
+            yield from done(held)
+
+    tasks = max(-(-total // route_rows), int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = usual.select("bucket", "packed").repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(sort, _PHRASE)
+    if hot:
+        found = found.unionAll(_routed_phrases(materialize(unpacked(stored.where(F.col("bucket").isin(hot))), "hot-suffixes"), at_least, route_rows))
+    return found.groupBy("p").agg(F.sum("a").alias("a")).where(F.col("a") >= at_least)
+
+
+def _routed_phrases(rows: DataFrame, at_least: int, route_rows: int) -> DataFrame:
+    """Counts of phrases of stored suffixes, in parts where several tasks have suffixes of one phrase."""
     parts = max(-(-rows.count() // route_rows), 1)
     keyed = routed(rows, route_rows)
     route = F.xxhash64(*WORDS[:2], *[F.when(F.col("deep") > d, F.col(WORDS[d])) for d in range(2, LONGEST)])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.column_stack([b.column(i).to_numpy() for i in range(LONGEST + 2)]) for b in batches if b.num_rows]
-        if not held:
-            return
-        table = np.concatenate(held)
-        keys, n, deep = np.asfortranarray(table[:, :LONGEST]), table[:, LONGEST].copy(), table[:, LONGEST + 1].copy()
-        del held, table
-        found = list(equal_parts(keys, n, deep, at_least))
-        for a in range(0, len(found), 50_000):
-            part = found[a:a + 50_000]
-            paths = pa.array([keys[r, :size].tolist() for r, size, _ in part], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([paths, pa.array([c for *_, c in part], pa.int64())], ["p", "a"])
+        if held:
+            table = np.concatenate(held)
+            del held
+            yield from _phrases(table[:, :LONGEST], table[:, LONGEST].copy(), table[:, LONGEST + 1].copy(), at_least)
 
-    sorted_ = keyed.select(*WORDS, "n", F.col("deep").cast("long").alias("deep")).repartition(parts, route).mapInArrow(sort, "p array<long>, a long")
-    return sorted_.groupBy("p").agg(F.sum("a").alias("a")).where(F.col("a") >= at_least)
+    slim = keyed.select(*WORDS, "n", F.col("deep").cast("long").alias("deep"))
+    return slim.repartition(parts, route).mapInArrow(sort, _PHRASE)
 
 
 # --- scores ------------------------------------------------------------------------------------------
@@ -348,7 +416,8 @@ def collocations(docs: DataFrame, at_least: int = 100, best: int = 2000, text: s
     small_batches(spark)
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang"))
     words, seed = vocabulary(texts, at_least)
-    rows = materialize(suffixes(texts, seed, frequent_pairs(texts, seed, at_least)), "suffixes")
+    bits = max(5, min(20, (8 * texts.rdd.getNumPartitions()).bit_length()))
+    rows = materialize(suffixes(texts, seed, frequent_pairs(texts, seed, at_least), bits), "suffixes")
     counts = materialize(phrase_counts(rows, at_least), "phrases")
     kept = scored(uncovered(counts), counts, words)
     spelled = kept.select("*", F.posexplode("p").alias("at", "h")).join(words.where("word IS NOT NULL").select("h", "word"), "h")

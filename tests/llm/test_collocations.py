@@ -66,10 +66,14 @@ def test_small_chunks_and_hot_routes_change_nothing(spark, monkeypatch):
     rows = corpus(3, 200)
     texts = frame(spark, rows).select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
     words, seed = C.vocabulary(texts, 5)
-    stored = C.materialize(C.suffixes(texts, seed, C.frequent_pairs(texts, seed, 5)), "suffixes")
-    whole = {(tuple(r["p"]), r["a"]) for r in C.phrase_counts(stored, 5).collect()}
-    assert {(tuple(r["p"]), r["a"]) for r in C.phrase_counts(stored, 5, route_rows=20).collect()} == whole
-    deep = {r["deep"] for r in C.routed(stored, 20).select("deep").distinct().collect()}
+    stored = C.materialize(C.suffixes(texts, seed, C.frequent_pairs(texts, seed, 5), 6), "suffixes")
+    counts = lambda df: {(tuple(r["p"]), r["a"]) for r in df.collect()}
+    whole = counts(C.phrase_counts(stored, 5))
+    rows = C.materialize(C.unpacked(stored), "rows")
+    assert rows.count() == stored.agg(F.sum("rows")).first()[0] and len(whole) > 50
+    for size in (3, 20, 100):  # buckets of four times as many rows are routed by more words
+        assert counts(C.phrase_counts(stored, 5, route_rows=size)) == whole, size
+    deep = {r["deep"] for r in C.routed(rows, 20).select("deep").distinct().collect()}
     assert min(deep) == 2 and max(deep) > 2
 
 
