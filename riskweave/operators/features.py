@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from riskweave.operators.clean import long_by_type
 from riskweave.operators.warehouse import with_dense_key
 
+#: Categories of a column that still become columns of their own.
+MAX_CATEGORIES = 1_000
 
-def fit_one_hot(df: DataFrame, cols: Sequence[str], max_categories: int | None = None) -> dict[str, list]:
+
+def fit_one_hot(df: DataFrame, cols: Sequence[str], max_categories: int | None = MAX_CATEGORIES) -> dict[str, list]:
     """Sorted categories of each column, each of which becomes a column of the wide table.
 
-    With ``max_categories`` more of them are an error, never cut off. For columns of very many
-    values see :func:`index_categories`.
+    More than ``max_categories`` of them are an error, never cut off. For columns of very many
+    values see :func:`sparse_one_hot`.
     """
     found: dict[str, list] = {c: [] for c in cols}
     for long in long_by_type(df, cols):
@@ -52,6 +55,16 @@ def index_categories(df: DataFrame, col: str, name: str) -> DataFrame:
     return df.join(values.select(col, (F.col("__place") - 1).alias(name)), col, "left").select(*df.columns, name)
 
 
+def sparse_one_hot(df: DataFrame, col: str) -> DataFrame:
+    """Add ``{col}_index`` and ``{col}_size``: the one-hot code of a column of any number of values, smallest dropped, as a sparse vector.
+
+    The index is the place that is 1, NULL for the smallest value and for NULL, where all places are 0.
+    """
+    placed = index_categories(df, col, "__index")
+    size = df.agg(F.greatest(F.count_distinct(col) - 1, F.lit(0)).alias("size")).first()["size"]
+    return placed.select(*df.columns, F.when(F.col("__index") > 0, F.col("__index") - 1).alias(f"{col}_index"), F.lit(int(size)).cast("long").alias(f"{col}_size"))
+
+
 def cast_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("int") for c in cols})
 

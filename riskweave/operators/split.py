@@ -35,16 +35,20 @@ def quotas(counts: Sequence[int], share: float) -> list[int]:
     return [c - b for c, b in zip(counts, base)]
 
 
-def quota_table(counts: DataFrame, share: float) -> DataFrame:
+def quota_table(counts: DataFrame, share: float, few: bool = False) -> DataFrame:
     """``counts`` (c, n) with ``q``, the test rows of each class.
 
-    Training rows are apportioned by largest remainder, ties in class order (NULL first). Classes
-    are ranked by a dense key, so there may be any number of them.
+    Training rows are apportioned by largest remainder, ties in class order (NULL first). ``few`` classes (up to
+    ``BROADCAST_CLASSES``) are ranked by one task, more of them by a dense key, so there may be any number.
     """
     whole = counts.agg(F.sum("n").alias("total")).first()["total"] or 0
     train = whole - math.ceil(share * whole)
     exact = F.lit(train) * F.col("n") / F.lit(float(max(whole, 1)))
     base = counts.withColumn("base", F.floor(exact)).withColumn("less", F.col("base") - exact).withColumn("known", F.col("c").isNotNull())
+    if few:
+        every = W.partitionBy(F.lit(0))
+        placed = base.withColumn("place", F.row_number().over(every.orderBy("less", "known", "c"))).withColumn("spare", train - F.sum("base").over(every))
+        return placed.select("c", "n", (F.col("n") - F.col("base") - (F.col("place") <= F.col("spare")).cast("int")).alias("q"))
     base = materialize(base, "quotas")
     spare = train - (base.agg(F.sum("base").alias("s")).first()["s"] or 0)
     ranked = with_dense_key(base, ["less", "known", "c"], "place")
@@ -79,7 +83,7 @@ def mark_test(
     totals = materialize(slim.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "classes")
     few = totals.count() <= BROADCAST_CLASSES
     small = F.broadcast if few else (lambda rows: rows)
-    ends = materialize(ending(slim, quota_table(totals, share).where("q > 0"), 2), "cuts")
+    ends = materialize(ending(slim, quota_table(totals, share, few).where("q > 0"), 2), "cuts")
     digits = 2
     while digits < 32 and (ends.agg(F.max("n").alias("n")).first()["n"] or 0) > rank_rows:
         digits += 2

@@ -512,6 +512,8 @@ FROM t, (SELECT unnest(['pc1', 'pc2']) AS component)""",
     "olap_stored": f"WITH {STAR} " + " UNION ALL ".join(
         f"SELECT '{by}' AS level, CAST({by} AS VARCHAR) AS value, round(avg(target), 4) AS return_rate, count(*) AS order_count, "
         f"round(avg(risk_score), 4) AS avg_risk_score FROM keyed GROUP BY {by}" for by in ("segment", "nation", "status", "priority")),
+    "one_hot_sparse": "SELECT o_orderkey, o_custkey, nullif(dense_rank() OVER (ORDER BY o_custkey) - 1, 0) - 1 AS o_custkey_index, "
+    "(SELECT count(DISTINCT o_custkey) - 1 FROM orders) AS o_custkey_size FROM orders",
     "csv_mixed": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "csv_bom": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "star_defaults": f"""WITH {LINES} SELECT row_number() OVER (ORDER BY order_id) AS flags_id, CAST(coalesce(open_lines, 0) AS INT) AS open_lines,

@@ -188,6 +188,8 @@ def model_sql(lines: str, small: dict[str, int]) -> dict[str, str]:
         "forest_risk": f"{many}, {predicted(small['max_depth'], small['trees'])} SELECT k AS order_id, round(p, 6) AS probability, CAST(p > 0.5 AS INT) AS prediction FROM scored",
         "iforest_grown": "WITH o AS (SELECT o_orderkey, o_totalprice, coalesce(c_acctbal, 0) AS c_acctbal, o_custkey FROM orders LEFT JOIN customer ON o_custkey = c_custkey), "
         + isolation(["o_totalprice", "c_acctbal", "o_custkey"], "o", "o_orderkey", 2, 12, 100, 7),
+        "regress_normal": " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, CAST(0 AS DOUBLE) AS residual" for c in [*COLUMNS, "intercept"] if c != "totalprice"),
         "logistic_gradient": slopes,
         "logistic_weights": f"""WITH {rows}, train AS (SELECT n_lines / 4 AS lines, qty / 100 AS quantity, target FROM marked WHERE NOT is_test),
 {newton('train', ['lines', 'quantity'], 'target')}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskweave import schemas as S
 from riskweave.functions import columns as C
-from riskweave.operators import clean, cluster, features, forest, integrate, logistic, metrics, models, outliers, pca, rules, scoring
+from riskweave.operators import clean, cluster, features, forest, integrate, linear, logistic, metrics, models, outliers, pca, rules, scoring
 from riskweave.operators.split import mark_test, split
 from riskweave.operators.warehouse import build_star, load_star, rollup_query, save_star
 from riskweave.plans import orders as O
@@ -175,6 +175,12 @@ def one_hot_drop_first(spark: SparkSession, sf: str) -> DataFrame:
     return features.apply_one_hot(rows, features.fit_one_hot(rows, ["o_orderpriority", "o_orderstatus"]))
 
 
+@query
+def one_hot_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of orders as a sparse one-hot code."""
+    return features.sparse_one_hot(O.load(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey")
+
+
 @query
 def zscore(spark: SparkSession, sf: str) -> DataFrame:
     rows = O.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *MEASURES)
@@ -448,12 +454,26 @@ def regress_multi(spark: SparkSession, sf: str) -> DataFrame:
         r(F.lit(float(model.intercept)), 2).alias("intercept"), r("rmse", 3).alias("rmse"), r("r2").alias("r2"))
 
 
-def _all_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+def _all_features(spark: SparkSession, sf: str) -> tuple[linear.Linear, DataFrame]:
+    """Order price on all other features: (fit, training rows)."""
     table, names = O.model_features(spark, sf)
-    train, test = split(table, ["order_id"])
-    used = [n for n in names if n != "totalprice"]
-    model, _ = models.multiple_regression(*[models.assemble(p, used, "totalprice") for p in (train, test)])
-    return models.weights_table(spark, model.coefficients.toArray(), used, "coefficient")
+    train, _ = split(table, ["order_id"])
+    return linear.fit_linear(train, [n for n in names if n != "totalprice"], "totalprice"), train
+
+
+def _all_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+    fit, _ = _all_features(spark, sf)
+    return models.weights_table(spark, fit.weights, fit.features, "coefficient")
+
+
+@query
+def regress_normal(spark: SparkSession, sf: str) -> DataFrame:
+    """The normal equations of the regression on all features: error times every feature, summed over the training rows, is 0."""
+    fit, train = _all_features(spark, sf)
+    used, error = fit.features, fit.line() - F.col("totalprice")
+    sums = train.agg(F.sum(error).alias("intercept"), *[F.sum(error * F.col(f"`{c}`")).alias(f"g{i}") for i, c in enumerate(used)])
+    rows = [F.struct(F.lit(c).alias("feature"), F.col(f"g{i}").alias("residual")) for i, c in enumerate(used)]
+    return rounded(sums.select(F.inline(F.array(F.struct(F.lit("intercept").alias("feature"), F.col("intercept").alias("residual")), *rows))), 4)
 
 
 @query

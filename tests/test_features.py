@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskweave.operators import features
 
@@ -38,3 +39,12 @@ def test_anova_matches_formula_and_selects(spark):
         within = sum(((g - g.mean()) ** 2).sum() for g in groups) / 297
         assert got[name] == pytest.approx(between / within)
     assert features.select_k_best(df, ["none", "weak", "strong"], "y", 1) == ["strong"]
+
+
+def test_sparse_code_of_many_values(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("b",)], "v string")
+    got = sorted((str(r["v"]), r["v_index"], r["v_size"]) for r in features.sparse_one_hot(df, "v").collect())
+    assert got == [("None", None, 2), ("a", None, 2), ("b", 0, 2), ("b", 0, 2), ("c", 1, 2)]
+    assert features.sparse_one_hot(df.limit(0), "v").count() == 0
+    with pytest.raises(ValueError):
+        features.fit_one_hot(spark.range(2000).select(F.col("id").cast("string").alias("v")), ["v"])

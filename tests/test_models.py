@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.operators import logistic, models, pca
+from riskweave.operators import linear, logistic, models, pca
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +113,16 @@ def test_separable_classes_have_finite_weights(spark):
     df = spark.createDataFrame([(float(i), int(i >= 50)) for i in range(100)], "x double, y int")
     fit = logistic.fit_logistic(df, ["x"], "y")
     assert 0 < fit.weights[0] < 100 and fit.transform(df).where("prediction = y").count() == 100
+
+
+def test_least_squares_with_dependent_columns(frame, data):
+    x, y = data
+    more = frame.withColumn("twice", 2 * F.col("a")).withColumn("k", F.lit(3.0))
+    fit = linear.fit_linear(more, ["a", "b", "c", "twice", "k"], "y")
+    wide = np.column_stack([x, 2 * x[:, 0], np.full(len(x), 3.0)])
+    want = np.linalg.lstsq(wide - wide.mean(axis=0), y - y.mean(), rcond=1e-10)[0]
+    assert fit.weights == pytest.approx(want, abs=1e-9)
+    got = sorted(r["prediction"] for r in fit.transform(more).collect())
+    assert got == pytest.approx(sorted((wide - wide.mean(axis=0)) @ want + y.mean()))
+    with pytest.raises(ValueError):
+        linear.fit_linear(frame.withColumn("a", F.when(F.col("a") > 0, F.col("a"))), ["a"], "y")

@@ -3,7 +3,7 @@ import math
 
 import pytest
 
-from riskweave.operators.split import mark_test, quotas, split
+from riskweave.operators.split import mark_test, quota_table, quotas, split
 
 
 @pytest.mark.parametrize("counts", [[10], [3, 7], [1, 1, 1], [97, 2, 1], [138, 165], [0, 5], [5]])
@@ -41,3 +41,9 @@ def test_split_on_text_keys_and_tiny_tables(spark):
     df = spark.createDataFrame([("x",), ("y",)], "k string")
     assert mark_test(df, ["k"]).where("is_test").count() == 1
     assert mark_test(df.where("k = 'none'"), ["k"]).count() == 0
+
+
+def test_both_ways_of_ranking_classes_agree(spark):
+    counts = spark.createDataFrame([("a", 3), ("b", 3), (None, 7), ("c", 1), ("d", 3)], "c string, n long")
+    both = [sorted(map(str, map(tuple, quota_table(counts, 0.2, few).collect()))) for few in (True, False)]
+    assert both[0] == both[1] and sum(r["q"] for r in quota_table(counts, 0.2, True).collect()) == math.ceil(0.2 * 17)
