@@ -52,13 +52,21 @@ def bounded(rows: DataFrame, n: int) -> DataFrame:
     return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, longer by as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, gone: DataFrame, by: dict[str, Column]) -> DataFrame:
     """Rows of ``docs`` whose values are not in ``gone``.
 
     ``by`` maps columns of ``gone`` to expressions over ``docs``; NULLs are equal. ``gone`` is stored and
     counted, so that texts are not shuffled against a short list.
     """
-    names = {c: f"_gone_{c}" for c in by}
+    names = {c: fresh(docs, f"_gone_{c}") for c in by}
     listed = materialize(gone.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct(), "gone")
     same = F.lit(True)
     for c, expression in by.items():

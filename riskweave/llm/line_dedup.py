@@ -148,14 +148,22 @@ def without_lines(docs: DataFrame, drops: DataFrame) -> DataFrame:
     NULL text included.
     """
     given = docs.columns
-    found = drops.select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_m"), F.col("drops").alias("_drops"))
-    rows = _identity(docs).join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")), "left")
-    cut = F.array_join(F.filter(F.split("_text", "\n", -1), lambda line, i: ~F.array_contains("_drops", i)), "\n")
-    kept = F.when(F.col("_drops").isNull(), F.col("text")).otherwise(cut)
-    n_lines = F.octet_length("_text") - F.octet_length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1
+    kept = [c for c in given if c not in ("n_lines", "n_dropped")]
+    # the caller's columns travel in a struct, where no name can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in given]).alias("given"), "doc_id", F.coalesce("text", F.lit("")).alias("whole"))
+    rows = rows.withColumn("mark", F.xxhash64("whole"))
+    found = drops.select(F.col("doc_id").alias("gone_id"), F.col("_mark").alias("gone_mark"), "drops")
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark")), "left")
+    rows = computed(rows, F.when(F.col("drops").isNotNull(), F.split("whole", "\n", -1)).alias("lines"))
+    # what stays is a difference of hashed sets: time grows with the lines, not with lines times drops
+    numbers = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))
+    rows = computed(rows, F.when(F.col("drops").isNotNull(), numbers).alias("numbers"))
+    left = F.array_join(F.transform("numbers", lambda i: F.get("lines", i)), "\n")
+    text = F.when(F.col("drops").isNull(), F.col("given.text")).otherwise(left)
+    n_lines = F.octet_length("whole") - F.octet_length(F.replace("whole", F.lit("\n"), F.lit(""))) + 1
     return rows.select(
-        *[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in given if c not in ("n_lines", "n_dropped")],
-        n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped"))
+        *[text.alias("text") if c == "text" else F.col(f"given.`{c}`").alias(c) for c in kept],
+        n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 5, alike: float = 0.75, leading: int = 3) -> DataFrame:

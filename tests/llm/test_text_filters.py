@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -213,3 +214,24 @@ def test_every_value_of_a_word_is_a_candidate(make):
         got[r["doc_id"]].append((r["start"], r["value"]))
         assert texts[r["doc_id"]][r["start"]:].startswith(r["value"])
     assert [sorted(got[i]) for i in range(5)] == want
+
+
+def test_columns_of_any_name_pass_through_line_dedup(make):
+    rows = [(i, f"only {'abc' * i} here\nsame boiler plate line of all") for i in range(1, 8)]
+    names = ["_text", "_mark", "_id", "_m", "_drops", "given", "whole", "mark", "drops", "gone_id", "lines", "numbers", "a.b"]
+    docs = make(rows).withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    done = line_dedup.line_dedup(docs).collect()
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in done for n in names)
+    assert {r["doc_id"]: r["text"] for r in done} == {i: t if i == 1 else t.split("\n")[0] for i, t in rows}
+
+
+def test_a_text_of_very_many_dropped_lines(spark):
+    n = 200_000
+    text = "\n".join(f"line {i}" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "a\nb")], "doc_id long, text string")
+    gone = docs.where("doc_id = 1").select(
+        "doc_id", F.xxhash64("text").alias("_mark"), F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: i % 5 != 0).alias("drops"))
+    start = time.time()
+    done = {r["doc_id"]: r for r in line_dedup.without_lines(docs, gone).collect()}
+    assert done[1]["text"] == "\n".join(f"line {i}" for i in range(0, n, 5)) and done[1]["n_dropped"] == n - n // 5 and done[2]["text"] == "a\nb"
+    assert time.time() - start < 60  # seconds where every line was looked up among the dropped ones: hours
