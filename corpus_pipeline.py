@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import bpe, decontam, langid, line_dedup, ngram_join
-from riskweave.llm.common import without
+from riskweave.llm.common import fresh, without
 from riskweave.llm.queries import vocabulary_path
 from riskweave.session import materialize
 
@@ -58,10 +58,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     joined = materialize(ngram_join.ngram_join(docs), "near-duplicates")
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("component_mark"))
     kept = without(docs, joined.where(~first), {"doc_id": F.col("doc_id"), "mark": _mark()})
-    twice = joined.groupBy(F.col("doc_id").alias("_twice_id"), F.col("mark").alias("_twice_mark")).count().where("count > 1").drop("count")
+    names = fresh(docs, "_twice_id"), fresh(docs, "_twice_mark")
+    twice = joined.groupBy(F.col("doc_id").alias(names[0]), F.col("mark").alias(names[1])).count().where("count > 1").drop("count")
     if twice.limit(1).count() == 0:
         return kept
-    same = F.col("doc_id").eqNullSafe(F.col("_twice_id")) & (_mark() == F.col("_twice_mark"))
+    same = F.col("doc_id").eqNullSafe(F.col(names[0])) & (_mark() == F.col(names[1]))
     return kept.join(twice, same, "left_anti").union(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
