@@ -321,8 +321,8 @@ def _level(data: DataFrame, paths: Paths, nodes: list[tuple[int, int]], lay: Lay
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths, nodes = shared.value
-        first = {t: min(i for i, (u, _) in enumerate(nodes) if u == t) for t in trees}
-        last = {t: max(i for i, (u, _) in enumerate(nodes) if u == t) + 1 for t in trees}
+        own = np.array([t for t, _ in nodes])  # sorted
+        first, last = ({t: int(np.searchsorted(own, t, side)) for t in trees} for side in ("left", "right"))
         total = np.zeros((len(nodes), lay.width, 2))
         for b in batches:
             keys, y, codes = _rows_of(b, d)

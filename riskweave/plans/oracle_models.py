@@ -47,18 +47,26 @@ def _drawn(a: str, b: str, bits: int = 32) -> str:
 def grown(source: str, key: str, label: str, columns: list[str], trees: int, depth: int, bins: int, usable: int, bagged: bool,
           seed: int = R.SEED, cells: int = R.CELLS) -> str:
     """CTEs up to ``nodes`` (tree, node, f, code, n0, n1; NULL f: leaf), ``cuts`` and ``paths`` of trees fitted to the rows of ``source``
-    that are no test rows. Crowded cells are not counted again, which columns without long tails do not need."""
+    that are no test rows. Crowded cells are counted again once, which is enough for columns without long tails."""
     long = " UNION ALL ".join(f"""SELECT {key} AS k, {i} AS f, CAST("{c}" AS DOUBLE) AS v, is_test FROM {source}""" for i, c in enumerate(columns))
     weight = " + ".join(f"CAST(u >= {t} AS INT)" for t in R.POISSON) if bagged else "1"
     drawn = _drawn("k", f"{seed * 1000 + 1} + tree")
     out = [f"""long AS ({long}),
 ends AS (SELECT f, min(v) AS lo, max(v) AS hi FROM long WHERE NOT is_test GROUP BY f),
-cells AS (
-  SELECT f, CASE WHEN hi > lo THEN least(floor((v - lo) / (hi - lo) * {cells}), {cells - 1}) ELSE 0 END AS cell, count(*) AS n, max(v) AS most
+cells0 AS (
+  SELECT f, CASE WHEN hi > lo THEN least(floor((v - lo) / (hi - lo) * {cells}), {cells - 1}) ELSE 0 END AS cell, count(*) AS n, min(v) AS lowest, max(v) AS most
   FROM long JOIN ends USING (f) WHERE NOT is_test GROUP BY ALL),
-upto AS (SELECT f, cell, most, sum(n) OVER (PARTITION BY f ORDER BY cell) AS u, sum(n) OVER (PARTITION BY f) AS t FROM cells),
-steps AS (SELECT *, (u * {bins}) // t AS step, lag((u * {bins}) // t, 1, 0) OVER (PARTITION BY f ORDER BY cell) AS before FROM upto),
-cuts AS (SELECT f, most AS cut, row_number() OVER (PARTITION BY f ORDER BY cell) - 1 AS code FROM steps WHERE step > before AND u < t),
+sized AS (SELECT *, sum(n) OVER (PARTITION BY f) AS t FROM cells0),
+crowded AS (SELECT * FROM sized WHERE n * {bins} > 2 * t AND lowest < most),
+cells AS (
+  SELECT f, n, most, t FROM sized WHERE NOT (n * {bins} > 2 * t AND lowest < most)
+  UNION ALL
+  SELECT f, count(*), max(v), any_value(t) FROM (
+    SELECT c.f, c.cell, t, v, least(floor((v - lowest) / (most - lowest) * {cells}), {cells - 1}) AS part
+    FROM crowded c JOIN long l ON l.f = c.f AND v BETWEEN lowest AND most WHERE NOT is_test) GROUP BY f, cell, part),
+upto AS (SELECT f, most, t, sum(n) OVER (PARTITION BY f ORDER BY most) AS u FROM cells),
+steps AS (SELECT *, (u * {bins}) // t AS step, lag((u * {bins}) // t, 1, 0) OVER (PARTITION BY f ORDER BY most) AS before FROM upto),
+cuts AS (SELECT f, most AS cut, row_number() OVER (PARTITION BY f ORDER BY most) - 1 AS code FROM steps WHERE step > before AND u < t),
 codes AS MATERIALIZED (
   SELECT k, l.f, count(cut) AS code FROM long l LEFT JOIN cuts c ON c.f = l.f AND c.cut < l.v WHERE NOT is_test GROUP BY k, l.f),
 rows0 AS (
