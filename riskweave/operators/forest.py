@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +28,18 @@ from riskweave.session import materialize, ship_package
 SEED = 42
 #: Cells per column in which values are counted before cuts are chosen, and rounds of refining crowded cells.
 CELLS, CELL_ROUNDS = 4096, 4
-#: Weighted rows up to which a branch is grown in one task.
-LOCAL_ROWS = 16_384
+#: Ranges in which one pass counts cells.
+RANGES = 512
+#: Weighted rows up to which a branch is grown in one task, and levels such a branch has at least; others cost less in the passes.
+LOCAL_ROWS, LOCAL_LEVELS = 16_384, 3
+#: Bytes of codes a task looks at together.
+CHUNK_BYTES = 2 << 20
+#: Features counted of a node beyond those it may use, since some do not differ among its rows.
+SPARE = 2
 #: Bytes of counts a task holds in one pass; more open nodes take more passes.
 HISTOGRAM_BYTES = 96 << 20
+#: Bytes of counts that leave a task in one batch.
+COUNT_BYTES = 1 << 20
 #: Bytes of rows a task holds before it passes them on to their branch.
 BRANCH_BYTES = 64 << 20
 #: Nodes of a forest that is still brought together (some 40 bytes each).
@@ -48,9 +56,11 @@ POISSON = [math.floor(sum(math.exp(-1) / math.factorial(j) for j in range(i + 1)
 
 def draw64(a: np.ndarray, b: int) -> np.ndarray:
     """64-bit numbers drawn from 64-bit numbers ``a`` and a whole number ``b``."""
-    z = a.astype(np.uint64) * np.uint64(KEY_FACTOR) + np.uint64(b * TREE_FACTOR % 2**64)
+    z = a.astype(np.uint64) * np.uint64(KEY_FACTOR)
+    z += np.uint64(b * TREE_FACTOR % 2**64)
     for _ in range(2):
-        z = (z ^ (z >> np.uint64(32))) * np.uint64(MIX_FACTOR)
+        z ^= z >> np.uint64(32)
+        z *= np.uint64(MIX_FACTOR)
     return z
 
 
@@ -66,9 +76,28 @@ def key_of(df: DataFrame, key: str) -> Column:
     return F.xxhash64(key)
 
 
+def bag(keys: np.ndarray, tree: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows in a tree's bag, and how often each of them is in it."""
+    drawn = draw(keys, seed * 1000 + tree + 1)
+    rows = np.flatnonzero(drawn >= POISSON[0])
+    drawn = drawn[rows]
+    w = np.ones(len(rows), dtype=np.int64)
+    more = np.flatnonzero(drawn >= POISSON[1])
+    for least in POISSON[2:]:
+        if not len(more):
+            break
+        w[more] += 1
+        more = more[drawn[more] >= least]
+    w[more] += 1
+    return rows, w
+
+
 def bag_weights(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
     """How often each row is in a tree's bag."""
-    return np.searchsorted(np.array(POISSON, dtype=np.uint64), draw(keys, seed * 1000 + tree + 1), side="right")
+    w = np.zeros(len(keys), dtype=np.int64)
+    rows, often = bag(keys, tree, seed)
+    w[rows] = often
+    return w
 
 
 def feature_order(tree: int, node: int, features: int, seed: int) -> np.ndarray:
@@ -91,25 +120,20 @@ def find_cuts(df: DataFrame, cols: Sequence[str], bins: int = 64, cells: int = C
         raise ValueError("codes are bytes")
     x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
     ends = x.agg(*[f(f"x{i}").alias(f"{f.__name__}{i}") for i in range(len(cols)) for f in (F.min, F.max)]).first()
-    open_ = [(i, ends[f"min{i}"], ends[f"max{i}"]) for i in range(len(cols)) if ends[f"min{i}"] is not None]
+    # a column without a value, or with a NaN (the largest value), has no cuts
+    open_ = [(i, ends[f"min{i}"], ends[f"max{i}"]) for i in range(len(cols)) if ends[f"min{i}"] is not None and ends[f"max{i}"] == ends[f"max{i}"]]
     found: list[list[tuple[float, float, int]]] = [[] for _ in cols]  # per column (least, largest, rows) of disjoint cells
     total = [0] * len(cols)
     for step in range(rounds):
         if not open_:
             break
-        entries = []
-        for g, (i, low, high) in enumerate(open_):
-            v, inside = F.col(f"x{i}"), F.col(f"x{i}").between(low, high)
-            cell = F.least(F.floor((v - low) / (high - low) * cells), F.lit(cells - 1)) if high > low else F.lit(0).cast("long")
-            entries.append(F.struct(F.lit(g).alias("g"), F.when(inside, cell).alias("cell"), v.alias("v")))
-        counted = x.select(F.inline(F.array(*entries))).where(F.col("cell").isNotNull()).groupBy("g", "cell").agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most")).collect()  # columns x cells at most
+        counted = [(a + r["g"], r) for a in range(0, len(open_), RANGES) for r in _count_cells(x, open_[a:a + RANGES], cells)]
         if step == 0:
-            for r in counted:
-                total[open_[r["g"]][0]] += r["n"]
+            for g, r in counted:
+                total[open_[g][0]] += r["n"]
         again = []
-        for r in counted:
-            i = open_[r["g"]][0]
+        for g, r in counted:
+            i = open_[g][0]
             if r["least"] < r["most"] and r["n"] * bins > 2 * total[i] and step + 1 < rounds:
                 again.append((i, r["least"], r["most"]))
             else:
@@ -128,6 +152,43 @@ def find_cuts(df: DataFrame, cols: Sequence[str], bins: int = 64, cells: int = C
     return out
 
 
+def _count_cells(x: DataFrame, ranges: list[tuple[int, float, float]], cells: int) -> list[Row]:
+    """Rows (g, cell, n, least, most) of the cells that have rows, for ranges (column, low, high), from one pass."""
+    ship_package(x.sparkSession)
+    places = sorted({i for i, _, _ in ranges})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((len(ranges), cells), np.int64)
+        least, most = np.full(n.shape, np.inf), np.full(n.shape, -np.inf)
+        for part in _chunks(batches, 8 * len(places)):
+            for j, i in enumerate(places):
+                v = part.column(j).to_numpy()
+                v = np.sort(v[v == v])  # NULLs come as NaN
+                for g, (own, low, high) in enumerate(ranges):
+                    if own != i:
+                        continue
+                    inside = v[np.searchsorted(v, low, "left"):np.searchsorted(v, high, "right")]
+                    if not len(inside):
+                        continue
+                    cell = np.zeros(len(inside), np.int64)
+                    if high > low:
+                        with np.errstate(all="ignore"):
+                            at = np.floor((inside - low) / (high - low) * cells)
+                        cell = np.minimum(np.where(at == at, at, 0.0), cells - 1).astype(np.int64)
+                    first = np.flatnonzero(np.diff(cell, prepend=-1))
+                    last = np.append(first[1:], len(cell)) - 1
+                    to = cell[first]
+                    n[g, to] += last - first + 1
+                    least[g, to] = np.minimum(least[g, to], inside[first])
+                    most[g, to] = np.maximum(most[g, to], inside[last])
+        g, cell = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(g, pa.int32()), pa.array(cell, pa.int64()), *[pa.array(v[g, cell]) for v in (n, least, most)]], ["g", "cell", "n", "least", "most"])
+
+    counted = x.select(*[f"x{i}" for i in places]).mapInArrow(count, "g int, cell long, n long, least double, most double")
+    return counted.groupBy("g", "cell").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most")).collect()  # ranges x cells at most
+
+
 def coded(columns: Sequence[np.ndarray], cuts: Sequence[np.ndarray]) -> np.ndarray:
     """Codes, rows x columns: how many cuts are below the value."""
     out = np.empty((len(columns[0]), len(cuts)), dtype=np.uint8)
@@ -153,10 +214,27 @@ def encode(df: DataFrame, cols: Sequence[str], cuts: list[np.ndarray], label: st
     return materialize(rows.mapInArrow(pack, "k long, y int, codes binary"), "codes", spread=True)
 
 
-def _rows_of(b: pa.RecordBatch, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    codes = b.column(2)
-    flat = np.frombuffer(codes.buffers()[2], np.uint8)[codes.offset * d:(codes.offset + b.num_rows) * d]
-    return b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy(), flat.reshape(-1, d)
+def _chunks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
+    """Batches put together to some ``CHUNK_BYTES`` of ``width`` bytes a row."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            rows += b.num_rows
+        if rows * width >= CHUNK_BYTES:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _rows_of(part: pa.Table, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, labels and codes (row after row) of a part of the encoded rows."""
+    if part.column(1).null_count:
+        raise ValueError("labels must not be NULL")
+    flat = np.concatenate([np.frombuffer(c.buffers()[2], np.uint8)[c.offset * d:(c.offset + len(c)) * d] for c in part.column(2).chunks])
+    return part.column(0).to_numpy().view(np.uint64), part.column(1).to_numpy().astype(np.int64), flat
 
 
 # --- splits -----------------------------------------------------------------------------------------
@@ -164,53 +242,55 @@ def _rows_of(b: pa.RecordBatch, d: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 @dataclass
 class Layout:
-    """Where each feature's codes lie in one row of counts, and how many features a node may use."""
+    """How many codes each feature has, and how many features a node may use."""
 
     sizes: np.ndarray  # codes per feature
     usable: int
     max_depth: int
     seed: int
 
-    def __post_init__(self) -> None:
-        self.start = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
-        self.width = int(self.sizes.sum())
-        self.feature = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.last = np.zeros(self.width, dtype=bool)
-        self.last[np.cumsum(self.sizes) - 1] = True
 
-    def histogram(self, codes: np.ndarray, y: np.ndarray, w: np.ndarray, slot: np.ndarray, slots: int) -> np.ndarray:
-        """Weighted counts, slots x codes of all features x 2 labels."""
-        at = (codes + (self.start + slot[:, None] * self.width)) * 2 + y[:, None]
-        flat = np.bincount(at.ravel(), np.repeat(w, codes.shape[1]), slots * self.width * 2)
-        return flat.reshape(slots, self.width, 2)
+def orders(nodes: Sequence[tuple[int, int]], lay: Layout) -> np.ndarray:
+    """Nodes x features: the features in the order in which each node may use them."""
+    d = len(lay.sizes)
+    out = np.tile(np.arange(d), (len(nodes), 1))
+    if lay.usable < d:
+        own = np.array([t for t, _ in nodes])
+        at = np.arange(d, dtype=np.uint64) + np.array([(n << 16) % 2**64 for _, n in nodes], dtype=np.uint64)[:, None]
+        for t in np.unique(own):  # as in feature_order
+            out[own == t] = np.argsort(draw(at[own == t], lay.seed * 1000 + int(t) + 1), axis=1, kind="stable")
+    return out
+
+
+#: In place of a split's feature: a leaf, or a node of which too few of the features counted differ.
+LEAF, UNDECIDED = -1, -2
 
 
-def best_split(counts: np.ndarray, tree: int, node: int, lay: Layout) -> tuple[int, int, np.ndarray] | None:
-    """(feature, code, counts of the left side) with the lowest gini impurity, or None for a leaf.
+def best_split(counts: np.ndarray, features: np.ndarray, node: int, whole: bool, lay: Layout) -> tuple[int, int, np.ndarray, int]:
+    """(feature, code, counts of the left side, sides with one code of that feature) with the lowest gini impurity.
 
-    Of the node's features the first ``usable`` that differ among its rows are looked at. Ties go to the
-    feature, then the code, that comes first.
+    ``counts`` are features x codes x 2 labels, in the order in which the node may use the features; ``whole`` says that all others
+    do not differ. Of those that differ among the node's rows the first ``usable`` are looked at. Ties go to the
+    feature, then the code, that comes first. The sides are 1 for left plus 2 for right.
     """
-    own = counts[lay.feature == 0].sum(axis=0)
-    if node.bit_length() > lay.max_depth or own.min() == 0:
-        return None
-    upto = counts.cumsum(axis=0)
-    left = upto - np.concatenate([[[0, 0]], upto])[lay.start][lay.feature]
-    right = own - left
-    nl, nr = left.sum(axis=1), right.sum(axis=1)
-    valid = (nl > 0) & (nr > 0) & ~lay.last
-    differs = np.logical_or.reduceat(valid, lay.start)
-    if not differs.any():
-        return None
-    order = feature_order(tree, node, len(lay.sizes), lay.seed) if lay.usable < len(lay.sizes) else np.arange(len(lay.sizes))
-    allowed = np.zeros(len(lay.sizes), dtype=bool)
-    allowed[order[differs[order]][:lay.usable]] = True
-    valid &= allowed[lay.feature]
+    n = counts[0].sum(axis=0)
+    if node.bit_length() > lay.max_depth or n.min() == 0:
+        return LEAF, 0, np.zeros(2), 0
+    present = counts.any(axis=2)
+    differs = np.flatnonzero(present.sum(axis=1) > 1)[:lay.usable]
+    if len(differs) < lay.usable and not whole:
+        return UNDECIDED, 0, np.zeros(2), 0
+    if not len(differs):
+        return LEAF, 0, np.zeros(2), 0
+    used = differs[np.argsort(features[differs])]
+    left = counts[used].cumsum(axis=1)
+    right = n - left
+    nl, nr = left.sum(axis=2), right.sum(axis=2)
     with np.errstate(divide="ignore", invalid="ignore"):
-        pure = (left[:, 0] * left[:, 0] + left[:, 1] * left[:, 1]) / nl + (right[:, 0] * right[:, 0] + right[:, 1] * right[:, 1]) / nr
-    at = int(np.argmax(np.where(valid, pure, -1.0)))
-    feature = int(lay.feature[at])
-    return feature, at - int(lay.start[feature]), left[at]
+        pure = (left[..., 0] * left[..., 0] + left[..., 1] * left[..., 1]) / nl + (right[..., 0] * right[..., 0] + right[..., 1] * right[..., 1]) / nr
+    i, code = divmod(int(np.argmax(np.where((nl > 0) & (nr > 0), pure, -1.0))), counts.shape[1])
+    own = present[used[i]]
+    return int(features[used[i]]), code, left[i, code], int(own[:code + 1].sum() == 1) + 2 * int(own[code + 1:].sum() == 1)
 
 
 def grow_branch(codes: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, root: int, lay: Layout) -> Iterator[tuple]:
@@ -274,85 +354,122 @@ def _node_batches(rows: Iterator[tuple], size: int = 50_000) -> Iterator[pa.Reco
 
 @dataclass
 class Paths:
-    """The nodes so far, as arrays: where a row of each tree goes, and the slot of the open node it ends in (-1: none)."""
+    """The nodes so far, as arrays: where a row of each tree goes, and the slot of the open node it ends in (-1: none).
+
+    A node without a split sends every row to itself: no code is above 255.
+    """
 
     roots: np.ndarray
+    levels: np.ndarray  # per tree
     feature: np.ndarray
     code: np.ndarray
     left: np.ndarray
     slot: np.ndarray
 
-    def slots(self, tree: int, codes: np.ndarray) -> np.ndarray:
-        at = np.full(len(codes), self.roots[tree])
-        row = np.arange(len(codes))
-        while True:
-            f = self.feature[at]
-            inner = f >= 0
-            if not inner.any():
-                return self.slot[at]
-            step = self.left[at] + (codes[row, np.where(inner, f, 0)] > self.code[at])
-            at = np.where(inner, step, at)
+    def slots(self, tree: int, flat: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Slots of the rows whose codes begin at ``start``."""
+        return self.slot.take(_walk(flat, start, int(self.roots[tree]), int(self.levels[tree]), self.feature, self.code, self.left))
+
+
+def _walk(flat: np.ndarray, start: np.ndarray, root: int, levels: int, feature: np.ndarray, code: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The node in which each row ends; rows are codes one after the other, from ``start`` on."""
+    at = np.full(len(start), root)
+    for _ in range(levels):
+        right = flat.take(start + feature.take(at)) > code.take(at)
+        at = left.take(at)
+        at += right
+    return at
 
 
 def _paths(trees: int, splits: dict[tuple[int, int], tuple[int, int]], open_: Sequence[tuple[int, int]]) -> Paths:
     slots = {k: i for i, k in enumerate(open_)}
-    keys = sorted({(t, 1) for t in range(trees)} | {(t, 2 * n + s) for t, n in splits for s in (0, 1)})
+    of = {t for t, _ in open_}
+    keys = sorted({(t, 1) for t in range(trees)} | {(t, 2 * n + s) for t, n in splits for s in (0, 1) if t in of})
     place = {k: i for i, k in enumerate(keys)}
-    split = [splits.get(k, (-1, 0)) for k in keys]
+    split = [splits.get(k, (0, 255)) for k in keys]
+    levels = np.zeros(trees, dtype=np.int64)
+    for t, n in open_:
+        levels[t] = max(levels[t], n.bit_length() - 1)
     return Paths(
-        np.array([place[t, 1] for t in range(trees)]), np.array([f for f, _ in split]), np.array([c for _, c in split]),
-        np.array([place.get((t, 2 * n), -1) for t, n in keys]), np.array([slots.get(k, -1) for k in keys]))
+        np.array([place[t, 1] for t in range(trees)]), levels, np.array([f for f, _ in split]), np.array([c for _, c in split], dtype=np.uint8),
+        np.array([place.get((t, 2 * n), i) for i, (t, n) in enumerate(keys)]), np.array([slots.get(k, -1) for k in keys]))
 
 
-def _members(paths: Paths, tree: int, keys: np.ndarray, codes: np.ndarray, bagged: bool, seed: int) -> tuple[np.ndarray, ...]:
-    """(rows, weights, slots) of a batch in the open nodes of a tree."""
-    w = bag_weights(keys, tree, seed) if bagged else np.ones(len(keys), dtype=np.int64)
-    rows = np.flatnonzero(w)
-    slot = paths.slots(tree, codes[rows])
-    rows, slot = rows[slot >= 0], slot[slot >= 0]
-    return rows, w[rows], slot
+def _members(paths: Paths, tree: int, keys: np.ndarray, flat: np.ndarray, d: int, bagged: bool, seed: int) -> tuple[np.ndarray, ...]:
+    """(rows, weights, slots) of a part of the rows in the open nodes of a tree."""
+    rows, w = bag(keys, tree, seed) if bagged else (np.arange(len(keys)), np.ones(len(keys), dtype=np.int64))
+    slot = paths.slots(tree, flat, rows * d)
+    inside = slot >= 0
+    if not inside.all():
+        rows, w, slot = rows[inside], w[inside], slot[inside]
+    return rows, w, slot
 
 
-def _level(data: DataFrame, paths: Paths, nodes: list[tuple[int, int]], lay: Layout, bagged: bool) -> list[tuple]:
-    """Split, or counts as a leaf, of every open node, from one pass: (tree, node, feature, code, n0, n1, left n0, left n1)."""
-    d = len(lay.sizes)
-    shared = data.sparkSession.sparkContext.broadcast((paths, nodes))
+def _level(data: DataFrame, paths: Paths, nodes: list[tuple[int, int]], known: list[int], k: int, lay: Layout, bagged: bool) -> list[Row]:
+    """Split, or counts as a leaf, of every open node, from one pass over ``k`` features of each that are not ``known`` to be the same in all its rows.
+
+    Rows are (tree, node, feature, code, n0, n1, left n0, left n1, sides with one code, features that proved to be the same).
+    """
+    d, codes_of = len(lay.sizes), int(lay.sizes.max())
+    free = np.array([[not m >> f & 1 for f in range(d)] for m in known])
+    order = orders(nodes, lay)
+    free = np.take_along_axis(free, order, axis=1)
+    first = np.argsort(~free, axis=1, kind="stable")[:, :k]  # the free ones, in the node's order
+    chosen = np.where(np.take_along_axis(free, first, axis=1), np.take_along_axis(order, first, axis=1), -1)
+    shared = data.sparkSession.sparkContext.broadcast((paths, nodes, chosen, free.sum(axis=1) <= k))
     trees = sorted({t for t, _ in nodes})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths, nodes = shared.value
+        paths, nodes, chosen, _ = shared.value
+        used = np.ascontiguousarray(np.maximum(chosen, 0).T)  # places without a feature count any, which is not looked at
         own = np.array([t for t, _ in nodes])  # sorted
-        first, last = ({t: int(np.searchsorted(own, t, side)) for t in trees} for side in ("left", "right"))
-        total = np.zeros((len(nodes), lay.width, 2))
-        for b in batches:
-            keys, y, codes = _rows_of(b, d)
-            for t in trees:
-                rows, w, slot = _members(paths, t, keys, codes, bagged, lay.seed)
-                if len(rows):
-                    total[first[t]:last[t]] += lay.histogram(codes[rows], y[rows], w, slot - first[t], last[t] - first[t])
-        for i in range(len(nodes)):
-            if total[i].any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total[i].astype(np.int64).tobytes()], pa.binary())], ["slot", "counts"])
+        spans = [(t, *(int(np.searchsorted(own, t, side)) for side in ("left", "right"))) for t in trees]
+        total = np.zeros((len(nodes), k, codes_of * 2))
+        for part in _chunks(batches, d):
+            keys, y, flat = _rows_of(part, d)
+            for t, a, b in spans:
+                rows, w, slot = _members(paths, t, keys, flat, d, bagged, lay.seed)
+                if not len(rows):
+                    continue
+                start, w = rows * d, w.astype(float)
+                cell = (slot - a) * (codes_of * 2) + y[rows]
+                for j in range(k):
+                    code = flat.take(start + used[j].take(slot)).astype(np.int64)
+                    code *= 2
+                    code += cell
+                    total[a:b, j] += np.bincount(code, w, (b - a) * codes_of * 2).reshape(b - a, -1)
+        met = np.flatnonzero(total.any(axis=(1, 2)))
+        step = max(1, COUNT_BYTES // total[:1].nbytes)
+        for a in range(0, len(met), step):
+            slots = met[a:a + step]
+            counts = [total[i].astype(np.int64).tobytes() for i in slots]
+            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(counts, pa.binary())], ["slot", "counts"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, nodes = shared.value
+        _, nodes, chosen, whole = shared.value
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for slot, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                part = np.frombuffer(counts, np.int64).reshape(-1, 2)
+                part = np.frombuffer(counts, np.int64).reshape(k, -1, 2)
                 sums[slot] = sums[slot] + part if slot in sums else part
         out = []
         for slot, counts in sums.items():
             tree, node = nodes[slot]
-            own = counts[lay.feature == 0].sum(axis=0)
-            feature, code, left = best_split(counts.astype(float), tree, node, lay) or (-1, 0, np.zeros(2))
-            out.append((tree, node, feature, code, int(own[0]), int(own[1]), int(left[0]), int(left[1])))
+            features = chosen[slot][chosen[slot] >= 0]
+            counts = counts[:len(features)].astype(float)
+            own = counts[0].sum(axis=0)
+            feature, code, left, alone = best_split(counts, features, node, bool(whole[slot]), lay)
+            same = features[counts.any(axis=2).sum(axis=1) < 2].tolist()
+            out.append((tree, node, feature, code, int(own[0]), int(own[1]), int(left[0]), int(left[1]), alone, same))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*_NODE_TYPES, pa.int64(), pa.int64()))], [*_NODE_NAMES, "l0", "l1"])
+            kinds = (*_NODE_TYPES, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], [*_NODE_NAMES, "l0", "l1", "alone", "same"])
 
     parts = min(len(nodes), int(data.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counted = data.mapInArrow(count, "slot int, counts binary").repartition(parts, "slot")
-    return [tuple(r) for r in counted.mapInArrow(choose, _NODE + ", l0 long, l1 long").collect()]  # one row per open node
+    found = counted.mapInArrow(choose, _NODE + ", l0 long, l1 long, alone int, same array<int>").collect()  # one row per open node
+    shared.destroy()
+    return found
 
 
 def _branches(data: DataFrame, paths: Paths, nodes: list[tuple[int, int]], lay: Layout, bagged: bool, rows: int) -> DataFrame:
@@ -377,16 +494,17 @@ def _branches(data: DataFrame, paths: Paths, nodes: list[tuple[int, int]], lay:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(slot[starts], pa.int32()), pa.array([rows[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())], ["slot", "rows"])
 
-        for b in batches:
-            keys, y, codes = _rows_of(b, d)
+        for part in _chunks(batches, d):
+            keys, y, flat = _rows_of(part, d)
+            codes = flat.reshape(-1, d)
             for t in trees:
-                at, w, slot = _members(paths, t, keys, codes, bagged, lay.seed)
+                at, w, slot = _members(paths, t, keys, flat, d, bagged, lay.seed)
                 if len(at):
                     held.append((slot.astype(np.int32), np.column_stack([codes[at], y[at].astype(np.uint8), w.astype(np.uint8)])))
                     size += len(at) * (d + 2)
-            if size >= BRANCH_BYTES:
-                yield from passed()
-                held, size = [], 0
+                if size >= BRANCH_BYTES:
+                    yield from passed()
+                    held, size = [], 0
         if held:
             yield from passed()
 
@@ -456,23 +574,21 @@ class Forest:
     def transform(self, df: DataFrame, probability: str = "probability_1", prediction: str = "prediction") -> DataFrame:
         """Add P(class 1), the mean of the trees' shares, and the more likely class."""
         ship_package(df.sparkSession)
-        shared = df.sparkSession.sparkContext.broadcast((self.cuts, self.roots, self.feature, self.code, self.left, self.share))
-        levels = self.depth
+        inner = self.feature >= 0
+        nodes = np.where(inner, self.feature, 0), np.where(inner, self.code, 255).astype(np.uint8), np.where(inner, self.left, np.arange(len(inner)))
+        depths = np.array([int(self.node[a:b].max()).bit_length() - 1 for a, b in zip(self.roots, [*self.roots[1:], len(self.node)])])
+        shared = df.sparkSession.sparkContext.broadcast((self.cuts, self.roots, depths, nodes, self.share))
 
         @F.pandas_udf("double")
         def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            cuts, roots, feature, code, left, share = shared.value
+            cuts, roots, depths, nodes, share = shared.value
             for part in parts:
                 codes = coded([part.iloc[:, i].to_numpy(float) for i in range(part.shape[1])], cuts)
-                row = np.arange(len(codes))[:, None]
-                at = np.broadcast_to(roots, (len(codes), len(roots)))
-                for _ in range(levels):
-                    f = feature[at]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    at = np.where(inner, left[at] + (codes[row, np.where(inner, f, 0)] > code[at]), at)
-                yield pd.Series(share[at].mean(axis=1))
+                flat, start = codes.ravel(), np.arange(len(codes)) * codes.shape[1]
+                shares = np.empty((len(codes), len(roots)))
+                for t, (root, levels) in enumerate(zip(roots.tolist(), depths.tolist())):
+                    shares[:, t] = share.take(_walk(flat, start, root, levels, *nodes))
+                yield pd.Series(shares.mean(axis=1))
 
         out = df.withColumn(probability, score(F.struct(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(self.features)])))
         return out.withColumn(prediction, (F.col(probability) > 0.5).cast("double"))
@@ -517,28 +633,49 @@ def fit_forest(
     rows = data.count()
     if not rows:
         raise ValueError("no rows to fit")
-    per_pass = max(1, HISTOGRAM_BYTES // (lay.width * 16))
+    d, codes_of = len(cols), int(lay.sizes.max())
+    every = (1 << d) - 1
     splits: dict[tuple[int, int], tuple[int, int]] = {}
     nodes: list[tuple] = []
     local: list[tuple[int, int]] = []
+    local_size = 0
+    known: dict[tuple[int, int], int] = {}  # per open node, bits of the features that are the same in all its rows
+    tried: set[tuple[int, int]] = set()
     open_ = [(t, 1) for t in range(trees)]
     if rows <= local_rows:
-        local, open_ = open_, []
+        local, open_, local_size = open_, [], rows * (trees if bagged else 1)
     while open_:
+        k = d if tried.issuperset(open_) else min(d, lay.usable + SPARE)  # undecided nodes alone are not put off again
+        per_pass = max(1, HISTOGRAM_BYTES // (k * codes_of * 16))
         later: list[tuple[int, int]] = []
         for a in range(0, len(open_), per_pass):
             now = open_[a:a + per_pass]
-            for t, n, f, c, n0, n1, l0, l1 in _level(data, _paths(trees, splits, now), now, lay, bagged):
+            for t, n, f, c, n0, n1, l0, l1, alone, same in _level(data, _paths(trees, splits, now), now, [known.get(o, 0) for o in now], k, lay, bagged):
+                mask = known.pop((t, n), 0) | sum(1 << i for i in same)
+                if f == UNDECIDED:
+                    known[t, n] = mask
+                    tried.add((t, n))
+                    later.append((t, n))
+                    continue
                 nodes.append((t, n, f, c, n0, n1))
-                if f >= 0:
-                    splits[t, n] = (f, c)
-                    for child, size in ((2 * n, l0 + l1), (2 * n + 1, n0 + n1 - l0 - l1)):
-                        (local if size <= local_rows else later).append((t, child))
+                if f == LEAF:
+                    continue
+                splits[t, n] = (f, c)
+                for side, child, c0, c1 in ((1, 2 * n, l0, l1), (2, 2 * n + 1, n0 - l0, n1 - l1)):
+                    own, left = mask | (1 << f if alone & side else 0), max_depth + 1 - child.bit_length()
+                    if not c0 or not c1 or not left or own == every:
+                        nodes.append((t, child, LEAF, 0, c0, c1))
+                    elif c0 + c1 <= local_rows and left >= LOCAL_LEVELS:
+                        local.append((t, child))
+                        local_size += c0 + c1
+                    else:
+                        known[t, child] = own
+                        later.append((t, child))
         open_ = sorted(later)
     parts = [pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*nodes), _NODE_TYPES)], _NODE_NAMES)] if nodes else []
     if local:
         local.sort()
-        grown = _branches(data, _paths(trees, splits, local), local, lay, bagged, rows * (trees if bagged else 1))
+        grown = _branches(data, _paths(trees, splits, local), local, lay, bagged, local_size)
         size = grown.count()
         if size > MAX_NODES:
             raise ValueError(f"{size} nodes; take a smaller max_depth or fewer trees")

@@ -129,3 +129,50 @@ def test_edges(spark, frame):
     root = table[1]
     sides = frame.groupBy((F.col(root["feature"]) <= root["cut"]).alias("s")).count().collect()
     assert {r["s"]: r["count"] for r in sides} == {True: table[2]["n0"] + table[2]["n1"], False: table[3]["n0"] + table[3]["n1"]}
+
+
+def test_work_of_a_forest_follows_what_it_needs(spark, frame, data, monkeypatch):
+    """Values are counted where they lie, nodes count the features they may use, and leaves are neither counted nor dealt to tasks."""
+    passes, branches = [], []
+    level, deal = R._level, R._branches
+    monkeypatch.setattr(R, "_level", lambda *a: passes.append((a[2], a[4])) or level(*a))
+    monkeypatch.setattr(R, "_branches", lambda *a: branches.append(a[2]) or deal(*a))
+    monkeypatch.setattr(R.F, "inline", lambda *_: pytest.fail("a row per value"))
+    wide = frame.select("*", *[(F.col("a") * i + F.col("b")).alias(f"f{i}") for i in range(2, 8)])
+    cols = [*COLS, *[f"f{i}" for i in range(2, 8)]]
+    f = R.fit_forest(wide, cols, "y", "id", 3, 3, 16, local_rows=400)
+    assert f.depth == 3 and not branches
+    assert max(n.bit_length() for nodes, _ in passes for _, n in nodes) == 3  # the nodes of the last level are leaves
+    assert passes[0][1] == 3 + R.SPARE < len(cols)
+    x, y = data
+    rows = wide.orderBy("id").select(*cols).collect()
+    codes = R.coded([np.array([r[c] for r in rows], dtype=float) for c in cols], f.cuts)
+    want = [n for t in range(3) for n in brute(codes, y, R.bag_weights(np.arange(len(y), dtype=np.uint64), t, 42), t, 3, 3, 42)]
+    assert nodes_of(f) == sorted(want)
+
+
+def test_columns_that_do_not_differ_put_no_node_off_for_good(spark, frame, data):
+    """Nine of ten columns are constant in all rows or below the first split."""
+    same = [F.lit(1.0).alias(f"s{i}") for i in range(5)] + [(F.col("c") * i).alias(f"t{i}") for i in range(1, 5)]
+    wide, cols = frame.select("id", "y", "c", *same), ["c", *[f"s{i}" for i in range(5)], *[f"t{i}" for i in range(1, 5)]]
+    f = R.fit_forest(wide, cols, "y", "id", 4, 6, 16, local_rows=0)
+    rows = wide.orderBy("id").collect()
+    codes = R.coded([np.array([r[c] for r in rows], dtype=float) for c in cols], f.cuts)
+    y = data[1]
+    want = [n for t in range(4) for n in brute(codes, y, R.bag_weights(np.arange(len(y), dtype=np.uint64), t, 42), t, 3, 6, 42)]
+    assert nodes_of(f) == sorted(want)
+
+
+def test_cells_count_every_value(spark):
+    rows = [(float(v),) for v in (3, 3, -1, 0.5, 7, 7, 7)] + [(None,), (float("inf"),)]
+    df = spark.createDataFrame(rows, "x0 double").repartition(3)
+    got = sorted((r["g"], r["cell"], r["n"], r["least"], r["most"]) for r in R._count_cells(df, [(0, -1.0, 7.0), (0, 3.0, 3.0)], 4))
+    assert got == [(0, 0, 2, -1.0, 0.5), (0, 2, 2, 3.0, 3.0), (0, 3, 3, 7.0, 7.0), (1, 0, 2, 3.0, 3.0)]
+    odd = spark.createDataFrame([(float(i), float("nan") if i == 5 else float(i), None) for i in range(50)], "a double, b double, c double")
+    cuts = R.find_cuts(odd, ["a", "b", "c"], 8)
+    assert len(cuts[0]) == 7 and not len(cuts[1]) and not len(cuts[2])
+
+
+def test_labels_that_are_null_are_an_error(frame):
+    with pytest.raises(Exception, match="(?i)null"):
+        R.fit_tree(frame.withColumn("y", F.when(F.col("id") > 3, F.col("y"))), COLS, "y", "id", 2)
