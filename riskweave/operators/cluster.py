@@ -153,14 +153,22 @@ def _pass(points: DataFrame, centers: list[np.ndarray], origin: np.ndarray) -> t
                 continue
             x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d) - origin
             w = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
-            dist = _distances(x, c)
-            member = np.zeros((len(x), m))
-            rows = np.arange(len(x))
+            dist = c @ x.T  # a row per centroid, so that all that follows runs along the points
+            dist *= -2.0
+            dist += (x**2).sum(axis=1)
+            dist += (c**2).sum(axis=1)[:, None]
+            np.maximum(dist, 0.0, out=dist)
+            member = np.empty((m, len(x)))
             for a, b in zip(starts[:-1], starts[1:]):
-                member[rows, a + dist[:, a:b].argmin(axis=1)] = w
-            out[:, 0] += member.sum(axis=0)
-            out[:, 1] += (member * dist).sum(axis=0)
-            out[:, 2:] += member.T @ x
+                least, near = dist[a].copy(), np.zeros(len(x), dtype=np.int32)
+                for j in range(1, b - a):
+                    near[dist[a + j] < least] = j
+                    np.minimum(least, dist[a + j], out=least)
+                for j in range(b - a):
+                    np.multiply(near == j, w, out=member[a + j])
+                out[a:b, 1] += member[a:b] @ least
+            out[:, 0] += member.sum(axis=1)
+            out[:, 2:] += member @ x
         arrays = [pa.array(np.arange(m, dtype=np.int32)), *[pa.array(out[:, j]) for j in range(d + 2)]]
         yield pa.RecordBatch.from_arrays(arrays, ["slot", *[f"s{j}" for j in range(d + 2)]])
 

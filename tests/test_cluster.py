@@ -60,3 +60,22 @@ def test_missing_label_keeps_its_row(spark):
     df = spark.createDataFrame([("Low Risk", 1), ("Low Risk", 0)], "risk_label string, target int")
     rows = cluster.label_profile(df, "target", S.RISK_LABELS).orderBy("ord").collect()
     assert [r["row_count"] for r in rows] == [2, 0, 0] and rows[1]["outcome_rate"] is None
+
+
+def test_a_pass_sums_every_model_as_one_by_one(spark, monkeypatch):
+    """Weights, distances and sums of models of several sizes, with ties; a point's distances are laid out once, a row per centroid."""
+    rng = np.random.default_rng(5)
+    x, w = rng.integers(-3, 4, (200, 2)).astype(float), rng.integers(1, 5, 200)
+    points = spark.createDataFrame([(r.tolist(), int(n)) for r, n in zip(x, w)], "x array<double>, w long").repartition(3)
+    models = [np.array([[0.0, 0.0]]), np.array([[1.0, 0.0], [-1.0, 0.0], [1.0, 0.0]]), np.array([[0.0, 2.0], [9.0, 9.0], [0.0, -2.0], [3.0, 3.0]])]
+    monkeypatch.setattr(cluster, "_distances", None)
+    counts, cost, sums = cluster._pass(points, models, np.zeros(2))
+    at = 0
+    for c in models:
+        d = ((x[:, None] - c) ** 2).sum(axis=2)
+        near = d.argmin(axis=1)
+        for j in range(len(c)):
+            own = near == j
+            assert counts[at + j] == w[own].sum() and cost[at + j] == pytest.approx((w * d[:, j])[own].sum())
+            assert sums[at + j] == pytest.approx((w[:, None] * x)[own].sum(axis=0))
+        at += len(c)
