@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from riskweave.llm import bpe, decontam, langid, line_dedup, ngram_join
 from riskweave.llm.common import fresh, without
 from riskweave.llm.queries import vocabulary_path
-from riskweave.session import materialize
+from riskweave.session import materialize, scratch_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,7 +55,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A document is an id with a text: of one id, a text may go and another stay. Documents without doc_id come last in a
     group. Of repeated rows one stays.
     """
-    joined = materialize(ngram_join.ngram_join(docs), "near-duplicates")
+    with scratch_scope(spark):
+        joined = materialize(ngram_join.ngram_join(docs), "near-duplicates", outlives=True)
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("component_mark"))
     kept = without(docs, joined.where(~first), {"doc_id": F.col("doc_id"), "mark": _mark()})
     names = fresh(docs, "_twice_id"), fresh(docs, "_twice_mark")
@@ -73,9 +74,7 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the text decoded from them."""
-    path = vocabulary_path()
-    encoded = bpe.encode_documents(docs, path)
-    return bpe.digests(bpe.decode_documents(encoded, path))
+    return bpe.digests(bpe.round_trip(docs, vocabulary_path()))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -175,6 +175,19 @@ class Vocabulary:
 
         return encoded(text)
 
+    def both(self, text: Column | str) -> Column:
+        """Struct of the token ids of a text (``ids``) and of the text decoded from these ids (``decoded``)."""
+        content, limit = self._content, self._limit
+
+        @F.pandas_udf("ids array<int>, decoded string")
+        def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            codec = codec_of(content.value, limit)
+            for texts in batches:
+                ids = [codec.encode(t or "").astype(np.int32) for t in texts]
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([codec.decode(r) for r in ids], dtype=object)})
+
+        return encoded(text)
+
     def decode(self, ids: Column | str) -> Column:
         """Text of an array of token ids; NULL gives an empty text."""
         content, limit = self._content, self._limit
@@ -188,6 +201,15 @@ class Vocabulary:
         return decoded(ids)
 
 
+def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, ``ids`` and ``decoded`` of every row, as :func:`encode_documents` and :func:`decode_documents` give them.
+
+    Ids are decoded by the worker that made them, so that a task needs one worker with the vocabulary, not two.
+    """
+    vocabulary = Vocabulary(docs.sparkSession, path)
+    return docs.select(F.col(key), vocabulary.both(F.col(text)).alias("both")).select(key, "both.ids", "both.decoded")
+
+
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``ids`` of every row; other columns are left out, so names cannot clash."""
     vocabulary = Vocabulary(docs.sparkSession, path)

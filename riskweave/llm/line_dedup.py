@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import computed, salted_join, words
-from riskweave.session import materialize
+from riskweave.session import materialize, scratch_scope
 
 FIELD = "<*>"
 #: A whole token that has a digit; possessive, so that a long token is read once.
@@ -130,11 +130,12 @@ def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.75, lea
     A template keeps its lines in one document, the one with the smallest doc_id (and text hash),
     so that of a passage that all its documents have something stays.
     """
-    lines = materialize(parse(docs, leading, alike), "lines", codec="zstd")
-    known = materialize(templates(lines, min_docs, alike), "line-templates")
     who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_mark")
-    placed = materialize(salted_join(
-        lines.select("doc_id", "_mark", "line_no", "leaf", "line"), known, ["leaf", "line"], F.xxhash64("doc_id", "_mark")), "placed")
+    with scratch_scope(docs.sparkSession):
+        lines = materialize(parse(docs, leading, alike), "lines", codec="zstd")
+        known = materialize(templates(lines, min_docs, alike), "line-templates")
+        placed = materialize(salted_join(
+            lines.select("doc_id", "_mark", "line_no", "leaf", "line"), known, ["leaf", "line"], F.xxhash64("doc_id", "_mark")), "placed", outlives=True)
     first = placed.groupBy("leaf", "template").agg(F.min(who).alias("first"), F.count_distinct(F.xxhash64("doc_id", "_mark")).alias("n"))
     first = first.where(F.col("n") >= min_docs).select("leaf", "template", "first")
     drops = salted_join(placed, first, ["leaf", "template"], F.xxhash64("doc_id", "_mark")).where(~who.eqNullSafe(F.col("first")))

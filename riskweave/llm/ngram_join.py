@@ -34,7 +34,9 @@ from riskweave.llm.shingles import mix, shingle_sets
 from riskweave.session import materialize, ship_package
 
 #: Documents and shingles that one batch holds at most (one document may hold more shingles).
-BATCH_DOCS, BATCH_SHINGLES = 1 << 16, 1 << 20
+BATCH_DOCS, BATCH_SHINGLES = 1 << 16, 1 << 19
+#: Payload bytes that are handed to Spark at once (one row may hold more).
+SEND_BYTES = 1 << 20
 MATCHES = (1, 2, 3, 4, 6, 8)
 #: Shingles of a document that look for a leader, and entries before a common shingle that are compared.
 TRIES, LOOK_BACK = 16, 4
@@ -60,24 +62,47 @@ def _meta(keys: list[tuple], owners: np.ndarray, hashes: np.ndarray) -> bytes:
 
 def _pack(batch: int, keys: list, texts: list, bits: int) -> Iterator[pa.RecordBatch]:
     hashes, owners = shingle_sets(texts)
-    first = np.ones(len(hashes), dtype=bool)
-    first[1:] = hashes[1:] != hashes[:-1]
-    group = np.cumsum(first) - 1
-    known = np.bincount(group, minlength=1)[group] > 1 if len(group) else first
+    yield from _sent(_packed(batch, keys, hashes, owners, bits))
+
+
+def _packed(batch: int, keys: list, hashes: np.ndarray, owners: np.ndarray, bits: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """Rows of a batch: its documents, the first entry of every shingle, and all entries of those it has more than once."""
+    yield batch, (batch + (batch >> 24)) % (1 << bits), 0, _meta(keys, owners, hashes)
+    first = np.ones(len(hashes) + 1, dtype=bool)
+    first[1:-1] = hashes[1:] != hashes[:-1]
+    known = ~(first[:-1] & first[1:])
+    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int32)
     # 48 bits below the bucket's bits, and the document's place in the batch
-    entry = (hashes << np.uint64(bits) >> np.uint64(16) << np.uint64(16)) | owners.astype(np.uint64)
-    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    rows: list[tuple[int, int, int, bytes]] = [(batch, (batch + (batch >> 24)) % (1 << bits), 0, _meta(keys, owners, hashes))]
-    for kind, chosen in ((1, first), (2, known)):
-        at, values = bucket[chosen], entry[chosen]
+    hashes <<= np.uint64(bits)
+    hashes >>= np.uint64(16)
+    hashes <<= np.uint64(16)
+    hashes |= owners.astype(np.uint64)
+    for kind, chosen in ((1, first[:-1]), (2, known)):
+        at, values = bucket[chosen], hashes[chosen]
         cut = np.flatnonzero(np.diff(at)) + 1
         for a, b in zip([0, *cut], [*cut, len(at)]):
             if b > a:
-                rows.append((batch, int(at[a]), kind, values[a:b].tobytes()))
-    columns = list(zip(*rows))
-    yield pa.record_batch(
-        [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary())],
-        ["batch", "bucket", "kind", "payload"])
+                yield batch, int(at[a]), kind, values[a:b].tobytes()
+
+
+def _sent(rows: Iterator[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Rows in Arrow batches of some ``SEND_BYTES``, so that neither side holds a whole batch of documents twice."""
+    held: list[tuple[int, int, int, bytes]] = []
+    size = 0
+
+    def made() -> pa.RecordBatch:
+        columns = zip(*held)
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["batch", "bucket", "kind", "payload"])
+
+    for row in rows:
+        held.append(row)
+        size += len(row[3])
+        if size >= SEND_BYTES:
+            yield made()
+            held, size = [], 0
+    if held:
+        yield made()
 
 
 def _packer(bits: int):
@@ -134,9 +159,11 @@ def _collector(bits: int, percent: int):
             entry = np.concatenate(parts)
             bucket = np.repeat(rest["bucket"].to_numpy().astype(np.uint64), [len(p) for p in parts])
             token = (bucket << np.uint64(64 - bits)) | (entry >> np.uint64(16) << np.uint64(16) >> np.uint64(bits))
-            place = (entry & np.uint64(0xFFFF)).astype(np.int64)
+            place = (entry & np.uint64(0xFFFF)).astype(np.int32)
+            del entry, bucket
             order = np.lexsort((token, place))
             token, place = token[order], place[order]
+            del order
             new = np.ones(len(token), dtype=bool)
             new[1:] = (token[1:] != token[:-1]) | (place[1:] != place[:-1])
             token, place = token[new].view(np.int64), place[new]

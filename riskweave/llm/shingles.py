@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 
 LENGTH = 5
-#: Text bytes handled at once; a longer text is handled alone.
-CHUNK = 1 << 21
+#: Text bytes handled at once; a longer text is handled alone. Arrays of some forty times as many bytes are held.
+CHUNK = 1 << 18
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -97,13 +97,15 @@ def chunks(texts: list[str | None], most: int = CHUNK) -> Iterator[tuple[int, li
 
 
 def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of every text, sorted by hash and then by text, and the texts' indexes."""
-    parts = [(h, o + start) for start, group in chunks(texts) for h, o in [shingle_hashes(group)]]
+    """Distinct shingles of every text, sorted by hash and then by text, and the texts' indexes (32 bits)."""
+    parts = [(h, (o + start).astype(np.int32)) for start, group in chunks(texts) for h, o in [shingle_hashes(group)]]
     if not parts:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int32)
     hashes, owners = (np.concatenate(x) for x in zip(*parts))
+    del parts
     order = np.argsort(hashes, kind="stable")
     hashes, owners = hashes[order], owners[order]
+    del order
     same = np.zeros(len(hashes), dtype=bool)
     same[1:] = (hashes[1:] == hashes[:-1]) & (owners[1:] == owners[:-1])
     return hashes[~same], owners[~same]

@@ -73,10 +73,10 @@ def scratch_dir(spark: SparkSession) -> str:
 _OPEN: list[list[str]] = []
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the scratch folder."""
+def scratch_path(spark: SparkSession, name: str, outlives: bool = False) -> str:
+    """A fresh path below the scratch folder. If it ``outlives`` the innermost open scope, that does not delete it."""
     path = f"{scratch_dir(spark).rstrip('/')}/riskweave/{name}-{uuid.uuid4().hex}"
-    for made in _OPEN:
+    for made in _OPEN[:-1] if outlives else _OPEN:
         made.append(path)
     return path
 
@@ -100,19 +100,20 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(conf).delete(place, True)
 
 
-def materialize(df: DataFrame, name: str, spread: bool = False, codec: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, spread: bool = False, codec: str | None = None, outlives: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the scratch folder and read it back.
 
     The copy outlives lost executors, later passes read only the columns they
     need, and non-deterministic columns are fixed by being stored. ``spread``
     gives each core a file where the table is so small (a few megabytes per
     core) that a scan would leave cores idle in compute-heavy passes. ``codec`` names
-    another compression than the session's, for copies that hold texts.
+    another compression than the session's, for copies that hold texts. One that ``outlives`` the
+    innermost :func:`scratch_scope` is deleted with the next outer one.
     """
     spark = df.sparkSession
 
     def stored(rows: DataFrame) -> DataFrame:
-        path = scratch_path(spark, name)
+        path = scratch_path(spark, name, outlives)
         rows.write.parquet(path, compression=codec)
         return spark.read.schema(df.schema).parquet(path)
 

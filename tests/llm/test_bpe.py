@@ -67,3 +67,12 @@ def test_other_vocabularies_are_refused():
     model["model"]["merges"] = model["model"]["merges"][::-1]
     with pytest.raises(ValueError):
         bpe.Codec(json.dumps(model).encode())
+
+
+def test_one_worker_encodes_and_decodes(spark, make):
+    docs = make([(1, "a b  c"), (2, None), (3, ""), (4, "é" * 9000), (4, "<|endoftext|> x"), (None, "\ud7ff z")])
+    both = bpe.round_trip(docs, PATH)
+    apart = bpe.decode_documents(bpe.encode_documents(docs, PATH), PATH)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert both.schema == apart.schema and rows(both) == rows(apart)
+    assert bpe.digests(both)._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1

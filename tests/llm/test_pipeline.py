@@ -1,3 +1,4 @@
+import os
 import random
 
 import corpus_pipeline
@@ -5,6 +6,7 @@ import pytest
 
 from riskweave.llm import bpe
 from riskweave.llm.queries import vocabulary_path
+from riskweave.session import scratch_dir
 from tests.llm.test_similarity import components, leaked
 from tests.llm.test_text_filters import sentences
 
@@ -67,6 +69,17 @@ def test_an_id_with_two_texts_loses_only_the_copy(spark, make, folder):
     assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(1, a), (5, b), (None, None), (9, "")], key=str)
 
 
+def test_stored_copies_go_with_the_stage_that_made_them(spark, folder):
+    path, rows, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    scratch = os.path.join(scratch_dir(spark), "riskweave").removeprefix("file:")
+    for name, kept in (("line deduplication", {"placed"}), ("n-gram near duplicates", {"near-duplicates", "gone"})):
+        before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+        done = stage(spark, name, docs, path)
+        assert {x.rpartition("-")[0] for x in set(os.listdir(scratch)) - before} == kept
+        assert done.count() > 0
+
+
 def test_small_tables_are_kept(spark, make, folder):
     for n in (1, 9, 20):
         docs = make([(i, sentences("aa", 60, i), "aa", "h") for i in range(n)] + [(100 + i, sentences("cc", 60, 500 + i), "cc", "h") for i in range(n)])

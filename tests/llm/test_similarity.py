@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 from pyspark.sql import functions as F
 
@@ -78,6 +79,19 @@ def test_join_edge_cases(make):
     assert ngram_join.ngram_join(make([])).count() == 0
 
 
+def test_a_batch_is_packed_in_little_memory():
+    r = random.Random(4)
+    texts = [" ".join(f"{r.randrange(10**6)}" for _ in range(1000)) for _ in range(500)]
+    # the first batch compiles and caches
+    list(ngram_join._pack(0, [[0, 0]], texts[:1], 8))
+    tracemalloc.start()
+    sent = [b.nbytes for b in ngram_join._pack(0, [[i, i] for i in range(500)], texts, 8)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sent) >= 8 * 500 * 996 and max(sent) <= 2 * ngram_join.SEND_BYTES
+    assert peak < 40 << 20, peak
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, k) for k in range(101, 160)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)] + [(7, 7)]
     found = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
