@@ -3,6 +3,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +126,63 @@ def test_columns_find_the_later_of_equal_strings():
             assert late[i, s] == (rank[same].min() < rank[i])
 
 
+@pytest.mark.parametrize("crowd", [1, 4, 30])
+def test_divided_windows_remove_the_same(make, crowd):
+    r = random.Random(crowd)
+    letters = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
+    passage = letters(48)
+    ends = [letters(60) for _ in range(6)]
+    docs = [(i, r.choice(ends)[r.randrange(20):] + passage + r.choice(ends)[:r.randrange(30, 60)]) for i in range(60)]
+    docs += [(i, letters(70) + passage + letters(70)) for i in range(60, 120)] + [(120, passage * 9), (None, passage * 7), (121, docs[3][1] * 2)]
+    done = suffix_dedup.suffix_dedup(make(docs, 5), 8, crowd).select("doc_id", "kept").collect()
+    assert {r["doc_id"]: hashlib.sha256(bytes(r["kept"])).hexdigest() for r in done} == {d: x[3] for d, x in cut(docs).items()}
+
+
+def test_more_windows_are_divided_more_often():
+    n = suffix_dedup.CROWD * 4.0 ** np.arange(-1, 9)
+    assert suffix_dedup.levels(n).tolist() == [0, 0, 1, 2, 3, 4, 5, 6, 7, 7]
+    r = np.random.default_rng(5)
+    piece = bytes(r.integers(97, 123, suffix_dedup.K, dtype=np.uint8)).decode()
+    around = [bytes(r.integers(97, 123, 2 * suffix_dedup.REACH, dtype=np.uint8)).decode() for _ in range(400)]
+    texts = [x[:suffix_dedup.REACH] + piece + x[suffix_dedup.REACH:] for x in around]
+    text = suffix_dedup.Bytes(texts)
+    at = text.start + suffix_dedup.REACH
+    one = np.full(400, 7, dtype=np.uint64)
+    ids = np.stack([np.zeros(400, np.int64), np.arange(400), np.arange(400)], axis=1)
+    windows = suffix_dedup.Windows(text, ids, np.arange(400), at, np.arange(400), at - suffix_dedup.REACH, at + suffix_dedup.LENGTH, one)
+    for level in (1, 3, 7):
+        parts = windows.divided(level)
+        assert len(np.unique(parts.key)) == len(parts.key) == 400 * min(2 ** level, suffix_dedup.REACH + 1)
+        assert (parts.b - parts.a - suffix_dedup.LENGTH + 1).sum() == 400 * (suffix_dedup.REACH + 1)
+
+
+def test_ranges_of_anchors_are_even(make):
+    r = random.Random(6)
+    rows = suffix_dedup.documents(make([(i, "".join(r.choice("abcdefgh ") for _ in range(3000))) for i in range(120)]))
+    packed = rows.mapInArrow(suffix_dedup._anchor_packer(8), suffix_dedup._PACKED).where("kind = 1")
+    sizes = [x["n"] for x in packed.groupBy("bucket").agg(F.sum(F.octet_length("payload")).alias("n")).collect()]
+    assert len(sizes) == 256 and max(sizes) < 3 * sum(sizes) / len(sizes)
+
+
+def test_windows_of_a_range_are_sorted_a_few_anchors_at_a_time(monkeypatch):
+    r = np.random.default_rng(8)
+    record = np.zeros(2000, dtype=suffix_dedup.RECORD)
+    record["doc"], record["at"] = np.arange(2000), 500
+    record["window"] = r.integers(0, 2, (2000, 1), dtype=np.uint8)
+    record["window"][:, suffix_dedup.REACH:suffix_dedup.REACH + 2] = (np.arange(2000) // 20 % 100)[:, None] + [0, 1]
+    rows = [(0, 0, 1, record[i:i + 7].tobytes()) for i in range(0, 2000, 7)]
+    table = pa.Table.from_batches([suffix_dedup._table(rows[i:i + 50]) for i in range(0, len(rows), 50)])
+    sizes, sort = [], suffix_dedup.later_strings
+    monkeypatch.setattr(suffix_dedup, "later_strings", lambda w, *x: sizes.append(len(w)) or sort(w, *x))
+    whole = suffix_dedup._mark(table).to_pylist()
+    assert sizes == [2000]
+    monkeypatch.setattr(suffix_dedup, "SORTED", 100)
+    few = suffix_dedup._mark(table).to_pylist()
+    assert max(sizes[1:]) <= 100 + 20 and sum(sizes[1:]) == 2000
+    key = lambda x: (x["doc_id"], x["start"])
+    assert sorted(whole, key=key) == sorted(few, key=key) and len(few) > 1000
+
+
 # --- language -----------------------------------------------------------------------------
 
 SYLLABLES = {"aa": "ba ko mi lu", "bb": "schn tze öch ürg", "cc": "ción ñue rra llo"}
